@@ -1,0 +1 @@
+"""armlens.streaming"""
