@@ -1,7 +1,8 @@
 """The experiment DAG (SRC-13): sources -> dimensions -> orders / sessions -> p-values.
 
-``build_tables`` wires the operators into lazy DataFrames in dependency order
-(the reference ran its scripts in directory-listing order, T1).
+``ExperimentDAG`` wires the operators into lazy DataFrames in dependency order
+(the reference ran its scripts in directory-listing order, T1); a stage is only
+built when something needs it.
 ``run_pipeline`` materialises every stage as a parquet table (SNK-1) under an
 output folder and re-reads it for the next stage: each stage's lineage is cut
 at a durable table, a lost executor only recomputes its own stage, and the
@@ -11,7 +12,8 @@ dimensions are scanned from files whose size is known when they are broadcast.
 from __future__ import annotations
 
 import os
-from dataclasses import dataclass, field
+from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -39,45 +41,74 @@ class Sources:
         return cls(**{f: getattr(world, f) for f in cls.__dataclass_fields__})
 
 
-@dataclass
-class Tables:
-    stages: dict = field(default_factory=dict)
+STAGE_ORDER = ("entities", "valid_tests", "target_groups", "zones", "variants", "scheme_combos", "zone_shapes",
+               "orders", "orders_cleaned", "session_events", "session_flags", "sessions_with_flag")
 
-    def __getattr__(self, name):
-        try:
-            return self.stages[name]
-        except KeyError as e:
-            raise AttributeError(name) from e
 
+class ExperimentDAG:
+    """Every stage as a lazily built, memoised DataFrame. ``materialize(name,
+    df) -> df`` may persist a stage and return the re-read table used
+    downstream."""
 
-STAGE_ORDER = ("entities", "valid_tests", "target_groups", "zones", "variants", "scheme_combos", "zone_shapes",
-               "orders", "orders_cleaned", "session_events", "session_flags", "sessions_with_flag")
+    def __init__(self, src: Sources, cfg: ExperimentConfig = ExperimentConfig(), materialize=None):
+        self.src, self.cfg = src, cfg
+        self._m = materialize or (lambda name, df: df)
+
+    @cached_property
+    def entities(self):
+        return self._m("entities", ex.active_entities(self.src.entities, self.src.session_orders, self.cfg))
+
+    @cached_property
+    def valid_tests(self):
+        return self._m("valid_tests", ex.select_experiments(self.src.experiment_setups, self.cfg))
+
+    @cached_property
+    def target_groups(self):
+        return self._m("target_groups", ex.target_groups(self.src.experiment_setups, self.valid_tests,
+                                                         self.src.vendors, self.cfg))
+
+    @cached_property
+    def zones(self):
+        return self._m("zones", ex.experiment_zones(self.src.experiment_setups, self.valid_tests, self.cfg))
+
+    @cached_property
+    def variants(self):
+        return self._m("variants", ex.variants_and_schemes(self.src.experiment_setups, self.valid_tests, self.cfg))
+
+    @cached_property
+    def scheme_combos(self):
+        return self._m("scheme_combos", ex.scheme_combinations(self.variants))
+
+    @cached_property
+    def zone_shapes(self):
+        return self._m("zone_shapes", ex.zone_shapes(self.src.countries, self.zones, self.cfg))
+
+    @cached_property
+    def orders(self):
+        s = self.src
+        return self._m("orders", od.enrich_orders(
+            s.session_orders, s.ab_test_orders, s.shared_orders, s.fee_override_orders, self.zone_shapes,
+            self.target_groups, self.zones, self.variants, self.scheme_combos, self.entities, self.cfg))
+
+    @cached_property
+    def orders_cleaned(self):
+        return self._m("orders_cleaned", od.add_profit(self.orders, self.src.ab_test_orders, self.target_groups,
+                                                       self.cfg))
+
+    @cached_property
+    def session_events(self):
+        s = self.src
+        return self._m("session_events", se.flatten_sessions(s.ga_sessions, s.vendors, self.entities,
+                                                             self.target_groups, self.variants, self.cfg))
 
+    @cached_property
+    def session_flags(self):
+        return self._m("session_flags", se.session_treatment_flags(self.session_events))
 
-def build_tables(src: Sources, cfg: ExperimentConfig = ExperimentConfig(), materialize=None) -> Tables:
-    """Lazy tables of every stage. ``materialize(name, df) -> df`` may persist
-    a stage and return the re-read table used downstream."""
-    m = materialize or (lambda name, df: df)
-    t = Tables()
-    s = t.stages
-    s["entities"] = m("entities", ex.active_entities(src.entities, src.session_orders, cfg))
-    s["valid_tests"] = m("valid_tests", ex.select_experiments(src.experiment_setups, cfg))
-    s["target_groups"] = m("target_groups", ex.target_groups(src.experiment_setups, s["valid_tests"],
-                                                             src.vendors, cfg))
-    s["zones"] = m("zones", ex.experiment_zones(src.experiment_setups, s["valid_tests"], cfg))
-    s["variants"] = m("variants", ex.variants_and_schemes(src.experiment_setups, s["valid_tests"], cfg))
-    s["scheme_combos"] = m("scheme_combos", ex.scheme_combinations(s["variants"]))
-    s["zone_shapes"] = m("zone_shapes", ex.zone_shapes(src.countries, s["zones"], cfg))
-    s["orders"] = m("orders", od.enrich_orders(
-        src.session_orders, src.ab_test_orders, src.shared_orders, src.fee_override_orders, s["zone_shapes"],
-        s["target_groups"], s["zones"], s["variants"], s["scheme_combos"], s["entities"], cfg))
-    s["orders_cleaned"] = m("orders_cleaned", od.add_profit(s["orders"], src.ab_test_orders, s["target_groups"], cfg))
-    s["session_events"] = m("session_events", se.flatten_sessions(
-        src.ga_sessions, src.vendors, s["entities"], s["target_groups"], s["variants"], cfg))
-    s["session_flags"] = m("session_flags", se.session_treatment_flags(s["session_events"]))
-    s["sessions_with_flag"] = m("sessions_with_flag", se.attach_session_flag(
-        s["session_events"], s["session_flags"], s["valid_tests"], cfg))
-    return t
+    @cached_property
+    def sessions_with_flag(self):
+        return self._m("sessions_with_flag", se.attach_session_flag(self.session_events, self.session_flags,
+                                                                    self.valid_tests, self.cfg))
 
 
 def pvalues(orders_cleaned: DataFrame, icfg: InferenceConfig = InferenceConfig()) -> DataFrame:
@@ -95,7 +126,7 @@ def run_pipeline(spark: SparkSession, src: Sources, out_dir: str, cfg: Experimen
         df.write.mode("overwrite").parquet(path)
         return spark.read.parquet(path)
 
-    t = build_tables(src, cfg, materialize)
-    out = dict(t.stages)
+    dag = ExperimentDAG(src, cfg, materialize)
+    out = {name: getattr(dag, name) for name in STAGE_ORDER}
     out["pvalues"] = materialize("pvalues", pvalues(out["orders_cleaned"], icfg))
     return out
