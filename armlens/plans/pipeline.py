@@ -22,6 +22,7 @@ from armlens.operators import experiments as ex
 from armlens.operators import inference as inf
 from armlens.operators import orders as od
 from armlens.operators import sessions as se
+from armlens.plans.materialize import cut_lineage
 
 
 @dataclass
@@ -41,6 +42,9 @@ class Sources:
         return cls(**{f: getattr(world, f) for f in cls.__dataclass_fields__})
 
 
+DIMENSION_STAGES = ("entities", "valid_tests", "target_groups", "zones", "variants", "scheme_combos",
+                    "zone_shapes")
+
 STAGE_ORDER = ("entities", "valid_tests", "target_groups", "zones", "variants", "scheme_combos", "zone_shapes",
                "orders", "orders_cleaned", "session_events", "session_flags", "sessions_with_flag")
 
@@ -50,9 +54,15 @@ class ExperimentDAG:
     df) -> df`` may persist a stage and return the re-read table used
     downstream."""
 
-    def __init__(self, src: Sources, cfg: ExperimentConfig = ExperimentConfig(), materialize=None):
+    def __init__(self, src: Sources, cfg: ExperimentConfig = ExperimentConfig(), materialize=None,
+                 cut_dimensions: bool = True):
         self.src, self.cfg = src, cfg
-        self._m = materialize or (lambda name, df: df)
+        if materialize is None:
+            # Default: the small experiment dimensions become tables (as the
+            # warehouse steps do); fact stages stay lazy.
+            def materialize(name, df):
+                return cut_lineage(df, name) if cut_dimensions and name in DIMENSION_STAGES else df
+        self._m = materialize
 
     @cached_property
     def entities(self):

@@ -14,6 +14,7 @@ from armlens.config import ExperimentConfig, InferenceConfig
 from armlens.functions.geo import point, point_in_ring, point_wkt
 from armlens.operators import inference as inf
 from armlens.plans import outputs as O
+from armlens.plans.materialize import cut_lineage
 from armlens.plans.pipeline import ExperimentDAG, Sources
 from armlens.sources import adapters as A
 from armlens.sources.tables import Tables
@@ -30,8 +31,19 @@ PIP_RINGS = (
 )
 
 
+_WORLDS: dict = {}
+
+
+def world(spark: SparkSession, sf_dir: str) -> A.World:
+    """Adapter frames are lazy plans with no data: built once per session and folder."""
+    key = (id(spark), sf_dir)
+    if key not in _WORLDS:
+        _WORLDS[key] = A.World(Tables(spark, sf_dir))
+    return _WORLDS[key]
+
+
 def dag(spark: SparkSession, sf_dir: str) -> ExperimentDAG:
-    return ExperimentDAG(Sources.from_world(A.World(Tables(spark, sf_dir))), WORLD_CFG)
+    return ExperimentDAG(Sources.from_world(world(spark, sf_dir)), WORLD_CFG)
 
 
 def _stage(name: str, spec, extra=None):
@@ -76,8 +88,14 @@ def lines_experiment(t: Tables) -> DataFrame:
         F.lit(None).cast("string").alias("target_group_bi"))
 
 
+def _orders_cleaned_table(spark, sf_dir):
+    """The order table is read three times by the inference chain (date range,
+    segment labels, daily KPIs): it is materialised once, as the pipeline does."""
+    return cut_lineage(dag(spark, sf_dir).orders_cleaned, "orders_cleaned")
+
+
 def _orders_trimmed(spark, sf_dir):
-    return inf.trim_boundary_days(inf.retype_kpis(dag(spark, sf_dir).orders_cleaned), ORDER_ICFG)
+    return inf.trim_boundary_days(inf.retype_kpis(_orders_cleaned_table(spark, sf_dir)), ORDER_ICFG)
 
 
 def q_trimmed(spark, sf_dir):
@@ -100,17 +118,17 @@ def q_stats(spark, sf_dir):
 
 
 def q_pvalues(spark, sf_dir):
-    return O.spark_project(inf.experiment_pvalues(dag(spark, sf_dir).orders_cleaned, ORDER_ICFG), O.PVALUES)
+    return O.spark_project(inf.experiment_pvalues(_orders_cleaned_table(spark, sf_dir), ORDER_ICFG), O.PVALUES)
 
 
 def q_pvalue_matrix(spark, sf_dir):
-    p = inf.experiment_pvalues(dag(spark, sf_dir).orders_cleaned, ORDER_ICFG)
+    p = inf.experiment_pvalues(_orders_cleaned_table(spark, sf_dir), ORDER_ICFG)
     return inf.pvalue_matrix(p, (ORDER_ICFG.count_kpi, *ORDER_ICFG.kpis))
 
 
 def _daily_of(frame_fn, icfg):
     def build(spark, sf_dir):
-        tr = inf.trim_boundary_days(frame_fn(Tables(spark, sf_dir)), icfg)
+        tr = inf.trim_boundary_days(frame_fn(world(spark, sf_dir).t), icfg)
         return tr, inf.daily_kpis(tr, icfg)
     return build
 
@@ -138,7 +156,7 @@ def q_point_in_polygon(spark, sf_dir):
     """JN-9 / FLT-20 on embedding coordinates (dims 1, 2) against fixed rings."""
     rings = F.array(*[F.struct(F.lit(i).cast("long").alias("ring_id"), A._ring(r).alias("ring"))
                       for i, r in PIP_RINGS])
-    e = Tables(spark, sf_dir).embeddings.select(
+    e = world(spark, sf_dir).t.embeddings.select(
         "vec_id", point(F.col("embedding")[0], F.col("embedding")[1]).alias("p"), F.explode(rings).alias("r"))
     return e.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("r.ring_id").alias("ring_id"),
                     point_in_ring(F.col("r.ring"), F.col("p")).alias("inside"))
@@ -146,7 +164,7 @@ def q_point_in_polygon(spark, sf_dir):
 
 def q_point_wkt(spark, sf_dir):
     """SC-16 / SC-17 on embedding coordinates."""
-    e = Tables(spark, sf_dir).embeddings
+    e = world(spark, sf_dir).t.embeddings
     return e.select(F.col("vec_id").cast("long").alias("vec_id"),
                     point_wkt(point(F.col("embedding")[0], F.col("embedding")[1])).alias("wkt"))
 

@@ -153,8 +153,9 @@ def session_orders(t: Tables) -> DataFrame:
     x = (li.join(o, c("l_orderkey") == c("o_orderkey")).join(cu, c("o_custkey") == c("c_custkey"))
          .join(geo, "c_nationkey").join(_customer_history(t), "o_orderkey"))
     k, ln, sk = c("l_orderkey"), c("l_linenumber"), c("l_suppkey")
-    price, disc = c("l_extendedprice").cast("decimal(18,2)"), c("l_discount").cast("decimal(18,2)")
-    tax, qty = c("l_tax").cast("decimal(18,2)"), c("l_quantity").cast("decimal(18,2)")
+    # narrow decimals keep every product within 18 digits (64-bit arithmetic)
+    price, disc = c("l_extendedprice").cast("decimal(9,2)"), c("l_discount").cast("decimal(4,2)")
+    tax, qty = c("l_tax").cast("decimal(4,2)"), c("l_quantity").cast("decimal(6,2)")
     placed = F.timestamp_add("MINUTE", (k % 24) * 60 + ln * 7, c("l_shipdate").cast("timestamp"))
     vidx = c("o_custkey") % 3
     scheme = F.lit(100) + ((sk % 3) + 1) * 10 + vidx
@@ -243,7 +244,7 @@ def shared_orders(t: Tables) -> DataFrame:
 def fee_override_orders(t: Tables) -> DataFrame:
     x = (t.lineitem.where(c("l_orderkey") % 3 == 0)
          .join(t.orders, c("l_orderkey") == c("o_orderkey")).join(t.customer, c("o_custkey") == c("c_custkey")))
-    fee = (c("o_totalprice").cast("decimal(18,2)") * F.lit(0.001).cast("decimal(4,3)")).cast("decimal(18,4)")
+    fee = (c("o_totalprice").cast("decimal(11,2)") * F.lit(0.001).cast("decimal(4,3)")).cast("decimal(18,4)")
     return x.select(
         entity_of("c_nationkey").alias("global_entity_id"), F.concat(F.lit("P"), _s("l_orderkey")).alias("code"),
         F.to_date("l_shipdate").alias("created_date_utc"),

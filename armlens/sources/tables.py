@@ -9,16 +9,35 @@ from pyspark.sql import DataFrame, SparkSession
 DRIVER_TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
                  "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
 
+# Inputs smaller than this are dimension-sized: they are broadcast or read by
+# one task anyway, so they are not spread.
+SPREAD_MIN_BYTES = 1 << 20
+
+
+def _size(path: str) -> int:
+    if os.path.isfile(path):
+        return os.path.getsize(path)
+    total = 0
+    for root, _, files in os.walk(path):
+        total += sum(os.path.getsize(os.path.join(root, f)) for f in files)
+    return total
+
 
 class Tables:
     """Lazy, cached-by-name access to ``{sf_dir}/{name}.parquet``.
 
     Reads are plain ``spark.read.parquet``: Catalyst prunes columns and pushes
-    filters into the scan of whatever the query uses."""
-
-    def __init__(self, spark: SparkSession, sf_dir: str):
+    filters into the scan of whatever the query uses. A parquet split is one
+    row group, so a large file written as a single row group would be read by
+    one task and every broadcast join above it would stay in that task; such
+    an input is spread round-robin over the cluster's parallelism (filters and
+    column pruning still reach the scan below the exchange). Inputs that
+    already have enough splits are left alone, which is the case at scale."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str, spread: bool = True):
         self.spark = spark
         self.sf_dir = sf_dir
+        self.spread = spread
         self._cache: dict[str, DataFrame] = {}
 
     def path(self, name: str) -> str:
@@ -29,5 +48,11 @@ class Tables:
         if name.startswith("_") or name not in DRIVER_TABLES:
             raise AttributeError(name)
         if name not in self._cache:
-            self._cache[name] = self.spark.read.parquet(self.path(name))
+            path = self.path(name)
+            df = self.spark.read.parquet(path)
+            if self.spread and os.path.exists(path) and _size(path) >= SPREAD_MIN_BYTES:
+                target = self.spark.sparkContext.defaultParallelism
+                if df.rdd.getNumPartitions() < target:
+                    df = df.repartition(target)
+            self._cache[name] = df
         return self._cache[name]
