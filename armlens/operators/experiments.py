@@ -17,7 +17,7 @@ from pyspark.sql.window import Window
 from armlens.config import ExperimentConfig
 from armlens.functions.strings import sorted_string_agg
 from armlens.functions.verticals import first_parent_vertical, second_parent_vertical
-from armlens.plans.sizing import bounded_broadcast
+from armlens.plans.sizing import bounded_broadcast, known_rows
 
 TEST_COLS = ("entity_id", "country_code", "test_start_date", "test_end_date", "test_name", "test_id")
 
@@ -52,7 +52,8 @@ def select_experiments(setups: DataFrame, cfg: ExperimentConfig = ExperimentConf
 def _valid_setups(setups: DataFrame, valid_names: DataFrame, cfg: ExperimentConfig) -> DataFrame:
     """FLT-7: ``test_name IN (SELECT DISTINCT test_name FROM valid)`` as a semi join."""
     names = valid_names.select("test_name").distinct()
-    return setups.join(bounded_broadcast(names, cfg.broadcast_max_rows), "test_name", "left_semi")
+    return setups.join(bounded_broadcast(names, cfg.broadcast_max_rows, known_rows(valid_names)),
+                       "test_name", "left_semi")
 
 
 def target_group_rank(setups_with_vendors: DataFrame) -> DataFrame:
@@ -97,7 +98,8 @@ def target_groups(setups: DataFrame, valid_names: DataFrame, vendors: DataFrame,
                     F.col("customer_condition.orders_number_less_than").alias("orders_number_less_than"),
                     F.col("customer_condition.days_since_first_order_less_than")
                     .alias("days_since_first_order_less_than")))
-    rows = _null_safe_join(rows, bounded_broadcast(ranks, cfg.broadcast_max_rows),
+    # at most one rank row per setup row
+    rows = _null_safe_join(rows, bounded_broadcast(ranks, cfg.broadcast_max_rows, known_rows(setups)),
                            ["entity_id", "test_name", "vendor_group_id"], "left")
     group_cols = list(TEST_COLS) + ["vendor_group_id", "vendor_code", "tg_name", "tc_id", "tc_priority",
                                     "start_at", "recurrence_end_at", "active_days", "cc_id", "cc_priority",
@@ -109,10 +111,12 @@ def target_groups(setups: DataFrame, valid_names: DataFrame, vendors: DataFrame,
         "first_parent_vertical": first_parent_vertical("parent_vertical_concat"),
         "second_parent_vertical": second_parent_vertical("parent_vertical_concat"),
     })
+    # The vendor dimension can be large: it is first reduced to the test vendors
+    # (semi join), then attached; both joins are sized by AQE at run time.
     ven = vendors.select(F.col("global_entity_id").alias("entity_id"),
                          F.col("vendor_id").alias("vendor_code"), "vertical_type")
     keys = agg.select("entity_id", "vendor_code").distinct()
-    ven = ven.join(bounded_broadcast(keys, cfg.broadcast_max_rows), ["entity_id", "vendor_code"], "left_semi")
+    ven = ven.join(keys, ["entity_id", "vendor_code"], "left_semi")
     return agg.join(ven, ["entity_id", "vendor_code"], "left").select(*group_cols, "parent_vertical_concat",
                                                                        "first_parent_vertical",
                                                                        "second_parent_vertical", "vertical_type")
@@ -167,6 +171,7 @@ def zone_shapes(countries: DataFrame, zones: DataFrame,
                   F.col("zo.id").alias("zone_id")))
     tgt = zones.select("entity_id", "country_code", "zone_id", "test_name", "test_id",
                        "test_start_date", "test_end_date")
-    return co.join(bounded_broadcast(tgt, cfg.broadcast_max_rows), ["entity_id", "country_code", "zone_id"]).select(
+    tgt = bounded_broadcast(tgt, cfg.broadcast_max_rows, known_rows(zones))
+    return co.join(tgt, ["entity_id", "country_code", "zone_id"]).select(
         "entity_id", "country_code", "city_name", "city_id", "zone_shape", "zone_name", "zone_id",
         "test_name", "test_id", "test_start_date", "test_end_date")

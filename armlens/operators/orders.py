@@ -26,7 +26,7 @@ from armlens.config import ExperimentConfig
 from armlens.functions.compat import calendar_day_diff, if_else, match_or_null, safe_divide, weekday_name
 from armlens.functions.geo import point, point_in_ring
 from armlens.functions.verticals import normalize_vertical
-from armlens.plans.sizing import bounded_broadcast
+from armlens.plans.sizing import bounded_broadcast, known_rows
 
 NON_TG = "Non_TG"
 
@@ -41,10 +41,11 @@ def key_set(df: DataFrame, mapping: dict) -> DataFrame:
     return sel.where(_not_null(*mapping.values())).distinct()
 
 
-def semi_filter(df: DataFrame, keys: DataFrame, max_rows: int) -> DataFrame:
+def semi_filter(df: DataFrame, keys: DataFrame, max_rows: int, bound: int | None = None) -> DataFrame:
     """FLT-8: composite-key membership. A NULL key part never matches,
-    exactly like ``CONCAT(..) IN (SELECT DISTINCT CONCAT(..) ... IS NOT NULL)``."""
-    return df.join(bounded_broadcast(keys, max_rows), keys.columns, "left_semi")
+    exactly like ``CONCAT(..) IN (SELECT DISTINCT CONCAT(..) ... IS NOT NULL)``.
+    ``bound``: rows of the table the keys were taken from."""
+    return df.join(bounded_broadcast(keys, max_rows, bound), keys.columns, "left_semi")
 
 
 def time_condition(order_local_ts, start_at, end_at, active_day) -> F.Column:
@@ -101,9 +102,10 @@ def enrich_orders(session_orders: DataFrame, ab_test_orders: DataFrame, shared_o
     bmax = cfg.broadcast_max_rows
     a = session_orders.where((F.col("created_date") >= F.lit(cfg.since).cast("date")) & F.col("is_sent"))
     a = semi_filter(a, key_set(variants, {"entity_id": "entity_id", "country_code": "country_code",
-                                          "test_id": "experiment_id", "variant": "variant"}), bmax)
+                                          "test_id": "experiment_id", "variant": "variant"}), bmax,
+                    known_rows(variants))
     a = semi_filter(a, key_set(target_groups, {"entity_id": "entity_id", "country_code": "country_code",
-                                               "test_id": "experiment_id"}), bmax)
+                                               "test_id": "experiment_id"}), bmax, known_rows(target_groups))
 
     # Location (T8: the spatial predicate rejects a missing location -> inner join).
     dwh = shared_orders.select(F.col("global_entity_id").alias("entity_id"),
@@ -121,11 +123,12 @@ def enrich_orders(session_orders: DataFrame, ab_test_orders: DataFrame, shared_o
     # Zone polygon + containment (T8: inner join).
     zn = zone_shapes.select("entity_id", "country_code", "zone_id", F.col("test_id").alias("experiment_id"),
                             "zone_shape")
-    a = a.join(bounded_broadcast(zn, bmax), ["entity_id", "country_code", "zone_id", "experiment_id"], "inner")
+    a = a.join(bounded_broadcast(zn, bmax, known_rows(zone_shapes)),
+               ["entity_id", "country_code", "zone_id", "experiment_id"], "inner")
     a = a.where(point_in_ring(F.col("zone_shape"), point(F.col("_lon"), F.col("_lat"))))
 
     ent = entities.select("entity_id", F.col("region").alias("_ent_region"))
-    a = a.join(bounded_broadcast(ent, bmax), "entity_id", "inner")
+    a = a.join(bounded_broadcast(ent, bmax, known_rows(entities)), "entity_id", "inner")
 
     b = ab_test_orders.select("entity_id", "order_id", F.col("target_group").alias("target_group_bi"))
     a = a.join(b, ["entity_id", "order_id"], "left")
@@ -136,7 +139,7 @@ def enrich_orders(session_orders: DataFrame, ab_test_orders: DataFrame, shared_o
                               F.col("recurrence_end_at").alias("_end_at"), F.col("active_days").alias("_day"),
                               F.col("orders_number_less_than").alias("_orders_lt"),
                               F.col("days_since_first_order_less_than").alias("_days_lt"))
-    tg = bounded_broadcast(tg, bmax)
+    tg = bounded_broadcast(tg, bmax, known_rows(target_groups))
     cond = ((a["entity_id"] == tg["_tg_entity"]) & (a["vendor_id"] == tg["_tg_vendor"])
             & (a["experiment_id"] == tg["_tg_test"])
             & time_condition(a["order_placed_at_local"], tg["_start_at"], tg["_end_at"], tg["_day"])
@@ -146,10 +149,11 @@ def enrich_orders(session_orders: DataFrame, ab_test_orders: DataFrame, shared_o
 
     dat = zones.select("entity_id", "country_code", F.col("test_id").alias("experiment_id"),
                        "test_start_date", "test_end_date", "test_name").distinct()
-    a = a.join(bounded_broadcast(dat, bmax), ["entity_id", "country_code", "experiment_id"], "left")
+    a = a.join(bounded_broadcast(dat, bmax, known_rows(zones)), ["entity_id", "country_code", "experiment_id"], "left")
     vs = scheme_combos.select("entity_id", "country_code", F.col("test_id").alias("experiment_id"),
                               "tg_var_scheme_concat", "tg_var_scheme_list")
-    a = a.join(bounded_broadcast(vs, bmax), ["entity_id", "country_code", "experiment_id"], "left")
+    a = a.join(bounded_broadcast(vs, bmax, known_rows(scheme_combos)), ["entity_id", "country_code", "experiment_id"],
+               "left")
 
     c = F.col
     tg_label = F.coalesce(c("_tg_name"), F.lit(NON_TG))
@@ -223,7 +227,9 @@ def add_profit(enriched: DataFrame, ab_test_orders: DataFrame, target_groups: Da
     gross profit, and the allowed-vertical filter (a test with no vertical keeps
     no order, T11)."""
     b = ab_test_orders.select("entity_id", "platform_order_code", "vat_ratio")
-    keys = bounded_broadcast(allowed_vertical_keys(target_groups), cfg.broadcast_max_rows)
+    tg_rows = known_rows(target_groups)
+    keys = bounded_broadcast(allowed_vertical_keys(target_groups), cfg.broadcast_max_rows,
+                             None if tg_rows is None else 2 * tg_rows)
     x = enriched.join(keys, ["entity_id", "country_code", "test_id", "vendor_vertical_parent"], "left_semi")
     x = x.join(b, ["entity_id", "platform_order_code"], "inner")
     out = revenue_columns(x)

@@ -19,7 +19,7 @@ from armlens.functions.geo import point_wkt
 from armlens.functions.strings import distinct_sorted_string_agg
 from armlens.functions.verticals import region_vertical
 from armlens.operators.orders import key_set, semi_filter
-from armlens.plans.sizing import bounded_broadcast
+from armlens.plans.sizing import bounded_broadcast, known_rows
 
 # The session event vocabulary.
 BROWSING_ACTIONS = ("home_screen.loaded", "shop_list.loaded")
@@ -83,8 +83,10 @@ def flatten_sessions(ga_sessions: DataFrame, vendors: DataFrame, entities: DataF
         s("sessions.location_concat").alias("location_concat"),
         s("sessions.customer_status_concat").alias("customer_status_concat"),
         "events", "dps_zone", point_wkt("ga_location").alias("ga_location"))
-    x = semi_filter(x, key_set(variants, {"entity_id": "entity_id", "test_id": "test_id", "variant": "variant"}), bmax)
-    x = semi_filter(x, key_set(target_groups, {"entity_id": "entity_id", "test_id": "test_id"}), bmax)
+    x = semi_filter(x, key_set(variants, {"entity_id": "entity_id", "test_id": "test_id", "variant": "variant"}), bmax,
+                    known_rows(variants))
+    x = semi_filter(x, key_set(target_groups, {"entity_id": "entity_id", "test_id": "test_id"}), bmax,
+                    known_rows(target_groups))
 
     # JN-5: two sibling outer unnests = per-session cross product events x zones.
     keep = [c for c in x.columns if c not in ("events", "dps_zone")]
@@ -101,13 +103,13 @@ def flatten_sessions(ga_sessions: DataFrame, vendors: DataFrame, entities: DataF
     ranks = session_group_rank(ev)
     ven = vendors.select(F.col("global_entity_id").alias("entity_id"), F.col("vendor_id").alias("vendor_code"),
                          F.col("vertical_parent").alias("_vendor_vertical"))
-    ent = bounded_broadcast(entities.select("entity_id", "region"), bmax)
+    ent = bounded_broadcast(entities.select("entity_id", "region"), bmax, known_rows(entities))
     # test_name of the SQL's DISTINCT sub-select only multiplies rows that the
     # final DISTINCT removes again, so it is left out of the lookup.
     vert = target_groups.select("entity_id", "test_id",
                                 F.col("first_parent_vertical").alias("first_parent_vertical_test"),
                                 F.col("second_parent_vertical").alias("second_parent_vertical_test")).distinct()
-    vert = bounded_broadcast(vert, bmax)
+    vert = bounded_broadcast(vert, bmax, known_rows(target_groups))
 
     j = (ev.withColumn("_group_key", F.coalesce(F.col("vendor_group_id"), F.lit(NULL_GROUP_SENTINEL)))
          .join(ven, ["entity_id", "vendor_code"], "left")
@@ -151,7 +153,8 @@ def attach_session_flag(flat_events: DataFrame, flags: DataFrame, valid_names: D
     """DOM-18: session flag and test name on every event row (written to a new
     table, never over the table being read, T20)."""
     f = flags.select(*SESSION_KEYS, "is_session_in_treatment_agg")
-    names = bounded_broadcast(valid_names.select("entity_id", "test_id", "test_name"), cfg.broadcast_max_rows)
+    names = bounded_broadcast(valid_names.select("entity_id", "test_id", "test_name"), cfg.broadcast_max_rows,
+                              known_rows(valid_names))
     return (flat_events.join(f, list(SESSION_KEYS), "left")
             .join(names, ["entity_id", "test_id"], "left")
             .select(*flat_events.columns, "is_session_in_treatment_agg", "test_name"))

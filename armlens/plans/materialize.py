@@ -2,17 +2,20 @@
 
 ``cut_lineage(df, name)`` writes ``df`` as parquet under the folder the session
 names in ``spark.checkpoint.dir`` (a per-run sub-folder) and returns the
-re-read table. Downstream plans then start at a file scan: they are short to
-analyse, a lost executor recomputes nothing upstream of the table, and the
-table's size is known when it is broadcast.
+re-read table, annotated with the row count observed during the write.
+Downstream plans then start at a file scan: they are short to analyse, a lost
+executor recomputes nothing upstream of the table, and the table's row count
+is a proven bound when it is broadcast.
 """
 
 from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
+from pyspark.sql import functions as F
 
+from armlens.plans.sizing import with_rows
 from armlens.session import ensure_checkpoint_dir
 
 _RUNS: dict = {}
@@ -26,8 +29,15 @@ def _run_root(spark) -> str:
     return _RUNS[key]
 
 
+def write_counted(df: DataFrame, path: str, mode: str = "overwrite") -> int:
+    """Write parquet and return the number of rows written (observed metric)."""
+    obs = Observation(f"rows_{uuid.uuid4().hex[:8]}")
+    df.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode(mode).parquet(path)
+    return int(obs.get["rows"])
+
+
 def cut_lineage(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{_run_root(spark)}/{name}-{uuid.uuid4().hex[:8]}"
-    df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    rows = write_counted(df, path)
+    return with_rows(spark.read.parquet(path), rows)

@@ -22,7 +22,8 @@ from armlens.operators import experiments as ex
 from armlens.operators import inference as inf
 from armlens.operators import orders as od
 from armlens.operators import sessions as se
-from armlens.plans.materialize import cut_lineage
+from armlens.plans.materialize import cut_lineage, write_counted
+from armlens.plans.sizing import with_rows
 
 
 @dataclass
@@ -42,7 +43,7 @@ class Sources:
         return cls(**{f: getattr(world, f) for f in cls.__dataclass_fields__})
 
 
-DIMENSION_STAGES = ("entities", "valid_tests", "target_groups", "zones", "variants", "scheme_combos",
+DIMENSION_STAGES = ("setups", "entities", "valid_tests", "target_groups", "zones", "variants", "scheme_combos",
                     "zone_shapes")
 
 STAGE_ORDER = ("entities", "valid_tests", "target_groups", "zones", "variants", "scheme_combos", "zone_shapes",
@@ -64,26 +65,31 @@ class ExperimentDAG:
                 return cut_lineage(df, name) if cut_dimensions and name in DIMENSION_STAGES else df
         self._m = materialize
 
+    @cached_property
+    def setups(self):
+        """SRC-2 is read by four steps: one materialised copy."""
+        return self._m("setups", self.src.experiment_setups)
+
     @cached_property
     def entities(self):
         return self._m("entities", ex.active_entities(self.src.entities, self.src.session_orders, self.cfg))
 
     @cached_property
     def valid_tests(self):
-        return self._m("valid_tests", ex.select_experiments(self.src.experiment_setups, self.cfg))
+        return self._m("valid_tests", ex.select_experiments(self.setups, self.cfg))
 
     @cached_property
     def target_groups(self):
-        return self._m("target_groups", ex.target_groups(self.src.experiment_setups, self.valid_tests,
+        return self._m("target_groups", ex.target_groups(self.setups, self.valid_tests,
                                                          self.src.vendors, self.cfg))
 
     @cached_property
     def zones(self):
-        return self._m("zones", ex.experiment_zones(self.src.experiment_setups, self.valid_tests, self.cfg))
+        return self._m("zones", ex.experiment_zones(self.setups, self.valid_tests, self.cfg))
 
     @cached_property
     def variants(self):
-        return self._m("variants", ex.variants_and_schemes(self.src.experiment_setups, self.valid_tests, self.cfg))
+        return self._m("variants", ex.variants_and_schemes(self.setups, self.valid_tests, self.cfg))
 
     @cached_property
     def scheme_combos(self):
@@ -133,8 +139,8 @@ def run_pipeline(spark: SparkSession, src: Sources, out_dir: str, cfg: Experimen
 
     def materialize(name: str, df: DataFrame) -> DataFrame:
         path = os.path.join(out_dir, name)
-        df.write.mode("overwrite").parquet(path)
-        return spark.read.parquet(path)
+        rows = write_counted(df, path)
+        return with_rows(spark.read.parquet(path), rows)
 
     dag = ExperimentDAG(src, cfg, materialize)
     out = {name: getattr(dag, name) for name in STAGE_ORDER}

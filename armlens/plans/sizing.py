@@ -1,13 +1,17 @@
 """Broadcast only behind a proven size bound.
 
-``bounded_broadcast(df, max_rows)`` counts at most ``max_rows + 1`` rows of
-``df`` (a bounded, early-stopping job) and returns ``broadcast(df)`` only when
-the frame fits; otherwise the frame is returned unchanged and Catalyst plans a
-shuffle join (sort-merge), which AQE may still turn into a broadcast join once
-runtime statistics prove the side small, and whose skewed partitions AQE splits.
-
-Use it on experiment dimensions (setups, zones, target groups, key sets): they
-are small in practice, but their size is checked, never assumed.
+A bound comes from one of two places:
+
+* a table materialised by ``plans.materialize.cut_lineage`` carries the row
+  count observed while it was written (no extra job); a frame derived from it
+  by projection, filter, distinct or semi join cannot have more rows, and the
+  operators pass that bound explicitly;
+* otherwise ``fits`` counts at most ``max_rows + 1`` rows (a bounded,
+  early-stopping job).
+
+Beyond the bound the frame is returned unchanged and Catalyst plans a shuffle
+join, which AQE may still turn into a broadcast once runtime statistics prove
+the side small, and whose skewed partitions AQE splits.
 """
 
 from __future__ import annotations
@@ -16,11 +20,28 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 DEFAULT_MAX_ROWS = 2_000_000
+ROWS_ATTR = "_armlens_rows"
+
+
+def known_rows(df: DataFrame):
+    """Row count recorded when ``df`` was materialised, else None."""
+    return getattr(df, ROWS_ATTR, None)
+
+
+def with_rows(df: DataFrame, rows: int) -> DataFrame:
+    setattr(df, ROWS_ATTR, int(rows))
+    return df
 
 
 def fits(df: DataFrame, max_rows: int = DEFAULT_MAX_ROWS) -> bool:
     return df.limit(max_rows + 1).count() <= max_rows
 
 
-def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_ROWS) -> DataFrame:
+def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_ROWS, bound: int | None = None) -> DataFrame:
+    """``broadcast(df)`` when at most ``max_rows`` rows are proven, else ``df``.
+    ``bound``: an upper bound on the rows of ``df`` known to the caller."""
+    if bound is None:
+        bound = known_rows(df)
+    if bound is not None:
+        return F.broadcast(df) if bound <= max_rows else df
     return F.broadcast(df) if fits(df, max_rows) else df
