@@ -97,8 +97,13 @@ def actual_fee(region, override_fee, fee_incl, override_regions) -> F.Column:
 def enrich_orders(session_orders: DataFrame, ab_test_orders: DataFrame, shared_orders: DataFrame,
                   fee_overrides: DataFrame, zone_shapes: DataFrame, target_groups: DataFrame,
                   zones: DataFrame, variants: DataFrame, scheme_combos: DataFrame, entities: DataFrame,
-                  cfg: ExperimentConfig = ExperimentConfig()) -> DataFrame:
-    """DOM-8: the experiment order table (68 columns)."""
+                  cfg: ExperimentConfig = ExperimentConfig(), with_profit: bool = False) -> DataFrame:
+    """DOM-8: the experiment order table (68 columns).
+
+    ``with_profit=True`` also applies DOM-12/13 (same rows as ``add_profit`` on
+    the result): the allowed-vertical filter runs first (a broadcast semi
+    join that shrinks the fact early) and the VAT lookup, keyed like the
+    location and fee joins, rides on the same shuffle of the fact."""
     bmax = cfg.broadcast_max_rows
     a = session_orders.where((F.col("created_date") >= F.lit(cfg.since).cast("date")) & F.col("is_sent"))
     a = semi_filter(a, key_set(variants, {"entity_id": "entity_id", "country_code": "country_code",
@@ -106,6 +111,13 @@ def enrich_orders(session_orders: DataFrame, ab_test_orders: DataFrame, shared_o
                     known_rows(variants))
     a = semi_filter(a, key_set(target_groups, {"entity_id": "entity_id", "country_code": "country_code",
                                                "test_id": "experiment_id"}), bmax, known_rows(target_groups))
+    if with_profit:
+        tg_rows = known_rows(target_groups)
+        keys = allowed_vertical_keys(target_groups).withColumnRenamed("test_id", "experiment_id")
+        a = a.withColumn("_vvp", normalize_vertical("vendor_vertical_parent"))
+        a = a.join(bounded_broadcast(keys.withColumnRenamed("vendor_vertical_parent", "_vvp"), bmax,
+                                     None if tg_rows is None else 2 * tg_rows),
+                   ["entity_id", "country_code", "experiment_id", "_vvp"], "left_semi").drop("_vvp")
 
     # Location (T8: the spatial predicate rejects a missing location -> inner join).
     dwh = shared_orders.select(F.col("global_entity_id").alias("entity_id"),
@@ -119,6 +131,9 @@ def enrich_orders(session_orders: DataFrame, ab_test_orders: DataFrame, shared_o
     a = a.join(pdo, (a["entity_id"] == pdo["_pd_entity"]) & (a["platform_order_code"] == pdo["_pd_code"])
                & (F.datediff(a["created_date"], pdo["_pd_date"]) == 0), "left").drop("_pd_entity", "_pd_code",
                                                                                    "_pd_date")
+    if with_profit:
+        vat = ab_test_orders.select("entity_id", "platform_order_code", "vat_ratio")
+        a = a.join(vat, ["entity_id", "platform_order_code"], "inner")
 
     # Zone polygon + containment (T8: inner join).
     zn = zone_shapes.select("entity_id", "country_code", "zone_id", F.col("test_id").alias("experiment_id"),
@@ -160,7 +175,7 @@ def enrich_orders(session_orders: DataFrame, ab_test_orders: DataFrame, shared_o
     bi_label = F.coalesce(F.concat(F.lit("TG"), match_or_null(c("target_group_bi"), r"\d+")), F.lit(NON_TG))
     fee_incl = fee_incl_discounts(c("is_delivery_fee_covered_by_discount"), c("is_delivery_fee_covered_by_voucher"),
                                   c("delivery_fee_local"))
-    return a.select(
+    out = a.select(
         c("created_date").alias("created_date_utc"),
         c("order_placed_at").alias("order_placed_at_utc"),
         "order_placed_at_local",
@@ -196,7 +211,11 @@ def enrich_orders(session_orders: DataFrame, ab_test_orders: DataFrame, shared_o
         scheme_flag(F.coalesce(c("target_group_bi"), F.lit(NON_TG)) == NON_TG, bi_label, c("variant"),
                     c("scheme_id"), c("tg_var_scheme_concat"), c("tg_var_scheme_list"),
                     cfg.scheme_match).alias("keep_drop_flag_bi"),
+        *([c("vat_ratio")] if with_profit else []),
     )
+    if with_profit:
+        out = revenue_columns(out).drop("vat_ratio")
+    return out
 
 
 def revenue_columns(df: DataFrame, vat_col: str = "vat_ratio") -> DataFrame:
