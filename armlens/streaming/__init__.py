@@ -1 +1,9 @@
-"""armlens.streaming"""
+"""Streaming: intentionally empty.
+
+The experiment pipeline reads complete tables and replaces its results
+wholesale; it has no streaming source, event-time window, watermark or
+stateful operator, so there is nothing to express with Structured Streaming.
+The batch operators are plain DataFrame functions and can be applied to a
+streaming order source by a caller (stream-static joins against the
+materialised dimension tables) without changes.
+"""
