@@ -1,11 +1,13 @@
-"""Cut lineage at a durable table in the shared checkpoint folder.
-
-``cut_lineage(df, name)`` writes ``df`` as parquet under the folder the session
-names in ``spark.checkpoint.dir`` (a per-run sub-folder) and returns the
-re-read table, annotated with the row count observed during the write.
-Downstream plans then start at a file scan: they are short to analyse, a lost
-executor recomputes nothing upstream of the table, and the table's row count
-is a proven bound when it is broadcast.
+"""Cut lineage in the shared checkpoint folder.
+
+``cut_lineage(df, name)`` checkpoints ``df`` (reliable, eager) into the folder
+the session names in ``spark.checkpoint.dir`` and returns the checkpointed
+frame, annotated with the row count observed while it was computed (no extra
+job). Downstream plans then start at the checkpoint: they are short to
+analyse, a lost executor recomputes nothing upstream of it, and the row count
+is a proven bound when the frame is broadcast.
+
+``write_counted`` is the table sink (SNK-1): parquet plus the observed count.
 """
 
 from __future__ import annotations
@@ -18,17 +20,6 @@ from pyspark.sql import functions as F
 from armlens.plans.sizing import with_rows
 from armlens.session import ensure_checkpoint_dir
 
-_RUNS: dict = {}
-
-
-def _run_root(spark) -> str:
-    key = id(spark)
-    if key not in _RUNS:
-        root = ensure_checkpoint_dir(spark).rstrip("/")
-        _RUNS[key] = f"{root}/armlens-tables/{uuid.uuid4().hex}"
-    return _RUNS[key]
-
-
 def write_counted(df: DataFrame, path: str, mode: str = "overwrite") -> int:
     """Write parquet and return the number of rows written (observed metric)."""
     obs = Observation(f"rows_{uuid.uuid4().hex[:8]}")
@@ -37,7 +28,7 @@ def write_counted(df: DataFrame, path: str, mode: str = "overwrite") -> int:
 
 
 def cut_lineage(df: DataFrame, name: str) -> DataFrame:
-    spark = df.sparkSession
-    path = f"{_run_root(spark)}/{name}-{uuid.uuid4().hex[:8]}"
-    rows = write_counted(df, path)
-    return with_rows(spark.read.parquet(path), rows)
+    ensure_checkpoint_dir(df.sparkSession)
+    obs = Observation(f"rows_{name}_{uuid.uuid4().hex[:8]}")
+    out = df.observe(obs, F.count(F.lit(1)).alias("rows")).checkpoint(eager=True)
+    return with_rows(out, int(obs.get["rows"]))
