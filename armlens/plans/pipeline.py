@@ -46,6 +46,13 @@ class Sources:
 DIMENSION_STAGES = ("setups", "entities", "valid_tests", "target_groups", "zones", "variants", "scheme_combos",
                     "zone_shapes")
 
+# ORD-1: ORDER BY of the table-building statements, kept as file layout.
+FILE_ORDER = {
+    "target_groups": ("entity_id", "country_code", "test_start_date", "test_end_date", "test_name"),
+    "zones": ("entity_id", "country_code"),
+    "variants": ("entity_id", "country_code"),
+}
+
 STAGE_ORDER = ("entities", "valid_tests", "target_groups", "zones", "variants", "scheme_combos", "zone_shapes",
                "orders", "orders_cleaned", "session_events", "session_flags", "sessions_with_flag")
 
@@ -143,6 +150,10 @@ def run_pipeline(spark: SparkSession, src: Sources, out_dir: str, cfg: Experimen
 
     def materialize(name: str, df: DataFrame) -> DataFrame:
         path = os.path.join(out_dir, name)
+        if name in FILE_ORDER:
+            # ORD-1: the warehouse sorted these tables on write; only the file
+            # layout can observe it, so sort within partitions (no global sort).
+            df = df.sortWithinPartitions(*FILE_ORDER[name])
         rows = write_counted(df, path)
         return with_rows(spark.read.parquet(path), rows)
 
