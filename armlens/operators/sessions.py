@@ -101,8 +101,11 @@ def flatten_sessions(ga_sessions: DataFrame, vendors: DataFrame, entities: DataF
                    s("dps.id").alias("zone_id"), s("dps.name").alias("zone_name"), s("dps.timezone").alias("timezone"))
 
     ranks = session_group_rank(ev)
-    ven = vendors.select(F.col("global_entity_id").alias("entity_id"), F.col("vendor_id").alias("vendor_code"),
-                         F.col("vertical_parent").alias("_vendor_vertical"))
+    # The vendor lookup is broadcast when the (3-column) vendor table is proven
+    # small, so the exploded event rows are not shuffled just to attach it.
+    ven = bounded_broadcast(vendors.select(F.col("global_entity_id").alias("entity_id"),
+                                           F.col("vendor_id").alias("vendor_code"),
+                                           F.col("vertical_parent").alias("_vendor_vertical")), bmax)
     ent = bounded_broadcast(entities.select("entity_id", "region"), bmax, known_rows(entities))
     # test_name of the SQL's DISTINCT sub-select only multiplies rows that the
     # final DISTINCT removes again, so it is left out of the lookup.
