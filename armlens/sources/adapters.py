@@ -233,22 +233,26 @@ def ab_test_orders(t: Tables) -> DataFrame:
 
 
 def shared_orders(t: Tables) -> DataFrame:
+    """Every order; one in 17 has no known delivery location (NULL struct)."""
     k = c("o_orderkey")
-    x = t.orders.join(t.customer, c("o_custkey") == c("c_custkey")).where(k % 17 != 0)
+    x = t.orders.join(t.customer, c("o_custkey") == c("c_custkey"))
+    loc = F.struct(((k * 37) % 100 / 10.0).alias("longitude"), ((k * 53) % 100 / 10.0).alias("latitude"))
     return x.select(
         entity_of("c_nationkey").alias("global_entity_id"), F.concat(F.lit("P"), _s(k)).alias("order_id"),
-        F.struct(((k * 37) % 100 / 10.0).alias("longitude"), ((k * 53) % 100 / 10.0).alias("latitude"))
-        .alias("delivery_location"))
+        F.when(k % 17 != 0, loc).alias("delivery_location"))
 
 
 def fee_override_orders(t: Tables) -> DataFrame:
-    x = (t.lineitem.where(c("l_orderkey") % 3 == 0)
-         .join(t.orders, c("l_orderkey") == c("o_orderkey")).join(t.customer, c("o_custkey") == c("c_custkey")))
+    """One row per (order, ship day); the override fee is known for one order
+    in six (orders divisible by 3 but not by 6), NULL otherwise."""
+    x = (t.lineitem.join(t.orders, c("l_orderkey") == c("o_orderkey"))
+         .join(t.customer, c("o_custkey") == c("c_custkey")))
+    k = c("l_orderkey")
     fee = (c("o_totalprice").cast("decimal(11,2)") * F.lit(0.001).cast("decimal(4,3)")).cast("decimal(18,4)")
     return x.select(
-        entity_of("c_nationkey").alias("global_entity_id"), F.concat(F.lit("P"), _s("l_orderkey")).alias("code"),
+        entity_of("c_nationkey").alias("global_entity_id"), F.concat(F.lit("P"), _s(k)).alias("code"),
         F.to_date("l_shipdate").alias("created_date_utc"),
-        F.when(c("l_orderkey") % 6 == 0, F.lit(None).cast("decimal(18,4)")).otherwise(fee).alias("delivery_fee_local"),
+        F.when((k % 3 == 0) & (k % 6 != 0), fee).alias("delivery_fee_local"),
     ).distinct()
 
 
