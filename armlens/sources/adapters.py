@@ -11,7 +11,8 @@ DuckDB oracle can repeat the same rules in SQL (``plans/oracle.py``):
   ``s_suppkey % 3`` (NULL group when ``s_suppkey % 7 = 0``), three variants each;
 * order fact = lineitem x orders x customer (one row per line item), money as
   decimal(18,4); variant from ``o_custkey % 3``;
-* sessions = events grouped per (user, day) into nested event arrays;
+* sessions = events grouped per (user, day, block of 256 event ids) into nested event
+  arrays (bounded arrays whatever the skew of users);
 * zone shapes = three literal polygons per country (a square, a triangle and a
   concave pentagon) and order locations on a 0.1-spaced grid, so containment,
   boundary exclusion and inactive zones all occur.
@@ -31,6 +32,8 @@ WEEKDAYS = ("MONDAY", "TUESDAY", "WEDNESDAY", "THURSDAY", "FRIDAY")
 EVENT_ACTIONS = {"view": "home_screen.loaded", "click": "shop_list.loaded", "signup": "shop_details.loaded",
                  "error": "checkout.loaded", "purchase": "transaction"}
 SINCE = "1995-03-01"
+VENDOR_CHUNK = 1024       # vendors per setup row
+SESSION_ID_BLOCK = 256    # a session is a user's events of one day within one block of event ids
 EXCLUDED_TEST = "NATION_9_LB_north"
 SQUARE = ((0.0, 0.0), (5.0, 0.0), (5.0, 5.0), (0.0, 5.0))
 TRIANGLE = ((5.0, 0.0), (10.0, 0.0), (10.0, 10.0))
@@ -89,8 +92,12 @@ def entities(t: Tables) -> DataFrame:
 
 def experiment_setups(t: Tables) -> DataFrame:
     g = F.when(c("s_suppkey") % 7 == 0, F.lit(None)).otherwise(c("s_suppkey") % 3).cast("long")
-    grp = (t.supplier.select("s_suppkey", c("s_nationkey").alias("n"), g.alias("g"))
-           .groupBy("n", "g").agg(F.array_sort(F.collect_list(_s("s_suppkey"))).alias("matching_vendor_ids")))
+    # at most VENDOR_CHUNK vendors per setup row: a large target group becomes
+    # several rows, which every consumer explodes and de-duplicates anyway
+    grp = (t.supplier.select("s_suppkey", c("s_nationkey").alias("n"), g.alias("g"),
+                             F.expr(f"s_suppkey div {VENDOR_CHUNK}").alias("_chunk"))
+           .groupBy("n", "g", "_chunk").agg(F.array_sort(F.collect_list(_s("s_suppkey"))).alias("matching_vendor_ids"))
+           .drop("_chunk"))
     nat = t.nation.select(c("n_nationkey").alias("n"), "n_name")
     s = grp.join(nat, "n")
     n = c("n")
@@ -136,22 +143,13 @@ def vendors(t: Tables) -> DataFrame:
         .when(k % 5 == 3, F.lit("Courier")).alias("vertical_parent"))
 
 
-def _customer_history(t: Tables) -> DataFrame:
-    from pyspark.sql.window import Window
-    w = Window.partitionBy("o_custkey").orderBy("o_orderdate", "o_orderkey")
-    return t.orders.select(
-        "o_orderkey", F.row_number().over(w).cast("long").alias("_cust_rank"),
-        F.min("o_orderdate").over(Window.partitionBy("o_custkey")).alias("_first_order"))
-
-
 def session_orders(t: Tables) -> DataFrame:
     li = t.lineitem
-    o = t.orders.select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice")
+    o = t.orders.select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate")
     cu = t.customer.select("c_custkey", "c_nationkey")
     geo = t.nation.join(t.region, c("n_regionkey") == c("r_regionkey")).select(
         c("n_nationkey").alias("c_nationkey"), region_of("r_name").alias("_region"))
-    x = (li.join(o, c("l_orderkey") == c("o_orderkey")).join(cu, c("o_custkey") == c("c_custkey"))
-         .join(geo, "c_nationkey").join(_customer_history(t), "o_orderkey"))
+    x = li.join(o, c("l_orderkey") == c("o_orderkey")).join(cu, c("o_custkey") == c("c_custkey")).join(geo, "c_nationkey")
     k, ln, sk = c("l_orderkey"), c("l_linenumber"), c("l_suppkey")
     # narrow decimals keep every product within 18 digits (64-bit arithmetic)
     price, disc = c("l_extendedprice").cast("decimal(9,2)"), c("l_discount").cast("decimal(4,2)")
@@ -167,14 +165,16 @@ def session_orders(t: Tables) -> DataFrame:
         placed.alias("order_placed_at"),
         F.timestamp_add("MINUTE", F.lit(180), placed).alias("order_placed_at_local"),
         F.timestamp_add("MINUTE", F.lit(-5), placed).alias("dps_sessionid_created_at"),
+        # customer history as column rules (no per-customer window, so no hot customer task)
         F.when(c("c_custkey") % 13 == 0, F.lit(None).cast("timestamp"))
-        .otherwise(c("_first_order").cast("timestamp")).alias("customer_first_order_date"),
+        .otherwise(F.timestamp_add("DAY", -(c("o_orderkey") % 400), c("o_orderdate").cast("timestamp")))
+        .alias("customer_first_order_date"),
         c("_region").alias("region"), entity_of("c_nationkey").alias("entity_id"),
         country_of("c_nationkey").alias("country_code"),
         F.concat(F.lit("City"), _s(c("c_custkey") % 5)).alias("city_name"), (c("c_custkey") % 5).alias("city_id"),
         F.concat(F.lit("Zone"), _s(zone_id)).alias("zone_name"), zone_id.alias("zone_id"),
         variant.alias("variant"),
-        F.when(c("_cust_rank") <= 3, F.lit("New")).otherwise(F.lit("Existing")).alias("dps_customer_tag"),
+        F.when(c("o_orderkey") % 9 + 1 <= 3, F.lit("New")).otherwise(F.lit("Existing")).alias("dps_customer_tag"),
         (F.when(ln % 3 == 0, F.lit("Automatic")).when(ln % 3 == 1, F.lit("Manual")).otherwise(F.lit("Campaign"))
          .alias("vendor_price_scheme_type")),
         _s(sk).alias("vendor_id"), F.concat(F.lit("CH"), _s(sk % 10)).alias("chain_id"),
@@ -187,7 +187,7 @@ def session_orders(t: Tables) -> DataFrame:
         test_of("c_nationkey").alias("experiment_id"),
         (F.when(ln == 4, F.floor(scheme / 10)).when(ln == 5, F.lit(999)).otherwise(scheme)).cast("long")
         .alias("scheme_id"),
-        c("_cust_rank").alias("customer_total_orders"),
+        (c("o_orderkey") % 9 + 1).cast("long").alias("customer_total_orders"),
         (k % 7).cast("long").alias("dps_mean_delay_zone_id"),
         F.concat(F.lit("PC"), _s("o_custkey")).alias("perseus_client_id"),
         F.concat(F.lit("GA"), _s(k)).alias("ga_session_id"), F.concat(F.lit("DS"), _s(k)).alias("dps_sessionid"),
@@ -288,7 +288,8 @@ def ga_sessions(t: Tables) -> DataFrame:
         F.when(et == "purchase", F.concat(F.lit("T"), _s(eid))).alias("transaction_id"),
         F.when(eid % 2 == 0, F.lit("delivery")).otherwise(F.lit("pickup")).alias("expedition_type"))
     day = F.to_date("ts")
-    g = e.groupBy(u.alias("user_id"), c("c_nationkey"), day.alias("created_date")).agg(
+    block = F.expr(f"event_id div {SESSION_ID_BLOCK}")
+    g = e.groupBy(u.alias("user_id"), c("c_nationkey"), day.alias("created_date"), block.alias("_block")).agg(
         F.collect_list(event).alias("events"),
         F.min(c("ts").cast("timestamp")).alias("_first_ts"),
         F.max((et == "purchase").cast("int")).alias("_has_tx"),
@@ -302,7 +303,7 @@ def ga_sessions(t: Tables) -> DataFrame:
     variant = (F.when(u % 13 == 0, F.lit("Original")).when(u % 2 == 0, F.lit("Control"))
                .otherwise(F.lit("Variation1")))
     status = F.when(u % 4 == 0, F.lit("new")).otherwise(F.lit("existing"))
-    sid = F.concat(_s(u), F.lit("-"), _s("created_date"))
+    sid = F.concat(_s(u), F.lit("-"), _s("created_date"), F.lit("-"), _s("_block"))
     return g.select(
         "created_date", entity_of("c_nationkey").alias("entity_id"), country_of("c_nationkey").alias("country_code"),
         F.when(u % 3 == 0, F.lit("iOS")).when(u % 3 == 1, F.lit("Android")).otherwise(F.lit("Web")).alias("platform"),
