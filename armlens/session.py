@@ -21,6 +21,17 @@ BASE_CONF = {
 }
 
 
+# Added when the master comes from spark-submit (a cluster): start shuffles
+# wide and let AQE coalesce them to ~256 MB partitions, so a 100 TB shuffle
+# does not run with a handful of huge partitions.
+CLUSTER_CONF = {
+    "spark.sql.shuffle.partitions": "4096",
+    "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "16384",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.files.maxPartitionBytes": "256m",
+}
+
+
 def build_session(master: str | None = None, app: str = "armlens",
                   shuffle_partitions: int | None = None,
                   extra: dict | None = None) -> SparkSession:
@@ -33,6 +44,8 @@ def build_session(master: str | None = None, app: str = "armlens",
     if master and master.startswith("local"):
         # local mode: the driver JVM is the only executor
         conf["spark.driver.memory"] = os.environ.get("ARMLENS_DRIVER_MEMORY", "16g")
+    elif not master:
+        conf.update(CLUSTER_CONF)
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})

@@ -40,7 +40,13 @@ class Tables:
         self.spread = spread
         self._cache: dict[str, DataFrame] = {}
 
+    @property
+    def _local(self) -> bool:
+        return "://" not in self.sf_dir or self.sf_dir.startswith("file:")
+
     def path(self, name: str) -> str:
+        if not self._local:  # object store / HDFS: the driver layout, {name}.parquet
+            return f"{self.sf_dir.rstrip('/')}/{name}.parquet"
         p = os.path.join(self.sf_dir, f"{name}.parquet")
         return p if os.path.exists(p) else os.path.join(self.sf_dir, name)
 
@@ -50,7 +56,7 @@ class Tables:
         if name not in self._cache:
             path = self.path(name)
             df = self.spark.read.parquet(path)
-            if self.spread and os.path.exists(path) and _size(path) >= SPREAD_MIN_BYTES:
+            if self.spread and self._local and os.path.exists(path) and _size(path) >= SPREAD_MIN_BYTES:
                 target = self.spark.sparkContext.defaultParallelism
                 if df.rdd.getNumPartitions() < target:
                     df = df.repartition(target)
