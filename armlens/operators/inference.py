@@ -126,7 +126,10 @@ def pvalue_matrix(pvals: DataFrame, kpis, test_pattern: str | None = None,
 
 
 def experiment_pvalues(orders: DataFrame, cfg: InferenceConfig = InferenceConfig()) -> DataFrame:
-    """DOM-19..22 end to end: order table -> long p-value table."""
+    """DOM-19..22 end to end: order table -> long p-value table.
+
+    ``orders`` is read three times (date ranges, segment labels, daily KPIs):
+    pass a materialised table (``run_pipeline`` does), not a long lazy plan."""
     trimmed = trim_boundary_days(retype_kpis(orders), cfg)
     daily = daily_kpis(trimmed, cfg)
     grid = comparison_grid(daily, segment_values(trimmed, cfg), cfg)

@@ -3,16 +3,19 @@
 Join strategy (fact = experiment orders, the only large input besides the
 three order-keyed lookup tables):
 
-* membership filters (FLT-8) are semi joins against small key sets, broadcast
-  behind a row bound, applied first so every later join sees fewer rows;
-* the shared-orders location and the fee override are both keyed by
-  (entity_id, platform_order_code): they share one hash partitioning of the
-  fact, so the fact is shuffled once for the two (the override's date equality
-  is kept as a join condition, not a key, so it does not change the key set);
-* the zone polygon, target-group, test-date, scheme-list and entity lookups are
-  experiment dimensions: broadcast behind a row bound, else shuffle join;
-* the spatial predicate runs right after the zone join so the remaining
-  joins see only orders inside their test zones.
+* everything decidable from the fact's own columns runs before any shuffle:
+  the membership filters (FLT-8), the allowed-vertical filter (FLT-9, fused
+  path), the active-entity join and zone membership, all broadcast behind a
+  row bound;
+* the shared-orders location, the fee override and (fused path) the VAT
+  lookup are all keyed by (entity_id, platform_order_code): they share one
+  hash partitioning of the fact, so the fact is shuffled once for all of them
+  (the override's date equality is a join condition, not a key);
+* the zone polygon is then broadcast-joined with the containment test as the
+  join condition, so the second shuffle (ab-test target group, keyed by
+  order_id) sees only orders inside their test zones;
+* target groups (with the time/customer conditions as join residuals), test
+  dates and scheme lists are broadcast experiment dimensions.
 """
 
 from __future__ import annotations
@@ -119,6 +122,15 @@ def enrich_orders(session_orders: DataFrame, ab_test_orders: DataFrame, shared_o
                                      None if tg_rows is None else 2 * tg_rows),
                    ["entity_id", "country_code", "experiment_id", "_vvp"], "left_semi").drop("_vvp")
 
+    # Filters that need no lookup from the big tables run before the shuffle:
+    # active entities (inner, carries the entity region) and zone membership
+    # (the polygon itself is joined after the location is known).
+    ent = entities.select("entity_id", F.col("region").alias("_ent_region"))
+    a = a.join(bounded_broadcast(ent, bmax, known_rows(entities)), "entity_id", "inner")
+    zone_keys = key_set(zone_shapes, {"entity_id": "entity_id", "country_code": "country_code",
+                                      "zone_id": "zone_id", "test_id": "experiment_id"})
+    a = semi_filter(a, zone_keys, bmax, known_rows(zone_shapes))
+
     # Location (T8: the spatial predicate rejects a missing location -> inner join).
     dwh = shared_orders.select(F.col("global_entity_id").alias("entity_id"),
                                F.col("order_id").alias("platform_order_code"),
@@ -142,9 +154,6 @@ def enrich_orders(session_orders: DataFrame, ab_test_orders: DataFrame, shared_o
                ["entity_id", "country_code", "zone_id", "experiment_id"], "inner")
     a = a.where(point_in_ring(F.col("zone_shape"), point(F.col("_lon"), F.col("_lat"))))
 
-    ent = entities.select("entity_id", F.col("region").alias("_ent_region"))
-    a = a.join(bounded_broadcast(ent, bmax, known_rows(entities)), "entity_id", "inner")
-
     b = ab_test_orders.select("entity_id", "order_id", F.col("target_group").alias("target_group_bi"))
     a = a.join(b, ["entity_id", "order_id"], "left")
 
