@@ -91,7 +91,7 @@ def lines_experiment(t: Tables) -> DataFrame:
 def _orders_cleaned_table(spark, sf_dir):
     """The order table is read three times by the inference chain (date range,
     segment labels, daily KPIs): it is materialised once, as the pipeline does."""
-    return cut_lineage(dag(spark, sf_dir).orders_cleaned, "orders_cleaned")
+    return cut_lineage(dag(spark, sf_dir).orders_cleaned, "orders_cleaned", as_table=True)
 
 
 def _orders_trimmed(spark, sf_dir):
