@@ -98,3 +98,15 @@ def test_pairs_by_position_across_dates(spark):
     # positional pairing ignores which date a value belongs to
     stats = W.signed_rank_stats(long_frame(spark, {"Control": [1, 2, 3], "V1": [2, 3, 4]}))
     assert stats.first().n == 3 and stats.first().w_plus == 6.0
+
+
+def test_vectorised_udf_matches_scalar_functions(spark):
+    rows = [(n, float(w), float(n * (n + 1) / 2 - w), 0, True) for n in (1, 3, 8, 20) for w in (0, 1, n)]
+    rows += [(n, w + 0.5, n * (n + 1) / 2 - w - 0.5, 6, False) for n in (5, 30, 80) for w in (2, 10)]
+    df = spark.createDataFrame(rows, "n long, w_plus double, w_minus double, tie_term long, ex boolean")
+    got = df.select(W._p_value(F.col("n"), "w_plus", "w_minus", F.col("tie_term").cast("double"), "ex")
+                    .alias("p"), "*").collect()
+    for r in got:
+        want = (W.exact_two_sided(r.n, r.w_plus) if r.ex
+                else W.normal_two_sided(r.n, r.w_plus, r.w_minus, r.tie_term))
+        assert r.p == pytest.approx(want, rel=1e-12, abs=1e-15)
