@@ -15,6 +15,7 @@ from armlens.functions.geo import point, point_in_ring, point_wkt
 from armlens.operators import inference as inf
 from armlens.plans import outputs as O
 from armlens.plans.materialize import cut_lineage
+from armlens.plans.sizing import bounded_broadcast
 from armlens.plans.pipeline import ExperimentDAG, Sources
 from armlens.sources import adapters as A
 from armlens.sources.tables import Tables
@@ -169,6 +170,16 @@ def q_point_wkt(spark, sf_dir):
                     point_wkt(point(F.col("embedding")[0], F.col("embedding")[1])).alias("wkt"))
 
 
+def q_region_vertical_map(spark, sf_dir):
+    """DOM-15 over every vendor: raw parent vertical -> test vocabulary by region."""
+    from armlens.functions.verticals import region_vertical
+    w = world(spark, sf_dir)
+    ent = w.entities.select("region", F.col("platforms")[0]["entity_id"].alias("global_entity_id"))
+    v = w.vendors.join(bounded_broadcast(ent), "global_entity_id", "left")
+    return v.select("global_entity_id", "vendor_id", "region", F.lower("vertical_parent").alias("vertical_parent"),
+                    region_vertical(F.col("region"), F.col("vertical_parent")).alias("vertical_test_equivalent"))
+
+
 def _wkt_extra():
     return {"customer_location_wkt": point_wkt("customer_location")}
 
@@ -196,6 +207,7 @@ QUERIES = {
     "events_pvalues": _pvalue_query(events_experiment, EVENT_ICFG),
     "lineitem_wilcoxon_statistics": _stats_query(lines_experiment, LINE_ICFG),
     "lineitem_pvalues": _pvalue_query(lines_experiment, LINE_ICFG),
+    "region_vertical_map": q_region_vertical_map,
     "point_in_polygon": q_point_in_polygon,
     "point_wkt": q_point_wkt,
 }
