@@ -2,7 +2,6 @@
 import datetime as dt
 from decimal import Decimal
 
-from pyspark.sql import functions as F
 
 from armlens.config import InferenceConfig
 from armlens.operators import inference as inf
