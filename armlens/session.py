@@ -24,7 +24,14 @@ BASE_CONF = {
 # Added when the master comes from spark-submit (a cluster): start shuffles
 # wide and let AQE coalesce them to ~256 MB partitions, so a 100 TB shuffle
 # does not run with a handful of huge partitions.
+#
+# Broadcasts on a cluster happen only for proven sizes: the library's explicit,
+# bounded broadcasts (plans/sizing.py) and AQE's runtime conversion, which
+# uses the measured size of a finished stage. The static planner's
+# estimate-based broadcast (file sizes, underestimated after explode) is off.
 CLUSTER_CONF = {
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "64m",
     "spark.sql.shuffle.partitions": "4096",
     "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "16384",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
@@ -36,7 +43,8 @@ def build_session(master: str | None = None, app: str = "armlens",
                   shuffle_partitions: int | None = None,
                   extra: dict | None = None) -> SparkSession:
     """Create (or reuse) a session. On a cluster pass ``master=None`` and let
-    spark-submit decide; locally ``local[N]``."""
+    spark-submit decide (``CLUSTER_CONF`` applies); locally ``local[N]``
+    (tiny inputs: Spark's default estimate-based broadcast stays on)."""
     b = SparkSession.builder.appName(app)
     if master:
         b = b.master(master)
