@@ -23,3 +23,15 @@ def test_bounded_broadcast_uses_bound(spark):
     hinted = bounded_broadcast(df, max_rows=1000, bound=100)
     assert hinted is not df and "broadcast" in _plan(hinted).lower()
     assert bounded_broadcast(df, max_rows=10) is df                      # counted: 100 > 10
+
+
+def test_bounded_broadcast_survives_disabled_auto_broadcast(spark):
+    # cluster sessions switch the estimate-based broadcast off; proven ones stay
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        big, small = spark.range(1000), spark.range(10)
+        plan = big.join(bounded_broadcast(small, max_rows=100), "id")._jdf.queryExecution().executedPlan().toString()
+        assert "BroadcastHashJoin" in plan
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
