@@ -40,3 +40,26 @@ def test_wkt(spark):
     df = spark.createDataFrame([(13.4, 52.5), (2.0, -0.0001), (None, 1.0)], "x double, y double")
     out = [r[0] for r in df.select(point_wkt(point("x", "y"))).collect()]
     assert out == ["POINT(13.4 52.5)", "POINT(2 -0.0001)", None]
+
+
+def test_random_triangles_match_strict_interior(spark):
+    """Property: for triangles, ray casting with boundary exclusion equals the
+    strict-interior sign test (integer coordinates keep both exact)."""
+    import random
+    rnd = random.Random(7)
+
+    def cross(o, a, b):
+        return (a[0] - o[0]) * (b[1] - o[1]) - (a[1] - o[1]) * (b[0] - o[0])
+
+    rows, expected = [], []
+    while len(rows) < 300:
+        tri = [(float(rnd.randint(-5, 5)), float(rnd.randint(-5, 5))) for _ in range(3)]
+        if cross(*tri) == 0:
+            continue  # degenerate
+        p = (float(rnd.randint(-6, 6)), float(rnd.randint(-6, 6)))
+        c = [cross(tri[i], tri[(i + 1) % 3], p) for i in range(3)]
+        expected.append(all(x > 0 for x in c) or all(x < 0 for x in c))
+        rows.append(([{"lon": x, "lat": y} for x, y in tri], p[0], p[1]))
+    df = spark.createDataFrame(rows, "ring array<struct<lon:double,lat:double>>, x double, y double")
+    got = [r[0] for r in df.select(point_in_ring("ring", point("x", "y"))).collect()]
+    assert got == expected and any(expected) and not all(expected)
