@@ -110,3 +110,13 @@ def test_vectorised_udf_matches_scalar_functions(spark):
         want = (W.exact_two_sided(r.n, r.w_plus) if r.ex
                 else W.normal_two_sided(r.n, r.w_plus, r.w_minus, r.tie_term))
         assert r.p == pytest.approx(want, rel=1e-12, abs=1e-15)
+
+
+def test_pair_on_date_uses_shared_dates(spark):
+    long = long_frame(spark, {"Control": [1, 2, 3, 4, 5, 6], "V1": [3, 5, 7, 9, 11]})  # V1 lacks day 6
+    pos = W.add_p_values(W.signed_rank_stats(long), pair_on="position").first()
+    assert pos.pval is None  # unequal arms (T12)
+    by_date = W.add_p_values(W.signed_rank_stats(long, pair_on="date"), pair_on="date").first()
+    # days 1..5 pair: d = 2, 3, 4, 5, 6 -> all positive, exact two-sided p = 2 / 2^5
+    assert (by_date.n, by_date.w_plus, by_date.method) == (5, 15.0, "exact")
+    assert by_date.pval == pytest.approx(0.0625)
