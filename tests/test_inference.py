@@ -2,6 +2,7 @@
 import datetime as dt
 from decimal import Decimal
 
+from pyspark.sql import functions as F
 
 from armlens.config import InferenceConfig
 from armlens.operators import inference as inf
@@ -58,3 +59,13 @@ def test_pvalue_matrix_drops_all_null_rows(spark):
     m = inf.pvalue_matrix(p, ("a", "b"), test_pattern="^t$")
     rows = m.collect()
     assert len(rows) == 1 and rows[0]["a"] == 0.5 and rows[0]["b"] is None
+
+
+def test_trim_duplicates_orders_of_a_test_with_two_names(spark):
+    # T10: the date range is keyed by (region, entity, test id, test name) but
+    # joined back on (entity, test id): a second name duplicates the orders
+    base = orders(spark)
+    both = base.unionByName(base.withColumn("test_name", F.lit("t2")))  # same test id, second name
+    plain = inf.trim_boundary_days(base, CFG).count()
+    # twice the input rows, each matching both (identical) date ranges
+    assert inf.trim_boundary_days(both, CFG).count() == 4 * plain
