@@ -31,3 +31,55 @@ def test_session_group_rank_nulls_last(spark):
                                "entity_id string, test_id bigint, vendor_group_id bigint")
     out = sorted((r._group_key, r._group_rank) for r in se.session_group_rank(df).collect())
     assert out == [(7, 1), (9, 2), (999999, 3)]
+
+
+GA_SCHEMA = (
+    "created_date date, entity_id string, country_code string, platform string, brand string, "
+    "events_ga_session_id string, fullvisitor_id string, visit_id string, has_transaction boolean, "
+    "total_transactions bigint, ga_dps_session_id string, ga_location struct<lon:double,lat:double>, "
+    "sessions struct<dps_session_timestamp:timestamp, endpoint:string, perseus_client_id:string, variant:string, "
+    "experiment_id:bigint, is_parallel:boolean, customer_status:string, location:string, variant_concat:string, "
+    "location_concat:string, customer_status_concat:string>, "
+    "events array<struct<event_action:string, vendor_group_id:bigint, vendor_code:string, vertical_type:string, "
+    "event_time:timestamp, transaction_id:string, expedition_type:string>>, "
+    "dps_zone array<struct<city_id:bigint, city_name:string, id:bigint, name:string, timezone:string>>")
+
+
+def test_flatten_sessions(spark):
+    import datetime as dt
+    from armlens.config import ExperimentConfig
+    day, ts = dt.date(2024, 1, 2), dt.datetime(2024, 1, 2, 10)
+
+    def sess(sid, variant, events, zones):
+        return (day, "E", "C", "iOS", "B", sid, "fv", "v", False, 0, "g", (1.5, 2.0),
+                (ts, "ep", "pc", variant, 5, False, "new", "loc", variant, "loc", "new"), events, zones)
+
+    ev = lambda a, g, v: (a, g, v, None, ts, None, "delivery")
+    z = lambda i: (1, "City", i, f"Z{i}", "UTC")
+    rows = [sess("s1", "Control", [ev("shop_details.loaded", 9, "v1"), ev("checkout.loaded", None, "v2"),
+                                   ev("transaction", 7, "v1")], [z(1), z(2)]),
+            sess("s2", "Control", [], [z(1)]),
+            sess("s3", "Control", [ev("home_screen.loaded", None, None)], []),
+            sess("s4", "Original", [ev("transaction", 7, "v1")], [z(1)])]
+    ga = spark.createDataFrame(rows, GA_SCHEMA)
+    vendors = spark.createDataFrame([("E", "v1", "Food")], "global_entity_id string, vendor_id string, "
+                                                          "vertical_parent string")
+    ents = spark.createDataFrame([("Asia", "E")], "region string, entity_id string")
+    tg = spark.createDataFrame([("E", "C", "t", 5, "shop", None)],
+                               "entity_id string, country_code string, test_name string, test_id bigint, "
+                               "first_parent_vertical string, second_parent_vertical string")
+    variants = spark.createDataFrame([("E", 5, "Control")], "entity_id string, test_id bigint, variant string")
+    out = se.flatten_sessions(ga, vendors, ents, tg, variants, ExperimentConfig(since="2024-01-01")).collect()
+    by = {}
+    for r in out:
+        by.setdefault(r.events_ga_session_id, []).append(r)
+    assert set(by) == {"s1", "s2", "s3"}           # s4's variant is not part of the test
+    assert len(by["s1"]) == 6                        # 3 events x 2 zones
+    labels = {(r.event_action, r.target_group_bi, r.is_session_in_treatment_raw) for r in by["s1"]}
+    assert labels == {("shop_details.loaded", "Target Group 2", "Y"), ("checkout.loaded", "Non Target Group", "N"),
+                      ("transaction", "Target Group 1", "Y")}
+    assert [(r.event_action, r.zone_id, r.is_session_in_treatment_raw) for r in by["s2"]] == [(None, 1, None)]
+    assert [(r.target_group_bi, r.zone_id) for r in by["s3"]] == [("Unknown", None)]
+    r = [x for x in by["s1"] if x.vendor_code == "v1"][0]
+    assert (r.region, r.parent_vertical_vendor_tbl, r.parent_vertical_test_equivalent,
+            r.first_parent_vertical_test, r.ga_location) == ("Asia", "food", "restaurant", "shop", "POINT(1.5 2)")
