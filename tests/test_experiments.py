@@ -87,3 +87,20 @@ def test_active_entities(spark):
     orders = spark.createDataFrame([("E1",), ("FP_DE",), ("DN5",)], "entity_id string")
     out = ex.active_entities(ent, orders).collect()
     assert [r.entity_id for r in out] == ["E1"]  # 'DN5' matches LIKE 'DN_%'
+
+
+def test_zone_shapes_active_flags(spark):
+    ring = [(0.0, 0.0), (1.0, 0.0), (1.0, 1.0)]
+    zone = lambda i, active: (i, f"Z{i}", active, ring)
+    countries = spark.createDataFrame(
+        [("C1", [("E1",)], [(1, "City1", True, [zone(1, True), zone(2, False)]),
+                            (2, "City2", False, [zone(3, True)])])],
+        "country_code string, platforms array<struct<entity_id:string>>, "
+        "cities array<struct<id:bigint, name:string, is_active:boolean, zones:array<struct<id:bigint, name:string, "
+        "is_active:boolean, shape:array<struct<lon:double,lat:double>>>>>>")
+    zones = spark.createDataFrame([("E1", "C1", START, START, "t", 10, z) for z in (1, 2, 3, 4)],
+                                  "entity_id string, country_code string, test_start_date timestamp, "
+                                  "test_end_date timestamp, test_name string, test_id bigint, zone_id bigint")
+    out = ex.zone_shapes(countries, zones).collect()
+    # zone 2 is inactive, zone 3 is in an inactive city, zone 4 has no shape
+    assert [(r.zone_id, r.city_name, len(r.zone_shape)) for r in out] == [(1, "City1", 3)]
