@@ -104,3 +104,16 @@ def test_zone_shapes_active_flags(spark):
     out = ex.zone_shapes(countries, zones).collect()
     # zone 2 is inactive, zone 3 is in an inactive city, zone 4 has no shape
     assert [(r.zone_id, r.city_name, len(r.zone_shape)) for r in out] == [(1, "City1", 3)]
+
+
+def test_empty_platforms_and_start_date_bound(spark):
+    ent = spark.createDataFrame([("Asia", "X1", "x", []), ("Asia", "X2", "y", None), ("Asia", "X3", "z", [("E3",)])],
+                                "region string, country_iso string, country_name string, "
+                                "platforms array<struct<entity_id:string>>")
+    orders = spark.createDataFrame([("E3",), (None,)], "entity_id string")
+    assert [r.entity_id for r in ex.active_entities(ent, orders).collect()] == ["E3"]  # NULL entity never joins
+    early = setup_row(1, ["v"], name="early_lb")
+    early = early[:4] + (dt.datetime(2022, 11, 27, 23, 0),) + early[5:]
+    setups = spark.createDataFrame([early, setup_row(1, ["v"], name="late_lb")], SETUP_SCHEMA)
+    names = [r.test_name for r in ex.select_experiments(setups, ExperimentConfig(since="2022-11-28")).collect()]
+    assert names == ["late_lb"]
