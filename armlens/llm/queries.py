@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from armlens.llm import toxicity
+from armlens.llm import near_dup, toxicity
 from armlens.llm.common import read_table
 
 
@@ -20,6 +20,11 @@ def op3_toxicity(spark, sf_dir):
                          "score", "predicted", "offending")
 
 
+def op4_near_dup(spark, sf_dir):
+    return near_dup.near_duplicates(read_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op3_toxicity": op3_toxicity,
+    "op4_near_dup": op4_near_dup,
 }
