@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from armlens.llm import near_dup, toxicity
+from armlens.llm import line_dedup, near_dup, toxicity
 from armlens.llm.common import read_table
 
 
@@ -24,7 +24,14 @@ def op4_near_dup(spark, sf_dir):
     return near_dup.near_duplicates(read_table(spark, sf_dir, "documents"))
 
 
+def op7_line_dedup(spark, sf_dir):
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    return line_dedup.dedup_lines(docs).select(
+        "row.doc_id", F.col("clean").alias("text"), "n_lines", "n_removed", "n_chunks")
+
+
 QUERIES = {
     "op3_toxicity": op3_toxicity,
     "op4_near_dup": op4_near_dup,
+    "op7_line_dedup": op7_line_dedup,
 }
