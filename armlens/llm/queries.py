@@ -8,10 +8,15 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from armlens.llm import line_dedup, near_dup, toxicity
+from armlens.llm import line_dedup, mixing, near_dup, toxicity
 from armlens.llm.common import read_table
 
 
+def op1_mixing(spark, sf_dir):
+    mixed = mixing.mix(read_table(spark, sf_dir, "documents"))
+    return mixed.select(F.col("id").alias("doc_id"), "size", "source_size", "target", "taken", "source", "draws")
+
+
 def op3_toxicity(spark, sf_dir):
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
     model = toxicity.train(docs, read_table(spark, sf_dir, "labels"))
@@ -31,6 +36,7 @@ def op7_line_dedup(spark, sf_dir):
 
 
 QUERIES = {
+    "op1_mixing": op1_mixing,
     "op3_toxicity": op3_toxicity,
     "op4_near_dup": op4_near_dup,
     "op7_line_dedup": op7_line_dedup,
