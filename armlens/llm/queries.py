@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from armlens.llm import line_dedup, mixing, near_dup, toxicity
+from armlens.llm import line_dedup, mixing, near_dup, sharding, toxicity
 from armlens.llm.common import read_table
 
 
@@ -35,9 +35,16 @@ def op7_line_dedup(spark, sf_dir):
         "row.doc_id", F.col("clean").alias("text"), "n_lines", "n_removed", "n_chunks")
 
 
+def op10_sharding(spark, sf_dir):
+    return sharding.assign_shards(read_table(spark, sf_dir, "documents")).select(
+        "doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot",
+        F.lit(None).cast("int").alias("grown_shard"))
+
+
 QUERIES = {
     "op1_mixing": op1_mixing,
     "op3_toxicity": op3_toxicity,
     "op4_near_dup": op4_near_dup,
     "op7_line_dedup": op7_line_dedup,
+    "op10_sharding": op10_sharding,
 }
