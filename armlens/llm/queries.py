@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from armlens.llm import line_dedup, mixing, near_dup, sharding, toxicity
+from armlens.llm import line_dedup, mixing, near_dup, quality, sharding, toxicity
 from armlens.llm.common import read_table
 
 
@@ -29,6 +29,12 @@ def op4_near_dup(spark, sf_dir):
     return near_dup.near_duplicates(read_table(spark, sf_dir, "documents"))
 
 
+def op6_quality(spark, sf_dir):
+    docs = read_table(spark, sf_dir, "documents")
+    ratios = quality.log_ratios(docs, quality.trusted_ids(read_table(spark, sf_dir, "labels")))
+    return quality.score_documents(docs, ratios)
+
+
 def op7_line_dedup(spark, sf_dir):
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
     return line_dedup.dedup_lines(docs).select(
@@ -45,6 +51,7 @@ QUERIES = {
     "op1_mixing": op1_mixing,
     "op3_toxicity": op3_toxicity,
     "op4_near_dup": op4_near_dup,
+    "op6_quality": op6_quality,
     "op7_line_dedup": op7_line_dedup,
     "op10_sharding": op10_sharding,
 }
