@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 from armlens.llm.common import staged, words
 
 BUCKETS = 1 << 16
+PRIOR = 4.0
 WINDOW = 5
 SYMBOLS = r"([#*$%&|<>])"  # fixed value of the base rule
 
@@ -85,7 +86,9 @@ def _hashed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 
 def log_ratios(docs: DataFrame, trusted: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> list:
-    """``log(trusted / raw)`` of every bucket, add-one smoothed; ``trusted``: distinct doc_id."""
+    """``log(trusted / raw)`` of every bucket; ``trusted``: distinct doc_id. Trusted
+    counts and those expected from the raw share get ``PRIOR`` counts each, so a
+    bucket that was hardly seen says nothing."""
     flagged = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).join(
         trusted.select(F.col("doc_id"), F.lit(1).cast("bigint").alias("good")), "doc_id", "left")
     grams = flagged.select(F.coalesce("good", F.lit(0)).alias("good"), words(F.col("text")).alias("ws")).select(
@@ -94,13 +97,11 @@ def log_ratios(docs: DataFrame, trusted: DataFrame, id_col: str = "doc_id", text
         F.count(F.lit(1)).alias("raw"), F.sum("good").alias("good"))
     counts = staged(counts, "quality-counts")  # at most BUCKETS rows
     total = counts.agg(F.coalesce(F.sum("raw"), F.lit(0)).alias("raw"), F.coalesce(F.sum("good"), F.lit(0)).alias("good"))
-    ratio = (F.log((F.col("good") + 1) / (F.col("all_good") + BUCKETS))
-             - F.log((F.col("raw") + 1) / (F.col("all_raw") + BUCKETS)))
     sums = total.first()
     if not sums["good"]:
         return [0.0] * BUCKETS
-    rows = counts.withColumns({"all_raw": F.lit(sums["raw"]), "all_good": F.lit(sums["good"])}).select(
-        "bucket", ratio.alias("r")).collect()
+    share = sums["good"] / sums["raw"]
+    rows = counts.select("bucket", F.log((F.col("good") + PRIOR) / (F.col("raw") * share + PRIOR)).alias("r")).collect()
     table = [0.0] * BUCKETS
     for bucket, r in rows:
         table[bucket] = r
