@@ -6,11 +6,14 @@ and returns one digest row per document.
 
 from __future__ import annotations
 
+import public_tokenizers as tokenizers
 from pyspark.sql import functions as F
 
-from armlens.llm import line_dedup, mixing, near_dup, quality, sharding, toxicity
+from armlens.llm import byte_bpe, line_dedup, mixing, near_dup, quality, sharding, toxicity
 from armlens.llm.common import read_table
 
+BYTE_RANKS = "byte_bpe_multi_50k.tiktoken"
+
 
 def op1_mixing(spark, sf_dir):
     mixed = mixing.mix(read_table(spark, sf_dir, "documents"))
@@ -41,6 +44,11 @@ def op7_line_dedup(spark, sf_dir):
         "row.doc_id", F.col("clean").alias("text"), "n_lines", "n_removed", "n_chunks")
 
 
+def op8_byte_bpe(spark, sf_dir):
+    return byte_bpe.encode_documents(read_table(spark, sf_dir, "documents"), tokenizers.path(BYTE_RANKS),
+                                     tokenizers.PATTERN)
+
+
 def op10_sharding(spark, sf_dir):
     return sharding.assign_shards(read_table(spark, sf_dir, "documents")).select(
         "doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot",
@@ -53,5 +61,6 @@ QUERIES = {
     "op4_near_dup": op4_near_dup,
     "op6_quality": op6_quality,
     "op7_line_dedup": op7_line_dedup,
+    "op8_byte_bpe": op8_byte_bpe,
     "op10_sharding": op10_sharding,
 }
