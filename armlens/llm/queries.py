@@ -9,9 +9,10 @@ from __future__ import annotations
 import public_tokenizers as tokenizers
 from pyspark.sql import functions as F
 
-from armlens.llm import byte_bpe, line_dedup, mixing, near_dup, quality, sharding, toxicity
+from armlens.llm import byte_bpe, line_dedup, mixing, near_dup, quality, sharding, token_files, toxicity
 from armlens.llm.common import read_table
 
+WORD_TOKENIZER = "word_bpe_49k.json"
 BYTE_RANKS = "byte_bpe_multi_50k.tiktoken"
 
 
@@ -20,6 +21,10 @@ def op1_mixing(spark, sf_dir):
     return mixed.select(F.col("id").alias("doc_id"), "size", "source_size", "target", "taken", "source", "draws")
 
 
+def op2_token_files(spark, sf_dir):
+    return token_files.token_files(read_table(spark, sf_dir, "documents"), tokenizers.path(WORD_TOKENIZER))
+
+
 def op3_toxicity(spark, sf_dir):
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
     model = toxicity.train(docs, read_table(spark, sf_dir, "labels"))
@@ -57,6 +62,7 @@ def op10_sharding(spark, sf_dir):
 
 QUERIES = {
     "op1_mixing": op1_mixing,
+    "op2_token_files": op2_token_files,
     "op3_toxicity": op3_toxicity,
     "op4_near_dup": op4_near_dup,
     "op6_quality": op6_quality,
