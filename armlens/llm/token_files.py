@@ -171,14 +171,14 @@ def write_tokens(docs: DataFrame, tokenizer_path: str, path: str, id_col: str =
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     ordered = own.repartitionByRange(parts, "doc_id", "tie").sortWithinPartitions("doc_id", "tie")
     (ordered.select("doc_id", "text")
-     .mapInArrow(_segments(tokenizer_path, segment_ids), "part int, segment int, n_ids long, names array<long>, image binary")
+     .mapInArrow(_segments(tokenizer_path, segment_ids), "part long, segment long, n_ids long, names array<long>, image binary")
      .write.parquet(path))
 
 
 def read_tokens(spark, path: str) -> DataFrame:
     """Per document of the files: doc_id, start, n_tokens, ids_crc32."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "16")  # segments, not texts
-    files = spark.read.schema("part int, segment int, n_ids long, names array<long>, image binary").parquet(path)
+    files = spark.read.schema("part long, segment long, n_ids long, names array<long>, image binary").parquet(path)
     heads = files.select("part", "segment", "n_ids")
     # sums inside a partition's segments, then over the partitions (few rows each)
     inside = W.partitionBy("part").orderBy("segment").rowsBetween(W.unboundedPreceding, -1)
@@ -198,13 +198,13 @@ def read_tokens(spark, path: str) -> DataFrame:
                 ends = np.cumsum(lengths)
                 crc = [zlib.crc32(ids[e - n:e].astype("<u4").tobytes()) for e, n in zip(ends, lengths)]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([batch.column("part")[r].as_py()] * len(names), pa.int32()),
-                     pa.array([batch.column("segment")[r].as_py()] * len(names), pa.int32()),
+                    [pa.array([batch.column("part")[r].as_py()] * len(names), pa.int64()),
+                     pa.array([batch.column("segment")[r].as_py()] * len(names), pa.int64()),
                      names, pa.array(ends - lengths, pa.int64()), pa.array(lengths, pa.int64()), pa.array(crc, pa.int64())],
                     ["part", "segment", "doc_id", "at", "n_tokens", "ids_crc32"])
 
     rows = files.select("part", "segment", "names", "image").mapInArrow(
-        documents, "part int, segment int, doc_id long, at long, n_tokens long, ids_crc32 long")
+        documents, "part long, segment long, doc_id long, at long, n_tokens long, ids_crc32 long")
     return rows.join(starts, ["part", "segment"]).select(
         "doc_id", (F.col("first") + F.col("at")).alias("start"), "n_tokens", "ids_crc32")
 
