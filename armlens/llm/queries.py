@@ -9,7 +9,7 @@ from __future__ import annotations
 import public_tokenizers as tokenizers
 from pyspark.sql import functions as F
 
-from armlens.llm import byte_bpe, line_dedup, mixing, near_dup, quality, sharding, token_files, toxicity
+from armlens.llm import byte_bpe, line_dedup, lm_scoring, mixing, near_dup, quality, sharding, token_files, toxicity
 from armlens.llm.common import read_table
 
 WORD_TOKENIZER = "word_bpe_49k.json"
@@ -37,6 +37,10 @@ def op4_near_dup(spark, sf_dir):
     return near_dup.near_duplicates(read_table(spark, sf_dir, "documents"))
 
 
+def op5_lm_scoring(spark, sf_dir):
+    return lm_scoring.score_documents(read_table(spark, sf_dir, "documents"))
+
+
 def op6_quality(spark, sf_dir):
     docs = read_table(spark, sf_dir, "documents")
     ratios = quality.log_ratios(docs, quality.trusted_ids(read_table(spark, sf_dir, "labels")))
@@ -65,6 +69,7 @@ QUERIES = {
     "op2_token_files": op2_token_files,
     "op3_toxicity": op3_toxicity,
     "op4_near_dup": op4_near_dup,
+    "op5_lm_scoring": op5_lm_scoring,
     "op6_quality": op6_quality,
     "op7_line_dedup": op7_line_dedup,
     "op8_byte_bpe": op8_byte_bpe,
