@@ -9,7 +9,7 @@ from __future__ import annotations
 import public_tokenizers as tokenizers
 from pyspark.sql import functions as F
 
-from armlens.llm import byte_bpe, line_dedup, lm_scoring, mixing, near_dup, quality, sharding, token_files, toxicity
+from armlens.llm import byte_bpe, line_dedup, lm_scoring, mixing, near_dup, quality, sharding, token_files, topk_search, toxicity
 from armlens.llm.common import read_table
 
 WORD_TOKENIZER = "word_bpe_49k.json"
@@ -34,7 +34,7 @@ def op3_toxicity(spark, sf_dir):
 
 
 def op4_near_dup(spark, sf_dir):
-    return near_dup.near_duplicates(read_table(spark, sf_dir, "documents"))
+    return near_dup.near_duplicates(read_table(spark, sf_dir, "documents")).drop("tag")
 
 
 def op5_lm_scoring(spark, sf_dir):
@@ -58,6 +58,10 @@ def op8_byte_bpe(spark, sf_dir):
                                      tokenizers.PATTERN)
 
 
+def op9_topk_search(spark, sf_dir):
+    return topk_search.search(read_table(spark, sf_dir, "documents"), F.col("doc_id") % 20 == 0)
+
+
 def op10_sharding(spark, sf_dir):
     return sharding.assign_shards(read_table(spark, sf_dir, "documents")).select(
         "doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot",
@@ -73,5 +77,6 @@ QUERIES = {
     "op6_quality": op6_quality,
     "op7_line_dedup": op7_line_dedup,
     "op8_byte_bpe": op8_byte_bpe,
+    "op9_topk_search": op9_topk_search,
     "op10_sharding": op10_sharding,
 }
