@@ -45,4 +45,3 @@ class InferenceConfig:
     ties_exact: bool = False        # exact p-value also when |d| has ties
     exact_max_n: int = 50
     granularity_base: tuple = field(default=("Experiment", "Treatment Scope", "Non-Treatment Scope"))
-    max_segments: int = 10_000      # bound on distinct segment labels turned into granularities

@@ -27,8 +27,11 @@ def point(lon, lat) -> Column:
 
 
 def _coord_text(c: Column) -> Column:
-    # six decimals, trailing zeros dropped: 13.400000 -> 13.4, 2.000000 -> 2
-    return F.regexp_replace(F.format_string("%.6f", c), r"\.?0+$", "")
+    # the double's own text (it reads back as the same double) without an empty fraction: 13.4, 2;
+    # small numbers are written out, tiny ones keep their exponent
+    text = c.cast("string")
+    written = F.regexp_replace(text.try_cast("decimal(38,30)").cast("string"), r"0+$", "")
+    return F.when(text.contains("E-") & (F.abs(c) >= 1e-12), written).otherwise(F.regexp_replace(text, r"\.0$", ""))
 
 
 def point_wkt(p) -> Column:
@@ -65,7 +68,11 @@ def point_in_ring(ring, p) -> Column:
     n = F.size(ring)
     nxt = F.concat(F.slice(ring, 2, F.greatest(n - 1, F.lit(0))), F.slice(ring, 1, 1))
     edges = F.zip_with(ring, nxt, _edge_flags(x, y))
-    inside = (F.size(F.filter(edges, lambda e: e["crosses"])) % 2 == 1) & ~F.exists(edges, lambda e: e["on_edge"])
+    start = F.struct(F.lit(False).alias("odd"), F.lit(False).alias("edge"))
+    inside = F.aggregate(edges, start, lambda s, e: F.struct(
+        (s["odd"] != F.coalesce(e["crosses"], F.lit(False))).alias("odd"),
+        (s["edge"] | F.coalesce(e["on_edge"], F.lit(False))).alias("edge")),
+        lambda s: s["odd"] & ~s["edge"])
     return (
         F.when(ring.isNull() | p.isNull() | x.isNull() | y.isNull(), F.lit(None).cast("boolean"))
         .when(n < 3, F.lit(False))

@@ -4,8 +4,7 @@ The notebook downloads the order table into one process, aggregates it four
 times and loops over the grid one test at a time. Here the whole chain is one
 lazy plan: boundary trim (broadcast of a pre-aggregated date range), one
 aggregation pass for all granularities, the grid as generated rows, and the
-signed-rank test as a grouped job; nothing is collected except the (bounded,
-checked) list of segment labels that become grid granularities.
+signed-rank test as a grouped job; nothing is collected to the driver.
 """
 
 from __future__ import annotations
@@ -17,6 +16,7 @@ from pyspark.sql import functions as F
 
 from armlens.config import InferenceConfig
 from armlens.operators.wilcoxon import ARM_KEYS, add_p_values, long_kpis, signed_rank_stats
+from armlens.plans.materialize import cut_lineage
 from armlens.plans.sizing import bounded_broadcast
 
 EXPERIMENT, IN_SCOPE, OUT_OF_SCOPE = "Experiment", "Treatment Scope", "Non-Treatment Scope"
@@ -43,6 +43,7 @@ def trim_boundary_days(orders: DataFrame, cfg: InferenceConfig = InferenceConfig
     ranges = (orders.where(reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys]))
               .groupBy(*keys).agg(F.min(d).alias("min_date"), F.max(d).alias("max_date"))
               .select("entity_id", "test_id", "min_date", "max_date"))
+    ranges = cut_lineage(ranges, "test_ranges")  # one row a test, counted as it is written: the broadcast's proof
     joined = orders.join(bounded_broadcast(ranges, max_rows), ["entity_id", "test_id"], "left")
     return joined.where((F.col(d) > F.col("min_date")) & (F.col(d) < F.col("max_date"))).drop("min_date",
                                                                                                  "max_date")
@@ -59,35 +60,41 @@ def granularity_labels(cfg: InferenceConfig = InferenceConfig()) -> F.Column:
 
 def daily_kpis(trimmed: DataFrame, cfg: InferenceConfig = InferenceConfig()) -> DataFrame:
     """DOM-20 / AGG-7..9: per (keys, granularity, variant, day) the sum of each
-    KPI (missing values skipped, all missing -> 0) and the distinct order count,
-    for all granularities in one aggregation pass. Rows with a NULL group key
-    are left out, as a pandas groupby does (T14)."""
+    KPI (missing values skipped, all missing -> 0) and the distinct order count.
+    Rows with a NULL group key are left out, as a pandas groupby does (T14).
+
+    Facts are aggregated before they multiply by granularity: the sums to one
+    row per (day, scope, segment), the orders to one row with the set of their
+    granularities; only those are exploded."""
     base = [*cfg.keys, cfg.variant_col, cfg.date_col]
     rows = trimmed.where(reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in base]))
-    rows = rows.select(*base, cfg.order_id_col, *cfg.kpis,
-                       F.explode(granularity_labels(cfg)).alias("granularity")).where(
-        F.col("granularity").isNotNull())
-    aggs = [F.count_distinct(cfg.order_id_col).alias(cfg.count_kpi)]
-    aggs += [F.coalesce(F.sum(k), F.lit(0)).alias(k) for k in cfg.kpis]
-    out = rows.groupBy(*cfg.keys, "granularity", cfg.variant_col, cfg.date_col).agg(*aggs)
+    group = [*cfg.keys, "granularity", cfg.variant_col, cfg.date_col]
+    split = [cfg.scope_col, cfg.segment_col]
+    sums = rows.groupBy(*base, *split).agg(*[F.sum(k).alias(k) for k in cfg.kpis])
+    sums = (sums.select(*base, *cfg.kpis, F.explode(granularity_labels(cfg)).alias("granularity"))
+            .where(F.col("granularity").isNotNull())
+            .groupBy(*group).agg(*[F.coalesce(F.sum(k), F.lit(0)).alias(k) for k in cfg.kpis]))
+    orders = (rows.where(F.col(cfg.order_id_col).isNotNull()).groupBy(*base, cfg.order_id_col)
+              .agg(F.array_distinct(F.flatten(F.collect_set(granularity_labels(cfg)))).alias("_labels")))
+    counts = (orders.select(*base, F.explode("_labels").alias("granularity")).where(F.col("granularity").isNotNull())
+              .groupBy(*group).agg(F.count(F.lit(1)).alias(cfg.count_kpi)))
+    out = sums.join(counts, group, "left").withColumn(cfg.count_kpi, F.coalesce(cfg.count_kpi, F.lit(0)))
     return out.select(*cfg.keys, "granularity", cfg.variant_col, cfg.date_col, cfg.count_kpi, *cfg.kpis)
 
 
-def segment_values(trimmed: DataFrame, cfg: InferenceConfig = InferenceConfig()) -> list:
-    """Distinct non-NULL segment labels (e.g. 'Target Group 2'); a bounded
-    list by construction of the experiment, and checked."""
-    labels = (trimmed.where(F.col(cfg.segment_col).isNotNull()).select(cfg.segment_col).distinct()
-              .limit(cfg.max_segments + 1).collect())
-    if len(labels) > cfg.max_segments:
-        raise ValueError(f"more than {cfg.max_segments} distinct {cfg.segment_col} values")
-    return sorted(r[0] for r in labels)
+def segment_values(trimmed: DataFrame, cfg: InferenceConfig = InferenceConfig()) -> DataFrame:
+    """Distinct non-NULL segment labels (e.g. 'Target Group 2'), one a row."""
+    return trimmed.where(F.col(cfg.segment_col).isNotNull()).select(F.col(cfg.segment_col).alias("granularity")).distinct()
 
 
-def comparison_grid(daily: DataFrame, segments: list, cfg: InferenceConfig = InferenceConfig()) -> DataFrame:
+def comparison_grid(daily: DataFrame, segments: DataFrame, cfg: InferenceConfig = InferenceConfig()) -> DataFrame:
     """DOM-21: every non-control arm x granularity x KPI (generated rows, no join)."""
     arms = (daily.where((F.col("granularity") == EXPERIMENT) & (F.col(cfg.variant_col) != cfg.control))
             .select("region", "entity_id", "test_name", cfg.variant_col).distinct())
-    grans = F.array(*[F.lit(g) for g in (*cfg.granularity_base, *segments)])
+    # every arm meets every granularity: the labels ride along as one array row
+    labels = segments.agg(F.collect_set("granularity").alias("_labels")).withColumn("_one", F.lit(1))
+    arms = arms.withColumn("_one", F.lit(1)).join(labels, "_one")
+    grans = F.concat(F.array(*[F.lit(g) for g in cfg.granularity_base]), F.col("_labels"))
     kpis = F.array(*[F.lit(k) for k in (cfg.count_kpi, *cfg.kpis)])
     return arms.select("region", "entity_id", "test_name", cfg.variant_col,
                        F.explode(grans).alias("granularity")).select(

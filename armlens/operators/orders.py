@@ -81,7 +81,9 @@ def scheme_flag(outside: F.Column, tg_label: F.Column, variant: F.Column, scheme
     if mode == "exact":
         hit = F.array_contains(combos_list, combo)
     else:
-        hit = F.like(combos_concat, F.concat(F.lit("%"), combo, F.lit("%")))
+        # only a label with a wildcard needs a pattern; the others are plain substrings
+        hit = F.when(combo.rlike(r"[%_\\]"), F.like(combos_concat, F.concat(F.lit("%"), combo, F.lit("%")))).otherwise(
+            F.contains(combos_concat, combo))
     return if_else(outside | hit, F.lit("Keep"), F.lit("Drop"))
 
 
@@ -137,7 +139,7 @@ def enrich_orders(session_orders: DataFrame, ab_test_orders: DataFrame, shared_o
                                F.col("delivery_location.longitude").alias("_lon"),
                                F.col("delivery_location.latitude").alias("_lat"))
     a = a.join(dwh, ["entity_id", "platform_order_code"], "inner")
-    pdo = fee_overrides.select(F.col("global_entity_id").alias("_pd_entity"), F.col("code").alias("_pd_code"),
+    pdo = fee_overrides.where(F.col("created_date_utc") >= F.lit(cfg.since).cast("date")).select(F.col("global_entity_id").alias("_pd_entity"), F.col("code").alias("_pd_code"),
                                F.col("created_date_utc").alias("_pd_date"),
                                F.col("delivery_fee_local").alias("_pd_fee"))
     a = a.join(pdo, (a["entity_id"] == pdo["_pd_entity"]) & (a["platform_order_code"] == pdo["_pd_code"])

@@ -19,6 +19,7 @@ from armlens.functions.geo import point_wkt
 from armlens.functions.strings import distinct_sorted_string_agg
 from armlens.functions.verticals import region_vertical
 from armlens.operators.orders import key_set, semi_filter
+from armlens.plans.materialize import cut_lineage
 from armlens.plans.sizing import bounded_broadcast, known_rows
 
 # The session event vocabulary.
@@ -41,11 +42,13 @@ FLAT_COLUMNS = (
 )
 
 
-def session_group_rank(events: DataFrame) -> DataFrame:
+def session_group_rank(sessions: DataFrame) -> DataFrame:
     """WIN-2: ``DENSE_RANK() OVER (PARTITION BY entity_id, test_id ORDER BY
-    COALESCE(vendor_group_id, 999999))`` on the distinct observed groups."""
-    k = F.coalesce(F.col("vendor_group_id"), F.lit(NULL_GROUP_SENTINEL))
-    groups = events.select("entity_id", "test_id", k.alias("_group_key")).distinct()
+    COALESCE(vendor_group_id, 999999))`` on the distinct observed groups, read
+    from the nested event arrays (a session without events has a NULL group)."""
+    seen = F.array_distinct(F.transform("events", lambda e: F.coalesce(e["vendor_group_id"], F.lit(NULL_GROUP_SENTINEL))))
+    groups = (sessions.select("entity_id", "test_id", F.explode_outer(seen).alias("_group_key"))
+              .withColumn("_group_key", F.coalesce("_group_key", F.lit(NULL_GROUP_SENTINEL).cast("long"))).distinct())
     w = Window.partitionBy("entity_id", "test_id").orderBy("_group_key")
     return groups.withColumn("_group_rank", F.dense_rank().over(w))
 
@@ -100,12 +103,15 @@ def flatten_sessions(ga_sessions: DataFrame, vendors: DataFrame, entities: DataF
                    s("dps.city_id").alias("city_id"), s("dps.city_name").alias("city_name"),
                    s("dps.id").alias("zone_id"), s("dps.name").alias("zone_name"), s("dps.timezone").alias("timezone"))
 
-    ranks = session_group_rank(ev)
+    # groups observed per test: counted as they are written, then broadcast, so
+    # the exploded events never shuffle on a handful of (test, group) keys
+    ranks = bounded_broadcast(cut_lineage(session_group_rank(x), "session_groups"), bmax)
     # The vendor lookup is broadcast when the (3-column) vendor table is proven
     # small, so the exploded event rows are not shuffled just to attach it.
-    ven = bounded_broadcast(vendors.select(F.col("global_entity_id").alias("entity_id"),
+    ven = bounded_broadcast(cut_lineage(vendors.select(F.col("global_entity_id").alias("entity_id"),
                                            F.col("vendor_id").alias("vendor_code"),
-                                           F.col("vertical_parent").alias("_vendor_vertical")), bmax)
+                                           F.col("vertical_parent").alias("_vendor_vertical")), "vendor_verticals"),
+                            bmax)
     ent = bounded_broadcast(entities.select("entity_id", "region"), bmax, known_rows(entities))
     # test_name of the SQL's DISTINCT sub-select only multiplies rows that the
     # final DISTINCT removes again, so it is left out of the lookup.

@@ -35,8 +35,8 @@ ARM_KEYS = ("test_name", "granularity", "kpi", "variant")
 @lru_cache(maxsize=None)
 def _null_counts(n: int) -> np.ndarray:
     """Number of sign assignments of ranks 1..n with W+ = w, w = 0..n(n+1)/2
-    (subset-sum recursion; exact in int64 up to n = 62)."""
-    c = np.zeros(n * (n + 1) // 2 + 1, dtype=np.int64)
+    (subset-sum recursion in doubles: exact up to n = 53, no overflow above)."""
+    c = np.zeros(n * (n + 1) // 2 + 1, dtype=np.float64)
     c[0] = 1
     for k in range(1, n + 1):
         c[k:] = c[k:] + c[:-k].copy()
@@ -118,8 +118,8 @@ def signed_rank_stats(long: DataFrame, control: str = "Control", pair_on: str =
     count, zero count, n, W+, W-, tie term sum(t^3 - t)."""
     arm = Window.partitionBy(*ARM_KEYS)
     ordered = arm.orderBy(*order_keys, date_col)
-    s = long.where(F.col("value").isNotNull())  # nan_policy="omit"
-    s = s.withColumns({"_rn": F.row_number().over(ordered), "_n_arm": F.count(F.lit(1)).over(arm)})
+    # numbered and counted before missing values go: "omit" drops the pair, not the day
+    s = long.withColumns({"_rn": F.row_number().over(ordered), "_n_arm": F.count(F.lit(1)).over(arm)})
     x = s.where(F.col("variant") != control)
     y = s.where(F.col("variant") == control).select(
         "test_name", "granularity", "kpi", *order_keys, date_col,
@@ -130,7 +130,7 @@ def signed_rank_stats(long: DataFrame, control: str = "Control", pair_on: str =
         pairs = x.join(y.drop("_rn", "n_y"), ["test_name", "granularity", "kpi", *order_keys, date_col], "inner")
         pairs = pairs.withColumn("n_y", F.col("_n_arm"))
     d = F.col("value") - F.col("_y")
-    pairs = pairs.select(*ARM_KEYS, F.col("_n_arm").alias("n_x"), "n_y", d.alias("d"))
+    pairs = pairs.where(d.isNotNull()).select(*ARM_KEYS, F.col("_n_arm").alias("n_x"), "n_y", d.alias("d"))
     nz = pairs.where(F.col("d") != 0).withColumn("_abs", F.abs("d"))
     by_abs = Window.partitionBy(*ARM_KEYS).orderBy("_abs")
     tie_grp = Window.partitionBy(*ARM_KEYS, "_abs")

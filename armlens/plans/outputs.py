@@ -5,6 +5,7 @@ normalise types the same way, so results compare value by value:
 
   s  string           i  bigint          b  boolean        d  double as is
   m  decimal->double  r  round(double, 4) t  timestamp->text  dt date->text
+  p  round(double, 9) w  point text, read back as two doubles
 """
 
 from __future__ import annotations
@@ -25,6 +26,13 @@ def spark_project(df: DataFrame, spec) -> DataFrame:
             c = F.round(c.cast("double"), 4)
         elif kind in ("t", "dt"):
             c = c.cast("string")
+        elif kind == "p":
+            c = F.round(c, 9)
+        elif kind == "w":
+            for k, axis in ((1, "lon"), (2, "lat")):
+                part = F.regexp_extract(c, r"^POINT\((\S+) (\S+)\)$", k)
+                cols.append(F.when(c.isNotNull(), part.cast("double")).alias(f"{name}_{axis}"))
+            continue
         cols.append(c.alias(name))
     return df.select(*cols)
 
@@ -41,6 +49,11 @@ def sql_project(spec, source: str) -> str:
             e = f"round(CAST({q} AS DOUBLE), 4)"
         elif kind in ("t", "dt"):
             e = f"CAST({q} AS VARCHAR)"
+        elif kind == "p":
+            e = f"round({q}, 9)"
+        elif kind == "w":
+            cols += [f'"{name}_lon"', f'"{name}_lat"']
+            continue
         else:
             e = q
         cols.append(f"{e} AS {q}")
@@ -67,7 +80,7 @@ ORDERS = [
     ("created_date_utc", "dt"), ("order_placed_at_utc", "t"), ("order_placed_at_local", "t"), ("dow_local", "s"),
     ("dps_sessionid_created_at_utc", "t"), ("day_num_in_test", "i"), ("region", "s"), ("entity_id", "s"),
     ("country_code", "s"), ("city_name", "s"), ("city_id", "i"), ("zone_name", "s"), ("zone_id", "i"),
-    ("customer_location_wkt", "s"), ("variant", "s"), ("test_id", "i"), ("test_name", "s"),
+    ("customer_location_wkt", "w"), ("variant", "s"), ("test_id", "i"), ("test_name", "s"),
     ("test_start_date", "t"), ("test_end_date", "t"), ("perseus_client_id", "s"), ("ga_session_id", "s"),
     ("dps_sessionid", "s"), ("dps_customer_tag", "s"), ("customer_total_orders", "i"),
     ("customer_first_order_date", "t"), ("days_since_first_order", "i"), ("order_id", "s"),
@@ -95,7 +108,7 @@ SESSION_EVENTS = [
     ("target_group_bi", "s"), ("customer_status", "s"), ("location", "s"), ("variant_concat", "s"),
     ("location_concat", "s"), ("customer_status_concat", "s"), ("event_action", "s"), ("vendor_code", "s"),
     ("event_time", "t"), ("transaction_id", "s"), ("expedition_type", "s"), ("city_id", "i"), ("city_name", "s"),
-    ("zone_id", "i"), ("zone_name", "s"), ("timezone", "s"), ("ga_location", "s"),
+    ("zone_id", "i"), ("zone_name", "s"), ("timezone", "s"), ("ga_location", "w"),
     ("is_session_in_treatment_raw", "s")]
 SESSION_FLAGS = [("entity_id", "s"), ("test_id", "i"), ("events_ga_session_id", "s"),
                  ("distinct_event_actions_per_session", "s"), ("num_instances_with_treated_vendors", "i"),
@@ -113,4 +126,4 @@ GRID = [("region", "s"), ("entity_id", "s"), ("test_name", "s"), ("variant", "s"
         ("kpi", "s")]
 STATS = [("test_name", "s"), ("granularity", "s"), ("kpi", "s"), ("variant", "s"), ("n_x", "i"), ("n_y", "i"),
          ("n_pairs", "i"), ("n_zero", "i"), ("n", "i"), ("w_plus", "d"), ("w_minus", "d"), ("tie_term", "i")]
-PVALUES = GRID + [("pval", "d")]
+PVALUES = GRID + [("pval", "p")]

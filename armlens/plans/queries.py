@@ -23,6 +23,8 @@ from armlens.sources.tables import Tables
 WORLD_CFG = ExperimentConfig(since=A.SINCE, excluded_test_names=(A.EXCLUDED_TEST,))
 ORDER_ICFG = InferenceConfig()
 EVENT_ICFG = InferenceConfig(kpis=("value_sum",), count_kpi="event_count")
+MATRIX_KPIS = (ORDER_ICFG.count_kpi, *ORDER_ICFG.kpis)
+LINE_TIES_ICFG = InferenceConfig(kpis=("price_sum",), count_kpi="line_count", ties_exact=True)
 LINE_ICFG = InferenceConfig(kpis=("price_sum",), count_kpi="line_count")
 
 # Fixed test rings for the point-in-polygon query over embedding coordinates.
@@ -37,7 +39,7 @@ _WORLDS: dict = {}
 
 def world(spark: SparkSession, sf_dir: str) -> A.World:
     """Adapter frames are lazy plans with no data: built once per session and folder."""
-    key = (id(spark), sf_dir)
+    key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _WORLDS:
         _WORLDS[key] = A.World(Tables(spark, sf_dir))
     return _WORLDS[key]
@@ -124,7 +126,17 @@ def q_pvalues(spark, sf_dir):
 
 def q_pvalue_matrix(spark, sf_dir):
     p = inf.experiment_pvalues(_orders_cleaned_table(spark, sf_dir), ORDER_ICFG)
-    return inf.pvalue_matrix(p, (ORDER_ICFG.count_kpi, *ORDER_ICFG.kpis))
+    return _rounded(inf.pvalue_matrix(p, MATRIX_KPIS))
+
+
+def q_pvalue_matrix_filtered(spark, sf_dir):
+    """FLT-16: tests and granularities by pattern."""
+    p = inf.experiment_pvalues(_orders_cleaned_table(spark, sf_dir), ORDER_ICFG)
+    return _rounded(inf.pvalue_matrix(p, MATRIX_KPIS, test_pattern="LB", granularity_pattern="^Exp|^Target"))
+
+
+def _rounded(matrix):
+    return matrix.withColumns({k: F.round(k, 9) for k in MATRIX_KPIS})
 
 
 def _daily_of(frame_fn, icfg):
@@ -166,8 +178,9 @@ def q_point_in_polygon(spark, sf_dir):
 def q_point_wkt(spark, sf_dir):
     """SC-16 / SC-17 on embedding coordinates."""
     e = world(spark, sf_dir).t.embeddings
-    return e.select(F.col("vec_id").cast("long").alias("vec_id"),
+    text = e.select(F.col("vec_id").cast("long").alias("vec_id"),
                     point_wkt(point(F.col("embedding")[0], F.col("embedding")[1])).alias("wkt"))
+    return O.spark_project(text, [("vec_id", "i"), ("wkt", "w")])
 
 
 def q_region_vertical_map(spark, sf_dir):
@@ -203,10 +216,12 @@ QUERIES = {
     "wilcoxon_statistics": q_stats,
     "experiment_pvalues": q_pvalues,
     "pvalue_matrix": q_pvalue_matrix,
+    "pvalue_matrix_filtered": q_pvalue_matrix_filtered,
     "events_wilcoxon_statistics": _stats_query(events_experiment, EVENT_ICFG),
     "events_pvalues": _pvalue_query(events_experiment, EVENT_ICFG),
     "lineitem_wilcoxon_statistics": _stats_query(lines_experiment, LINE_ICFG),
     "lineitem_pvalues": _pvalue_query(lines_experiment, LINE_ICFG),
+    "lineitem_pvalues_ties_exact": _pvalue_query(lines_experiment, LINE_TIES_ICFG),
     "region_vertical_map": q_region_vertical_map,
     "point_in_polygon": q_point_in_polygon,
     "point_wkt": q_point_wkt,

@@ -6,8 +6,7 @@ A bound comes from one of two places:
   count observed while it was written (no extra job); a frame derived from it
   by projection, filter, distinct or semi join cannot have more rows, and the
   operators pass that bound explicitly;
-* otherwise ``fits`` counts at most ``max_rows + 1`` rows (a bounded,
-  early-stopping job).
+* otherwise nothing is proven and the frame is left to Catalyst.
 
 Beyond the bound the frame is returned unchanged and Catalyst plans a shuffle
 join, which AQE may still turn into a broadcast once runtime statistics prove
@@ -33,10 +32,6 @@ def with_rows(df: DataFrame, rows: int) -> DataFrame:
     return df
 
 
-def fits(df: DataFrame, max_rows: int = DEFAULT_MAX_ROWS) -> bool:
-    return df.limit(max_rows + 1).count() <= max_rows
-
-
 def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_ROWS, bound: int | None = None) -> DataFrame:
     """``broadcast(df)`` when at most ``max_rows`` rows are proven, else ``df``.
     ``bound``: an upper bound on the rows of ``df`` known to the caller."""
@@ -44,4 +39,4 @@ def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_ROWS, bound: in
         bound = known_rows(df)
     if bound is not None:
         return F.broadcast(df) if bound <= max_rows else df
-    return F.broadcast(df) if fits(df, max_rows) else df
+    return df  # nothing is proven: Catalyst and AQE decide

@@ -42,6 +42,17 @@ def test_wkt(spark):
     assert out == ["POINT(13.4 52.5)", "POINT(2 -0.0001)", None]
 
 
+def test_wkt_reads_back_as_the_same_doubles(spark):
+    import random
+    rnd = random.Random(3)
+    points = [(rnd.uniform(-180, 180), rnd.uniform(-90, 90)) for _ in range(300)]
+    points += [(-0.0000001, 1e-12), (0.1 + 0.2, 89.99999999999999), (-0.0, 0.0)]
+    df = spark.createDataFrame(points, "x double, y double")
+    for r in df.select("x", "y", point_wkt(point("x", "y")).alias("t")).collect():
+        lon, lat = r.t[len("POINT("):-1].split(" ")
+        assert (float(lon), float(lat)) == (r.x, r.y)
+
+
 def test_random_triangles_match_strict_interior(spark):
     """Property: for triangles, ray casting with boundary exclusion equals the
     strict-interior sign test (integer coordinates keep both exact)."""

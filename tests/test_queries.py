@@ -26,7 +26,9 @@ def duck():
 
 
 @pytest.mark.parametrize("name", ["target_groups", "zone_shapes", "orders_with_profit", "session_flags",
-                                  "daily_kpis", "events_wilcoxon_statistics", "point_in_polygon"])
+                                  "daily_kpis", "events_wilcoxon_statistics", "point_in_polygon", "point_wkt",
+                                  "session_events", "sessions_with_flag", "comparison_grid", "events_pvalues",
+                                  "lineitem_pvalues", "lineitem_pvalues_ties_exact", "pvalue_matrix"])
 def test_query_matches_oracle(spark, duck, name):
     from __spark_entry__ import oracle_sql, queries
     df = queries()[name](spark, SF)

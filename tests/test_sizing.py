@@ -1,17 +1,12 @@
 """Proven-bound broadcast and lineage cuts."""
 from armlens.plans.materialize import cut_lineage
-from armlens.plans.sizing import bounded_broadcast, fits, known_rows
+from armlens.plans.sizing import bounded_broadcast, known_rows
 
 
 def _plan(df):
     return df._jdf.queryExecution().analyzed().toString()
 
 
-def test_fits(spark):
-    df = spark.range(10)
-    assert fits(df, 10) and not fits(df, 9)
-
-
 def test_cut_lineage_records_rows(spark):
     df = cut_lineage(spark.range(7).where("id % 2 = 0"), "evens")
     assert known_rows(df) == 4 and df.count() == 4
@@ -22,7 +17,7 @@ def test_bounded_broadcast_uses_bound(spark):
     assert bounded_broadcast(df, max_rows=10, bound=1000) is df          # too big: left to the planner
     hinted = bounded_broadcast(df, max_rows=1000, bound=100)
     assert hinted is not df and "broadcast" in _plan(hinted).lower()
-    assert bounded_broadcast(df, max_rows=10) is df                      # counted: 100 > 10
+    assert bounded_broadcast(df, max_rows=10) is df                      # nothing proven
 
 
 def test_bounded_broadcast_survives_disabled_auto_broadcast(spark):
@@ -31,7 +26,7 @@ def test_bounded_broadcast_survives_disabled_auto_broadcast(spark):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
         big, small = spark.range(1000), spark.range(10)
-        plan = big.join(bounded_broadcast(small, max_rows=100), "id")._jdf.queryExecution().executedPlan().toString()
+        plan = big.join(bounded_broadcast(small, max_rows=100, bound=10), "id")._jdf.queryExecution().executedPlan().toString()
         assert "BroadcastHashJoin" in plan
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)

@@ -120,3 +120,14 @@ def test_pair_on_date_uses_shared_dates(spark):
     # days 1..5 pair: d = 2, 3, 4, 5, 6 -> all positive, exact two-sided p = 2 / 2^5
     assert (by_date.n, by_date.w_plus, by_date.method) == (5, 15.0, "exact")
     assert by_date.pval == pytest.approx(0.0625)
+
+
+def test_missing_value_drops_its_pair_only(spark):
+    # numbered before missing values go: day 2 loses its pair, later days keep theirs
+    r = pval(spark, {"Control": [0, 0, 0, 0], "V1": [1, None, 3, 4]})
+    assert (r.n_x, r.n_y, r.n_pairs, r.n, r.w_plus) == (4, 4, 3, 3, 6.0)
+
+
+def test_exact_counts_do_not_overflow():
+    counts = W._null_counts(70)
+    assert counts.min() >= 0 and counts.sum() == pytest.approx(2.0 ** 70)
