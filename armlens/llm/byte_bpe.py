@@ -137,23 +137,27 @@ def _assembled(tokens: list, with_ids: bool):
                 flat = pieces.flatten().to_numpy() if len(pieces) else np.empty(0, np.int32)
                 size = pieces.value_lengths().to_numpy().astype(np.int64) if len(pieces) else np.empty(0, np.int64)
                 start = np.cumsum(size) - size
-                out = {"doc_id": names, "n_tokens": [], "ids_sha256": [], "decoded_sha256": [], "ids": []}
+                out = {"doc_id": names, "n_tokens": [], "ids_sha256": [], "decoded_sha256": []}
+                kept = []
                 for number in batch.column("numbers")[r].values:
                     at = np.frombuffer(number.as_buffer(), np.int32)
                     n = size[at]
                     ends = np.cumsum(n)
                     total = int(ends[-1]) if len(ends) else 0
-                    ids = flat[np.arange(total) + np.repeat(start[at] - (ends - n), n)].tolist()
+                    array = flat[np.arange(total) + np.repeat(start[at] - (ends - n), n)]
+                    ids = array.tolist()
                     out["n_tokens"].append(total)
                     out["ids_sha256"].append(hashlib.sha256(b"".join(map(written.__getitem__, ids))[:-1]).hexdigest())
                     out["decoded_sha256"].append(hashlib.sha256(b"".join(map(tokens.__getitem__, ids))).hexdigest())
                     if with_ids:
-                        out["ids"].append(ids)
-                if not with_ids:
-                    out.pop("ids")
-                kinds = {"doc_id": pa.int64(), "n_tokens": pa.int64(), "ids": pa.list_(pa.int32())}
-                yield pa.RecordBatch.from_arrays([pa.array(v, kinds.get(k, pa.string())) for k, v in out.items()],
-                                                 list(out))
+                        kept.append(array)
+                kinds = {"doc_id": pa.int64(), "n_tokens": pa.int64()}
+                columns = [pa.array(v, kinds.get(k, pa.string())) for k, v in out.items()]
+                if with_ids:
+                    ends = np.cumsum([0, *map(len, kept)])
+                    columns.append(pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(
+                        np.concatenate(kept) if kept else np.empty(0, np.int32), pa.int32())))
+                yield pa.RecordBatch.from_arrays(columns, [*out, "ids"] if with_ids else list(out))
 
     return run
 

@@ -20,7 +20,9 @@ SPACE_CHARS = " \t\n\x0b\f\r"
 WORD_PATTERN = r"([^\x20\x09-\x0D]+)"
 SPACE_PATTERN = r"[\x20\x09-\x0D]+"
 
-ARROW_ROWS = 1000  # texts per Arrow batch: bounds a Python worker's memory
+# Size of an Arrow batch: bounds a Python worker's memory.
+ARROW_ROWS = 1000
+ARROW_BYTES = 32_000_000
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -29,8 +31,10 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def small_batches(spark: SparkSession) -> None:
-    """Python stages over whole texts get at most ``ARROW_ROWS`` texts at a time."""
+    """Python stages over whole texts get at most ``ARROW_ROWS`` texts, or about
+    ``ARROW_BYTES`` of them, at a time."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ARROW_ROWS))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(ARROW_BYTES))
 
 
 def staged(df: DataFrame, name: str) -> DataFrame:

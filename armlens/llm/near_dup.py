@@ -100,12 +100,13 @@ def document_sets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
             flat = pa.array(np.concatenate(keys) if keys else np.empty(0, np.int64))
             offsets = pa.array(np.arange(0, (len(n) + 1) * PREFIX, PREFIX, dtype=np.int32)[:len(n) + 1])
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(n, pa.int64()), pa.array(digest, pa.binary()),
+                [batch.column(0), batch.column(2), pa.array(n, pa.int64()), pa.array(digest, pa.binary()),
                  pa.ListArray.from_arrays(offsets, flat), pa.array(marks, pa.binary())],
-                ["doc_id", "n_shingles", "digest", "keys", "marks"])
+                ["doc_id", "tag", "n_shingles", "digest", "keys", "marks"])
 
-    picked = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    return picked.mapInArrow(sets, "doc_id long, n_shingles long, digest binary, keys array<long>, marks binary")
+    picked = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"),
+                         F.xxhash64(text_col).alias("tag"))
+    return picked.mapInArrow(sets, "doc_id long, tag long, n_shingles long, digest binary, keys array<long>, marks binary")
 
 
 def _agreeing(marks, n, coordinate, left, right, percent):
@@ -318,9 +319,20 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                 .join(candidates, ["a", "b"], "left_anti"))
         more = staged(confirmed(rest, own, width, percent), "near-more")
         comps = components(links.unionByName(more))
-    named = sets.select("doc_id", "n_shingles", "digest").join(
+    named = sets.select("doc_id", "tag", "n_shingles", "digest").join(
         names.select("digest", "id"), "digest", "left")
     located = named.join(comps, F.col("id") == F.col("node"), "left")
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("comp", "id", "doc_id"))
-    return located.select("doc_id", "n_shingles", component.alias("component_id")).withColumn(
+    return located.select("doc_id", "tag", "n_shingles", component.alias("component_id")).withColumn(
         "kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
+
+
+def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5,
+             percent: int = 80) -> DataFrame:
+    """Rows of ``docs`` packed in ``row``, without all but one document of each
+    group; of rows that agree in doc_id and text one stays."""
+    goes = near_duplicates(docs, id_col, text_col, width, percent).filter(~F.col("kept")).select(
+        F.col("doc_id").alias("id"), "tag").distinct()
+    packed = docs.select(F.col(id_col).cast("long").alias("id"), F.xxhash64(text_col).alias("tag"),
+                         F.struct("*").alias("row"))
+    return packed.join(goes, ["id", "tag"], "left_anti").dropDuplicates(["id", "tag"]).select("row")
