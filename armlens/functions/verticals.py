@@ -1,4 +1,4 @@
-"""Vertical label normalisation (DOM-4, DOM-15) as CASE-chain column functions."""
+"""Vertical label normalisation (DOM-4, DOM-15): label tables as column functions."""
 
 from __future__ import annotations
 
@@ -14,10 +14,10 @@ DARKSTORES_LABEL = "darkstores"
 # Greedy split of a "a, b" list: everything before / after the last ", ".
 FIRST_OF_LIST = r"(.*),\s"
 SECOND_OF_LIST = r",\s(.*)"
-# Region groups of the session vertical mapping.
-AMERICAS_ASIA = ("Americas", "Asia")
-MENA = "MENA"
-EUROPE = "Europe"
+# Vendor label -> test label by region; other labels stay as they are.
+FOOD_AND_SHOPS = {"food": "restaurant", "local store": "shop", "dmarts": "shop"}
+FOOD_SHOPS_AND_DARKSTORES = {"food": "restaurant", "local store": "shop", "dmarts": "darkstores"}
+REGION_LABELS = {"Americas": FOOD_AND_SHOPS, "Asia": FOOD_AND_SHOPS, "MENA": FOOD_SHOPS_AND_DARKSTORES, "Europe": {}}
 
 
 def _c(x) -> Column:
@@ -48,10 +48,7 @@ def first_parent_vertical(concat_list) -> Column:
     return (
         F.when(s == "", F.lit(None).cast("string"))
         .when(s.like("%,%"), _canonical(capture_or_null(F.lower(s), FIRST_OF_LIST)))
-        .when(F.lower(s).isin(*RESTAURANT_LABELS), F.lit("restaurant"))
-        .when(F.lower(s) == SHOP_LABEL, F.lit("shop"))
-        .when(F.lower(s) == DARKSTORES_LABEL, F.lit("darkstores"))
-        .otherwise(capture_or_null(s, FIRST_OF_LIST))
+        .otherwise(_canonical(F.lower(s)))
     )
 
 
@@ -65,24 +62,15 @@ def second_parent_vertical(concat_list) -> Column:
 
 
 def region_vertical(region, raw_vertical) -> Column:
-    """DOM-15: map a vendor's raw parent vertical onto the test vocabulary,
-    depending on the region's platform conventions. Unknown/NULL region -> NULL."""
+    """DOM-15: map a vendor's raw parent vertical onto the test vocabulary by the
+    region's label table; a label outside the table stays, an unknown or NULL
+    region gives NULL."""
     r, v = _c(region), F.lower(_c(raw_vertical))
-    americas_asia = (
-        F.when(v == "food", F.lit("restaurant"))
-        .when(v.isin("local store", "dmarts"), F.lit("shop"))
-        .when(v == "courier", F.lit("courier"))
-        .otherwise(v)
-    )
-    mena = (
-        F.when(v == "food", F.lit("restaurant"))
-        .when(v == "local store", F.lit("shop"))
-        .when(v == "dmarts", F.lit("darkstores"))
-        .when(v == "courier", F.lit("courier"))
-        .otherwise(v)
-    )
-    return (
-        F.when(r.isin(*AMERICAS_ASIA), americas_asia)
-        .when(r == MENA, mena)
-        .when(r == EUROPE, v)
-    )
+    tables = F.create_map(*[x for name, table in REGION_LABELS.items() for x in (F.lit(name), _literal_map(table))])
+    return F.when(r.isin(*REGION_LABELS), F.coalesce(F.try_element_at(F.try_element_at(tables, r), v), v))
+
+
+def _literal_map(table: dict) -> Column:
+    if not table:
+        return F.create_map().cast("map<string,string>")
+    return F.create_map(*[F.lit(x) for pair in table.items() for x in pair])
