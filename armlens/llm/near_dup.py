@@ -10,14 +10,18 @@ is empty and linked with nothing). Two documents link when
    ``k - t + 1`` of ``k`` coordinates (prefix rule): two classes that agree on
    at least ``t`` coordinates must share one of those posting lists.
 3. A list is a run of sorted rows. Short lists emit the pairs that agree on
-   ``t`` coordinates; long lists first emit only pairs with their first member,
-   so a group of n near copies costs n pairs, not n * n.
+   ``t`` coordinates. Long lists first emit only likely pairs with a few leading
+   members (a seeded choice, another in every list), so a group of n near copies
+   costs some n pairs, not n * n.
 4. Candidates are confirmed on full shingle sets; confirmed links give
-   components; the long lists then emit only pairs whose members are still in
-   different components (skip rule), which are confirmed in turn.
+   components; the long lists, cut by set size, then emit only pairs whose
+   members are still in different components (skip rule), whose ``FINE`` further
+   coordinates agree often enough, and which share no earlier list; these are
+   confirmed in turn.
 
 With k = 40 and t = 20 a pair at similarity 0.8 is missed with probability
-about 5e-6, less above. Shingles are compared by 64-bit hashes.
+about 5e-6, less above; the further coordinates allow 4.5 standard deviations (3e-6).
+Shingles are compared by 64-bit hashes.
 
 Defined cases: NULL, empty and blank texts have the empty set; rows that repeat
 a doc_id are each judged by their own text; rows without a doc_id are linked
@@ -37,14 +41,25 @@ from armlens.llm.common import small_batches, staged
 
 K, T = 40, 20
 PREFIX = K - T + 1
-LONG = 64          # members from which a list is long
+LONG = 16          # members from which a list is long
 CACHE = 400_000    # words whose hash a worker remembers
-BLOCK = 1024       # members compared with a whole long list at a time
+LIKELY = 28        # agreeing coordinates of a likely pair
+LEADERS = 2        # members of a long list that are compared with all others at first
+BLOCK = 1024       # members of a long list compared with as many others at a time
+FINE = 384         # further coordinates, a byte each, for members of long lists
 
 _rng = np.random.default_rng(20)
 _PLACES = _rng.integers(0, 2**63, 16, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _FLIPS = _rng.integers(0, 2**63, K, dtype=np.uint64)
 _TURNS = _rng.integers(0, 2**63, K, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+_FINE_FLIPS = _rng.integers(0, 2**32, FINE, dtype=np.uint32)
+_FINE_TURNS = _rng.integers(0, 2**31, FINE, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
+
+
+def needed(coordinates: int, percent: int) -> int:
+    """Agreeing coordinates that a pair at the similarity falls short of only 4.5 deviations below its mean."""
+    p = percent / 100
+    return int(coordinates * p - 4.5 * (coordinates * p * (1 - p)) ** 0.5)
 
 
 class _WordHashes(dict):
@@ -82,14 +97,23 @@ def _signature(shingles: np.ndarray) -> np.ndarray:
     return _mix(low + np.arange(K, dtype=np.uint64))
 
 
+def _fine(shingles: np.ndarray) -> bytes:
+    low = np.full(FINE, np.iinfo(np.uint32).max, np.uint32)
+    half = (shingles >> np.uint64(16)).astype(np.uint32)
+    for at in range(0, len(half), 1024):
+        part = (half[None, at:at + 1024] ^ _FINE_FLIPS[:, None]) * _FINE_TURNS[:, None]
+        np.minimum(low, part.min(axis=1), out=low)
+    return ((low * np.uint32(0x9E3779B1)) >> np.uint32(24)).astype(np.uint8).tobytes()
+
+
 def document_sets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 4) -> DataFrame:
-    """Per row: doc_id, n_shingles, digest of the set, prefix posting keys, one byte of every coordinate."""
+    """Per row: doc_id, tag (hash of the text), n_shingles, digest of the set, prefix posting keys, one byte of every coordinate, and of the further ones."""
     small_batches(docs.sparkSession)
 
     def sets(batches):
         cache = _WordHashes()
         for batch in batches:
-            n, digest, keys, marks = [], [], [], []
+            n, digest, keys, marks, fine = [], [], [], [], []
             for text in batch.column(1).to_pylist():
                 s = shingle_set(text, width, cache)
                 sig = _signature(s) if len(s) else np.zeros(K, np.uint64)
@@ -97,27 +121,32 @@ def document_sets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
                 digest.append(xxhash.xxh3_128_digest(s.tobytes()))
                 keys.append(sig[:PREFIX].view(np.int64))
                 marks.append(sig.astype(np.uint8).tobytes())
+                fine.append(_fine(s))
             flat = pa.array(np.concatenate(keys) if keys else np.empty(0, np.int64))
             offsets = pa.array(np.arange(0, (len(n) + 1) * PREFIX, PREFIX, dtype=np.int32)[:len(n) + 1])
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(2), pa.array(n, pa.int64()), pa.array(digest, pa.binary()),
-                 pa.ListArray.from_arrays(offsets, flat), pa.array(marks, pa.binary())],
-                ["doc_id", "tag", "n_shingles", "digest", "keys", "marks"])
+                 pa.ListArray.from_arrays(offsets, flat), pa.array(marks, pa.binary()),
+                 pa.array(fine, pa.binary())],
+                ["doc_id", "tag", "n_shingles", "digest", "keys", "marks", "fine"])
 
     picked = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"),
                          F.xxhash64(text_col).alias("tag"))
-    return picked.mapInArrow(sets, "doc_id long, tag long, n_shingles long, digest binary, keys array<long>, marks binary")
+    return picked.mapInArrow(sets, "doc_id long, tag long, n_shingles long, digest binary, keys array<long>, "
+                             "marks binary, fine binary")
 
 
-def _agreeing(marks, n, coordinate, left, right, percent):
+def _agreeing(marks, n, coordinate, left, right, percent, least=T, every=False):
     """Of index pairs (left, right): those whose sizes allow the similarity,
-    that agree on at least T coordinates, and whose list is among the first two
-    they share (so a pair is emitted at most a few times)."""
+    that agree on at least ``least`` coordinates, and (unless ``every``) whose
+    list is among the first two they share, so a pair is emitted a few times at most."""
     small, large = np.minimum(n[left], n[right]), np.maximum(n[left], n[right])
     ok = 100 * small >= percent * large
     left, right = left[ok], right[ok]
     same = marks[left] == marks[right]
-    ok = same.sum(axis=1) >= T
+    ok = same.sum(axis=1) >= least
+    if every:
+        return left[ok], right[ok]
     earlier = (same[:, :PREFIX] & (np.arange(PREFIX)[None, :] < coordinate[left][:, None])).sum(axis=1)
     ok &= earlier < 2
     return left[ok], right[ok]
@@ -154,7 +183,7 @@ def _starts(key):
 
 
 def _short_and_first(percent):
-    """Pairs of short lists, (first, member) pairs of long lists, and the long lists' rows."""
+    """Pairs of short lists, likely (leader, member) pairs of long lists, and the long lists' rows."""
     def run(batches):
         for table in _runs(batches):
             key, ids, n, at, marks = _columns(table)
@@ -171,10 +200,12 @@ def _short_and_first(percent):
                         lefts.append(got[0]), rights.append(got[1])
                 else:
                     for b in begin:
-                        other = np.arange(b + 1, b + s)
-                        got = _agreeing(marks, n, at, np.full(len(other), b), other, percent)
-                        lefts.append(got[0]), rights.append(got[1])
-                        long_rows.append(np.arange(b, b + s))
+                        members = np.arange(b, b + s)
+                        order = np.argsort(_mix(ids[members].view(np.uint64) ^ key[b:b + 1].view(np.uint64)))
+                        for leader in members[order[:LEADERS]]:
+                            got = _agreeing(marks, n, at, np.full(s, leader), members, percent, LIKELY, True)
+                            lefts.append(got[0]), rights.append(got[1])
+                        long_rows.append(members)
             if lefts:
                 left, right = np.concatenate(lefts), np.concatenate(rights)
                 a, b = np.minimum(ids[left], ids[right]), np.maximum(ids[left], ids[right])
@@ -183,28 +214,29 @@ def _short_and_first(percent):
                 yield _out(pairs[:, 0], pairs[:, 1])
             if long_rows:
                 rows = np.concatenate(long_rows)
-                yield _out(ids[rows], None, key[rows], n[rows], at[rows], [m.tobytes() for m in marks[rows]])
+                yield _out(ids[rows], None, key[rows], n[rows], at[rows])
     return run
 
 
-def _out(a, b, key=None, n=None, at=None, marks=None):
+def _out(a, b, key=None, n=None, at=None):
     size = len(a)
-    gap = lambda kind: pa.nulls(size, kind)
+    put = lambda v, kind: pa.nulls(size, kind) if v is None else pa.array(v, kind)
     return pa.RecordBatch.from_arrays(
-        [pa.array(a, pa.int64()), gap(pa.int64()) if b is None else pa.array(b, pa.int64()),
-         gap(pa.int64()) if key is None else pa.array(key, pa.int64()),
-         gap(pa.int32()) if n is None else pa.array(n, pa.int32()),
-         gap(pa.int32()) if at is None else pa.array(at, pa.int32()),
-         gap(pa.binary()) if marks is None else pa.array(marks, pa.binary())],
-        ["a", "b", "key", "n", "at", "marks"])
+        [put(a, pa.int64()), put(b, pa.int64()), put(key, pa.int64()), put(n, pa.int32()), put(at, pa.int32())],
+        ["a", "b", "key", "n", "at"])
 
 
 def _across(percent):
-    """Pairs of a long list whose members are in different components."""
+    """Pairs of a cut long list whose members are in different components, whose
+    first shared list this is, and whose further coordinates agree often enough."""
+    first, least = needed(64, percent), needed(FINE, percent)
+
     def run(batches):
         for table in _runs(batches):
-            key, ids, n, at, marks = _columns(table)
-            comp = table.column("comp").to_numpy()
+            key, ids, n, at = (table.column(c).to_numpy() for c in ("key", "id", "n", "at"))
+            comp, own = table.column("comp").to_numpy(), table.column("own").to_numpy(zero_copy_only=False)
+            fine = np.frombuffer(b"".join(table.column("fine").to_pylist()), np.uint8).reshape(-1, FINE)
+            keys = np.array(table.column("keys").to_pylist(), np.int64).reshape(-1, PREFIX)
             for b, s in zip(*_starts(key)):
                 rows = np.arange(b, b + s)
                 if len(np.unique(comp[rows])) < 2:
@@ -213,18 +245,28 @@ def _across(percent):
                     block = rows[x:x + BLOCK]
                     for y in range(x, int(s), BLOCK):
                         other = rows[y:y + BLOCK]
-                        apart = comp[block][:, None] != comp[other][None, :]
+                        apart = (comp[block][:, None] != comp[other][None, :]) & (own[block][:, None] | own[other][None, :])
                         if x == y:
                             apart &= np.triu(np.ones(apart.shape, bool), 1)
                         i, j = np.nonzero(apart)
-                        for z in range(0, len(i), 400_000):
-                            l, r = _agreeing(marks, n, at, block[i[z:z + 400_000]], other[j[z:z + 400_000]], percent)
-                            if len(l):
+                        i, j = block[i], other[j]
+                        ok = 100 * np.minimum(n[i], n[j]) >= percent * np.maximum(n[i], n[j])
+                        i, j = i[ok], j[ok]
+                        for z in range(0, len(i), 50_000):
+                            l, r = i[z:z + 50_000], j[z:z + 50_000]
+                            ok = (fine[l, :64] == fine[r, :64]).sum(axis=1) >= first
+                            l, r = l[ok], r[ok]
+                            ok = (fine[l] == fine[r]).sum(axis=1) >= least
+                            l, r = l[ok], r[ok]
+                            before = np.arange(PREFIX)[None, :] < at[l][:, None]
+                            ok = ~((keys[l] == keys[r]) & before).any(axis=1)
+                            if ok.any():
+                                l, r = l[ok], r[ok]
                                 yield _out(np.minimum(ids[l], ids[r]), np.maximum(ids[l], ids[r]))
     return run
 
 
-_OUT = "a long, b long, key long, n int, at int, marks binary"
+_OUT = "a long, b long, key long, n int, at int"
 
 
 def confirmed(pairs: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame:
@@ -288,13 +330,15 @@ def components(links: DataFrame, name: str = "components", rounds: int = 60) ->
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 4,
                     percent: int = 80) -> DataFrame:
-    """Per row of ``docs``: doc_id, n_shingles, component_id, kept."""
+    """Per row of ``docs``: doc_id, tag (hash of the text), n_shingles, component_id, kept (``percent`` 80 or more)."""
+    if percent < 80:
+        raise ValueError("the coordinates are laid out for similarities of 0.8 and more")
     spark = docs.sparkSession
     own = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     sets = staged(document_sets(own, width=width), "near-sets")
     classes = (sets.filter("doc_id is not null and n_shingles > 0").groupBy("digest")
                .agg(F.min("doc_id").alias("id"), F.first("n_shingles").cast("int").alias("n"),
-                    F.first("keys").alias("keys"), F.first("marks").alias("marks")))
+                    F.first("keys").alias("keys"), F.first("marks").alias("marks"), F.first("fine").alias("fine")))
     # name of every set, by a join that can split a set held by many documents
     names = staged(classes, "near-classes")
     postings = names.select("id", "n", "marks", F.posexplode("keys").alias("at", "key"))
@@ -307,13 +351,15 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     long_rows = found.filter("key is not null")
     if not long_rows.isEmpty():
         comps = staged(comps, "near-first")
-        # sizes within a factor of 100 / percent fall in the same or in neighbouring classes of size
+        # sizes within a factor of 100 / percent fall in the same or in neighbouring bands
         band = F.floor(F.log("n") / F.lit(float(np.log(100 / percent)))).cast("long")
-        rows = (long_rows.select(F.col("a").alias("id"), "key", "n", "at", "marks")
+        sides = F.explode(F.array(*[F.struct((band + d).alias("band"), F.lit(d == 0).alias("own")) for d in (0, 1)]))
+        rows = (long_rows.select(F.col("a").alias("id"), "key", "n", "at")
                 .join(comps, F.col("id") == F.col("node"), "left")
-                .select(F.explode(F.array(band, band + 1)).alias("band"), "key", "id", "n", "at", "marks",
+                .join(names.select("id", "keys", "fine"), "id")
+                .select(sides.alias("side"), "key", "id", "n", "at", "keys", "fine",
                         F.coalesce("comp", "id").alias("comp")))
-        rest = (rows.select(F.xxhash64("key", "band").alias("key"), "id", "n", "at", "marks", "comp")
+        rest = (rows.select(F.xxhash64("key", "side.band").alias("key"), "side.own", "id", "n", "at", "keys", "fine", "comp")
                 .repartition(parts, "key").sortWithinPartitions("key", "n", "id")
                 .mapInArrow(_across(percent), _OUT).select("a", "b").dropDuplicates(["a", "b"])
                 .join(candidates, ["a", "b"], "left_anti"))
