@@ -1,8 +1,9 @@
 """Quality rules by a hashed n-gram likelihood ratio (operator 6, DataFrame functions only).
 
 Two multinomials over ``BUCKETS`` hashed words and word pairs: the trusted one
-counts the documents that ``labels`` marks with quality 1, the raw one counts
-every document. A document's score is the sum of ``log(trusted / raw)`` over its
+is fitted on the documents that ``labels`` marks with quality 1 (a seeded sample
+of about ``TRUSTED_DOCS`` of them, if they are more), the raw one counts every
+document. A document's score is the sum of ``log(trusted / raw)`` over its
 n-grams divided by their number; it is kept when the score reaches
 ``min_score`` and it passes the base rules (enough words, few words inside
 five-word windows that repeat in the text).
@@ -28,6 +29,7 @@ from armlens.llm.common import staged, words
 
 BUCKETS = 1 << 16
 PRIOR = 4.0
+TRUSTED_DOCS = 50_000
 WINDOW = 5
 SYMBOLS = r"([#*$%&|<>])"  # fixed value of the base rule
 
@@ -85,12 +87,17 @@ def _hashed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return split.select("doc_id", "text", "ws", F.transform("ws", lambda w: F.xxhash64(w)).alias("h"))
 
 
-def log_ratios(docs: DataFrame, trusted: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> list:
+def log_ratios(docs: DataFrame, trusted: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+               most: int = TRUSTED_DOCS) -> list:
     """``log(trusted / raw)`` of every bucket; ``trusted``: distinct doc_id. Trusted
     counts and those expected from the raw share get ``PRIOR`` counts each, so a
     bucket that was hardly seen says nothing."""
+    count = trusted.count()
+    if count > most:  # a seeded sample of about ``most`` ids, so the broadcast has a fixed size
+        seeded = F.pmod(F.xxhash64("doc_id", F.lit("trusted")), F.lit(1 << 30))
+        trusted = trusted.filter(seeded < int((1 << 30) * most / count))
     flagged = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).join(
-        trusted.select(F.col("doc_id"), F.lit(1).cast("bigint").alias("good")), "doc_id", "left")
+        F.broadcast(trusted.select(F.col("doc_id"), F.lit(1).cast("bigint").alias("good"))), "doc_id", "left")
     grams = flagged.select(F.coalesce("good", F.lit(0)).alias("good"), words(F.col("text")).alias("ws")).select(
         "good", F.transform("ws", lambda w: F.xxhash64(w)).alias("h"))
     counts = grams.select("good", F.explode(n_grams(F.col("h"))).alias("bucket")).groupBy("bucket").agg(
