@@ -5,8 +5,10 @@
    one longer document) becomes one row: its distinct pieces, and every text as
    numbers into them.
 2. Spark higher-order functions fold the ranked merges over the bytes of every
-   distinct piece of the row, with the rank map as a literal. No shuffle: a
-   piece is encoded once for each chunk it occurs in, whatever its frequency.
+   distinct piece of the row, with the rank map as a literal. No shuffle of
+   texts. Pieces that are tokens need no fold, and the ``COMMON`` most frequent
+   pieces of a sample of documents are folded once beforehand: a cache that saves
+   work and changes no result, every other piece is folded in its chunk.
 3. Texts are put together from the encoded pieces, and decoded by concatenating
    the binary pieces of their ids (Arrow stage).
 
@@ -18,19 +20,21 @@ from __future__ import annotations
 
 import base64
 import hashlib
-import json
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
 import regex
-import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from armlens.llm.common import small_batches
+from armlens.llm.common import small_batches, staged
 
 NO_RANK = 2 ** 31 - 1
-SLOTS = 1 << 16
+ID_BITS = 17
+ID_MASK = (1 << ID_BITS) - 1
+SIZES = (300_007, 350_003)  # places of the two halves of the rank map
+COMMON = 300_000            # frequent pieces that every task knows
 CHUNK_CHARS = 32_000_000
 
 
@@ -40,83 +44,125 @@ def read_ranks(path: str) -> dict[bytes, int]:
         return {base64.b64decode(token): int(rank) for token, rank in (line.split() for line in f if line.strip())}
 
 
-def rank_literal(ranks: dict[bytes, int]) -> Column:
-    """The rank map as one literal: ``SLOTS`` small maps from token bytes (in
-    hexadecimal) to rank, addressed by a hash, so a lookup reads one short map."""
-    slots: list[dict[str, int]] = [{} for _ in range(SLOTS)]
-    for token, rank in ranks.items():
-        key = token.hex().upper()
-        slots[xxhash.xxh64_intdigest(key.encode(), 42) & (SLOTS - 1)][key] = rank
-    return F.from_json(F.lit(json.dumps(slots, separators=(",", ":"))), "array<map<string,int>>")
+def pair_ranks(ranks: dict[bytes, int]) -> dict[tuple[int, int], int]:
+    """(id, id) -> id of the joined bytes, for every way to cut a token into two tokens."""
+    return {(ranks[token[:k]], ranks[token[k:]]): rank for token, rank in ranks.items()
+            for k in range(1, len(token)) if token[:k] in ranks and token[k:] in ranks}
 
 
-def merged_ids(piece: Column, table: Column) -> Column:
-    """Token ids of one piece: ranked merges folded over its bytes.
+def rank_literal(pairs: dict[tuple[int, int], int]) -> list[Column]:
+    """The rank map as two literals (arrays after constant folding): an entry
+    holds ``pair << ID_BITS | rank`` and stands in the first array at pair mod
+    ``SIZES[0]`` or in the second at pair mod ``SIZES[1]``."""
+    slots = [[-1] * n for n in SIZES]
+    for (left, right), rank in pairs.items():
+        entry, side = (left << ID_BITS | right) << ID_BITS | rank, 0
+        for _ in range(500):  # cuckoo hashing: an entry that is pushed out moves to its other place
+            at = (entry >> ID_BITS) % SIZES[side]
+            entry, slots[side][at] = slots[side][at], entry
+            if entry < 0:
+                break
+            side = 1 - side
+        else:
+            raise ValueError("too many merges for the table")
+    return [F.split(F.lit(",".join(map(str, t))), ",").cast("array<bigint>") for t in slots]
 
-    State: the parts, and for each part the rank of joining it to the next.
-    A step joins the leftmost pair of the lowest rank and looks up its two new
-    neighbours; without a joinable pair the state stays."""
-    return F.transform(F.array(table), lambda t: _fold(piece, t))[0]
 
+def merged_ids(piece: Column, byte_ids: Column, tables: list[Column]) -> Column:
+    """Token ids of one piece: ranked merges folded over the ids of its bytes.
 
-def _fold(piece: Column, table: Column) -> Column:
-    def rank(token):
-        slot = F.xxhash64(token).bitwiseAND(SLOTS - 1).cast("int")
-        return F.get(table, slot)[token]
+    State: the ids, and for each the rank of joining it to the next. A step
+    joins the leftmost pair of the lowest rank and looks up its two new
+    neighbours; without a joinable pair the state stays."""
+    def rank(left, right):
+        pair = F.shiftleft(left.cast("bigint"), ID_BITS).bitwiseOR(right.cast("bigint"))
+        found = [F.get(t, (pair % n).cast("int")) for t, n in zip(tables, SIZES)]
+        return F.when(F.shiftright(found[0], ID_BITS) == pair, found[0].bitwiseAND(ID_MASK).cast("int")).when(
+            F.shiftright(found[1], ID_BITS) == pair, found[1].bitwiseAND(ID_MASK).cast("int")).otherwise(NO_RANK)
+
+    def step(s, _):
+        low = F.array_min(s["ranks"])
+
+        def join(p):  # p: place of the pair, from 1; its rank is the id of the joined bytes
+            left = F.when(p > 1, F.array(rank(F.get(s["ids"], p - 2), low))).otherwise(F.array().cast("array<int>"))
+            after = F.get(s["ids"], p + 1)
+            right = F.when(after.isNull(), F.lit(NO_RANK)).otherwise(rank(low, after))
+            size = F.size(s["ids"])
+            return F.struct(
+                F.concat(F.slice(s["ids"], F.lit(1), p - 1), F.array(low), F.slice(s["ids"], p + 2, size)).alias("ids"),
+                F.concat(F.slice(s["ranks"], F.lit(1), F.greatest(p - 2, F.lit(0))), left, F.array(right),
+                         F.slice(s["ranks"], p + 2, size)).alias("ranks"))
+
+        at = F.array_position(s["ranks"], low).cast("int")
+        return F.when(low == NO_RANK, s).otherwise(F.transform(F.array(at), join)[0])
+
+    def fold(ids):
+        n = F.size(ids)
+        joins = F.transform(ids, lambda x, i: F.when(i + 1 < n, rank(x, F.get(ids, i + 1))).otherwise(NO_RANK))
+        steps = F.when(n > 1, F.sequence(F.lit(2), n)).otherwise(F.array().cast("array<int>"))
+        return F.aggregate(steps, F.struct(ids.alias("ids"), joins.alias("ranks")), step)["ids"]
 
-    hexed = F.hex(F.encode(piece, "UTF-8"))
+    return F.transform(F.array(_bytes(piece, byte_ids)), fold)[0]
 
-    def fold(h):
-        n = F.floor(F.length(h) / 2).cast("int")
-        single = F.transform(F.sequence(F.lit(1), n), lambda i: F.substring(h, i * 2 - 1, F.lit(2)))
-        joins = F.transform(F.sequence(F.lit(1), n), lambda i: F.when(
-            i < n, F.coalesce(rank(F.substring(h, i * 2 - 1, F.lit(4))), F.lit(NO_RANK))).otherwise(F.lit(NO_RANK)))
-        start = F.struct(single.alias("parts"), joins.alias("ranks"))
 
-        def step(s, _):
-            low = F.array_min(s["ranks"])
+def _bytes(piece: Column, byte_ids: Column) -> Column:
+    """Ids of the bytes of a piece (ids of the 256 single-byte tokens in ``byte_ids``)."""
+    raw = F.encode(piece, "UTF-8")
+    n = F.octet_length(raw)
+    every = F.transform(F.array(raw), lambda r: F.transform(F.sequence(F.lit(1), F.octet_length(r)), lambda i: F.get(
+        byte_ids, F.conv(F.hex(F.substring(r, i, F.lit(1))), 16, 10).cast("int"))))[0]
+    return F.when(n > 0, every).otherwise(F.array().cast("array<int>"))
 
-            def join(p):
-                whole = F.concat(F.get(s["parts"], p - 1), F.get(s["parts"], p))
-                size = F.size(s["parts"])
-                left = F.when(p > 1, F.array(F.coalesce(rank(F.concat(F.get(s["parts"], p - 2), whole)), F.lit(NO_RANK))))
-                right = F.coalesce(rank(F.concat(whole, F.get(s["parts"], p + 1))), F.lit(NO_RANK))
-                return F.struct(
-                    F.concat(F.slice(s["parts"], F.lit(1), p - 1), F.array(whole), F.slice(s["parts"], p + 2, size)).alias("parts"),
-                    F.concat(F.slice(s["ranks"], F.lit(1), F.greatest(p - 2, F.lit(0))),
-                             F.coalesce(left, F.array().cast("array<int>")), F.array(right),
-                             F.slice(s["ranks"], p + 2, size)).alias("ranks"))
 
-            at = F.array_position(s["ranks"], low).cast("int")
-            return F.when(low == NO_RANK, s).otherwise(F.transform(F.array(at), join)[0])
+def _piece_counts(pattern: str):
+    cut = regex.compile(pattern).findall
 
-        steps = F.when(n > 1, F.sequence(F.lit(2), n)).otherwise(F.array().cast("array<int>"))
-        return F.when(n == 0, F.array().cast("array<int>")).otherwise(F.coalesce(
-            F.when(rank(h).isNotNull(), F.array(rank(h))),
-            F.transform(F.aggregate(steps, start, step)["parts"], rank)))
+    def run(batches):
+        held = Counter()
+        for batch in batches:
+            for text in batch.column(0).to_pylist():
+                held.update(cut(text) if text else ())
+        if held:
+            yield pa.RecordBatch.from_arrays([pa.array(list(held.keys()), pa.string()),
+                                              pa.array(list(held.values()), pa.int64())], ["piece", "n"])
 
-    return F.transform(F.array(hexed), fold)[0]
+    return run
 
 
-def _chunks(pattern: str, chunk_chars: int):
+def _chunks(pattern: str, chunk_chars: int, shipped):
     cut = regex.compile(pattern).findall
 
     def run(batches):
-        names, numbers, pieces, held = [], [], {}, 0
+        direct, common = shipped.value  # whole tokens, and frequent pieces with their ids
+        names, numbers, known, new, pieces, held = [], [], [], [], {}, 0
 
         def row():
             return pa.RecordBatch.from_arrays(
                 [pa.array([names], pa.list_(pa.int64())), pa.array([numbers], pa.list_(pa.binary())),
-                 pa.array([list(pieces)], pa.list_(pa.string()))], ["names", "numbers", "pieces"])
+                 pa.array([known], pa.list_(pa.binary())), pa.array([new], pa.list_(pa.string()))],
+                ["names", "numbers", "known", "pieces"])
+
+        def number(piece):
+            token = direct.get(piece)
+            ids = common.get(piece) if token is None else np.array([token], np.int32).tobytes()
+            if ids is None:
+                new.append(piece)
+                return len(new) - 1
+            known.append(ids)
+            return -len(known)
 
         for batch in batches:
             for name, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 size = len(text) if text else 0
                 if names and held + size > chunk_chars:
                     yield row()
-                    names, numbers, pieces, held = [], [], {}, 0
-                found = cut(text) if text else []
-                at = [pieces.setdefault(p, len(pieces)) for p in found]
+                    names, numbers, known, new, pieces, held = [], [], [], [], {}, 0
+                at = []
+                for p in cut(text) if text else ():
+                    k = pieces.get(p)
+                    if k is None:
+                        pieces[p] = k = number(p)
+                    at.append(k)
                 names.append(name)
                 numbers.append(np.array(at, np.int32).tobytes())
                 held += size
@@ -134,13 +180,18 @@ def _assembled(tokens: list, with_ids: bool):
             for r in range(batch.num_rows):
                 names = batch.column("names")[r].as_py()
                 pieces = batch.column("encoded")[r].values
-                flat = pieces.flatten().to_numpy() if len(pieces) else np.empty(0, np.int32)
-                size = pieces.value_lengths().to_numpy().astype(np.int64) if len(pieces) else np.empty(0, np.int64)
+                given = batch.column("known")[r].as_py()
+                new = len(pieces)
+                flat = pieces.flatten().to_numpy() if new else np.empty(0, np.int32)
+                flat = np.concatenate([flat, np.frombuffer(b"".join(given), np.int32)])
+                size = np.concatenate([pieces.value_lengths().to_numpy() if new else np.empty(0, np.int64),
+                                       np.array([len(g) // 4 for g in given], np.int64)]).astype(np.int64)
                 start = np.cumsum(size) - size
                 out = {"doc_id": names, "n_tokens": [], "ids_sha256": [], "decoded_sha256": []}
                 kept = []
                 for number in batch.column("numbers")[r].values:
                     at = np.frombuffer(number.as_buffer(), np.int32)
+                    at = np.where(at < 0, new - 1 - at, at)
                     n = size[at]
                     ends = np.cumsum(n)
                     total = int(ends[-1]) if len(ends) else 0
@@ -163,7 +214,8 @@ def _assembled(tokens: list, with_ids: bool):
 
 
 def encode_documents(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text",
-                     with_ids: bool = False, chunk_chars: int = CHUNK_CHARS) -> DataFrame:
+                     with_ids: bool = False, chunk_chars: int = CHUNK_CHARS,
+                     sample_docs: int = 20_000) -> DataFrame:
     """Per row of ``docs``: doc_id, n_tokens, ids_sha256, decoded_sha256 and, ``with_ids``, the ids."""
     small_batches(docs.sparkSession)
     ranks = read_ranks(ranks_path)
@@ -171,9 +223,30 @@ def encode_documents(docs: DataFrame, ranks_path: str, pattern: str, id_col: str
     for token, rank in ranks.items():
         tokens[rank] = token
     own = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    chunks = own.mapInArrow(_chunks(pattern, chunk_chars), "names array<long>, numbers array<binary>, pieces array<string>")
-    table = rank_literal(ranks)
-    encoded = chunks.select("names", "numbers", F.transform(F.array(table), lambda t: F.transform(
-        "pieces", lambda p: _fold(p, t)))[0].alias("encoded"))
+    byte_ids = F.array(*[F.lit(ranks[bytes([b])]) for b in range(256)])
+    tables = rank_literal(pair_ranks(ranks))
+
+    def fold(pieces):
+        return F.transform(F.array(F.struct(byte_ids.alias("b"), tables[0].alias("t"), tables[1].alias("u"))),
+                           lambda c: F.transform(pieces, lambda p: merged_ids(p, c["b"], [c["t"], c["u"]])))[0]
+
+    direct = {}
+    for token, rank in ranks.items():
+        try:
+            direct[token.decode()] = rank
+        except UnicodeDecodeError:
+            pass  # no piece of text is an incomplete character
+    # frequent pieces of a sample are folded once, so that a chunk folds only the rarer ones
+    share = F.pmod(F.xxhash64("text"), F.lit(1 << 30)) < int((1 << 30) * min(1.0, sample_docs / max(1, own.count())))
+    counts = own.filter(share).select("text").mapInArrow(_piece_counts(pattern), "piece string, n long").groupBy(
+        "piece").agg(F.sum("n").alias("n")).filter("n > 1")
+    top = staged(counts.orderBy(F.desc("n"), "piece").limit(COMMON).select("piece"), "bpe-pieces")
+    parts = max(1, int(docs.sparkSession.sparkContext.defaultParallelism))
+    lists = top.repartition(parts).select(F.array("piece").alias("pieces")).select("pieces", fold(F.col("pieces"))[0].alias("ids"))
+    common = {p[0]: np.array(i, np.int32).tobytes() for p, i in lists.collect()}  # at most COMMON pieces
+    shipped = docs.sparkSession.sparkContext.broadcast((direct, common))
+    chunks = own.mapInArrow(_chunks(pattern, chunk_chars, shipped),
+                            "names array<long>, numbers array<binary>, known array<binary>, pieces array<string>")
+    encoded = chunks.select("names", "numbers", "known", fold(F.col("pieces")).alias("encoded"))
     schema = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids array<int>" * with_ids
     return encoded.mapInArrow(_assembled(tokens, with_ids), schema)
