@@ -8,7 +8,8 @@ what it leaves is shared again by weight until no target is above.
   ``BLOCK_ROWS`` each), and its blocks are permuted by a seeded hash. A target
   of q whole sizes and a rest takes every block q times, then permuted blocks
   while they fit the rest, and of the next block each permuted document that
-  still fits. So the words taken meet the target to within one document.
+  still fits, and the smallest of the others if that comes nearer. So the words
+  taken miss the target by half a document at most.
 * These draws are exact quotas of blocks for each source. A binary tree splits
   them among the output shards: at every node the left half's share of each
   source is a multivariate hypergeometric draw, made by inverting univariate
@@ -205,7 +206,14 @@ def mix(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source", tex
         return F.struct(F.when(fits, acc["left"] - d["n"]).otherwise(acc["left"]).alias("left"),
                         F.when(fits, F.concat(acc["got"], F.array(d))).otherwise(acc["got"]).alias("got"))
 
-    lists = lists.select("source_no", "block", F.aggregate("ds", start, fit)["got"]["key"].alias("got"))
+    def nearest(acc):
+        # of the others, the smallest goes in too if that comes nearer to the rest than leaving it out
+        other = F.filter("ds", lambda d: ~F.array_contains(acc["got"], d))
+        least = F.array_min(F.transform(other, lambda d: F.struct(d["n"].alias("n"), d["key"].alias("key"))))
+        return F.when(least["n"] < 2 * acc["left"], F.concat(acc["got"]["key"], F.array(least["key"]))).otherwise(acc["got"]["key"])
+
+    filled = F.transform(F.array(F.aggregate("ds", start, fit)), nearest)[0]
+    lists = lists.select("source_no", "block", filled.alias("got"))
     drawn = drawn.join(lists, ["source_no", "block"], "left")
     wholly = F.col("words") <= F.col("left")
     docs_drawn = placed.join(drawn, ["source_no", "block"]).withColumn(
