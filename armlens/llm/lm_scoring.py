@@ -44,7 +44,7 @@ BITS = 14           # hashed features: 2**BITS rows of CLASSES weights
 ROUNDS = 2
 RATE = 0.15
 BATCH = 4096        # tokens of one gradient step
-COMMON = 200_000    # tokens whose counts every task holds
+COMMON = 100_000    # tokens whose counts every task holds
 CACHE = 400_000
 
 
@@ -201,8 +201,10 @@ def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     counts = staged(token_counts(training), "lm-counts")
     total = counts.agg(F.coalesce(F.sum("c"), F.lit(0)).alias("n"), F.count(F.lit(1)).alias("v")).first()
     n_all, v_all = int(total["n"]), int(total["v"])
-    top = counts.orderBy(F.desc("c"), "token").limit(COMMON).collect()
-    common = {bytes(r["token"]): int(r["c"]) for r in top}
+    # cut in the cluster first: only the COMMON rows come to the driver
+    top = staged(counts.orderBy(F.desc("c"), "token").limit(COMMON), "lm-common").toArrow().sort_by(
+        [("c", "descending"), ("token", "ascending")])
+    common = dict(zip(top["token"].to_pylist(), top["c"].to_pylist()))
     alone = {token: k for k, token in enumerate(list(common)[:ALONE])}
     # tokens and distinct tokens of every class, over all counts
     def class_sums(batches):
