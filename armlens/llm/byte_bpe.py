@@ -34,7 +34,7 @@ NO_RANK = 2 ** 31 - 1
 ID_BITS = 17
 ID_MASK = (1 << ID_BITS) - 1
 SIZES = (300_007, 350_003)  # places of the two halves of the rank map
-COMMON = 300_000            # frequent pieces that every task knows
+COMMON = 150_000            # frequent pieces that every task knows
 CHUNK_CHARS = 32_000_000
 
 
@@ -243,7 +243,8 @@ def encode_documents(docs: DataFrame, ranks_path: str, pattern: str, id_col: str
     top = staged(counts.orderBy(F.desc("n"), "piece").limit(COMMON).select("piece"), "bpe-pieces")
     parts = max(1, int(docs.sparkSession.sparkContext.defaultParallelism))
     lists = top.repartition(parts).select(F.array("piece").alias("pieces")).select("pieces", fold(F.col("pieces"))[0].alias("ids"))
-    common = {p[0]: np.array(i, np.int32).tobytes() for p, i in lists.collect()}  # at most COMMON pieces
+    rows = lists.select(F.col("pieces")[0].alias("piece"), "ids").toArrow()  # at most COMMON pieces
+    common = {p: np.array(i, np.int32).tobytes() for p, i in zip(rows["piece"].to_pylist(), rows["ids"].to_pylist())}
     shipped = docs.sparkSession.sparkContext.broadcast((direct, common))
     chunks = own.mapInArrow(_chunks(pattern, chunk_chars, shipped),
                             "names array<long>, numbers array<binary>, known array<binary>, pieces array<string>")
