@@ -34,7 +34,7 @@ NO_RANK = 2 ** 31 - 1
 ID_BITS = 17
 ID_MASK = (1 << ID_BITS) - 1
 SIZES = (300_007, 350_003)  # places of the two halves of the rank map
-COMMON = 150_000            # frequent pieces that every task knows
+COMMON = 60_000             # frequent pieces that every task knows
 CHUNK_CHARS = 32_000_000
 
 
