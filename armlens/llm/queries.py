@@ -49,7 +49,7 @@ def op6_quality(spark, sf_dir):
 
 def op7_line_dedup(spark, sf_dir):
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
-    return line_dedup.dedup_lines(docs).select(
+    return line_dedup.dedup_passages(docs).select(
         "row.doc_id", F.col("clean").alias("text"), "n_lines", "n_removed", "n_chunks")
 
 

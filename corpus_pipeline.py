@@ -1,7 +1,7 @@
 """Corpus pipeline: documents in, token ids out.
 
 Stages, each on all that its predecessor kept: documents predicted toxic go (3),
-repeated line chunks go (7), of each near-duplicate group one document stays
+repeated line chunks and passages go (7), of each near-duplicate group one document stays
 (4, five-word shingles), sources are mixed to their target weights, documents
 repeated or left out accordingly (1), and every text is encoded to byte-level
 BPE ids and decoded again (8). All stages but the last return the columns of
@@ -28,8 +28,8 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Operator 7: repeated line chunks leave the texts; n_chars follows the text."""
-    cleaned = line_dedup.dedup_lines(docs)
+    """Operator 7: repeated line chunks and passages leave the texts; n_chars follows the text."""
+    cleaned = line_dedup.dedup_passages(docs)
     new = {"text": F.col("clean"), "n_chars": F.length("clean").cast("long")}
     return cleaned.select(*[(new[c] if c in new else F.col("row")[c]).alias(c) for c in docs.columns])
 

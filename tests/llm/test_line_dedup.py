@@ -104,3 +104,86 @@ def test_edges(make_docs, edge_rows):
     null_id = L.dedup_lines(make_docs([(None, two), (7, two)])).collect()
     assert {r["row"]["doc_id"]: r["clean"] == two for r in null_id}[7]
     assert L.dedup_lines(make_docs([])).count() == 0
+
+
+def brute_passages(rows, least=50):
+    """Per row the lines that lie in a run of several worded lines and ``least`` words which
+    occurs verbatim in an earlier document, or earlier in the same one without overlap."""
+    texts = [t.split("\n") for _, t in rows]
+    size = [[len(x.encode().split()) for x in ls] for ls in texts]
+
+    def is_passage(d, i, n):
+        w = size[d][i:i + n]
+        return sum(w) >= least and sum(x > 0 for x in w) >= 2
+
+    places = {}
+    for d, ls in enumerate(texts):  # rows in order of doc_id
+        for i, x in enumerate(ls):
+            places.setdefault(x, []).append((d, i))
+    gone = [set() for _ in rows]
+    for d, ls in enumerate(texts):
+        for i, x in enumerate(ls):
+            for e, j in places[x]:
+                if (e, j) >= (d, i):
+                    break
+                n = 0
+                while i + n < len(ls) and j + n < len(texts[e]) and ls[i + n] == texts[e][j + n] and (e < d or j + n < i):
+                    n += 1
+                if is_passage(d, i, n):
+                    gone[d] |= set(range(i, i + n))
+    return gone
+
+
+def passage_corpus(seed=7):
+    rnd = random.Random(seed)
+    line = lambda: " ".join(rnd.choices([f"w{i}" for i in range(300)], k=rnd.randint(12, 40)))
+    passages = [[line() for _ in range(n)] for n in (2, 2, 3, 3, 4, 5)]
+    passages.append([line(), "", line(), line()])
+    rows = []
+    for i in range(50):
+        body = [line() for _ in range(rnd.randint(1, 5))]
+        for _ in range(rnd.randint(0, 2)):
+            p = rnd.choice(passages)
+            a = rnd.randint(0, 1) if len(p) > 3 else 0
+            at = rnd.randint(0, len(body))
+            body[at:at] = p[a:]
+        rows.append((i, "\n".join(body)))
+    return rows
+
+
+def test_passages_of_few_lines_match_brute_force_on_runs(make_docs):
+    rows = passage_corpus()
+    lonely = [{j for j, c in enumerate(brute_marks) if c} for brute_marks in _chunk_marks(rows)]
+    gone = [a | b for a, b in zip(brute_passages(rows), lonely)]
+    want = {name: "\n".join(x for j, x in enumerate(t.split("\n")) if j not in g) for (name, t), g in zip(rows, gone)}
+    got = {r["row"]["doc_id"]: r for r in L.dedup_passages(make_docs(rows)).collect()}
+    assert {k: r["clean"] for k, r in got.items()} == want
+    assert [got[name]["n_removed"] for name, _ in rows] == [len(g) for g in gone]
+    assert sum(len(g - c) for g, c in zip(gone, lonely)) > 30  # lines that chunks leave
+
+
+def _chunk_marks(rows):
+    """Per row, for each line, whether it lies in a repeated chunk that goes."""
+    seen, out = set(), []
+    for _, text in rows:
+        marks = []
+        for lines, counts in brute_chunks(text):
+            key = "\n".join(lines)
+            marks += [counts and key in seen] * len(lines)
+            if counts:
+                seen.add(key)
+        out.append(marks)
+    return out
+
+
+def test_passage_of_two_lines_goes_whatever_stands_around_it(make_docs):
+    two = "\n".join(" ".join(f"{c}{i}" for i in range(30)) for c in "ab")
+    rows = [(i, f"start {i}\n{two}\nend {i}") for i in range(12)]
+    got = {r["row"]["doc_id"]: r["clean"] for r in L.dedup_passages(make_docs(rows)).collect()}
+    assert got == {0: rows[0][1]} | {i: f"start {i}\nend {i}" for i in range(1, 12)}
+
+
+def test_overlapping_repeats_keep_the_first_whole(make_docs):
+    x = " ".join(f"w{i}" for i in range(30))
+    got = L.dedup_passages(make_docs([(1, "\n".join([x] * 3)), (2, "\n".join(["other", x, x]))])).collect()
+    assert {r["row"]["doc_id"]: r["clean"] for r in got} == {1: "\n".join([x] * 3), 2: "other"}
