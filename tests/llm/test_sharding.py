@@ -52,3 +52,30 @@ def test_written_shards_hold_everything_in_slot_order(spark, make_docs, small_te
     back = spark.read.parquet(str(tmp_path / "shards"))
     assert back.count() == len(small_texts)
     assert Counter(r["shard"] for r in back.collect()) == Counter({s: len(small_texts) // 4 for s in range(4)})
+
+
+def test_query_reports_on_written_shards_of_whole_rows(spark):
+    import os
+    from urllib.parse import urlparse
+
+    from armlens.llm.queries import op10_sharding
+    from armlens.session import ensure_checkpoint_dir
+    root = os.path.join(urlparse(ensure_checkpoint_dir(spark)).path, "llm")
+    listed = lambda: {f for f in os.listdir(root) if f.startswith("shards-")} if os.path.isdir(root) else set()
+    before = listed()
+    got = op10_sharding(spark, "/root/testdata/sf0.001").collect()
+    new = listed() - before
+    assert len(new) == 1
+    back = spark.read.parquet(os.path.join(root, new.pop()))
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    assert set(docs.columns) <= set(back.columns)
+    assert sorted(map(str, back.select(docs.columns).collect())) == sorted(map(str, docs.collect()))
+    where = {r["doc_id"]: (r["shard"], r["slot"]) for r in back.collect()}
+    assert where == {r["doc_id"]: (r["shard"], r["slot"]) for r in got}
+
+
+def test_buckets_follow_bytes_as_well_as_rows(spark):
+    df = spark.createDataFrame([(i, "x" * 10_000) for i in range(40)], "i long, t string")
+    assert S.bucket_count(df, 512, 100_000) == 5 and S.bucket_count(df, 8, 1 << 40) == 5
+    got = S.shuffled_ranks(df, bucket_bytes=50_000).collect()
+    assert sorted(r["rank"] for r in got) == list(range(40)) and {r["i"] for r in got} == set(range(40))
