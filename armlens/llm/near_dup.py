@@ -12,12 +12,16 @@ is empty and linked with nothing). Two documents link when
 3. A list is a run of sorted rows. Short lists emit the pairs that agree on
    ``t`` coordinates. Long lists first emit only likely pairs with a few leading
    members (a seeded choice, another in every list), so a group of n near copies
-   costs some n pairs, not n * n.
+   costs some n pairs, not n * n. Lists of more than ``PART`` members are dealt
+   into parts with leaders of their own, other parts at every coordinate.
 4. Candidates are confirmed on full shingle sets; confirmed links give
    components; the long lists, cut by set size, then emit only pairs whose
    members are still in different components (skip rule), whose ``FINE`` further
    coordinates agree often enough, and which share no earlier list; these are
-   confirmed in turn.
+   confirmed in turn. A list within one component is dropped before its rows
+   are shuffled; of any other the rows outside its largest component meet all
+   rows, in blocks of about ``BLOCK`` by ``BLOCK`` that tasks share, so no task
+   holds a list.
 
 With k = 40 and t = 20 a pair at similarity 0.8 is missed with probability
 about 5e-6, less above; the further coordinates allow 4.5 standard deviations (3e-6).
@@ -45,6 +49,7 @@ LONG = 16          # members from which a list is long
 CACHE = 400_000    # words whose hash a worker remembers
 LIKELY = 28        # agreeing coordinates of a likely pair
 LEADERS = 2        # members of a long list that are compared with all others at first
+PART = 4096        # members of a list that one task reads at first
 BLOCK = 1024       # members of a long list compared with as many others at a time
 FINE = 384         # further coordinates, a byte each, for members of long lists
 
@@ -187,6 +192,7 @@ def _short_and_first(percent):
     def run(batches):
         for table in _runs(batches):
             key, ids, n, at, marks = _columns(table)
+            lists = table.column("list").to_numpy()
             edge, size = _starts(key)
             lefts, rights, long_rows = [], [], []
             for s in np.unique(size[size > 1]):
@@ -214,7 +220,7 @@ def _short_and_first(percent):
                 yield _out(pairs[:, 0], pairs[:, 1])
             if long_rows:
                 rows = np.concatenate(long_rows)
-                yield _out(ids[rows], None, key[rows], n[rows], at[rows])
+                yield _out(ids[rows], None, lists[rows], n[rows], at[rows])
     return run
 
 
@@ -226,8 +232,37 @@ def _out(a, b, key=None, n=None, at=None):
         ["a", "b", "key", "n", "at"])
 
 
+def dealt(postings: DataFrame) -> DataFrame:
+    """``postings`` with ``list`` (their key) and as ``key`` the part of the list that
+    one task reads: the list itself up to ``PART`` members, else a seeded share of it."""
+    hot = staged(postings.groupBy("key").agg(F.count(F.lit(1)).alias("m")).filter(F.col("m") > PART), "near-hot")
+    parts = F.ceil(F.col("m") / PART).cast("bigint")
+    part = F.xxhash64("key", F.pmod(F.xxhash64("id", "key"), parts))
+    return postings.join(hot, "key", "left").withColumn("list", F.col("key")).withColumn(
+        "key", F.when(F.col("m").isNotNull(), part).otherwise(F.col("key"))).drop("m")
+
+
+def open_blocks(members: DataFrame) -> DataFrame:
+    """Rows (key, own, id, n, at, comp) of cut lists -> the comparisons still to make:
+    ``key`` is a block of about ``BLOCK`` members (``left`` false) and as many rows outside
+    the list's largest component (``left`` true). Lists within one component are gone."""
+    sized = members.groupBy("key", "comp").agg(F.count(F.lit(1)).alias("c"), F.max("own").alias("own"))
+    lists = staged(sized.groupBy("key").agg(F.max(F.struct("c", "comp")).alias("top"), F.sum("c").alias("m"), F.max("own").alias("any"))
+                   .filter((F.col("m") > F.col("top.c")) & F.col("any"))
+                   .select("key", F.col("top.comp").alias("most"), F.ceil((F.col("m") - F.col("top.c")) / BLOCK).cast("bigint").alias("nx"),
+                           F.ceil(F.col("m") / BLOCK).cast("bigint").alias("ny")), "near-open")
+    rows = members.join(lists, "key").withColumn("outside", F.col("comp") != F.col("most"))
+    nx, ny, zero = F.col("nx"), F.col("ny"), F.lit(0).cast("bigint")
+    x, y = F.pmod(F.xxhash64("id", "key", F.lit(1)), nx), F.pmod(F.xxhash64("id", "key", F.lit(2)), ny)
+    as_member = F.transform(F.sequence(zero, nx - 1), lambda k: F.struct(k.alias("x"), y.alias("y"), F.lit(False).alias("left")))
+    as_left = F.transform(F.sequence(zero, ny - 1), lambda k: F.struct(x.alias("x"), k.alias("y"), F.lit(True).alias("left")))
+    places = F.when(F.col("outside"), F.concat(as_member, as_left)).otherwise(as_member)
+    return rows.select(F.explode(places).alias("p"), "key", "own", "id", "n", "at", "comp", "outside").select(
+        F.xxhash64("key", "p.x", "p.y").alias("key"), "p.left", "own", "id", "n", "at", "comp", "outside")
+
+
 def _across(percent):
-    """Pairs of a cut long list whose members are in different components, whose
+    """Pairs of a block of a cut long list whose members are in different components, whose
     first shared list this is, and whose further coordinates agree often enough."""
     first, least = needed(64, percent), needed(FINE, percent)
 
@@ -237,17 +272,17 @@ def _across(percent):
             comp, own = table.column("comp").to_numpy(), table.column("own").to_numpy(zero_copy_only=False)
             fine = np.frombuffer(b"".join(table.column("fine").to_pylist()), np.uint8).reshape(-1, FINE)
             keys = np.array(table.column("keys").to_pylist(), np.int64).reshape(-1, PREFIX)
+            outside, left = (table.column(c).to_numpy(zero_copy_only=False) for c in ("outside", "left"))
             for b, s in zip(*_starts(key)):
                 rows = np.arange(b, b + s)
-                if len(np.unique(comp[rows])) < 2:
-                    continue
-                for x in range(0, int(s), BLOCK):
-                    block = rows[x:x + BLOCK]
-                    for y in range(x, int(s), BLOCK):
-                        other = rows[y:y + BLOCK]
+                lefts, members = rows[left[rows]], rows[~left[rows]]
+                for x in range(0, len(lefts), BLOCK):
+                    block = lefts[x:x + BLOCK]
+                    for y in range(0, len(members), BLOCK):
+                        other = members[y:y + BLOCK]
                         apart = (comp[block][:, None] != comp[other][None, :]) & (own[block][:, None] | own[other][None, :])
-                        if x == y:
-                            apart &= np.triu(np.ones(apart.shape, bool), 1)
+                        # two rows outside the largest component meet twice
+                        apart &= ~outside[other][None, :] | (ids[block][:, None] < ids[other][None, :])
                         i, j = np.nonzero(apart)
                         i, j = block[i], other[j]
                         ok = 100 * np.minimum(n[i], n[j]) >= percent * np.maximum(n[i], n[j])
@@ -343,7 +378,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     names = staged(classes, "near-classes")
     postings = names.select("id", "n", "marks", F.posexplode("keys").alias("at", "key"))
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    found = staged(postings.select("key", "id", "n", "at", "marks").repartition(parts, "key")
+    found = staged(dealt(postings.select("key", "id", "n", "at", "marks")).repartition(parts, "key")
                    .sortWithinPartitions("key", "n", "id").mapInArrow(_short_and_first(percent), _OUT), "near-lists")
     candidates = staged(found.filter("key is null").select("a", "b").dropDuplicates(["a", "b"]), "near-pairs")
     links = staged(confirmed(candidates, own, width, percent), "near-links")
@@ -354,12 +389,12 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         # sizes within a factor of 100 / percent fall in the same or in neighbouring bands
         band = F.floor(F.log("n") / F.lit(float(np.log(100 / percent)))).cast("long")
         sides = F.explode(F.array(*[F.struct((band + d).alias("band"), F.lit(d == 0).alias("own")) for d in (0, 1)]))
-        rows = (long_rows.select(F.col("a").alias("id"), "key", "n", "at")
-                .join(comps, F.col("id") == F.col("node"), "left")
-                .join(names.select("id", "keys", "fine"), "id")
-                .select(sides.alias("side"), "key", "id", "n", "at", "keys", "fine",
-                        F.coalesce("comp", "id").alias("comp")))
-        rest = (rows.select(F.xxhash64("key", "side.band").alias("key"), "side.own", "id", "n", "at", "keys", "fine", "comp")
+        members = staged(long_rows.select(F.col("a").alias("id"), "key", "n", "at")
+                         .join(comps, F.col("id") == F.col("node"), "left")
+                         .select(sides.alias("side"), "key", "id", "n", "at", F.coalesce("comp", "id").alias("comp"))
+                         .select(F.xxhash64("key", "side.band").alias("key"), "side.own", "id", "n", "at", "comp"),
+                         "near-members")
+        rest = (open_blocks(members).join(names.select("id", "keys", "fine"), "id")
                 .repartition(parts, "key").sortWithinPartitions("key", "n", "id")
                 .mapInArrow(_across(percent), _OUT).select("a", "b").dropDuplicates(["a", "b"])
                 .join(candidates, ["a", "b"], "left_anti"))

@@ -94,3 +94,50 @@ def test_components(spark):
     links = spark.createDataFrame([(i, i + 1) for i in range(1, 40)] + [(100, 101), (101, 102), (7, 7)], "a long, b long")
     got = {r["node"]: r["comp"] for r in near_dup.components(links).collect()}
     assert all(got[i] == 1 for i in range(1, 41)) and got[102] == 100 and got[100] == 100
+
+
+def near_copies(n, edits, seed, words=400, length=80):
+    rnd = random.Random(seed)
+    names = [f"w{i}" for i in range(words)]
+    base = rnd.choices(names, k=length)
+    out = []
+    for _ in range(n):
+        text = list(base)
+        for _ in range(rnd.randint(*edits)):
+            text[rnd.randrange(length)] = rnd.choice(names)
+        out.append(" ".join(text))
+    return out
+
+
+@pytest.mark.parametrize("edits", [(0, 4), (2, 7)])
+def test_dealt_lists_and_shared_blocks_match_brute_force(make_docs, monkeypatch, edits):
+    monkeypatch.setattr(near_dup, "PART", 40)
+    monkeypatch.setattr(near_dup, "BLOCK", 16)
+    rows = list(enumerate(near_copies(260, edits, 5)))
+    assert result(near_dup.near_duplicates(make_docs(rows))) == brute(rows, 4, 80)
+
+
+def test_no_task_holds_a_hot_list(spark, monkeypatch):
+    monkeypatch.setattr(near_dup, "BLOCK", 16)
+    monkeypatch.setattr(near_dup, "PART", 50)
+    kind = "key long, own boolean, id long, n int, at int, comp long"
+    closed = [(1, True, i, 9, 0, 5) for i in range(400)]
+    few = [(2, True, i, 9, 0, 5 if i > 3 else i) for i in range(400)]
+    apart = [(3, True, i, 9, 0, i) for i in range(200)]
+    foreign = [(4, False, i, 9, 0, i) for i in range(50)]
+    one = lambda rows: near_dup.open_blocks(spark.createDataFrame(rows, kind)).collect()
+    assert one(closed) == [] and one(foreign) == []
+    for rows in (few, apart):
+        got, at = one(rows), {r[2]: r[5] for r in rows}
+        held, met = {}, set()
+        for r in got:
+            held.setdefault(r["key"], ([], []))[r["left"]].append(r["id"])
+        assert max(len(a) + len(b) for a, b in held.values()) <= 80
+        for members, lefts in held.values():
+            met |= {(min(a, b), max(a, b)) for a in members for b in lefts if at[a] != at[b]}
+        assert met == {(a, b) for a in at for b in at if a < b and at[a] != at[b]}
+    assert len(one(few)) < 600  # a few stragglers do not multiply the list
+    postings = spark.createDataFrame([(7, i) for i in range(500)] + [(8, i) for i in range(30)], "key long, id long")
+    parts = near_dup.dealt(postings).groupBy("list", "key").count().collect()
+    assert max(r["count"] for r in parts if r["list"] == 7) <= 90 and sum(r["count"] for r in parts) == 530
+    assert [r["key"] for r in parts if r["list"] == 8] == [8]
