@@ -1,15 +1,15 @@
 """Quality rules by a hashed n-gram likelihood ratio (operator 6, DataFrame functions only).
 
 Two multinomials over ``BUCKETS`` hashed words and word pairs: the trusted one
-is fitted on the documents that ``labels`` marks with quality 1 (a seeded sample
-of about ``TRUSTED_DOCS`` of them, if they are more), the raw one counts every
+counts every document that ``labels`` marks with quality 1, the raw one every
 document. A document's score is the sum of ``log(trusted / raw)`` over its
 n-grams divided by their number; it is kept when the score reaches
 ``min_score`` and it passes the base rules (enough words, few words inside
 five-word windows that repeat in the text).
 
 Counting reads all whole texts and pre-aggregates to at most ``BUCKETS`` rows a
-task. The table of log ratios (``BUCKETS`` numbers, a fixed size) goes into the
+task. For the trusted counts a text is reduced to its buckets, two bytes each,
+before it meets the labels in a shuffle, at every size of the input. The table of log ratios (``BUCKETS`` numbers, a fixed size) goes into the
 scoring expression as a literal. Everything runs in expressions over the words
 of one row; a repeated window is found by sorting the row's window hashes
 (64 bit), and only in texts that repeat one.
@@ -29,7 +29,6 @@ from armlens.llm.common import staged, words
 
 BUCKETS = 1 << 16
 PRIOR = 4.0
-TRUSTED_DOCS = 50_000
 WINDOW = 5
 SYMBOLS = r"([#*$%&|<>])"  # fixed value of the base rule
 
@@ -87,21 +86,20 @@ def _hashed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return split.select("doc_id", "text", "ws", F.transform("ws", lambda w: F.xxhash64(w)).alias("h"))
 
 
-def log_ratios(docs: DataFrame, trusted: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-               most: int = TRUSTED_DOCS) -> list:
+def log_ratios(docs: DataFrame, trusted: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> list:
     """``log(trusted / raw)`` of every bucket; ``trusted``: distinct doc_id. Trusted
     counts and those expected from the raw share get ``PRIOR`` counts each, so a
     bucket that was hardly seen says nothing."""
-    count = trusted.count()
-    if count > most:  # a seeded sample of about ``most`` ids, so the broadcast has a fixed size
-        seeded = F.pmod(F.xxhash64("doc_id", F.lit("trusted")), F.lit(1 << 30))
-        trusted = trusted.filter(seeded < int((1 << 30) * most / count))
-    flagged = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).join(
-        F.broadcast(trusted.select(F.col("doc_id"), F.lit(1).cast("bigint").alias("good"))), "doc_id", "left")
-    grams = flagged.select(F.coalesce("good", F.lit(0)).alias("good"), words(F.col("text")).alias("ws")).select(
-        "good", F.transform("ws", lambda w: F.xxhash64(w)).alias("h"))
-    counts = grams.select("good", F.explode(n_grams(F.col("h"))).alias("bucket")).groupBy("bucket").agg(
-        F.count(F.lit(1)).alias("raw"), F.sum("good").alias("good"))
+    grams = _hashed(docs, id_col, text_col).select("doc_id", n_grams(F.col("h")).alias("buckets"))
+    raw = grams.select(F.explode("buckets").alias("bucket")).groupBy("bucket").agg(F.count(F.lit(1)).alias("raw"))
+    # BUCKETS values fit two bytes, shifted
+    half = BUCKETS // 2
+    small = grams.filter("doc_id is not null").select(
+        "doc_id", F.transform("buckets", lambda x: (x - half).cast("smallint")).alias("buckets"))
+    good = (small.join(trusted.select("doc_id").hint("merge"), "doc_id").select(F.explode("buckets").alias("b"))
+            .groupBy("b").agg(F.count(F.lit(1)).alias("good"))
+            .select((F.col("b").cast("int") + half).alias("bucket"), "good"))
+    counts = raw.join(good, "bucket", "left").select("bucket", "raw", F.coalesce("good", F.lit(0)).alias("good"))
     counts = staged(counts, "quality-counts")  # at most BUCKETS rows
     total = counts.agg(F.coalesce(F.sum("raw"), F.lit(0)).alias("raw"), F.coalesce(F.sum("good"), F.lit(0)).alias("good"))
     sums = total.first()

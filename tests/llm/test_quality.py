@@ -90,3 +90,11 @@ def test_repeated_words_on_hand_made_rows(spark):
     h = F.transform(Q.words(F.col("t")), lambda w: F.xxhash64(w))
     got = [r[0] for r in df.select(Q.repeated_words(h)).collect()]
     assert got == [base(t)[4] for t in texts]
+
+
+def test_every_trusted_document_is_counted(spark):
+    n = 60_000
+    docs = spark.range(2 * n).select(F.col("id").alias("doc_id"), F.when(F.col("id") < n, "good words").otherwise("bad words").alias("text"))
+    ratios = Q.log_ratios(docs, spark.range(n).select(F.col("id").alias("doc_id")))
+    # half of all grams are trusted; "good" is in trusted texts only
+    assert math.isclose(max(ratios), math.log((n + Q.PRIOR) / (n / 2 + Q.PRIOR)), rel_tol=1e-9)
