@@ -2,7 +2,32 @@
 
 from __future__ import annotations
 
-ORACLES: dict[str, str] = {}
+FILL_MIDDLE = """
+WITH drawn AS (
+  SELECT doc_id, coalesce(text, '') AS t, length(coalesce(text, '')) AS n,
+         sha256('1:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h
+  FROM documents),
+placed AS (
+  SELECT doc_id, t, n, CAST('0x' || substr(h, 1, 8) AS BIGINT) % (n + 1) AS p, CAST('0x' || substr(h, 9, 8) AS BIGINT) % (n + 1) AS q,
+         CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>')
+                   OR CAST('0x' || substr(h, 17, 8) AS BIGINT) % 100 >= 90 THEN 'plain'
+              WHEN CAST('0x' || substr(h, 25, 8) AS BIGINT) % 100 < 20 THEN 'spm' ELSE 'psm' END AS form
+  FROM drawn),
+parts AS (
+  SELECT doc_id, t, n, form, least(p, q) AS a, greatest(p, q) - least(p, q) AS b, substr(t, 1, least(p, q)) AS prefix,
+         substr(t, least(p, q) + 1, greatest(p, q) - least(p, q)) AS middle, substr(t, greatest(p, q) + 1) AS suffix
+  FROM placed)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN a END AS prefix_chars,
+       CASE WHEN form <> 'plain' THEN b END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+              ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256,
+       sha256(t) AS restored_sha256
+FROM parts
+"""
+
+ORACLES: dict[str, str] = {
+    "op11_fill_middle": FILL_MIDDLE,
+}
 
 
 def oracle_queries() -> dict[str, str]:

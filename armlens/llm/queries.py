@@ -1,7 +1,7 @@
 """Registered queries of the corpus operators: ``name -> (spark, sf_dir) -> DataFrame``.
 
 Each applies one operator with its production parameters to the whole table
-and returns one digest row per document.
+and returns one digest row per document (op12: one per phrase).
 """
 
 from __future__ import annotations
@@ -9,7 +9,8 @@ from __future__ import annotations
 import public_tokenizers as tokenizers
 from pyspark.sql import functions as F
 
-from armlens.llm import byte_bpe, line_dedup, lm_scoring, mixing, near_dup, quality, sharding, token_files, topk_search, toxicity
+from armlens.llm import (byte_bpe, fill_middle, line_dedup, lm_scoring, mixing, near_dup, quality, sharding, token_files,
+                         topk_search, toxicity)
 from armlens.llm.common import read_table
 
 WORD_TOKENIZER = "word_bpe_49k.json"
@@ -68,6 +69,13 @@ def op10_sharding(spark, sf_dir):
         F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op11_fill_middle(spark, sf_dir):
+    cut = fill_middle.transform(read_table(spark, sf_dir, "documents"), keep=["doc_id"])
+    restored = fill_middle.restore(F.col("output"), F.col("form"))
+    return cut.select("row.doc_id", "n", "form", "prefix_chars", "middle_chars",
+                      F.sha2("output", 256).alias("output_sha256"), F.sha2(restored, 256).alias("restored_sha256"))
+
+
 QUERIES = {
     "op1_mixing": op1_mixing,
     "op2_token_files": op2_token_files,
@@ -79,4 +87,5 @@ QUERIES = {
     "op8_byte_bpe": op8_byte_bpe,
     "op9_topk_search": op9_topk_search,
     "op10_sharding": op10_sharding,
+    "op11_fill_middle": op11_fill_middle,
 }
