@@ -25,8 +25,41 @@ SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN a END AS prefix_chars,
 FROM parts
 """
 
+PHRASES = r"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(
+           translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+           '[.,;:!?\x0A-\x0D]')) AS piece
+  FROM documents),
+lists AS (SELECT lang, list_filter(string_split_regex(piece, '[\x20\x09]+'), lambda x: x <> '') AS w FROM pieces),
+one AS (SELECT lang, unnest(w) AS phrase FROM lists),
+two AS (SELECT lang, unnest(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) AS phrase FROM lists),
+three AS (SELECT lang, unnest(list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])) AS phrase FROM lists),
+f AS (SELECT lang, phrase, count(*) AS f FROM (FROM one UNION ALL FROM two UNION ALL FROM three) GROUP BY ALL),
+totals AS (SELECT lang, count(*) AS n FROM one GROUP BY lang),
+cand AS (SELECT lang, phrase, f AS a, string_split(phrase, ' ') AS w FROM f WHERE f >= 10 AND contains(phrase, ' ')),
+cuts AS (
+  SELECT lang, phrase, a, w, k, array_to_string(w[:k], ' ') AS x, array_to_string(w[k + 1:], ' ') AS y
+  FROM cand, (VALUES (1), (2)) v(k) WHERE k < len(w)),
+scored AS (
+  SELECT c.lang, c.phrase, c.a, c.w, c.k, l.f AS l, r.f AS r,
+         CAST(CAST(1000000 AS HUGEINT) * c.a * c.a // (CAST(l.f AS HUGEINT) * r.f) AS BIGINT) AS score
+  FROM cuts c JOIN f l ON l.lang = c.lang AND l.phrase = c.x JOIN f r ON r.lang = c.lang AND r.phrase = c.y),
+worst AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+longer AS (
+  SELECT lang, phrase, max(a) AS a FROM (
+    SELECT lang, array_to_string(w[:2], ' ') AS phrase, a FROM cand WHERE len(w) = 3
+    UNION ALL SELECT lang, array_to_string(w[2:], ' '), a FROM cand WHERE len(w) = 3) GROUP BY ALL),
+kept AS (
+  SELECT w.* FROM worst w LEFT JOIN longer g ON g.lang = w.lang AND g.phrase = w.phrase
+  WHERE g.a IS NULL OR 100 * g.a < 50 * w.a),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM kept)
+SELECT lang, rank, phrase, a, l, r, n, score FROM ranked JOIN totals USING (lang) WHERE rank <= 2000
+"""
+
 ORACLES: dict[str, str] = {
     "op11_fill_middle": FILL_MIDDLE,
+    "op12_phrases": PHRASES,
 }
 
 

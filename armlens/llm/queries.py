@@ -9,8 +9,8 @@ from __future__ import annotations
 import public_tokenizers as tokenizers
 from pyspark.sql import functions as F
 
-from armlens.llm import (byte_bpe, fill_middle, line_dedup, lm_scoring, mixing, near_dup, quality, sharding, token_files,
-                         topk_search, toxicity)
+from armlens.llm import (byte_bpe, fill_middle, line_dedup, lm_scoring, mixing, near_dup, phrases, quality, sharding,
+                         token_files, topk_search, toxicity)
 from armlens.llm.common import read_table
 
 WORD_TOKENIZER = "word_bpe_49k.json"
@@ -76,6 +76,10 @@ def op11_fill_middle(spark, sf_dir):
                       F.sha2("output", 256).alias("output_sha256"), F.sha2(restored, 256).alias("restored_sha256"))
 
 
+def op12_phrases(spark, sf_dir):
+    return phrases.mine(read_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_mixing": op1_mixing,
     "op2_token_files": op2_token_files,
@@ -88,4 +92,5 @@ QUERIES = {
     "op9_topk_search": op9_topk_search,
     "op10_sharding": op10_sharding,
     "op11_fill_middle": op11_fill_middle,
+    "op12_phrases": op12_phrases,
 }
