@@ -9,8 +9,8 @@ from __future__ import annotations
 import public_tokenizers as tokenizers
 from pyspark.sql import functions as F
 
-from armlens.llm import (byte_bpe, fill_middle, line_dedup, lm_scoring, mixing, near_dup, phrases, quality, sharding,
-                         token_files, topk_search, toxicity)
+from armlens.llm import (byte_bpe, fill_middle, line_dedup, lm_scoring, mixing, near_dup, personal_data, phrases, quality,
+                         sharding, token_files, topk_search, toxicity)
 from armlens.llm.common import read_table
 
 WORD_TOKENIZER = "word_bpe_49k.json"
@@ -80,6 +80,22 @@ def op12_phrases(spark, sf_dir):
     return phrases.mine(read_table(spark, sf_dir, "documents"))
 
 
+def personal_digest(found):
+    """Digest columns of the spans that ``personal_data.find`` returns."""
+    text = lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])
+    base = F.filter("spans", lambda s: s["base"])
+    count = lambda kind: F.size(F.filter(base, lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+    return found.select("row.doc_id", *[count(k) for k in personal_data.KINDS],
+                        F.sha2(F.array_join(F.transform(base, text), ","), 256).alias("base_sha256"),
+                        F.array_join(F.transform("spans", text), ",").alias("spans"),
+                        (F.size("spans") - F.size(base)).cast("long").alias("n_added"))
+
+
+def op13_personal_data(spark, sf_dir):
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    return personal_digest(personal_data.find(docs, personal_data.train(docs), keep=["doc_id"]))
+
+
 QUERIES = {
     "op1_mixing": op1_mixing,
     "op2_token_files": op2_token_files,
@@ -93,4 +109,5 @@ QUERIES = {
     "op10_sharding": op10_sharding,
     "op11_fill_middle": op11_fill_middle,
     "op12_phrases": op12_phrases,
+    "op13_personal_data": op13_personal_data,
 }
