@@ -86,19 +86,26 @@ def _hashed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return split.select("doc_id", "text", "ws", F.transform("ws", lambda w: F.xxhash64(w)).alias("h"))
 
 
+def bucket_counts(grams: DataFrame, name: str) -> DataFrame:
+    """How often each bucket occurs in the arrays ``buckets``. From a plain explode the optimizer derives
+    ``size(buckets) > 0`` and pushes it below the hashing, which would then hash the whole text anew for
+    every word; the outer form derives nothing."""
+    each = grams.select(F.explode_outer("buckets").alias("bucket")).filter("bucket is not null")
+    return each.groupBy("bucket").agg(F.count(F.lit(1)).alias(name))
+
+
 def log_ratios(docs: DataFrame, trusted: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> list:
     """``log(trusted / raw)`` of every bucket; ``trusted``: distinct doc_id. Trusted
     counts and those expected from the raw share get ``PRIOR`` counts each, so a
     bucket that was hardly seen says nothing."""
     grams = _hashed(docs, id_col, text_col).select("doc_id", n_grams(F.col("h")).alias("buckets"))
-    raw = grams.select(F.explode("buckets").alias("bucket")).groupBy("bucket").agg(F.count(F.lit(1)).alias("raw"))
+    raw = bucket_counts(grams, "raw")
     # BUCKETS values fit two bytes, shifted
     half = BUCKETS // 2
     small = grams.filter("doc_id is not null").select(
         "doc_id", F.transform("buckets", lambda x: (x - half).cast("smallint")).alias("buckets"))
-    good = (small.join(trusted.select("doc_id").hint("merge"), "doc_id").select(F.explode("buckets").alias("b"))
-            .groupBy("b").agg(F.count(F.lit(1)).alias("good"))
-            .select((F.col("b").cast("int") + half).alias("bucket"), "good"))
+    good = bucket_counts(small.join(trusted.select("doc_id").hint("merge"), "doc_id"), "good")
+    good = good.withColumn("bucket", F.col("bucket").cast("int") + half)
     counts = raw.join(good, "bucket", "left").select("bucket", "raw", F.coalesce("good", F.lit(0)).alias("good"))
     counts = staged(counts, "quality-counts")  # at most BUCKETS rows
     total = counts.agg(F.coalesce(F.sum("raw"), F.lit(0)).alias("raw"), F.coalesce(F.sum("good"), F.lit(0)).alias("good"))

@@ -98,3 +98,13 @@ def test_every_trusted_document_is_counted(spark):
     ratios = Q.log_ratios(docs, spark.range(n).select(F.col("id").alias("doc_id")))
     # half of all grams are trusted; "good" is in trusted texts only
     assert math.isclose(max(ratios), math.log((n + Q.PRIOR) / (n / 2 + Q.PRIOR)), rel_tol=1e-9)
+
+
+def test_counting_hashes_a_text_once(spark, make_docs):
+    """No filter on the size of the exploded array may be pushed below the hashing."""
+    docs = make_docs([(1, "a b c"), (2, None), (3, "")])
+    grams = Q._hashed(docs, "doc_id", "text").select("doc_id", Q.n_grams(F.col("h")).alias("buckets"))
+    counted = Q.bucket_counts(grams, "raw")
+    plan = counted._jdf.queryExecution().optimizedPlan().toString()
+    assert "size(" not in "".join(x for x in plan.split("\n") if "Filter" in x)
+    assert sum(r["raw"] for r in counted.collect()) == 5
