@@ -7,6 +7,7 @@ from dataclasses import dataclass, field
 
 @dataclass(frozen=True)
 class ExperimentConfig:
+    # Fixed values of the experiment definition: patterns, excluded names and ids, regions.
     # DOM-2: tests that started on/after this date and whose lower-cased name
     # matches one of the LIKE patterns, minus explicitly excluded names.
     since: str = "2022-11-28"
@@ -26,6 +27,7 @@ class ExperimentConfig:
 
 @dataclass(frozen=True)
 class InferenceConfig:
+    # Names of the KPI columns.
     # DOM-20: KPI columns summed per day, plus the distinct order count.
     kpis: tuple = (
         "actual_df_paid_by_customer", "dps_travel_time_fee_local", "gfv_local", "gmv_local",

@@ -27,10 +27,15 @@ def test_event_flag(spark):
 
 
 def test_session_group_rank_nulls_last(spark):
-    df = spark.createDataFrame([("E", 1, None), ("E", 1, 9), ("E", 1, 7), ("E", 1, 7)],
-                               "entity_id string, test_id bigint, vendor_group_id bigint")
-    out = sorted((r._group_key, r._group_rank) for r in se.session_group_rank(df).collect())
-    assert out == [(7, 1), (9, 2), (999999, 3)]
+    """Groups of all sessions of a test are ranked together; a NULL group and a session without events come last."""
+    rows = [("E", 1, [(None,), (9,)]), ("E", 1, [(7,), (7,), (9,)]), ("E", 2, []), ("E", 3, None), ("E", 4, [(5,)]), ("F", 1, [(8,)])]
+    df = spark.createDataFrame(rows, "entity_id string, test_id bigint, events array<struct<vendor_group_id:bigint>>")
+    out = {}
+    for r in se.session_group_rank(df).collect():
+        out.setdefault((r.entity_id, r.test_id), []).append((r._group_rank, r._group_key))
+    assert {k: sorted(v) for k, v in out.items()} == {
+        ("E", 1): [(1, 7), (2, 9), (3, 999999)], ("E", 2): [(1, 999999)], ("E", 3): [(1, 999999)], ("E", 4): [(1, 5)],
+        ("F", 1): [(1, 8)]}
 
 
 GA_SCHEMA = (
