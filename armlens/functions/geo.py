@@ -43,17 +43,23 @@ def point_wkt(p) -> Column:
     )
 
 
+def crosses_edge(x: Column, y: Column, ax: Column, ay: Column, bx: Column, by: Column) -> Column:
+    """A ray from (x, y) to the right crosses the edge; a NULL vertex is never crossed."""
+    at = (bx - ax) * F.try_divide(y - ay, by - ay) + ax
+    return F.coalesce(((ay > y) != (by > y)) & (x < at), F.lit(False))
+
+
+def on_edge(x: Column, y: Column, ax: Column, ay: Column, bx: Column, by: Column) -> Column:
+    """(x, y) lies on the edge."""
+    return F.coalesce(((x - ax) * (by - ay) - (y - ay) * (bx - ax) == 0)
+                      & x.between(F.least(ax, bx), F.greatest(ax, bx))
+                      & y.between(F.least(ay, by), F.greatest(ay, by)), F.lit(False))
+
+
 def _edge_flags(x: Column, y: Column):
     def flags(a, b):
-        crosses = ((a["lat"] > y) != (b["lat"] > y)) & (
-            x < (b["lon"] - a["lon"]) * F.try_divide(y - a["lat"], b["lat"] - a["lat"]) + a["lon"]
-        )
-        on_edge = (
-            ((x - a["lon"]) * (b["lat"] - a["lat"]) - (y - a["lat"]) * (b["lon"] - a["lon"]) == 0)
-            & x.between(F.least(a["lon"], b["lon"]), F.greatest(a["lon"], b["lon"]))
-            & y.between(F.least(a["lat"], b["lat"]), F.greatest(a["lat"], b["lat"]))
-        )
-        return F.struct(crosses.alias("crosses"), on_edge.alias("on_edge"))
+        ends = (a["lon"], a["lat"], b["lon"], b["lat"])
+        return F.struct(crosses_edge(x, y, *ends).alias("crosses"), on_edge(x, y, *ends).alias("on_edge"))
     return flags
 
 
@@ -70,8 +76,7 @@ def point_in_ring(ring, p) -> Column:
     edges = F.zip_with(ring, nxt, _edge_flags(x, y))
     start = F.struct(F.lit(False).alias("odd"), F.lit(False).alias("edge"))
     inside = F.aggregate(edges, start, lambda s, e: F.struct(
-        (s["odd"] != F.coalesce(e["crosses"], F.lit(False))).alias("odd"),
-        (s["edge"] | F.coalesce(e["on_edge"], F.lit(False))).alias("edge")),
+        (s["odd"] != e["crosses"]).alias("odd"), (s["edge"] | e["on_edge"]).alias("edge")),
         lambda s: s["odd"] & ~s["edge"])
     return (
         F.when(ring.isNull() | p.isNull() | x.isNull() | y.isNull(), F.lit(None).cast("boolean"))

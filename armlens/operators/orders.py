@@ -11,9 +11,10 @@ three order-keyed lookup tables):
   lookup are all keyed by (entity_id, platform_order_code): they share one
   hash partitioning of the fact, so the fact is shuffled once for all of them
   (the override's date equality is a join condition, not a key);
-* the zone polygon is then broadcast-joined with the containment test as the
-  join condition, so the second shuffle (ab-test target group, keyed by
-  order_id) sees only orders inside their test zones;
+* containment is then an equality join on the cells of the zone index
+  (operators.zones), so the second shuffle (ab-test target group, keyed by
+  order_id) sees only orders inside their test zones; the polygon itself is
+  attached last;
 * target groups (with the time/customer conditions as join residuals), test
   dates and scheme lists are broadcast experiment dimensions.
 """
@@ -27,9 +28,10 @@ from pyspark.sql import functions as F
 
 from armlens.config import ExperimentConfig
 from armlens.functions.compat import calendar_day_diff, if_else, match_or_null, safe_divide, weekday_name
-from armlens.functions.geo import point, point_in_ring
+from armlens.functions.geo import point
 from armlens.functions.verticals import normalize_vertical
-from armlens.plans.sizing import bounded_broadcast, known_rows
+from armlens.operators.zones import ZoneIndex
+from armlens.plans.sizing import bounded_broadcast, known_rows, with_rows
 
 NON_TG = "Non_TG"
 
@@ -149,12 +151,10 @@ def enrich_orders(session_orders: DataFrame, ab_test_orders: DataFrame, shared_o
         vat = ab_test_orders.select("entity_id", "platform_order_code", "vat_ratio")
         a = a.join(vat, ["entity_id", "platform_order_code"], "inner")
 
-    # Zone polygon + containment (T8: inner join).
-    zn = zone_shapes.select("entity_id", "country_code", "zone_id", F.col("test_id").alias("experiment_id"),
-                            "zone_shape")
-    a = a.join(bounded_broadcast(zn, bmax, known_rows(zone_shapes)),
-               ["entity_id", "country_code", "zone_id", "experiment_id"], "inner")
-    a = a.where(point_in_ring(F.col("zone_shape"), point(F.col("_lon"), F.col("_lat"))))
+    # Containment (T8: inner join): equality on the zone's cells, edges are walked in cut cells only.
+    zone_key = ["entity_id", "country_code", "zone_id", "experiment_id"]
+    zn = with_rows(zone_shapes.withColumnRenamed("test_id", "experiment_id"), known_rows(zone_shapes))
+    a = ZoneIndex(zn, zone_key, max_rows=bmax).locate(a, "_lon", "_lat")
 
     b = ab_test_orders.select("entity_id", "order_id", F.col("target_group").alias("target_group_bi"))
     a = a.join(b, ["entity_id", "order_id"], "left")
@@ -176,6 +176,8 @@ def enrich_orders(session_orders: DataFrame, ab_test_orders: DataFrame, shared_o
     dat = zones.select("entity_id", "country_code", F.col("test_id").alias("experiment_id"),
                        "test_start_date", "test_end_date", "test_name").distinct()
     a = a.join(bounded_broadcast(dat, bmax, known_rows(zones)), ["entity_id", "country_code", "experiment_id"], "left")
+    shapes = zn.select(*zone_key, F.xxhash64("zone_shape").alias("shape_no"), "zone_shape").distinct()
+    a = a.join(bounded_broadcast(shapes, bmax, known_rows(zone_shapes)), [*zone_key, "shape_no"], "inner")
     vs = scheme_combos.select("entity_id", "country_code", F.col("test_id").alias("experiment_id"),
                               "tg_var_scheme_concat", "tg_var_scheme_list")
     a = a.join(bounded_broadcast(vs, bmax, known_rows(scheme_combos)), ["entity_id", "country_code", "experiment_id"],

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from armlens.config import ExperimentConfig, InferenceConfig
 from armlens.functions.geo import point, point_in_ring, point_wkt
 from armlens.operators import inference as inf
+from armlens.operators.zones import ZoneIndex
 from armlens.plans import outputs as O
 from armlens.plans.materialize import cut_lineage
 from armlens.plans.sizing import bounded_broadcast
@@ -175,6 +176,25 @@ def q_point_in_polygon(spark, sf_dir):
                     point_in_ring(F.col("r.ring"), F.col("p")).alias("inside"))
 
 
+def q_zone_containment(spark, sf_dir):
+    """JN-9 / FLT-20 with holes, islands and parts: the areas of its own country that hold an order's point."""
+    t = world(spark, sf_dir).t
+    areas = cut_lineage(A.delivery_areas(t), "delivery_areas")
+    index = ZoneIndex(areas, ["country_code"], ["area_id"], "shape")
+    return index.locate(A.delivery_points(t), "lon", "lat").select("order_id", "country_code", "area_id")
+
+
+def q_area_lookup(spark, sf_dir):
+    """JN-9 without a key: how many areas of any country hold each embedding's point (dims 1, 2, times 40)."""
+    t = world(spark, sf_dir).t
+    areas = cut_lineage(A.delivery_areas(t), "delivery_areas")
+    points = t.embeddings.select(F.col("vec_id").cast("long").alias("vec_id"),
+                                 (F.col("embedding")[0].cast("double") * 40).alias("lon"),
+                                 (F.col("embedding")[1].cast("double") * 40).alias("lat"))
+    found = ZoneIndex(areas, names=["country_code", "area_id"], shape="shape").locate(points, "lon", "lat")
+    return found.groupBy("vec_id").agg(F.count(F.lit(1)).alias("areas"))
+
+
 def q_point_wkt(spark, sf_dir):
     """SC-16 / SC-17 on embedding coordinates."""
     e = world(spark, sf_dir).t.embeddings
@@ -224,5 +244,7 @@ QUERIES = {
     "lineitem_pvalues_ties_exact": _pvalue_query(lines_experiment, LINE_TIES_ICFG),
     "region_vertical_map": q_region_vertical_map,
     "point_in_polygon": q_point_in_polygon,
+    "zone_containment": q_zone_containment,
+    "area_lookup": q_area_lookup,
     "point_wkt": q_point_wkt,
 }

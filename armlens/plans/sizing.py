@@ -27,8 +27,9 @@ def known_rows(df: DataFrame):
     return getattr(df, ROWS_ATTR, None)
 
 
-def with_rows(df: DataFrame, rows: int) -> DataFrame:
-    setattr(df, ROWS_ATTR, int(rows))
+def with_rows(df: DataFrame, rows: int | None) -> DataFrame:
+    """``df`` with a recorded row count; ``None`` records nothing."""
+    setattr(df, ROWS_ATTR, None if rows is None else int(rows))
     return df
 
 

@@ -38,6 +38,12 @@ EXCLUDED_TEST = "NATION_9_LB_north"
 SQUARE = ((0.0, 0.0), (5.0, 0.0), (5.0, 5.0), (0.0, 5.0))
 TRIANGLE = ((5.0, 0.0), (10.0, 0.0), (10.0, 10.0))
 BAND = ((0.0, 5.0), (10.0, 5.0), (10.0, 10.0), (0.0, 10.0))
+# Shapes of several rings: a square with a hole and an island in it; two parts, one of them a triangle;
+# two squares that share a side (the side is an edge of both, so it is outside).
+ISLAND = (((0.0, 0.0), (6.0, 0.0), (6.0, 6.0), (0.0, 6.0)), ((1.5, 1.5), (4.5, 1.5), (4.5, 4.5), (1.5, 4.5)),
+          ((2.5, 2.5), (3.5, 2.5), (3.5, 3.5), (2.5, 3.5)))
+PARTS = (((6.0, 0.0), (9.75, 0.5), (9.0, 4.0)), ((6.5, 6.0), (9.5, 6.0), (9.5, 9.25), (8.0, 7.0), (6.5, 9.25)))
+HALVES = (((0.0, 6.5), (2.5, 6.5), (2.5, 9.0), (0.0, 9.0)), ((2.5, 6.5), (5.0, 6.5), (5.0, 9.0), (2.5, 9.0)))
 CONCAVE = ((0.0, 5.0), (10.0, 5.0), (10.0, 10.0), (5.0, 7.0), (0.0, 10.0))
 
 c = F.col
@@ -273,6 +279,27 @@ def countries(t: Tables) -> DataFrame:
                            F.array(city1, city2).alias("cities"))
 
 
+def delivery_areas(t: Tables) -> DataFrame:
+    """Three areas of several rings per country, moved by a quarter unit per nation number modulo 4."""
+    move = (c("n_nationkey") % 4) * 0.25
+
+    def shape(rings):
+        return F.array(*[F.array(*[F.struct((F.lit(x) + move).alias("lon"), (F.lit(y) + move).alias("lat")) for x, y in r])
+                         for r in rings])
+    areas = F.array(*[F.struct(F.lit(i).cast("long").alias("area_id"), shape(r).alias("shape"))
+                      for i, r in enumerate((ISLAND, PARTS, HALVES), 1)])
+    return t.nation.select(country_of("n_nationkey").alias("country_code"), F.explode(areas).alias("a")).select(
+        "country_code", "a.area_id", "a.shape")
+
+
+def delivery_points(t: Tables) -> DataFrame:
+    """Every order's country and drop-off point (one order in 17 has none)."""
+    k = c("o_orderkey")
+    x = t.orders.join(t.customer, c("o_custkey") == c("c_custkey"))
+    return x.select(k.cast("long").alias("order_id"), country_of("c_nationkey").alias("country_code"),
+                    F.when(k % 17 != 0, (k * 37) % 100 / 10.0).alias("lon"), ((k * 53) % 100 / 10.0).alias("lat"))
+
+
 def ga_sessions(t: Tables) -> DataFrame:
     e = t.events.join(t.customer.select("c_custkey", "c_nationkey"), c("user_id") == c("c_custkey"))
     et, eid, u = c("event_type"), c("event_id"), c("user_id")
