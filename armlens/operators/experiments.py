@@ -17,7 +17,7 @@ from pyspark.sql.window import Window
 from armlens.config import ExperimentConfig
 from armlens.functions.strings import sorted_string_agg
 from armlens.functions.verticals import first_parent_vertical, second_parent_vertical
-from armlens.plans.sizing import bounded_broadcast, known_rows
+from armlens.plans.sizing import bounded_broadcast, known_size
 
 TEST_COLS = ("entity_id", "country_code", "test_start_date", "test_end_date", "test_name", "test_id")
 
@@ -52,7 +52,7 @@ def select_experiments(setups: DataFrame, cfg: ExperimentConfig = ExperimentConf
 def _valid_setups(setups: DataFrame, valid_names: DataFrame, cfg: ExperimentConfig) -> DataFrame:
     """FLT-7: ``test_name IN (SELECT DISTINCT test_name FROM valid)`` as a semi join."""
     names = valid_names.select("test_name").distinct()
-    return setups.join(bounded_broadcast(names, cfg.broadcast_max_rows, known_rows(valid_names)),
+    return setups.join(bounded_broadcast(names, cfg.broadcast_max_rows, known_size(valid_names)),
                        "test_name", "left_semi")
 
 
@@ -99,7 +99,7 @@ def target_groups(setups: DataFrame, valid_names: DataFrame, vendors: DataFrame,
                     F.col("customer_condition.days_since_first_order_less_than")
                     .alias("days_since_first_order_less_than")))
     # at most one rank row per setup row
-    rows = _null_safe_join(rows, bounded_broadcast(ranks, cfg.broadcast_max_rows, known_rows(setups)),
+    rows = _null_safe_join(rows, bounded_broadcast(ranks, cfg.broadcast_max_rows, known_size(setups)),
                            ["entity_id", "test_name", "vendor_group_id"], "left")
     group_cols = list(TEST_COLS) + ["vendor_group_id", "vendor_code", "tg_name", "tc_id", "tc_priority",
                                     "start_at", "recurrence_end_at", "active_days", "cc_id", "cc_priority",
@@ -171,7 +171,7 @@ def zone_shapes(countries: DataFrame, zones: DataFrame,
                   F.col("zo.id").alias("zone_id")))
     tgt = zones.select("entity_id", "country_code", "zone_id", "test_name", "test_id",
                        "test_start_date", "test_end_date")
-    tgt = bounded_broadcast(tgt, cfg.broadcast_max_rows, known_rows(zones))
+    tgt = bounded_broadcast(tgt, cfg.broadcast_max_rows, known_size(zones))
     return co.join(tgt, ["entity_id", "country_code", "zone_id"]).select(
         "entity_id", "country_code", "city_name", "city_id", "zone_shape", "zone_name", "zone_id",
         "test_name", "test_id", "test_start_date", "test_end_date")

@@ -30,8 +30,9 @@ from armlens.config import ExperimentConfig
 from armlens.functions.compat import calendar_day_diff, if_else, match_or_null, safe_divide, weekday_name
 from armlens.functions.geo import point
 from armlens.functions.verticals import normalize_vertical
+from armlens.operators.skew import lookup_join
 from armlens.operators.zones import ZoneIndex
-from armlens.plans.sizing import bounded_broadcast, known_rows, with_rows
+from armlens.plans.sizing import DEFAULT_MAX_BYTES, Size, bounded_broadcast, known_size, with_size
 
 NON_TG = "Non_TG"
 
@@ -46,11 +47,16 @@ def key_set(df: DataFrame, mapping: dict) -> DataFrame:
     return sel.where(_not_null(*mapping.values())).distinct()
 
 
-def semi_filter(df: DataFrame, keys: DataFrame, max_rows: int, bound: int | None = None) -> DataFrame:
+def semi_filter(df: DataFrame, keys: DataFrame, max_rows: int, bound: Size | None = None) -> DataFrame:
     """FLT-8: composite-key membership. A NULL key part never matches,
     exactly like ``CONCAT(..) IN (SELECT DISTINCT CONCAT(..) ... IS NOT NULL)``.
-    ``bound``: rows of the table the keys were taken from."""
-    return df.join(bounded_broadcast(keys, max_rows, bound), keys.columns, "left_semi")
+    ``bound``: size of the table the keys were taken from; where that proves too
+    little, the key set is measured itself, and beyond the bound hot keys are
+    split off the shuffle."""
+    held = bounded_broadcast(keys, max_rows, bound, measure=True)
+    if bound is None or bound.fits(max_rows, DEFAULT_MAX_BYTES) or known_size(held) is None:
+        return df.join(held, keys.columns, "left_semi")
+    return lookup_join(df, held, keys.columns, "left_semi", max_rows)
 
 
 def time_condition(order_local_ts, start_at, end_at, active_day) -> F.Column:
@@ -115,25 +121,25 @@ def enrich_orders(session_orders: DataFrame, ab_test_orders: DataFrame, shared_o
     a = session_orders.where((F.col("created_date") >= F.lit(cfg.since).cast("date")) & F.col("is_sent"))
     a = semi_filter(a, key_set(variants, {"entity_id": "entity_id", "country_code": "country_code",
                                           "test_id": "experiment_id", "variant": "variant"}), bmax,
-                    known_rows(variants))
+                    known_size(variants))
     a = semi_filter(a, key_set(target_groups, {"entity_id": "entity_id", "country_code": "country_code",
-                                               "test_id": "experiment_id"}), bmax, known_rows(target_groups))
+                                               "test_id": "experiment_id"}), bmax, known_size(target_groups))
     if with_profit:
-        tg_rows = known_rows(target_groups)
+        tg_size = known_size(target_groups)
         keys = allowed_vertical_keys(target_groups).withColumnRenamed("test_id", "experiment_id")
         a = a.withColumn("_vvp", normalize_vertical("vendor_vertical_parent"))
         a = a.join(bounded_broadcast(keys.withColumnRenamed("vendor_vertical_parent", "_vvp"), bmax,
-                                     None if tg_rows is None else 2 * tg_rows),
+                                     None if tg_size is None else tg_size * 2),
                    ["entity_id", "country_code", "experiment_id", "_vvp"], "left_semi").drop("_vvp")
 
     # Filters that need no lookup from the big tables run before the shuffle:
     # active entities (inner, carries the entity region) and zone membership
     # (the polygon itself is joined after the location is known).
     ent = entities.select("entity_id", F.col("region").alias("_ent_region"))
-    a = a.join(bounded_broadcast(ent, bmax, known_rows(entities)), "entity_id", "inner")
+    a = a.join(bounded_broadcast(ent, bmax, known_size(entities)), "entity_id", "inner")
     zone_keys = key_set(zone_shapes, {"entity_id": "entity_id", "country_code": "country_code",
                                       "zone_id": "zone_id", "test_id": "experiment_id"})
-    a = semi_filter(a, zone_keys, bmax, known_rows(zone_shapes))
+    a = semi_filter(a, zone_keys, bmax, known_size(zone_shapes))
 
     # Location (T8: the spatial predicate rejects a missing location -> inner join).
     dwh = shared_orders.select(F.col("global_entity_id").alias("entity_id"),
@@ -153,7 +159,7 @@ def enrich_orders(session_orders: DataFrame, ab_test_orders: DataFrame, shared_o
 
     # Containment (T8: inner join): equality on the zone's cells, edges are walked in cut cells only.
     zone_key = ["entity_id", "country_code", "zone_id", "experiment_id"]
-    zn = with_rows(zone_shapes.withColumnRenamed("test_id", "experiment_id"), known_rows(zone_shapes))
+    zn = with_size(zone_shapes.withColumnRenamed("test_id", "experiment_id"), known_size(zone_shapes))
     a = ZoneIndex(zn, zone_key, max_rows=bmax).locate(a, "_lon", "_lat")
 
     b = ab_test_orders.select("entity_id", "order_id", F.col("target_group").alias("target_group_bi"))
@@ -165,7 +171,7 @@ def enrich_orders(session_orders: DataFrame, ab_test_orders: DataFrame, shared_o
                               F.col("recurrence_end_at").alias("_end_at"), F.col("active_days").alias("_day"),
                               F.col("orders_number_less_than").alias("_orders_lt"),
                               F.col("days_since_first_order_less_than").alias("_days_lt"))
-    tg = bounded_broadcast(tg, bmax, known_rows(target_groups))
+    tg = bounded_broadcast(tg, bmax, known_size(target_groups))
     cond = ((a["entity_id"] == tg["_tg_entity"]) & (a["vendor_id"] == tg["_tg_vendor"])
             & (a["experiment_id"] == tg["_tg_test"])
             & time_condition(a["order_placed_at_local"], tg["_start_at"], tg["_end_at"], tg["_day"])
@@ -175,12 +181,12 @@ def enrich_orders(session_orders: DataFrame, ab_test_orders: DataFrame, shared_o
 
     dat = zones.select("entity_id", "country_code", F.col("test_id").alias("experiment_id"),
                        "test_start_date", "test_end_date", "test_name").distinct()
-    a = a.join(bounded_broadcast(dat, bmax, known_rows(zones)), ["entity_id", "country_code", "experiment_id"], "left")
+    a = a.join(bounded_broadcast(dat, bmax, known_size(zones)), ["entity_id", "country_code", "experiment_id"], "left")
     shapes = zn.select(*zone_key, F.xxhash64("zone_shape").alias("shape_no"), "zone_shape").distinct()
-    a = a.join(bounded_broadcast(shapes, bmax, known_rows(zone_shapes)), [*zone_key, "shape_no"], "inner")
+    a = a.join(bounded_broadcast(shapes, bmax, known_size(zone_shapes)), [*zone_key, "shape_no"], "inner")
     vs = scheme_combos.select("entity_id", "country_code", F.col("test_id").alias("experiment_id"),
                               "tg_var_scheme_concat", "tg_var_scheme_list")
-    a = a.join(bounded_broadcast(vs, bmax, known_rows(scheme_combos)), ["entity_id", "country_code", "experiment_id"],
+    a = a.join(bounded_broadcast(vs, bmax, known_size(scheme_combos)), ["entity_id", "country_code", "experiment_id"],
                "left")
 
     c = F.col
@@ -259,9 +265,9 @@ def add_profit(enriched: DataFrame, ab_test_orders: DataFrame, target_groups: Da
     gross profit, and the allowed-vertical filter (a test with no vertical keeps
     no order, T11)."""
     b = ab_test_orders.select("entity_id", "platform_order_code", "vat_ratio")
-    tg_rows = known_rows(target_groups)
+    tg_size = known_size(target_groups)
     keys = bounded_broadcast(allowed_vertical_keys(target_groups), cfg.broadcast_max_rows,
-                             None if tg_rows is None else 2 * tg_rows)
+                             None if tg_size is None else tg_size * 2)
     x = enriched.join(keys, ["entity_id", "country_code", "test_id", "vendor_vertical_parent"], "left_semi")
     x = x.join(b, ["entity_id", "platform_order_code"], "inner")
     out = revenue_columns(x)

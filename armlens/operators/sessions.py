@@ -1,11 +1,12 @@
 """Web-session treatment flags (DOM-14 .. DOM-18).
 
-Shuffles: one DISTINCT over the flattened event rows (hash over all columns,
-so no key is hot), one partial aggregate per session, one join back of the
-session flags (AQE splits a hot session key, e.g. a NULL session id). The
-target-group numbering (WIN-2) is a dense rank over the *distinct* observed
+The sessions of the tests are written once, nested, and read twice: for the
+target-group numbering (WIN-2, a dense rank over the *distinct* observed
 (entity, test, group) triples, joined back, so a large test never lands its
-rows in a single window task.
+rows in a single window task) and for the events. Shuffles: one DISTINCT over
+the flattened event rows (hash over all columns, so no key is hot), one partial
+aggregate per session, one join back of the session flags, which splits off NULL
+and hot session ids (``operators.skew``).
 """
 
 from __future__ import annotations
@@ -19,8 +20,9 @@ from armlens.functions.geo import point_wkt
 from armlens.functions.strings import distinct_sorted_string_agg
 from armlens.functions.verticals import region_vertical
 from armlens.operators.orders import key_set, semi_filter
+from armlens.operators.skew import lookup_join, split_join
 from armlens.plans.materialize import cut_lineage
-from armlens.plans.sizing import bounded_broadcast, known_rows
+from armlens.plans.sizing import bounded_broadcast, known_size
 
 # The session event vocabulary.
 BROWSING_ACTIONS = ("home_screen.loaded", "shop_list.loaded")
@@ -87,9 +89,11 @@ def flatten_sessions(ga_sessions: DataFrame, vendors: DataFrame, entities: DataF
         s("sessions.customer_status_concat").alias("customer_status_concat"),
         "events", "dps_zone", point_wkt("ga_location").alias("ga_location"))
     x = semi_filter(x, key_set(variants, {"entity_id": "entity_id", "test_id": "test_id", "variant": "variant"}), bmax,
-                    known_rows(variants))
+                    known_size(variants))
     x = semi_filter(x, key_set(target_groups, {"entity_id": "entity_id", "test_id": "test_id"}), bmax,
-                    known_rows(target_groups))
+                    known_size(target_groups))
+
+    x = cut_lineage(x, "test_sessions", as_table=True)
 
     # JN-5: two sibling outer unnests = per-session cross product events x zones.
     keep = [c for c in x.columns if c not in ("events", "dps_zone")]
@@ -106,22 +110,22 @@ def flatten_sessions(ga_sessions: DataFrame, vendors: DataFrame, entities: DataF
     # groups observed per test: counted as they are written, then broadcast, so
     # the exploded events never shuffle on a handful of (test, group) keys
     ranks = bounded_broadcast(cut_lineage(session_group_rank(x), "session_groups"), bmax)
-    # The vendor lookup is broadcast when the (3-column) vendor table is proven
-    # small, so the exploded event rows are not shuffled just to attach it.
-    ven = bounded_broadcast(cut_lineage(vendors.select(F.col("global_entity_id").alias("entity_id"),
-                                           F.col("vendor_id").alias("vendor_code"),
-                                           F.col("vertical_parent").alias("_vendor_vertical")), "vendor_verticals"),
-                            bmax)
-    ent = bounded_broadcast(entities.select("entity_id", "region"), bmax, known_rows(entities))
+    # JN-6: broadcast when the (3-column) vendor table is proven small, so the
+    # exploded event rows are not shuffled just to attach it; else NULL and hot
+    # vendor codes are split off the shuffle.
+    ven = cut_lineage(vendors.select(F.col("global_entity_id").alias("entity_id"),
+                                     F.col("vendor_id").alias("vendor_code"),
+                                     F.col("vertical_parent").alias("_vendor_vertical")), "vendor_verticals")
+    ent = bounded_broadcast(entities.select("entity_id", "region"), bmax, known_size(entities))
     # test_name of the SQL's DISTINCT sub-select only multiplies rows that the
     # final DISTINCT removes again, so it is left out of the lookup.
     vert = target_groups.select("entity_id", "test_id",
                                 F.col("first_parent_vertical").alias("first_parent_vertical_test"),
                                 F.col("second_parent_vertical").alias("second_parent_vertical_test")).distinct()
-    vert = bounded_broadcast(vert, bmax, known_rows(target_groups))
+    vert = bounded_broadcast(vert, bmax, known_size(target_groups))
 
-    j = (ev.withColumn("_group_key", F.coalesce(F.col("vendor_group_id"), F.lit(NULL_GROUP_SENTINEL)))
-         .join(ven, ["entity_id", "vendor_code"], "left")
+    ev = ev.withColumn("_group_key", F.coalesce(F.col("vendor_group_id"), F.lit(NULL_GROUP_SENTINEL)))
+    j = (lookup_join(ev, ven, ["entity_id", "vendor_code"], "left", max_rows=bmax)
          .join(ent, "entity_id", "left")
          .join(vert, ["entity_id", "test_id"], "left")
          .join(ranks, ["entity_id", "test_id", "_group_key"], "left"))
@@ -160,10 +164,12 @@ def session_treatment_flags(flat_events: DataFrame) -> DataFrame:
 def attach_session_flag(flat_events: DataFrame, flags: DataFrame, valid_names: DataFrame,
                         cfg: ExperimentConfig = ExperimentConfig()) -> DataFrame:
     """DOM-18: session flag and test name on every event row (written to a new
-    table, never over the table being read, T20)."""
-    f = flags.select(*SESSION_KEYS, "is_session_in_treatment_agg")
+    table, never over the table being read, T20). JN-15: rows without a session
+    id match nothing and do not shuffle, hot ids meet their flag by broadcast."""
+    f = flags if known_size(flags) is not None else cut_lineage(flags, "session_flags", as_table=True)
+    f = f.select(*SESSION_KEYS, "is_session_in_treatment_agg")
     names = bounded_broadcast(valid_names.select("entity_id", "test_id", "test_name"), cfg.broadcast_max_rows,
-                              known_rows(valid_names))
-    return (flat_events.join(f, list(SESSION_KEYS), "left")
+                              known_size(valid_names))
+    return (split_join(flat_events, f, SESSION_KEYS, "left", max_rows=cfg.broadcast_max_rows)
             .join(names, ["entity_id", "test_id"], "left")
             .select(*flat_events.columns, "is_session_in_treatment_agg", "test_name"))

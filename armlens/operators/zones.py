@@ -15,8 +15,9 @@ exact and a point and the index always agree on its cell. A cell is
   height are always crossed and enter as one parity bit.
 
 ``locate`` joins points to cells by equality on (zone key, shape, cell). The
-index is broadcast behind its proven bound (zones times ``max_cells``); beyond it
-both sides shuffle on the cell, so a dense zone is spread over its cells.
+cells of a measured zone table are measured as well and broadcast behind that
+size; beyond it both sides shuffle on the cell, so a dense zone is spread over
+its cells.
 
 NULL shapes, rings of fewer than three vertices and rings with a NULL vertex hold
 nothing; points with a NULL coordinate are in no zone. Coordinates must stay below 2**30
@@ -30,7 +31,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from armlens.functions.geo import crosses_edge, on_edge
-from armlens.plans.sizing import bounded_broadcast, known_rows
+from armlens.plans.materialize import cut_lineage
+from armlens.plans.sizing import bounded_broadcast, known_size
 
 MAX_CELLS = 256
 FINEST, COARSEST = 20, -30  # log2 of cells a unit
@@ -72,9 +74,7 @@ class ZoneIndex:
                  max_rows: int = 2_000_000):
         self.keys, self.max_rows = list(keys), max_rows
         self.own = [*self.keys, *names, "shape_no"]
-        rows = known_rows(zones)
-        self.bound = None if rows is None else rows * max_cells
-        self.zone_rows = rows
+        self.size = known_size(zones)
         low, high = F.array_min, F.array_max
         xs = F.concat(F.transform("_edges", lambda e: e["ax"]), F.transform("_edges", lambda e: e["bx"]))
         ys = F.concat(F.transform("_edges", lambda e: e["ay"]), F.transform("_edges", lambda e: e["by"]))
@@ -139,7 +139,7 @@ class ZoneIndex:
         lon, lat = (F.col(c) if isinstance(c, str) else c for c in (lon, lat))
         known = points.where(lon.isNotNull() & lat.isNotNull())
         if self.keys:
-            levels = bounded_broadcast(self.levels, self.max_rows, self.zone_rows)
+            levels = bounded_broadcast(self.levels, self.max_rows, self.size)
             known = known.join(levels, self.keys, "inner")
             on = list(self.own)
         else:
@@ -148,7 +148,9 @@ class ZoneIndex:
             on = ["level"]
         s = _scale(F.col("level"))
         known = known.withColumns({"cell_x": _cell(lon, s), "cell_y": _cell(lat, s)})
-        cells = bounded_broadcast(self.cells.drop(*([] if not self.keys else ["level"])), self.max_rows, self.bound)
+        cells = self.cells.drop(*([] if not self.keys else ["level"]))
+        if self.size is not None:  # a zone table: its cells become one too, and decide by their own size
+            cells = bounded_broadcast(cut_lineage(cells, "zone_cells"), self.max_rows)
         on += ["cell_x", "cell_y"]
         hit = known.join(cells, on, "inner").where(in_cell(F.col("odd"), F.col("edges"), lon, lat))
         return hit.drop("level", "cell_x", "cell_y", "odd", "edges")

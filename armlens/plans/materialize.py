@@ -2,12 +2,13 @@
 
 ``cut_lineage(df, name)`` checkpoints ``df`` (reliable, eager) into the folder
 the session names in ``spark.checkpoint.dir`` and returns the checkpointed
-frame, annotated with the row count observed while it was computed (no extra
-job). Downstream plans then start at the checkpoint: they are short to
-analyse, a lost executor recomputes nothing upstream of it, and the row count
-is a proven bound when the frame is broadcast.
+frame, annotated with the rows and value bytes observed while it was computed
+(no extra job). Downstream plans then start at the checkpoint: they are short to
+analyse, a lost executor recomputes nothing upstream of it, and the size is a
+proven bound when the frame is broadcast.
 
-``write_counted`` is the table sink (SNK-1): parquet plus the observed count.
+``write_counted`` writes parquet and returns the observed size; table names are
+switched by ``plans.tables``.
 """
 
 from __future__ import annotations
@@ -17,14 +18,24 @@ import uuid
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
-from armlens.plans.sizing import with_rows
+from armlens.plans.sizing import Size, row_bytes, with_size
 from armlens.session import ensure_checkpoint_dir
 
-def write_counted(df: DataFrame, path: str, mode: str = "overwrite") -> int:
-    """Write parquet and return the number of rows written (observed metric)."""
-    obs = Observation(f"rows_{uuid.uuid4().hex[:8]}")
-    df.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode(mode).parquet(path)
-    return int(obs.get["rows"])
+
+def _observed(df: DataFrame) -> tuple[DataFrame, Observation]:
+    obs = Observation(f"size_{uuid.uuid4().hex[:8]}")
+    return df.observe(obs, F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum(row_bytes(df)), F.lit(0)).alias("bytes")), obs
+
+
+def _size(obs: Observation) -> Size:
+    return Size(int(obs.get["rows"]), int(obs.get["bytes"]))
+
+
+def write_counted(df: DataFrame, path: str, mode: str = "errorifexists") -> Size:
+    """Write parquet and return the rows and value bytes written (observed metrics)."""
+    watched, obs = _observed(df)
+    watched.write.mode(mode).parquet(path)
+    return _size(obs)
 
 
 def cut_lineage(df: DataFrame, name: str, as_table: bool = False) -> DataFrame:
@@ -36,8 +47,8 @@ def cut_lineage(df: DataFrame, name: str, as_table: bool = False) -> DataFrame:
     root = ensure_checkpoint_dir(spark).rstrip("/")
     if as_table:
         path = f"{root}/armlens-tables/{name}-{uuid.uuid4().hex}"
-        rows = write_counted(df, path)
-        return with_rows(spark.read.parquet(path), rows)
-    obs = Observation(f"rows_{name}_{uuid.uuid4().hex[:8]}")
-    out = df.observe(obs, F.count(F.lit(1)).alias("rows")).checkpoint(eager=True)
-    return with_rows(out, int(obs.get["rows"]))
+        size = write_counted(df, path)
+        return with_size(spark.read.schema(df.schema).parquet(path), size)
+    watched, obs = _observed(df)
+    out = watched.checkpoint(eager=True)
+    return with_size(out, _size(obs))

@@ -23,7 +23,7 @@ from armlens.operators import inference as inf
 from armlens.operators import orders as od
 from armlens.operators import sessions as se
 from armlens.plans.materialize import cut_lineage, write_counted
-from armlens.plans.sizing import with_rows
+from armlens.plans.sizing import known_size, with_size
 
 
 @dataclass
@@ -134,13 +134,19 @@ class ExperimentDAG:
         return self._m("session_events", se.flatten_sessions(s.ga_sessions, s.vendors, self.entities,
                                                              self.target_groups, self.variants, self.cfg))
 
+    @cached_property
+    def session_table(self):
+        """The flat events as a table: the flags and their join back read it."""
+        flat = self.session_events
+        return flat if known_size(flat) is not None else cut_lineage(flat, "session_events", as_table=True)
+
     @cached_property
     def session_flags(self):
-        return self._m("session_flags", se.session_treatment_flags(self.session_events))
+        return self._m("session_flags", se.session_treatment_flags(self.session_table))
 
     @cached_property
     def sessions_with_flag(self):
-        return self._m("sessions_with_flag", se.attach_session_flag(self.session_events, self.session_flags,
+        return self._m("sessions_with_flag", se.attach_session_flag(self.session_table, self.session_flags,
                                                                     self.valid_tests, self.cfg))
 
 
@@ -160,8 +166,8 @@ def run_pipeline(spark: SparkSession, src: Sources, out_dir: str, cfg: Experimen
             # ORD-1: the warehouse sorted these tables on write; only the file
             # layout can observe it, so sort within partitions (no global sort).
             df = df.sortWithinPartitions(*FILE_ORDER[name])
-        rows = write_counted(df, path)
-        return with_rows(spark.read.parquet(path), rows)
+        size = write_counted(df, path, mode="overwrite")
+        return with_size(spark.read.parquet(path), size)
 
     dag = ExperimentDAG(src, cfg, materialize, profit_from_orders=True)
     out = {name: getattr(dag, name) for name in STAGE_ORDER}

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from armlens.config import ExperimentConfig, InferenceConfig
 from armlens.functions.geo import point, point_in_ring, point_wkt
 from armlens.operators import inference as inf
+from armlens.operators.skew import split_join
 from armlens.operators.zones import ZoneIndex
 from armlens.plans import outputs as O
 from armlens.plans.materialize import cut_lineage
@@ -176,6 +177,19 @@ def q_point_in_polygon(spark, sf_dir):
                     point_in_ring(F.col("r.ring"), F.col("p")).alias("inside"))
 
 
+def q_skewed_vendor_join(spark, sf_dir):
+    """JN-6 with a third of the line items on one vendor and a seventh without one: lines and revenue by vendor."""
+    t = world(spark, sf_dir).t
+    k, n = F.col("l_orderkey"), F.col("l_linenumber")
+    lines = t.lineitem.select(
+        F.when(n == 7, F.lit(None)).when(k % 3 == 0, F.lit(1)).otherwise(F.col("l_suppkey")).cast("string").alias("vendor_id"),
+        F.col("l_extendedprice").cast("decimal(18,2)").alias("price"))
+    vendors = world(spark, sf_dir).vendors.where(F.col("vendor_id") % 10 != 3).select("vendor_id", "vertical_parent")
+    joined = split_join(cut_lineage(lines, "skewed_lines", as_table=True), vendors, ["vendor_id"], "left")
+    return joined.groupBy("vendor_id", "vertical_parent").agg(
+        F.count(F.lit(1)).alias("lines"), F.sum("price").cast("double").alias("revenue"))
+
+
 def q_zone_containment(spark, sf_dir):
     """JN-9 / FLT-20 with holes, islands and parts: the areas of its own country that hold an order's point."""
     t = world(spark, sf_dir).t
@@ -244,6 +258,7 @@ QUERIES = {
     "lineitem_pvalues_ties_exact": _pvalue_query(lines_experiment, LINE_TIES_ICFG),
     "region_vertical_map": q_region_vertical_map,
     "point_in_polygon": q_point_in_polygon,
+    "skewed_vendor_join": q_skewed_vendor_join,
     "zone_containment": q_zone_containment,
     "area_lookup": q_area_lookup,
     "point_wkt": q_point_wkt,

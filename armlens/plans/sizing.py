@@ -1,43 +1,105 @@
-"""Broadcast only behind a proven size bound.
+"""Broadcast only behind a proven size, in rows and in bytes.
 
-A bound comes from one of two places:
+A proof comes from one of two places:
 
-* a table materialised by ``plans.materialize.cut_lineage`` carries the row
-  count observed while it was written (no extra job); a frame derived from it
-  by projection, filter, distinct or semi join cannot have more rows, and the
-  operators pass that bound explicitly;
-* otherwise nothing is proven and the frame is left to Catalyst.
+* a table materialised by ``plans.materialize`` carries the rows and the summed
+  value bytes observed while it was written (no extra job). A frame derived from
+  it by projection, filter, distinct or semi join is no larger, and the operators
+  pass that size explicitly;
+* where the source proves too little, the derived frame itself is measured: it is
+  materialised once, counted as it is written, and decided on its own size.
 
-Beyond the bound the frame is returned unchanged and Catalyst plans a shuffle
-join, which AQE may still turn into a broadcast once runtime statistics prove
-the side small, and whose skewed partitions AQE splits.
+Beyond the bound, or with nothing proven, the frame is returned unhinted:
+Catalyst plans a shuffle join, which AQE may still turn into a broadcast once
+runtime statistics prove the side small; ``operators.skew.split_join`` is the way
+for keys that may be hot.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from dataclasses import dataclass
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 DEFAULT_MAX_ROWS = 2_000_000
-ROWS_ATTR = "_armlens_rows"
+DEFAULT_MAX_BYTES = 256 * 1024 * 1024  # value bytes; a hashed relation takes a small multiple
+SIZE_ATTR = "_armlens_size"
 
 
-def known_rows(df: DataFrame):
-    """Row count recorded when ``df`` was materialised, else None."""
-    return getattr(df, ROWS_ATTR, None)
+@dataclass(frozen=True)
+class Size:
+    """Proven upper bounds; ``bytes=None``: only the rows are known."""
+    rows: int
+    bytes: int | None = None
 
+    def __mul__(self, k: int) -> "Size":
+        return Size(self.rows * k, None if self.bytes is None else self.bytes * k)
 
-def with_rows(df: DataFrame, rows: int | None) -> DataFrame:
-    """``df`` with a recorded row count; ``None`` records nothing."""
-    setattr(df, ROWS_ATTR, None if rows is None else int(rows))
+    def fits(self, max_rows: int, max_bytes: int) -> bool:
+        return self.rows <= max_rows and (self.bytes is None or self.bytes <= max_bytes)
+
+
+def value_bytes(c: Column, kind: T.DataType) -> Column:
+    """Bytes that a value takes in a row: 8 for a fixed-width one or its slot, more for what has a length."""
+    if isinstance(kind, (T.StringType, T.BinaryType)):
+        return F.lit(16) + F.coalesce(F.octet_length(c), F.lit(0))
+    if isinstance(kind, T.ArrayType):
+        if _fixed(kind.elementType):
+            return F.lit(24) + 8 * F.coalesce(F.array_size(c), F.lit(0))
+        inner = F.aggregate(c, F.lit(0).cast("long"), lambda s, x: s + value_bytes(x, kind.elementType))
+        return F.lit(24) + F.coalesce(inner, F.lit(0))
+    if isinstance(kind, T.MapType):
+        return value_bytes(F.map_keys(c), T.ArrayType(kind.keyType)) + value_bytes(F.map_values(c), T.ArrayType(kind.valueType))
+    if isinstance(kind, T.StructType):
+        return sum((value_bytes(c.getField(f.name), f.dataType) for f in kind.fields), F.lit(16))
+    if isinstance(kind, T.DecimalType) and kind.precision > 18:
+        return F.lit(24)
+    return F.lit(8)
+
+
+def _fixed(kind: T.DataType) -> bool:
+    wide = isinstance(kind, T.DecimalType) and kind.precision > 18
+    return not wide and not isinstance(kind, (T.StringType, T.BinaryType, T.ArrayType, T.MapType, T.StructType, T.VariantType))
+
+
+def row_bytes(df: DataFrame) -> Column:
+    return sum((value_bytes(F.col(f"`{f.name}`"), f.dataType) for f in df.schema.fields), F.lit(16)).cast("long")
+
+
+def known_size(df: DataFrame) -> Size | None:
+    """Size recorded when ``df`` was materialised, else None."""
+    return getattr(df, SIZE_ATTR, None)
+
+
+def known_rows(df: DataFrame) -> int | None:
+    size = known_size(df)
+    return None if size is None else size.rows
+
+
+def with_size(df: DataFrame, size: Size | None) -> DataFrame:
+    """``df`` with a recorded size; ``None`` records nothing."""
+    setattr(df, SIZE_ATTR, size)
     return df
 
 
-def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_ROWS, bound: int | None = None) -> DataFrame:
-    """``broadcast(df)`` when at most ``max_rows`` rows are proven, else ``df``.
-    ``bound``: an upper bound on the rows of ``df`` known to the caller."""
-    if bound is None:
-        bound = known_rows(df)
-    if bound is not None:
-        return F.broadcast(df) if bound <= max_rows else df
+def with_rows(df: DataFrame, rows: int | None) -> DataFrame:
+    return with_size(df, None if rows is None else Size(int(rows)))
+
+
+def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_ROWS, bound: int | Size | None = None,
+                      max_bytes: int = DEFAULT_MAX_BYTES, measure: bool = False) -> DataFrame:
+    """``broadcast(df)`` when at most ``max_rows`` rows and ``max_bytes`` bytes are proven, else ``df``.
+    ``bound``: an upper bound known to the caller, e.g. the size of the table ``df`` was derived from.
+    ``measure``: if the bound does not prove it, materialise ``df`` and decide on its own size."""
+    size = bound if bound is not None else known_size(df)
+    if isinstance(size, int):
+        size = Size(size)
+    if size is not None and size.fits(max_rows, max_bytes):
+        return F.broadcast(df)
+    if size is not None and measure:
+        from armlens.plans.materialize import cut_lineage
+        own = cut_lineage(df, "measured")
+        return F.broadcast(own) if known_size(own).fits(max_rows, max_bytes) else own
     return df  # nothing is proven: Catalyst and AQE decide
