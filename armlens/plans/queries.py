@@ -7,6 +7,8 @@ and runs the library operators; the final projection follows
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -18,8 +20,10 @@ from armlens.operators.zones import ZoneIndex
 from armlens.plans import outputs as O
 from armlens.plans.materialize import cut_lineage
 from armlens.plans.sizing import bounded_broadcast
-from armlens.plans.pipeline import ExperimentDAG, Sources
+from armlens.plans.pipeline import ExperimentDAG, Sources, run_pipeline
 from armlens.sources import adapters as A
+from armlens.plans.tables import TableStore
+from armlens.session import ensure_checkpoint_dir
 from armlens.sources.tables import Tables
 
 WORLD_CFG = ExperimentConfig(since=A.SINCE, excluded_test_names=(A.EXCLUDED_TEST,))
@@ -126,6 +130,32 @@ def q_pvalues(spark, sf_dir):
     return O.spark_project(inf.experiment_pvalues(_orders_cleaned_table(spark, sf_dir), ORDER_ICFG), O.PVALUES)
 
 
+def _fresh_store(spark, name):
+    mark = uuid.uuid4().hex[:12]
+    return TableStore(spark, f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{mark}", prefix=f"{name}_{mark}_")
+
+
+def q_saved_daily(spark, sf_dir):
+    """SNK-1, SNK-2, SRC-11: the order table saved under a name, replaced by a query that reads it (boundary
+    days trimmed), then read by name."""
+    store = _fresh_store(spark, "saved")
+    store.replace(inf.retype_kpis(dag(spark, sf_dir).orders_cleaned), "orders")
+    store.replace(inf.trim_boundary_days(store.table("orders"), ORDER_ICFG), "orders")
+    return O.spark_project(inf.daily_kpis(spark.table(f"{store.prefix}orders"), ORDER_ICFG), O.DAILY)
+
+
+def q_pipeline_pvalues(spark, sf_dir):
+    """SRC-13, SNK-3, ORD-1: every stage replaced as a named table, a resumed run that finds nothing to do, and
+    the p-values read by name and loaded anew."""
+    store = _fresh_store(spark, "run")
+    src = Sources.from_world(world(spark, sf_dir))
+    run_pipeline(spark, src, store.root, WORLD_CFG, ORDER_ICFG, resume=True, prefix=store.prefix)
+    again = run_pipeline(spark, src, store.root, WORLD_CFG, ORDER_ICFG, resume=True, prefix=store.prefix)
+    if again.rewritten:
+        raise RuntimeError(f"stages ran twice: {again.rewritten}")
+    return O.spark_project(store.truncate_and_load(spark.table(f"{store.prefix}pvalues"), "pvalues"), O.PVALUES)
+
+
 def q_pvalue_matrix(spark, sf_dir):
     p = inf.experiment_pvalues(_orders_cleaned_table(spark, sf_dir), ORDER_ICFG)
     return _rounded(inf.pvalue_matrix(p, MATRIX_KPIS))
@@ -249,6 +279,8 @@ QUERIES = {
     "comparison_grid": q_grid,
     "wilcoxon_statistics": q_stats,
     "experiment_pvalues": q_pvalues,
+    "saved_daily_kpis": q_saved_daily,
+    "pipeline_pvalues": q_pipeline_pvalues,
     "pvalue_matrix": q_pvalue_matrix,
     "pvalue_matrix_filtered": q_pvalue_matrix_filtered,
     "events_wilcoxon_statistics": _stats_query(events_experiment, EVENT_ICFG),
