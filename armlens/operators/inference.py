@@ -3,7 +3,7 @@
 The notebook downloads the order table into one process, aggregates it four
 times and loops over the grid one test at a time. Here the whole chain is one
 lazy plan: boundary trim (broadcast of a pre-aggregated date range), one
-aggregation pass for all granularities, the grid as generated rows, and the
+aggregation pass for all granularities, the grid from the measured label set, and the
 signed-rank test as a grouped job; nothing is collected to the driver.
 """
 
@@ -17,8 +17,9 @@ from pyspark.sql import functions as F
 from armlens.config import InferenceConfig
 from armlens.operators.wilcoxon import ARM_KEYS, add_p_values, long_kpis, signed_rank_stats
 from armlens.plans.materialize import cut_lineage
-from armlens.plans.sizing import bounded_broadcast
+from armlens.plans.sizing import bounded_broadcast, known_size
 
+LABELS_A_ROW = 1000
 EXPERIMENT, IN_SCOPE, OUT_OF_SCOPE = "Experiment", "Treatment Scope", "Non-Treatment Scope"
 
 
@@ -88,16 +89,23 @@ def segment_values(trimmed: DataFrame, cfg: InferenceConfig = InferenceConfig())
 
 
 def comparison_grid(daily: DataFrame, segments: DataFrame, cfg: InferenceConfig = InferenceConfig()) -> DataFrame:
-    """DOM-21: every non-control arm x granularity x KPI (generated rows, no join)."""
+    """DOM-21: every non-control arm x granularity x KPI. The labels are measured, dealt to arrays of about
+    ``LABELS_A_ROW`` and broadcast within that proven size; an arm is repeated once per array and meets it by
+    its number, so beyond the bound the work is spread over the arrays."""
     arms = (daily.where((F.col("granularity") == EXPERIMENT) & (F.col(cfg.variant_col) != cfg.control))
             .select("region", "entity_id", "test_name", cfg.variant_col).distinct())
-    # every arm meets every granularity: the labels ride along as one array row
-    labels = segments.agg(F.collect_set("granularity").alias("_labels")).withColumn("_one", F.lit(1))
-    arms = arms.withColumn("_one", F.lit(1)).join(labels, "_one")
-    grans = F.concat(F.array(*[F.lit(g) for g in cfg.granularity_base]), F.col("_labels"))
+    own = F.explode(F.array(*[F.lit(g) for g in cfg.granularity_base])).alias("granularity")
+    labels = cut_lineage(segments.distinct(), "segment_labels")
+    size = known_size(labels)
+    rows = 1 + size.rows // LABELS_A_ROW
+    packed = labels.groupBy(F.pmod(F.xxhash64("granularity"), F.lit(rows)).alias("_row")).agg(
+        F.collect_set("granularity").alias("_labels"))
+    met = (arms.withColumn("_row", F.explode(F.sequence(F.lit(0), F.lit(rows - 1)).cast("array<bigint>")))
+           .join(bounded_broadcast(packed, bound=size), "_row"))
     kpis = F.array(*[F.lit(k) for k in (cfg.count_kpi, *cfg.kpis)])
-    return arms.select("region", "entity_id", "test_name", cfg.variant_col,
-                       F.explode(grans).alias("granularity")).select(
+    arm = ["region", "entity_id", "test_name", cfg.variant_col]
+    every = arms.select(*arm, own).unionByName(met.select(*arm, F.explode("_labels").alias("granularity")))
+    return every.select(
         "region", "entity_id", "test_name", cfg.variant_col, "granularity", F.explode(kpis).alias("kpi"))
 
 

@@ -14,10 +14,12 @@ from pyspark.sql import functions as F
 
 from armlens.config import ExperimentConfig, InferenceConfig
 from armlens.functions.geo import point, point_in_ring, point_wkt
+from armlens.operators import bitmaps as bm
 from armlens.operators import inference as inf
 from armlens.operators.skew import split_join
 from armlens.operators.zones import ZoneIndex
 from armlens.plans import outputs as O
+from armlens.plans.incremental import DailyPartials
 from armlens.plans.materialize import cut_lineage
 from armlens.plans.sizing import bounded_broadcast
 from armlens.plans.pipeline import ExperimentDAG, Sources, run_pipeline
@@ -130,6 +132,50 @@ def q_pvalues(spark, sf_dir):
     return O.spark_project(inf.experiment_pvalues(_orders_cleaned_table(spark, sf_dir), ORDER_ICFG), O.PVALUES)
 
 
+def _reach(rows: DataFrame, icfg: InferenceConfig) -> DataFrame:
+    """Distinct orders of every arm and granularity by quarter and over all ('all'), from bitmaps of days."""
+    arm = [*icfg.keys, icfg.variant_col]
+    cells = bm.order_bitmaps(rows, arm, [icfg.date_col, icfg.scope_col, icfg.segment_col], icfg.order_id_col, icfg.date_col)
+    cells = bm.by_granularity(cut_lineage(cells, "order_bitmaps", as_table=True), inf.granularity_labels(icfg))
+    day = F.col(icfg.date_col)
+    quarter = F.concat(F.year(day).cast("string"), F.lit("-Q"), F.quarter(day).cast("string"))
+    cells = cells.withColumn("period", F.explode(F.array(F.lit("all"), quarter))).where("period is not null")
+    return bm.distinct_orders(cells, [*arm, "granularity", "period"])
+
+
+def q_order_reach(spark, sf_dir):
+    return _reach(_orders_trimmed(spark, sf_dir), ORDER_ICFG)
+
+
+def q_lineitem_reach(spark, sf_dir):
+    """Orders whose lines fall on several months count once a quarter and once in all."""
+    return _reach(lines_experiment(world(spark, sf_dir).t), LINE_ICFG)
+
+
+def _partials(spark, sf_dir):
+    """Partials brought up to date in two steps: an earlier state of the orders (later days missing, some days
+    incomplete, one day since withdrawn), then today's; the second refresh must leave the finished days alone."""
+    store = _fresh_store(spark, "partials")
+    orders = cut_lineage(inf.retype_kpis(_orders_cleaned_table(spark, sf_dir)), "orders_typed", as_table=True)
+    day, half = F.col("created_date_utc"), F.lit("1997-06-01").cast("date")
+    early = orders.where((day < half) & ~((F.dayofmonth(day) == 7) & (F.col("order_id").cast("long") % 2 == 0)))
+    gone = orders.where(day == half).withColumn("created_date_utc", F.lit("1990-01-01").cast("date"))
+    partials = DailyPartials(spark, store.root, ORDER_ICFG, prefix=store.prefix)
+    partials.refresh(early.unionByName(gone))
+    redone = partials.refresh(orders)
+    if any(d.isoformat() < "1997-06-01" and d.day != 7 for d in redone):
+        raise RuntimeError("a finished day was recomputed")
+    return partials
+
+
+def q_incremental_daily(spark, sf_dir):
+    return O.spark_project(_partials(spark, sf_dir).series(), O.DAILY)
+
+
+def q_incremental_pvalues(spark, sf_dir):
+    return O.spark_project(_partials(spark, sf_dir).pvalues(), O.PVALUES)
+
+
 def _fresh_store(spark, name):
     mark = uuid.uuid4().hex[:12]
     return TableStore(spark, f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{mark}", prefix=f"{name}_{mark}_")
@@ -279,6 +325,10 @@ QUERIES = {
     "comparison_grid": q_grid,
     "wilcoxon_statistics": q_stats,
     "experiment_pvalues": q_pvalues,
+    "order_reach": q_order_reach,
+    "lineitem_reach": q_lineitem_reach,
+    "incremental_daily_kpis": q_incremental_daily,
+    "incremental_pvalues": q_incremental_pvalues,
     "saved_daily_kpis": q_saved_daily,
     "pipeline_pvalues": q_pipeline_pvalues,
     "pvalue_matrix": q_pvalue_matrix,
