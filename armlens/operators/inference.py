@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from armlens.config import InferenceConfig
 from armlens.operators.wilcoxon import ARM_KEYS, add_p_values, long_kpis, signed_rank_stats
 from armlens.plans.materialize import cut_lineage
-from armlens.plans.sizing import bounded_broadcast, known_size
+from armlens.plans.sizing import bounded_broadcast, known_rows, known_size
 
 LABELS_A_ROW = 1000
 EXPERIMENT, IN_SCOPE, OUT_OF_SCOPE = "Experiment", "Treatment Scope", "Non-Treatment Scope"
@@ -110,11 +110,12 @@ def comparison_grid(daily: DataFrame, segments: DataFrame, cfg: InferenceConfig
 
 
 def arm_statistics(daily: DataFrame, cfg: InferenceConfig = InferenceConfig()) -> DataFrame:
-    """AGG-12 statistics per (test_name, granularity, kpi, variant)."""
+    """AGG-12 statistics per (test_name, granularity, kpi, variant). The rows of a measured ``daily`` bound
+    every arm."""
     long = long_kpis(daily, (cfg.count_kpi, *cfg.kpis), cfg.keys, cfg.date_col)
     order_keys = [k for k in cfg.keys if k != "test_name"]
     return signed_rank_stats(long, control=cfg.control, pair_on=cfg.pair_on, order_keys=order_keys,
-                             date_col=cfg.date_col)
+                             date_col=cfg.date_col, rows=known_rows(daily))
 
 
 def paired_test(daily: DataFrame, grid: DataFrame, cfg: InferenceConfig = InferenceConfig()) -> DataFrame:
@@ -144,8 +145,9 @@ def experiment_pvalues(orders: DataFrame, cfg: InferenceConfig = InferenceConfig
     """DOM-19..22 end to end: order table -> long p-value table.
 
     ``orders`` is read three times (date ranges, segment labels, daily KPIs):
-    pass a materialised table (``run_pipeline`` does), not a long lazy plan."""
+    pass a materialised table (``run_pipeline`` does), not a long lazy plan.
+    The daily series is written once and read by the grid and the test."""
     trimmed = trim_boundary_days(retype_kpis(orders), cfg)
-    daily = daily_kpis(trimmed, cfg)
+    daily = cut_lineage(daily_kpis(trimmed, cfg), "daily_kpis", as_table=True)
     grid = comparison_grid(daily, segment_values(trimmed, cfg), cfg)
     return paired_test(daily, grid, cfg)

@@ -17,6 +17,7 @@ from armlens.functions.geo import point, point_in_ring, point_wkt
 from armlens.operators import bitmaps as bm
 from armlens.operators import inference as inf
 from armlens.operators.skew import split_join
+from armlens.operators.wilcoxon import signed_rank_stats
 from armlens.operators.zones import ZoneIndex
 from armlens.plans import outputs as O
 from armlens.plans.incremental import DailyPartials
@@ -31,6 +32,7 @@ from armlens.sources.tables import Tables
 WORLD_CFG = ExperimentConfig(since=A.SINCE, excluded_test_names=(A.EXCLUDED_TEST,))
 ORDER_ICFG = InferenceConfig()
 EVENT_ICFG = InferenceConfig(kpis=("value_sum",), count_kpi="event_count")
+BY_DATE_ICFG = InferenceConfig(pair_on="date")
 MATRIX_KPIS = (ORDER_ICFG.count_kpi, *ORDER_ICFG.kpis)
 LINE_TIES_ICFG = InferenceConfig(kpis=("price_sum",), count_kpi="line_count", ties_exact=True)
 LINE_ICFG = InferenceConfig(kpis=("price_sum",), count_kpi="line_count")
@@ -124,7 +126,7 @@ def q_grid(spark, sf_dir):
 
 
 def q_stats(spark, sf_dir):
-    daily = inf.daily_kpis(_orders_trimmed(spark, sf_dir), ORDER_ICFG)
+    daily = cut_lineage(inf.daily_kpis(_orders_trimmed(spark, sf_dir), ORDER_ICFG), "daily_kpis", as_table=True)
     return O.spark_project(inf.arm_statistics(daily, ORDER_ICFG), O.STATS)
 
 
@@ -219,8 +221,9 @@ def _rounded(matrix):
 
 def _daily_of(frame_fn, icfg):
     def build(spark, sf_dir):
+        """The raw table is read twice, for the date ranges and for the daily series with its labels."""
         tr = inf.trim_boundary_days(frame_fn(world(spark, sf_dir).t), icfg)
-        return tr, inf.daily_kpis(tr, icfg)
+        return tr, cut_lineage(inf.daily_kpis(tr, icfg), "daily_kpis", as_table=True)
     return build
 
 
@@ -243,6 +246,25 @@ def _pvalue_query(frame_fn, icfg):
     return q
 
 
+def q_long_arm_statistics(spark, sf_dir):
+    """WIN-3 / WIN-4 / JN-14 on arms as long as the table: every line's price, paired by position, by running
+    totals over range partitions."""
+    t = world(spark, sf_dir).t
+    v = F.col("l_orderkey") % 3
+    long = t.lineitem.select(
+        F.lit("lines").alias("test_name"), F.lit("Experiment").alias("granularity"), F.lit("price").alias("kpi"),
+        F.when(v == 0, F.lit("Control")).when(v == 1, F.lit("Variation1")).otherwise(F.lit("Variation2")).alias("variant"),
+        "l_orderkey", "l_linenumber", "l_shipdate",
+        F.when(F.col("l_linenumber") == 6, F.lit(None)).otherwise(F.round(F.col("l_extendedprice") / 100).cast("decimal(38,9)"))
+        .alias("value"))
+    return O.spark_project(signed_rank_stats(long, order_keys=("l_orderkey", "l_linenumber"), date_col="l_shipdate"), O.STATS)
+
+
+def q_pvalues_by_date(spark, sf_dir):
+    """JN-14 with ``pair_on="date"``: days that both arms have are paired."""
+    return O.spark_project(inf.experiment_pvalues(_orders_cleaned_table(spark, sf_dir), BY_DATE_ICFG), O.PVALUES)
+
+
 def q_point_in_polygon(spark, sf_dir):
     """JN-9 / FLT-20 on embedding coordinates (dims 1, 2) against fixed rings."""
     rings = F.array(*[F.struct(F.lit(i).cast("long").alias("ring_id"), A._ring(r).alias("ring"))
@@ -338,6 +360,8 @@ QUERIES = {
     "lineitem_wilcoxon_statistics": _stats_query(lines_experiment, LINE_ICFG),
     "lineitem_pvalues": _pvalue_query(lines_experiment, LINE_ICFG),
     "lineitem_pvalues_ties_exact": _pvalue_query(lines_experiment, LINE_TIES_ICFG),
+    "long_arm_statistics": q_long_arm_statistics,
+    "pvalues_paired_by_date": q_pvalues_by_date,
     "region_vertical_map": q_region_vertical_map,
     "point_in_polygon": q_point_in_polygon,
     "skewed_vendor_join": q_skewed_vendor_join,
