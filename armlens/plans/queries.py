@@ -32,6 +32,7 @@ from armlens.sources.tables import Tables
 WORLD_CFG = ExperimentConfig(since=A.SINCE, excluded_test_names=(A.EXCLUDED_TEST,))
 ORDER_ICFG = InferenceConfig()
 EVENT_ICFG = InferenceConfig(kpis=("value_sum",), count_kpi="event_count")
+LINE_ORDER = ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice")  # a line number can repeat
 BY_DATE_ICFG = InferenceConfig(pair_on="date")
 MATRIX_KPIS = (ORDER_ICFG.count_kpi, *ORDER_ICFG.kpis)
 LINE_TIES_ICFG = InferenceConfig(kpis=("price_sum",), count_kpi="line_count", ties_exact=True)
@@ -254,10 +255,10 @@ def q_long_arm_statistics(spark, sf_dir):
     long = t.lineitem.select(
         F.lit("lines").alias("test_name"), F.lit("Experiment").alias("granularity"), F.lit("price").alias("kpi"),
         F.when(v == 0, F.lit("Control")).when(v == 1, F.lit("Variation1")).otherwise(F.lit("Variation2")).alias("variant"),
-        "l_orderkey", "l_linenumber", "l_shipdate",
-        F.when(F.col("l_linenumber") == 6, F.lit(None)).otherwise(F.round(F.col("l_extendedprice") / 100).cast("decimal(38,9)"))
+        *LINE_ORDER, "l_shipdate",
+        F.when(F.col("l_linenumber") == 6, F.lit(None)).otherwise(F.floor(F.col("l_extendedprice") / 100).cast("decimal(38,9)"))
         .alias("value"))
-    return O.spark_project(signed_rank_stats(long, order_keys=("l_orderkey", "l_linenumber"), date_col="l_shipdate"), O.STATS)
+    return O.spark_project(signed_rank_stats(long, order_keys=LINE_ORDER, date_col="l_shipdate"), O.STATS)
 
 
 def q_pvalues_by_date(spark, sf_dir):
