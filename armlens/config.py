@@ -21,6 +21,8 @@ class ExperimentConfig:
     # DOM-11: how an order's "TG | variant | scheme" is matched against the
     # test's combination list: "substring" (LIKE, as the SQL does) or "exact".
     scheme_match: str = "substring"
+    # T15: keep only the orders whose flag column of this name is 'Keep'; None: flags only, as the SQL does.
+    keep_only: str | None = None
     # Broadcast bound for experiment dimensions (rows); beyond it: shuffle join.
     broadcast_max_rows: int = 2_000_000
 

@@ -16,7 +16,8 @@ three order-keyed lookup tables):
   order_id) sees only orders inside their test zones; the polygon itself is
   attached last;
 * target groups (with the time/customer conditions as join residuals), test
-  dates and scheme lists are broadcast experiment dimensions.
+  dates and the scheme matches of every (test, label, variant), found once, are
+  broadcast experiment dimensions.
 """
 
 from __future__ import annotations
@@ -32,6 +33,7 @@ from armlens.functions.geo import point
 from armlens.functions.verticals import normalize_vertical
 from armlens.operators.skew import lookup_join
 from armlens.operators.zones import ZoneIndex
+from armlens.plans.materialize import cut_lineage
 from armlens.plans.sizing import DEFAULT_MAX_BYTES, Size, bounded_broadcast, known_size, with_size
 
 NON_TG = "Non_TG"
@@ -77,21 +79,44 @@ def customer_condition(total_orders, placed_at, first_order_at, orders_lt, days_
     return F.when(none, F.lit(True)).otherwise((total_orders < orders_lt) & ((days < days_lt) | days.isNull()))
 
 
-def scheme_flag(outside: F.Column, tg_label: F.Column, variant: F.Column, scheme_id: F.Column,
-                combos_concat: F.Column, combos_list: F.Column, mode: str) -> F.Column:
-    """DOM-11: 'Keep' when the order is outside every target group (``outside``) or its
-    'TG | variant | scheme' is one of the test's combinations, else 'Drop'.
-
-    mode="substring" reproduces ``list LIKE '%' || combo || '%'`` (scheme 12
-    matches '... | 123'; '_' and '%' in labels are wildcards); mode="exact"
-    tests membership in the combination array."""
-    combo = F.concat(tg_label, F.lit(" | "), variant, F.lit(" | "), scheme_id.cast("string"))
+def scheme_matches(combos: DataFrame, variants: DataFrame, target_groups: DataFrame, mode: str) -> DataFrame:
+    """DOM-11: what may follow 'label | variant | ' in a test's combination list, one row per (entity, country,
+    test, label, variant) that occurs in it. Labels are the test's group names and every 'TG<number>' of the
+    list; the scheme ids that follow are matched by ``scheme_flag``.
+
+    mode="substring" reproduces ``list LIKE '%' || combo || '%'``: any place of the text counts, up to the 20
+    characters a scheme id can have; for a label or variant with a wildcard ('%', '_') the whole list stays as
+    ``_wild`` for a LIKE, in which a backslash is an ordinary character. mode="exact": the schemes of whole elements of the combination array."""
+    test = ["entity_id", "country_code", "test_id"]
+    lists = combos.select(*test, "tg_var_scheme_concat", "tg_var_scheme_list")
+    named = lists.join(target_groups.select(*test, F.col("tg_name").alias("label")).distinct(), test)
+    listed = lists.withColumn("label", F.explode(F.regexp_extract_all("tg_var_scheme_concat", F.lit(r"(TG\d+) \|"), F.lit(1))))
+    labels = named.unionByName(listed.select(*named.columns)).distinct()
+    rows = labels.join(variants.select(*test, "variant").distinct(), test)
+    prefix = F.concat("label", F.lit(" | "), "variant", F.lit(" | "))
+    if mode == "exact":
+        whole = F.filter("tg_var_scheme_list", lambda e: F.startswith(e, prefix))
+        after, wild = F.transform(whole, lambda e: F.substr(e, F.length(prefix) + 1)), F.lit(None).cast("string")
+    else:
+        quoted = F.replace(prefix, F.lit("\\E"), F.lit("\\E\\\\E\\Q"))
+        pattern = F.concat(F.lit("(?s)(?=\\Q"), quoted, F.lit("\\E(.{0,20}))"))
+        after = F.array_distinct(F.regexp_extract_all("tg_var_scheme_concat", pattern, F.lit(1)))
+        wild = F.when(prefix.rlike("[%_]"), F.col("tg_var_scheme_concat"))
+    out = rows.select(*test, "label", "variant", after.alias("_after"), wild.alias("_wild"))
+    return out.where((F.size("_after") > 0) | F.col("_wild").isNotNull())
+
+
+def scheme_flag(outside: F.Column, tg_label: F.Column, variant: F.Column, scheme_id: F.Column, after: F.Column,
+                wild: F.Column, mode: str) -> F.Column:
+    """DOM-11: 'Keep' when the order is outside every target group (``outside``) or its scheme id follows its
+    label and variant in the test's combinations (``after``, ``wild`` of ``scheme_matches``), else 'Drop'.
+    As in the SQL, scheme 12 matches '... | 123' in mode "substring"."""
+    scheme = scheme_id.cast("string")
     if mode == "exact":
-        hit = F.array_contains(combos_list, combo)
+        hit = F.array_contains(after, scheme)
     else:
-        # only a label with a wildcard needs a pattern; the others are plain substrings
-        hit = F.when(combo.rlike(r"[%_\\]"), F.like(combos_concat, F.concat(F.lit("%"), combo, F.lit("%")))).otherwise(
-            F.contains(combos_concat, combo))
+        combo = F.concat(F.lit("%"), tg_label, F.lit(" | "), variant, F.lit(" | "), scheme, F.lit("%"))
+        hit = F.when(wild.isNotNull(), F.like(wild, combo, F.lit("\x01"))).otherwise(F.exists(after, lambda a: F.startswith(a, scheme)))
     return if_else(outside | hit, F.lit("Keep"), F.lit("Drop"))
 
 
@@ -184,14 +209,16 @@ def enrich_orders(session_orders: DataFrame, ab_test_orders: DataFrame, shared_o
     a = a.join(bounded_broadcast(dat, bmax, known_size(zones)), ["entity_id", "country_code", "experiment_id"], "left")
     shapes = zn.select(*zone_key, F.xxhash64("zone_shape").alias("shape_no"), "zone_shape").distinct()
     a = a.join(bounded_broadcast(shapes, bmax, known_size(zone_shapes)), [*zone_key, "shape_no"], "inner")
-    vs = scheme_combos.select("entity_id", "country_code", F.col("test_id").alias("experiment_id"),
-                              "tg_var_scheme_concat", "tg_var_scheme_list")
-    a = a.join(bounded_broadcast(vs, bmax, known_size(scheme_combos)), ["entity_id", "country_code", "experiment_id"],
-               "left")
-
     c = F.col
     tg_label = F.coalesce(c("_tg_name"), F.lit(NON_TG))
     bi_label = F.coalesce(F.concat(F.lit("TG"), match_or_null(c("target_group_bi"), r"\d+")), F.lit(NON_TG))
+    matches = cut_lineage(scheme_matches(scheme_combos, variants, target_groups, cfg.scheme_match), "scheme_matches")
+    held = bounded_broadcast(matches.withColumnRenamed("test_id", "experiment_id"), bmax, known_size(matches))
+    for label, suffix in ((tg_label, "tg"), (bi_label, "bi")):
+        m = held.select("entity_id", "country_code", "experiment_id", "variant", F.col("label").alias("_label"),
+                        F.col("_after").alias(f"_after_{suffix}"), F.col("_wild").alias(f"_wild_{suffix}"))
+        a = a.withColumn("_label", label).join(
+            m, ["entity_id", "country_code", "experiment_id", "variant", "_label"], "left").drop("_label")
     fee_incl = fee_incl_discounts(c("is_delivery_fee_covered_by_discount"), c("is_delivery_fee_covered_by_voucher"),
                                   c("delivery_fee_local"))
     out = a.select(
@@ -225,18 +252,28 @@ def enrich_orders(session_orders: DataFrame, ab_test_orders: DataFrame, shared_o
         "travel_time_distance_km", "delivery_distance_m", "to_customer_time", "actual_DT",
         "is_delivery_fee_covered_by_discount", "is_delivery_fee_covered_by_voucher",
         "parent_vertical_concat",
-        scheme_flag(tg_label == NON_TG, tg_label, c("variant"), c("scheme_id"), c("tg_var_scheme_concat"),
-                    c("tg_var_scheme_list"), cfg.scheme_match).alias("keep_drop_flag"),
+        scheme_flag(tg_label == NON_TG, tg_label, c("variant"), c("scheme_id"), c("_after_tg"), c("_wild_tg"),
+                    cfg.scheme_match).alias("keep_drop_flag"),
         scheme_flag(F.coalesce(c("target_group_bi"), F.lit(NON_TG)) == NON_TG, bi_label, c("variant"),
-                    c("scheme_id"), c("tg_var_scheme_concat"), c("tg_var_scheme_list"),
-                    cfg.scheme_match).alias("keep_drop_flag_bi"),
+                    c("scheme_id"), c("_after_bi"), c("_wild_bi"), cfg.scheme_match).alias("keep_drop_flag_bi"),
         *([c("vat_ratio")] if with_profit else []),
     )
     if with_profit:
         out = revenue_columns(out).drop("vat_ratio")
+    if cfg.keep_only:
+        out = out.where(F.col(cfg.keep_only) == "Keep")
     return out
 
 
+def multiplication(rows: DataFrame, by, id_col: str = "order_id") -> DataFrame:
+    """T10: per ``by``, the rows, the distinct orders and the rows beyond one an order. Joins with several
+    conditions, zones or names multiply rows on purpose; their sums count an order more than once."""
+    per_order = rows.where(F.col(id_col).isNotNull()).groupBy(*by, id_col).agg(F.count(F.lit(1)).alias("_n"))
+    return per_order.groupBy(*by).agg(
+        F.sum("_n").alias("order_rows"), F.count(F.lit(1)).alias("orders"), (F.sum("_n") - F.count(F.lit(1))).alias("extra_rows"),
+        F.max("_n").alias("most_rows"))
+
+
 def revenue_columns(df: DataFrame, vat_col: str = "vat_ratio") -> DataFrame:
     """DOM-12: revenue and gross profit net of VAT (SAFE_DIVIDE -> NULL on a
     zero divisor; un-coalesced NULL parts make the sum NULL, T9)."""

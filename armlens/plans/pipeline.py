@@ -73,7 +73,7 @@ DEPENDS = {
     "zone_shapes": (("countries",), ("zones",), ()),
     "orders": (("session_orders", "ab_test_orders", "shared_orders", "fee_override_orders"),
                ("zone_shapes", "target_groups", "zones", "variants", "scheme_combos", "entities"),
-               ("since", "fee_override_regions", "scheme_match")),
+               ("since", "fee_override_regions", "scheme_match", "keep_only")),
     "orders_cleaned": (("ab_test_orders",), ("orders", "target_groups"), ()),
     "session_events": (("ga_sessions", "vendors"), ("entities", "target_groups", "variants"), ("since",)),
     "session_flags": ((), ("session_events",), ()),

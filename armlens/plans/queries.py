@@ -8,6 +8,7 @@ and runs the library operators; the final projection follows
 from __future__ import annotations
 
 import uuid
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,6 +17,7 @@ from armlens.config import ExperimentConfig, InferenceConfig
 from armlens.functions.geo import point, point_in_ring, point_wkt
 from armlens.operators import bitmaps as bm
 from armlens.operators import inference as inf
+from armlens.operators.orders import multiplication
 from armlens.operators.skew import split_join
 from armlens.operators.wilcoxon import signed_rank_stats
 from armlens.operators.zones import ZoneIndex
@@ -112,6 +114,19 @@ def _orders_trimmed(spark, sf_dir):
     return inf.trim_boundary_days(inf.retype_kpis(_orders_cleaned_table(spark, sf_dir)), ORDER_ICFG)
 
 
+def q_orders_kept_exact(spark, sf_dir):
+    """FLT-10 / DOM-11 with whole combinations, and T15: only the orders of the right combination."""
+    cfg = replace(WORLD_CFG, scheme_match="exact", keep_only="keep_drop_flag")
+    orders = ExperimentDAG(Sources.from_world(world(spark, sf_dir)), cfg).orders
+    return O.spark_project(orders.withColumns(_wkt_extra()), O.ORDERS)
+
+
+def q_row_multiplication(spark, sf_dir):
+    """T10: rows and distinct orders of every test and variant."""
+    orders = dag(spark, sf_dir).orders
+    return multiplication(orders, ["entity_id", "test_id", "variant"])
+
+
 def q_trimmed(spark, sf_dir):
     return O.spark_project(_orders_trimmed(spark, sf_dir), O.TRIMMED)
 
@@ -339,6 +354,8 @@ QUERIES = {
     "scheme_combinations": _stage("scheme_combos", O.SCHEME_COMBOS),
     "zone_shapes": _stage("zone_shapes", O.ZONE_SHAPES, lambda: {"zone_vertices": F.size("zone_shape")}),
     "enriched_orders": _stage("orders", O.ORDERS, _wkt_extra),
+    "orders_kept_exact": q_orders_kept_exact,
+    "row_multiplication": q_row_multiplication,
     "orders_with_profit": _stage("orders_cleaned", O.ORDERS_CLEANED, _wkt_extra),
     "session_events": _stage("session_events", O.SESSION_EVENTS),
     "session_flags": _stage("session_flags", O.SESSION_FLAGS),

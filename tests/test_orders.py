@@ -1,5 +1,6 @@
 """DOM-8 .. DOM-13 building blocks (JN-8a/8b, T7, T9, T11, T19, T21, DOM-9)."""
 import datetime as dt
+import re
 from decimal import Decimal
 
 import pytest
@@ -36,11 +37,25 @@ def test_customer_condition(spark):
 
 
 def flags(spark, rows, mode):
-    df = spark.createDataFrame(rows, "tg string, v string, s bigint, lst string")
-    lst = F.split(F.col("lst"), ", ")
-    f = od.scheme_flag(F.coalesce("tg", F.lit("Non_TG")) == "Non_TG", F.coalesce("tg", F.lit("Non_TG")),
-                       F.col("v"), F.col("s"), F.col("lst"), lst, mode)
-    return [r[0] for r in df.select(f).collect()]
+    """Flags of (group, variant, scheme) rows; every row is a test of its own with its own list."""
+    df = spark.createDataFrame([(k, *r) for k, r in enumerate(rows)], "test_id long, tg string, variant string, s bigint, lst string")
+    df = df.withColumns({"entity_id": F.lit("E"), "country_code": F.lit("C")})
+    combos = df.withColumns({"tg_var_scheme_concat": F.col("lst"), "tg_var_scheme_list": F.split("lst", ", ")})
+    groups = df.where("tg is not null").withColumn("tg_name", F.col("tg"))
+    table = od.scheme_matches(combos, df, groups, mode)
+    label = F.coalesce("tg", F.lit("Non_TG"))
+    on = ["entity_id", "country_code", "test_id", "variant", "label"]
+    joined = df.withColumn("label", label).join(table, on, "left")
+    flag = od.scheme_flag(F.col("label") == "Non_TG", F.col("label"), F.col("variant"), F.col("s"), F.col("_after"), F.col("_wild"), mode)
+    return [r[0] for r in joined.orderBy("test_id").select(flag).collect()]
+
+
+def like(lst, combo):
+    """SQL LIKE '%combo%' on the list."""
+    if combo is None or lst is None:
+        return False
+    out = "".join({"%": ".*", "_": "."}.get(ch, re.escape(ch)) for ch in combo)
+    return re.search(out, lst, re.S) is not None
 
 
 def test_keep_drop_substring_vs_exact(spark):
@@ -52,6 +67,24 @@ def test_keep_drop_substring_vs_exact(spark):
     assert flags(spark, rows, "exact") == ["Drop", "Keep", "Keep", "Drop"]
 
 
+def test_scheme_matches_equal_a_string_search_in_every_order(spark):
+    lists = ["TG1 | Control | 123, TG1 | V1 | 45, TG12 | Control | 7", "XTG1 | Control | 123", "TG1 | Control | 123 | 9",
+             "a | a | a | a | 5", "T_1 | Control | 12", "TG1 | Con%ol | 12", "", None, r"TG1 | Q\E | 12", "TG1 | .* | 12, TG1 | (x | 3"]
+    labels = ["TG1", "TG12", "1", "a", "T_1", "TG%", "G1"]
+    variants = ["Control", "V1", "a", "Con%ol", "Cont_ol", ".*", "(x", r"Q\E"]
+    rows = [(g, v, s, x) for g in labels for v in variants for s in (1, 12, 123, 4, 45, 5, 7, 1234, 9) for x in lists]
+    got = flags(spark, rows, "substring")
+    want = ["Keep" if like(x, f"{g} | {v} | {s}") else "Drop" for g, v, s, x in rows]
+    assert got == want and want.count("Keep") > 30
+    got = flags(spark, rows, "exact")
+    assert got == ["Keep" if x is not None and f"{g} | {v} | {s}" in x.split(", ") else "Drop" for g, v, s, x in rows]
+
+
+def test_multiplication_counts_rows_beyond_one_an_order(spark):
+    df = spark.createDataFrame([("t", "a"), ("t", "a"), ("t", "b"), ("u", "a"), ("u", None)], "test string, order_id string")
+    assert sorted(map(tuple, od.multiplication(df, ["test"]).collect())) == [("t", 3, 2, 1, 2), ("u", 1, 1, 0, 1)]
+
+
 def test_actual_fee_by_region(spark):
     rows = [("Europe", Decimal("3.0"), False, None, Decimal("5.0")),
             ("Europe", None, True, None, Decimal("5.0")),
