@@ -123,7 +123,8 @@ def repeated_pieces(keyed: DataFrame, passages: bool) -> DataFrame:
     """(id, tag, ps): per document the pieces (first, size) to remove.
 
     ``keyed``: rows (id, tag, text) whose key (id, tag) is never NULL."""
-    light = keyed.select("id", "tag", F.explode(pieces(F.col("text"), passages)).alias("p")).select("id", "tag", "p.*")
+    light = staged(keyed.select("id", "tag", F.explode_outer(pieces(F.col("text"), passages)).alias("p"))
+                   .filter("p is not null").select("id", "tag", "p.*"), "pieces")
     again = staged(light.groupBy("hash").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("hash"),
                    "piece-hashes")
     suspects = light.join(again, "hash").groupBy("id", "tag").agg(F.collect_set(F.struct("first", "size", "hash")).alias("ps"))
