@@ -2,40 +2,51 @@
 
 1. Texts are cut into pieces by the tokenizer's pattern, each match separately
    (Arrow stage). A chunk of documents (at most ``CHUNK_CHARS`` characters, or
-   one longer document) becomes one row: its distinct pieces, and every text as
-   numbers into them.
+   one longer document) becomes one row of numbers, a token id for every piece
+   that is a token, else a reference to one of the chunk's distinct other pieces,
+   which are rows of their own. The chunks are written in buckets, so they need
+   not move when their pieces come back.
 2. Spark higher-order functions fold the ranked merges over the bytes of every
-   distinct piece of the row, with the rank map as a literal. No shuffle of
-   texts. Pieces that are tokens need no fold, and the ``COMMON`` most frequent
-   pieces of a sample of documents are folded once beforehand: a cache that saves
-   work and changes no result, every other piece is folded in its chunk.
-3. Texts are put together from the encoded pieces, and decoded by concatenating
-   the binary pieces of their ids (Arrow stage).
+   distinct piece of the corpus, once, with the rank map as a literal.
+3. The encoded pieces go back to their chunks (``cogroup``: a chunk is bounded by
+   its characters), where the ids of every text are put together and decoded by
+   concatenating the binary pieces of the ids.
+
+A fold of n bytes copies arrays n times, so a piece of more than ``LONG_PIECE``
+bytes, which is no word, is merged over a heap of its pairs: the same merges in
+the same order, in n log n.
 
 Defined cases: a NULL or empty text has no ids and decodes to no bytes; ids of
-NULL or repeated doc_ids are encoded like any other row; an empty table gives an
-empty result; columns other than the id and text are never read.
+NULL or repeated doc_ids are encoded like any other row; very long texts and
+pieces are encoded whole; an empty table gives an empty result; columns other
+than the id and text are never read.
 """
 from __future__ import annotations
 
 import base64
 import hashlib
-from collections import Counter
+import heapq
+import re
+import uuid
 
 import numpy as np
 import pyarrow as pa
 import regex
+import zstandard
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from armlens.llm.common import small_batches, staged
+from armlens.llm.common import small_batches
+from armlens.session import ensure_checkpoint_dir
 
 NO_RANK = 2 ** 31 - 1
 ID_BITS = 17
 ID_MASK = (1 << ID_BITS) - 1
-SIZES = (300_007, 350_003)  # places of the two halves of the rank map
-COMMON = 60_000             # frequent pieces that every task knows
+LONG_PIECE = 200            # bytes
 CHUNK_CHARS = 32_000_000
+_OUT_ROWS = 100_000
+_CHUNK_ROW = "chunk long, number int, piece string, names array<long>, sizes array<int>, numbers binary"
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -44,31 +55,59 @@ def read_ranks(path: str) -> dict[bytes, int]:
         return {base64.b64decode(token): int(rank) for token, rank in (line.split() for line in f if line.strip())}
 
 
-def pair_ranks(ranks: dict[bytes, int]) -> dict[tuple[int, int], int]:
-    """(id, id) -> id of the joined bytes, for every way to cut a token into two tokens."""
-    return {(ranks[token[:k]], ranks[token[k:]]): rank for token, rank in ranks.items()
-            for k in range(1, len(token)) if token[:k] in ranks and token[k:] in ranks}
-
-
-def rank_literal(pairs: dict[tuple[int, int], int]) -> list[Column]:
-    """The rank map as two literals (arrays after constant folding): an entry
-    holds ``pair << ID_BITS | rank`` and stands in the first array at pair mod
-    ``SIZES[0]`` or in the second at pair mod ``SIZES[1]``."""
-    slots = [[-1] * n for n in SIZES]
-    for (left, right), rank in pairs.items():
-        entry, side = (left << ID_BITS | right) << ID_BITS | rank, 0
+def pair_ranks(ranks: dict[bytes, int]):
+    """(id, id, id of the joined bytes) for every way to cut a token into two tokens."""
+    for token, rank in ranks.items():
+        for k in range(1, len(token)):
+            left, right = ranks.get(token[:k]), ranks.get(token[k:])
+            if left is not None and right is not None:
+                yield left, right, rank
+
+
+def rank_literal(ranks: dict[bytes, int]) -> tuple[list[Column], list[int]]:
+    """The rank map as two literals (arrays after constant folding) and their sizes: an entry holds
+    ``pair << ID_BITS | rank`` and stands in the first array at pair mod its size or so in the second."""
+    entries = np.fromiter(((left << ID_BITS | right) << ID_BITS | rank for left, right, rank in pair_ranks(ranks)), np.int64)
+    sizes = [int(1.2 * len(entries)) | 1, int(1.4 * len(entries)) | 1]
+    slots = [np.full(n, -1, np.int64) for n in sizes]
+    for entry in entries.tolist():
+        side = 0
         for _ in range(500):  # cuckoo hashing: an entry that is pushed out moves to its other place
-            at = (entry >> ID_BITS) % SIZES[side]
-            entry, slots[side][at] = slots[side][at], entry
+            at = (entry >> ID_BITS) % sizes[side]
+            entry, slots[side][at] = int(slots[side][at]), entry
             if entry < 0:
                 break
             side = 1 - side
         else:
             raise ValueError("too many merges for the table")
-    return [F.split(F.lit(",".join(map(str, t))), ",").cast("array<bigint>") for t in slots]
-
-
-def merged_ids(piece: Column, byte_ids: Column, tables: list[Column]) -> Column:
+    blocks = [",".join(map(str, t[k:k + 10_000].tolist())) for t in slots for k in range(0, len(t), 10_000)]
+    cut = -(-sizes[0] // 10_000)
+    return [F.split(F.lit(",".join(part)), ",").cast("array<bigint>") for part in (blocks[:cut], blocks[cut:])], sizes
+
+
+def merged_by_heap(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
+    """Token ids of a long piece: the lowest rank first, of equal ranks the leftmost."""
+    parts = [piece[k:k + 1] for k in range(len(piece))]
+    after, before = list(range(1, len(parts) + 1)), list(range(-1, len(parts) - 1))
+    heap = [(r, k) for k in range(len(parts) - 1) if (r := ranks.get(parts[k] + parts[k + 1])) is not None]
+    heapq.heapify(heap)
+    while heap:
+        rank, k = heapq.heappop(heap)
+        nxt = after[k]
+        if parts[k] is None or nxt >= len(parts) or ranks.get(parts[k] + parts[nxt]) != rank:
+            continue  # one of the two has been merged since
+        parts[k], parts[nxt] = parts[k] + parts[nxt], None
+        after[k] = after[nxt]
+        if after[k] < len(parts):
+            before[after[k]] = k
+            if (r := ranks.get(parts[k] + parts[after[k]])) is not None:
+                heapq.heappush(heap, (r, k))
+        if before[k] >= 0 and (r := ranks.get(parts[before[k]] + parts[k])) is not None:
+            heapq.heappush(heap, (r, before[k]))
+    return [ranks[p] for p in parts if p is not None]
+
+
+def merged_ids(piece: Column, byte_ids: Column, tables: list[Column], sizes: list[int]) -> Column:
     """Token ids of one piece: ranked merges folded over the ids of its bytes.
 
     State: the ids, and for each the rank of joining it to the next. A step
@@ -76,7 +115,7 @@ def merged_ids(piece: Column, byte_ids: Column, tables: list[Column]) -> Column:
     neighbours; without a joinable pair the state stays."""
     def rank(left, right):
         pair = F.shiftleft(left.cast("bigint"), ID_BITS).bitwiseOR(right.cast("bigint"))
-        found = [F.get(t, (pair % n).cast("int")) for t, n in zip(tables, SIZES)]
+        found = [F.get(t, (pair % n).cast("int")) for t, n in zip(tables, sizes)]
         return F.when(F.shiftright(found[0], ID_BITS) == pair, found[0].bitwiseAND(ID_MASK).cast("int")).when(
             F.shiftright(found[1], ID_BITS) == pair, found[1].bitwiseAND(ID_MASK).cast("int")).otherwise(NO_RANK)
 
@@ -114,140 +153,189 @@ def _bytes(piece: Column, byte_ids: Column) -> Column:
     return F.when(n > 0, every).otherwise(F.array().cast("array<int>"))
 
 
-def _piece_counts(pattern: str):
-    cut = regex.compile(pattern).findall
+def _packed(numbers: list) -> bytes:
+    """Numbers as compressed byte planes: the high bytes are nearly all alike."""
+    planes = np.array(numbers, "<i4").view(np.uint8).reshape(-1, 4).T
+    return zstandard.compress(np.ascontiguousarray(planes).tobytes(), 3)
 
-    def run(batches):
-        held = Counter()
-        for batch in batches:
-            for text in batch.column(0).to_pylist():
-                held.update(cut(text) if text else ())
-        if held:
-            yield pa.RecordBatch.from_arrays([pa.array(list(held.keys()), pa.string()),
-                                              pa.array(list(held.values()), pa.int64())], ["piece", "n"])
 
-    return run
+def _unpacked(held: bytes) -> np.ndarray:
+    planes = np.frombuffer(zstandard.decompress(held), np.uint8).reshape(4, -1)
+    return np.ascontiguousarray(planes.T).view("<i4").ravel()
+
+
+class _Numbers(dict):
+    """Piece -> token id, or -1 - place in ``new`` for a piece that is no token."""
+
+    def __init__(self, direct: dict):
+        super().__init__(direct)
+        self.new = []
+
+    def __missing__(self, piece: str) -> int:
+        self[piece] = number = -1 - len(self.new)
+        self.new.append(piece)
+        return number
+
 
+# Characters below U+0250 on which \w, \d and \s of ``re`` agree with \p{L}, \p{N} and \s of the pattern.
+_PLAIN = re.compile(r"[\t\n\r\x20-\x7e\xa1-\xb1\xb4-\xb8\xba\xbb\xbf-\u024f]*").fullmatch
 
-def _chunks(pattern: str, chunk_chars: int, shipped):
-    cut = regex.compile(pattern).findall
+
+def piece_cutter(pattern: str):
+    """``findall`` of the pattern. The usual pattern over plain letters is cut by ``re``, which is faster."""
+    full = regex.compile(pattern).findall
+    if r"\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+" not in pattern:
+        return full
+    plain = re.compile(pattern.replace(r"[^\s\p{L}\p{N}]", r"(?:[^\s\w]|_)").replace(r"\p{L}", r"[^\W\d_]").replace(r"\p{N}", r"\d")).findall
+    return lambda text: plain(text) if _PLAIN(text) else full(text)
+
+
+def _cut(pattern: str, chunk_chars: int, shipped):
+    """Rows of ``_CHUNK_ROW``: one for a chunk (names, tokens or references a document, all numbers), and one
+    for each of its distinct pieces that are no token."""
+    cut = piece_cutter(pattern)
 
     def run(batches):
-        direct, common = shipped.value  # whole tokens, and frequent pieces with their ids
-        names, numbers, known, new, pieces, held = [], [], [], [], {}, 0
-
-        def row():
-            return pa.RecordBatch.from_arrays(
-                [pa.array([names], pa.list_(pa.int64())), pa.array([numbers], pa.list_(pa.binary())),
-                 pa.array([known], pa.list_(pa.binary())), pa.array([new], pa.list_(pa.string()))],
-                ["names", "numbers", "known", "pieces"])
-
-        def number(piece):
-            token = direct.get(piece)
-            ids = common.get(piece) if token is None else np.array([token], np.int32).tobytes()
-            if ids is None:
-                new.append(piece)
-                return len(new) - 1
-            known.append(ids)
-            return -len(known)
+        direct = {}
+        for rank, token in enumerate(shipped.value):
+            try:
+                if token:
+                    direct[token.decode()] = rank
+            except UnicodeDecodeError:
+                pass  # no piece of text is an incomplete character
+        chunk = TaskContext.get().partitionId() << 32
+        names, sizes, numbers, known, held = [], [], [], _Numbers(direct), 0
+
+        def rows():
+            for a in range(0, len(known.new), _OUT_ROWS):
+                some = known.new[a:a + _OUT_ROWS]
+                k = len(some)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([chunk] * k, pa.int64()), pa.array(np.arange(a, a + k, dtype=np.int32)), pa.array(some, pa.string()),
+                     pa.nulls(k, pa.list_(pa.int64())), pa.nulls(k, pa.list_(pa.int32())), pa.nulls(k, pa.binary())],
+                    ["chunk", "number", "piece", "names", "sizes", "numbers"])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([chunk], pa.int64()), pa.nulls(1, pa.int32()), pa.nulls(1, pa.string()),
+                 pa.array([names], pa.list_(pa.int64())), pa.array([sizes], pa.list_(pa.int32())),
+                 pa.array([_packed(numbers)], pa.binary())], ["chunk", "number", "piece", "names", "sizes", "numbers"])
 
         for batch in batches:
             for name, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 size = len(text) if text else 0
                 if names and held + size > chunk_chars:
-                    yield row()
-                    names, numbers, known, new, pieces, held = [], [], [], [], {}, 0
-                at = []
-                for p in cut(text) if text else ():
-                    k = pieces.get(p)
-                    if k is None:
-                        pieces[p] = k = number(p)
-                    at.append(k)
+                    yield from rows()
+                    chunk, names, sizes, numbers, known, held = chunk + 1, [], [], [], _Numbers(direct), 0
+                start = len(numbers)
+                if text:
+                    numbers.extend(map(known.__getitem__, cut(text)))
                 names.append(name)
-                numbers.append(np.array(at, np.int32).tobytes())
+                sizes.append(len(numbers) - start)
                 held += size
         if names:
-            yield row()
+            yield from rows()
 
     return run
 
 
-def _assembled(tokens: list, with_ids: bool):
-    """Per document: n_tokens, digests of the ids and of the decoded bytes (and the ids)."""
-    def run(batches):
+def _assembled(shipped, with_ids: bool):
+    """Per document of a chunk: n_tokens, digests of the ids and of the decoded bytes (and the ids)."""
+    def run(chunk: pa.Table, pieces: pa.Table) -> pa.Table:
+        tokens = shipped.value
         written = [b"%d," % i for i in range(len(tokens))]
-        for batch in batches:
-            for r in range(batch.num_rows):
-                names = batch.column("names")[r].as_py()
-                pieces = batch.column("encoded")[r].values
-                given = batch.column("known")[r].as_py()
-                new = len(pieces)
-                flat = pieces.flatten().to_numpy() if new else np.empty(0, np.int32)
-                flat = np.concatenate([flat, np.frombuffer(b"".join(given), np.int32)])
-                size = np.concatenate([pieces.value_lengths().to_numpy() if new else np.empty(0, np.int64),
-                                       np.array([len(g) // 4 for g in given], np.int64)]).astype(np.int64)
-                start = np.cumsum(size) - size
-                out = {"doc_id": names, "n_tokens": [], "ids_sha256": [], "decoded_sha256": []}
-                kept = []
-                for number in batch.column("numbers")[r].values:
-                    at = np.frombuffer(number.as_buffer(), np.int32)
-                    at = np.where(at < 0, new - 1 - at, at)
-                    n = size[at]
-                    ends = np.cumsum(n)
-                    total = int(ends[-1]) if len(ends) else 0
-                    array = flat[np.arange(total) + np.repeat(start[at] - (ends - n), n)]
-                    ids = array.tolist()
-                    out["n_tokens"].append(total)
-                    out["ids_sha256"].append(hashlib.sha256(b"".join(map(written.__getitem__, ids))[:-1]).hexdigest())
-                    out["decoded_sha256"].append(hashlib.sha256(b"".join(map(tokens.__getitem__, ids))).hexdigest())
-                    if with_ids:
-                        kept.append(array)
-                kinds = {"doc_id": pa.int64(), "n_tokens": pa.int64()}
-                columns = [pa.array(v, kinds.get(k, pa.string())) for k, v in out.items()]
+        encoded = pieces.column("ids").combine_chunks()
+        flat = encoded.flatten().to_numpy() if len(encoded) else np.empty(0, np.int32)
+        own = np.zeros(len(encoded), np.int64)  # ids of a reference
+        start = np.zeros(len(encoded), np.int64)
+        if len(encoded):
+            length = encoded.value_lengths().to_numpy().astype(np.int64)
+            number = pieces.column("number").to_numpy()
+            own[number], start[number] = length, np.cumsum(length) - length
+        out = []
+        for names, sizes, held in zip(chunk.column("names").to_pylist(), chunk.column("sizes").to_pylist(),
+                                      chunk.column("numbers").to_pylist()):
+            numbers, at = _unpacked(held), 0
+            rows = {"doc_id": [], "n_tokens": [], "ids_sha256": [], "decoded_sha256": []}
+            kept = []
+            for name, size in zip(names, sizes):
+                some = numbers[at:at + size]
+                at += size
+                reference = np.maximum(-1 - some, 0)
+                n = np.where(some < 0, own[reference] if len(own) else 0, 1)
+                first = np.repeat(np.cumsum(n) - n, n)
+                inside = np.arange(len(first)) - first
+                which = np.repeat(np.arange(size), n)
+                ids = some[which]
+                borrowed = np.flatnonzero(ids < 0)
+                if len(borrowed):
+                    ids[borrowed] = flat[start[-1 - ids[borrowed]] + inside[borrowed]]
+                listed = ids.tolist()
+                rows["doc_id"].append(name)
+                rows["n_tokens"].append(len(listed))
+                rows["ids_sha256"].append(hashlib.sha256(b"".join(map(written.__getitem__, listed))[:-1]).hexdigest())
+                rows["decoded_sha256"].append(hashlib.sha256(b"".join(map(tokens.__getitem__, listed))).hexdigest())
                 if with_ids:
-                    ends = np.cumsum([0, *map(len, kept)])
-                    columns.append(pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(
-                        np.concatenate(kept) if kept else np.empty(0, np.int32), pa.int32())))
-                yield pa.RecordBatch.from_arrays(columns, [*out, "ids"] if with_ids else list(out))
+                    kept.append(ids)
+            columns = [pa.array(v, pa.int64() if k in ("doc_id", "n_tokens") else pa.string()) for k, v in rows.items()]
+            if with_ids:
+                ends = np.cumsum([0, *map(len, kept)])
+                columns.append(pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(
+                    np.concatenate(kept) if kept else np.empty(0, np.int32), pa.int32())))
+            out += pa.Table.from_arrays(columns, [*rows, "ids"] if with_ids else list(rows)).to_batches(2000)
+        return pa.Table.from_batches(out)
 
     return run
 
 
 def encode_documents(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text",
-                     with_ids: bool = False, chunk_chars: int = CHUNK_CHARS,
-                     sample_docs: int = 20_000) -> DataFrame:
+                     with_ids: bool = False, chunk_chars: int = CHUNK_CHARS) -> DataFrame:
     """Per row of ``docs``: doc_id, n_tokens, ids_sha256, decoded_sha256 and, ``with_ids``, the ids."""
-    small_batches(docs.sparkSession)
+    spark = docs.sparkSession
+    small_batches(spark)
     ranks = read_ranks(ranks_path)
     tokens = [b""] * (max(ranks.values()) + 1)
     for token, rank in ranks.items():
         tokens[rank] = token
     own = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     byte_ids = F.array(*[F.lit(ranks[bytes([b])]) for b in range(256)])
-    tables = rank_literal(pair_ranks(ranks))
+    tables, places = rank_literal(ranks)
+    shipped = spark.sparkContext.broadcast(tokens)  # the vocabulary file: a fixed size
+    chunks = _bucketed(own.mapInArrow(_cut(pattern, chunk_chars, shipped), _CHUNK_ROW))
+    # every distinct piece is folded once; as many partitions as a shuffle has, since little data is much work
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    pieces = chunks.filter("piece is not null").select("chunk", "number", "piece")
+    # a piece occurs once a chunk; a group holds the chunks of at most 4,096 input partitions
+    grouped = (pieces.withColumn("part", F.shiftright("chunk", 44)).repartition(parts, "piece", "part").groupBy("piece", "part")
+               .agg(F.collect_list(F.struct(F.col("chunk").alias("of"), "number")).alias("at")))
+    folded = F.transform(F.array(F.struct(byte_ids.alias("b"), tables[0].alias("t"), tables[1].alias("u"))),
+                         lambda c: merged_ids(F.col("piece"), c["b"], [c["t"], c["u"]], places))[0]
+    small = F.octet_length("piece") <= LONG_PIECE
+    back = grouped.filter(small).select("at", folded.alias("ids")).unionByName(
+        grouped.filter(~small).select("at", "piece").mapInArrow(_long(shipped), "at array<struct<of:long,number:int>>, ids array<int>"))
+    back = back.select("ids", F.explode("at").alias("p")).select("p.of", "p.number", "ids")
+    texts = chunks.filter("numbers is not null").select("chunk", "names", "sizes", "numbers")
+    schema = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids array<int>" * with_ids
+    return texts.groupBy("chunk").cogroup(back.groupBy("of")).applyInArrow(_assembled(shipped, with_ids), schema)
 
-    def fold(pieces):
-        return F.transform(F.array(F.struct(byte_ids.alias("b"), tables[0].alias("t"), tables[1].alias("u"))),
-                           lambda c: F.transform(pieces, lambda p: merged_ids(p, c["b"], [c["t"], c["u"]])))[0]
 
-    direct = {}
-    for token, rank in ranks.items():
-        try:
-            direct[token.decode()] = rank
-        except UnicodeDecodeError:
-            pass  # no piece of text is an incomplete character
-    # frequent pieces of a sample are folded once, so that a chunk folds only the rarer ones
-    share = F.pmod(F.xxhash64("text"), F.lit(1 << 30)) < int((1 << 30) * min(1.0, sample_docs / max(1, own.count())))
-    counts = own.filter(share).select("text").mapInArrow(_piece_counts(pattern), "piece string, n long").groupBy(
-        "piece").agg(F.sum("n").alias("n")).filter("n > 1")
-    top = staged(counts.orderBy(F.desc("n"), "piece").limit(COMMON).select("piece"), "bpe-pieces")
-    parts = max(1, int(docs.sparkSession.sparkContext.defaultParallelism))
-    lists = top.repartition(parts).select(F.array("piece").alias("pieces")).select("pieces", fold(F.col("pieces"))[0].alias("ids"))
-    rows = lists.select(F.col("pieces")[0].alias("piece"), "ids").toArrow()  # at most COMMON pieces
-    common = {p: np.array(i, np.int32).tobytes() for p, i in zip(rows["piece"].to_pylist(), rows["ids"].to_pylist())}
-    shipped = docs.sparkSession.sparkContext.broadcast((direct, common))
-    chunks = own.mapInArrow(_chunks(pattern, chunk_chars, shipped),
-                            "names array<long>, numbers array<binary>, known array<binary>, pieces array<string>")
-    encoded = chunks.select("names", "numbers", "known", fold(F.col("pieces")).alias("encoded"))
-    schema = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids array<int>" * with_ids
-    return encoded.mapInArrow(_assembled(tokens, with_ids), schema)
+def _long(shipped):
+    """Ids of the pieces of more than ``LONG_PIECE`` bytes."""
+    def run(batches):
+        ranks = {t: i for i, t in enumerate(shipped.value) if t}
+        for batch in batches:
+            ids = [merged_by_heap(p.encode(), ranks) for p in batch.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(ids, pa.list_(pa.int32()))], ["at", "ids"])
+
+    return run
+
+
+def _bucketed(chunks: DataFrame) -> DataFrame:
+    """The chunks as a table in the shared checkpoint folder, in buckets of ``chunk``: what joins them by chunk
+    comes to them. The catalog name is only needed to write buckets; the files stay."""
+    spark = chunks.sparkSession
+    name = f"bpe_chunks_{uuid.uuid4().hex}"
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/llm/{name}"
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    chunks.write.format("parquet").option("path", path).bucketBy(parts, "chunk").saveAsTable(name)
+    table = spark.table(name)
+    spark.sql(f"DROP TABLE {name}")  # external: the name goes, the files stay
+    return table

@@ -47,3 +47,38 @@ def test_odd_characters(make_docs):
 def test_edges(make_docs, edge_rows):
     check(edge_rows, E.encode_documents(make_docs(edge_rows), RANKS, tokenizers.PATTERN, with_ids=True))
     assert E.encode_documents(make_docs([]), RANKS, tokenizers.PATTERN).count() == 0
+
+
+def test_long_pieces_are_merged_in_n_log_n(make_docs):
+    rnd = random.Random(2)
+    rows = [(1, "a" * 20_000), (2, "".join(rnd.choices("abcde", k=60_000))), (3, "=" * 30_001 + " x"), (4, "é漢😀" * 4_000),
+            (5, " " * 25_000), (6, "1" * 199 + " " + "b" * 200 + " " + "c" * 201)]
+    check(rows, E.encode_documents(make_docs(rows), RANKS, tokenizers.PATTERN, with_ids=True))
+    ranks = E.read_ranks(RANKS)
+    enc = library()
+    for k in range(1, 60):
+        piece = "".join(rnd.choices("abtheé ", k=k)).strip() or "x"
+        assert E.merged_by_heap(piece.encode(), ranks) == enc._encode_single_piece(piece.encode())
+
+
+def test_packed_numbers():
+    for numbers in ([], [0], [5, -1, 2 ** 31 - 1, -2 ** 31], list(range(-500, 50_000, 7))):
+        assert E._unpacked(E._packed(numbers)).tolist() == numbers
+
+
+def test_plain_texts_are_cut_as_the_pattern_cuts():
+    import regex
+    fast, full = E.piece_cutter(tokenizers.PATTERN), regex.compile(tokenizers.PATTERN).findall
+    for c in map(chr, range(0x250)):
+        for text in (c, f"a{c}b", f" {c}1 {c}", f"'{c}s{c}{c}", f"{c} {c}\n{c}_{c}"):
+            assert fast(text) == full(text), (hex(ord(c)), text)
+    rnd = random.Random(9)
+    for _ in range(3000):
+        text = "".join(rnd.choices("ab é1²_'sßl \n\t.,ªº\xa0\x1cµ中", k=30))
+        assert fast(text) == full(text)
+
+
+def test_chunks_stay_where_they_are(spark, make_docs, small_texts):
+    df = E.encode_documents(make_docs([r[:2] for r in small_texts[:50]]), RANKS, tokenizers.PATTERN)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 3  # two branches of pieces, and their ids
