@@ -17,11 +17,14 @@ is empty and linked with nothing). Two documents link when
 4. Candidates are confirmed on full shingle sets; confirmed links give
    components; the long lists, cut by set size, then emit only pairs whose
    members are still in different components (skip rule), whose ``FINE`` further
-   coordinates agree often enough, and which share no earlier list; these are
-   confirmed in turn. A list within one component is dropped before its rows
-   are shuffled; of any other the rows outside its largest component meet all
-   rows, in blocks of about ``BLOCK`` by ``BLOCK`` that tasks share, so no task
-   holds a list.
+   coordinates agree often enough, and which share no earlier list. A list
+   within one component is dropped before its rows are shuffled; of any other
+   the rows outside its largest component meet all rows, in blocks of about
+   ``BLOCK`` by ``BLOCK`` members and ``SHINGLES`` shingles a side that tasks
+   share, so no task holds a list. A block first names the rows that are in such
+   a pair; those rows meet again with their shingle sets, are confirmed inside
+   the block, and only the links that join components leave it: rows stay in
+   proportion to members however many pairs a group has.
 
 With k = 40 and t = 20 a pair at similarity 0.8 is missed with probability
 about 5e-6, less above; the further coordinates allow 4.5 standard deviations (3e-6).
@@ -51,6 +54,7 @@ LIKELY = 28        # agreeing coordinates of a likely pair
 LEADERS = 2        # members of a long list that are compared with all others at first
 PART = 4096        # members of a list that one task reads at first
 BLOCK = 1024       # members of a long list compared with as many others at a time
+SHINGLES = 1_000_000  # shingles that a side of such a block holds
 FINE = 384         # further coordinates, a byte each, for members of long lists
 
 _rng = np.random.default_rng(20)
@@ -242,65 +246,131 @@ def dealt(postings: DataFrame) -> DataFrame:
         "key", F.when(F.col("m").isNotNull(), part).otherwise(F.col("key"))).drop("m")
 
 
-def open_blocks(members: DataFrame) -> DataFrame:
+def open_blocks(members: DataFrame, names: DataFrame | None = None) -> DataFrame:
     """Rows (key, own, id, n, at, comp) of cut lists -> the comparisons still to make:
     ``key`` is a block of about ``BLOCK`` members (``left`` false) and as many rows outside
-    the list's largest component (``left`` true). Lists within one component are gone."""
-    sized = members.groupBy("key", "comp").agg(F.count(F.lit(1)).alias("c"), F.max("own").alias("own"))
-    lists = staged(sized.groupBy("key").agg(F.max(F.struct("c", "comp")).alias("top"), F.sum("c").alias("m"), F.max("own").alias("any"))
+    the list's largest component (``left`` true). Lists within one component are gone.
+    ``names``: columns by id that the rows carry on, joined before a row is copied to its blocks."""
+    sized = members.groupBy("key", "comp").agg(F.count(F.lit(1)).alias("c"), F.sum("n").alias("w"), F.max("own").alias("own"))
+    parts = lambda rows, shingles: F.ceil(F.greatest(rows / BLOCK, shingles / SHINGLES)).cast("bigint")
+    lists = staged(sized.groupBy("key").agg(F.max(F.struct("c", "comp", "w")).alias("top"), F.sum("c").alias("m"),
+                                            F.sum("w").alias("w"), F.max("own").alias("any"))
                    .filter((F.col("m") > F.col("top.c")) & F.col("any"))
-                   .select("key", F.col("top.comp").alias("most"), F.ceil((F.col("m") - F.col("top.c")) / BLOCK).cast("bigint").alias("nx"),
-                           F.ceil(F.col("m") / BLOCK).cast("bigint").alias("ny")), "near-open")
+                   .select("key", F.col("top.comp").alias("most"), parts(F.col("m") - F.col("top.c"), F.col("w") - F.col("top.w")).alias("nx"),
+                           parts(F.col("m"), F.col("w")).alias("ny")), "near-open")
     rows = members.join(lists, "key").withColumn("outside", F.col("comp") != F.col("most"))
+    carried = []
+    if names is not None:
+        carried = [c for c in names.columns if c != "id"]
+        rows = rows.join(names, "id")
     nx, ny, zero = F.col("nx"), F.col("ny"), F.lit(0).cast("bigint")
     x, y = F.pmod(F.xxhash64("id", "key", F.lit(1)), nx), F.pmod(F.xxhash64("id", "key", F.lit(2)), ny)
     as_member = F.transform(F.sequence(zero, nx - 1), lambda k: F.struct(k.alias("x"), y.alias("y"), F.lit(False).alias("left")))
     as_left = F.transform(F.sequence(zero, ny - 1), lambda k: F.struct(x.alias("x"), k.alias("y"), F.lit(True).alias("left")))
     places = F.when(F.col("outside"), F.concat(as_member, as_left)).otherwise(as_member)
-    return rows.select(F.explode(places).alias("p"), "key", "own", "id", "n", "at", "comp", "outside").select(
-        F.xxhash64("key", "p.x", "p.y").alias("key"), "p.left", "own", "id", "n", "at", "comp", "outside")
+    kept = ["own", "id", "n", "at", "comp", "outside", *carried]
+    return rows.select(F.explode(places).alias("p"), "key", *kept).select(
+        F.xxhash64("key", "p.x", "p.y").alias("key"), "p.left", *kept)
 
 
-def _across(percent):
-    """Pairs of a block of a cut long list whose members are in different components, whose
-    first shared list this is, and whose further coordinates agree often enough."""
+def _block_pairs(table, percent):
+    """Pairs of row numbers (left, member) of each block, a few thousand at a time: rows in different
+    components, whose first shared list this is, and whose further coordinates agree often enough."""
     first, least = needed(64, percent), needed(FINE, percent)
+    key, ids, n, at = (table.column(c).to_numpy() for c in ("key", "id", "n", "at"))
+    comp, own = table.column("comp").to_numpy(), table.column("own").to_numpy(zero_copy_only=False)
+    fine = np.frombuffer(b"".join(table.column("fine").to_pylist()), np.uint8).reshape(-1, FINE)
+    keys = np.array(table.column("keys").to_pylist(), np.int64).reshape(-1, PREFIX)
+    outside, left = (table.column(c).to_numpy(zero_copy_only=False) for c in ("outside", "left"))
+    for b, s in zip(*_starts(key)):
+        rows = np.arange(b, b + s)
+        lefts, members = rows[left[rows]], rows[~left[rows]]
+        for x in range(0, len(lefts), BLOCK):
+            block = lefts[x:x + BLOCK]
+            for y in range(0, len(members), BLOCK):
+                other = members[y:y + BLOCK]
+                apart = (comp[block][:, None] != comp[other][None, :]) & (own[block][:, None] | own[other][None, :])
+                # two rows outside the largest component meet twice
+                apart &= ~outside[other][None, :] | (ids[block][:, None] < ids[other][None, :])
+                i, j = np.nonzero(apart)
+                i, j = block[i], other[j]
+                ok = 100 * np.minimum(n[i], n[j]) >= percent * np.maximum(n[i], n[j])
+                i, j = i[ok], j[ok]
+                for z in range(0, len(i), 50_000):
+                    l, r = i[z:z + 50_000], j[z:z + 50_000]
+                    ok = (fine[l, :64] == fine[r, :64]).sum(axis=1) >= first
+                    l, r = l[ok], r[ok]
+                    ok = (fine[l] == fine[r]).sum(axis=1) >= least
+                    l, r = l[ok], r[ok]
+                    before = np.arange(PREFIX)[None, :] < at[l][:, None]
+                    ok = ~((keys[l] == keys[r]) & before).any(axis=1)
+                    if ok.any():
+                        yield b, l[ok], r[ok]
+
+
+def _involved(percent):
+    """The rows of blocks that are in a pair still to be confirmed."""
+    def run(batches):
+        for table in _runs(batches):
+            met = np.zeros(table.num_rows, bool)
+            for _, left, right in _block_pairs(table, percent):
+                met[left] = met[right] = True
+            if met.any():
+                yield from table.filter(pa.array(met)).combine_chunks().to_batches()
+    return run
+
 
+def _common(one: np.ndarray, sets: list) -> np.ndarray:
+    """Sizes of the intersections of a sorted set with others."""
+    many = np.concatenate(sets)
+    at = np.minimum(np.searchsorted(one, many), len(one) - 1)
+    return np.add.reduceat((one[at] == many).astype(np.int64), np.cumsum([0, *map(len, sets[:-1])]))
+
+
+def _linked(percent):
+    """Links (a, b) that join components inside a block, confirmed on full shingle sets."""
     def run(batches):
         for table in _runs(batches):
-            key, ids, n, at = (table.column(c).to_numpy() for c in ("key", "id", "n", "at"))
-            comp, own = table.column("comp").to_numpy(), table.column("own").to_numpy(zero_copy_only=False)
-            fine = np.frombuffer(b"".join(table.column("fine").to_pylist()), np.uint8).reshape(-1, FINE)
-            keys = np.array(table.column("keys").to_pylist(), np.int64).reshape(-1, PREFIX)
-            outside, left = (table.column(c).to_numpy(zero_copy_only=False) for c in ("outside", "left"))
-            for b, s in zip(*_starts(key)):
-                rows = np.arange(b, b + s)
-                lefts, members = rows[left[rows]], rows[~left[rows]]
-                for x in range(0, len(lefts), BLOCK):
-                    block = lefts[x:x + BLOCK]
-                    for y in range(0, len(members), BLOCK):
-                        other = members[y:y + BLOCK]
-                        apart = (comp[block][:, None] != comp[other][None, :]) & (own[block][:, None] | own[other][None, :])
-                        # two rows outside the largest component meet twice
-                        apart &= ~outside[other][None, :] | (ids[block][:, None] < ids[other][None, :])
-                        i, j = np.nonzero(apart)
-                        i, j = block[i], other[j]
-                        ok = 100 * np.minimum(n[i], n[j]) >= percent * np.maximum(n[i], n[j])
-                        i, j = i[ok], j[ok]
-                        for z in range(0, len(i), 50_000):
-                            l, r = i[z:z + 50_000], j[z:z + 50_000]
-                            ok = (fine[l, :64] == fine[r, :64]).sum(axis=1) >= first
-                            l, r = l[ok], r[ok]
-                            ok = (fine[l] == fine[r]).sum(axis=1) >= least
-                            l, r = l[ok], r[ok]
-                            before = np.arange(PREFIX)[None, :] < at[l][:, None]
-                            ok = ~((keys[l] == keys[r]) & before).any(axis=1)
-                            if ok.any():
-                                l, r = l[ok], r[ok]
-                                yield _out(np.minimum(ids[l], ids[r]), np.maximum(ids[l], ids[r]))
+            ids, comp = table.column("id").to_numpy(), table.column("comp").to_numpy()
+            held = [np.frombuffer(x, np.uint64) for x in table.column("shingles").to_pylist()]
+            block, joined, a, b = None, {}, [], []
+
+            def root(c):
+                while (up := joined.get(c, c)) != c:
+                    joined[c] = c = joined.get(up, up)
+                return c
+
+            for start, left, right in _block_pairs(table, percent):
+                if start != block:
+                    block, joined = start, {}
+                for l in np.unique(left):
+                    others = right[left == l].tolist()
+                    for z in range(0, len(others), 64):
+                        some = [r for r in others[z:z + 64] if root(comp[r]) != root(comp[l])]
+                        if not some:
+                            continue
+                        common = _common(held[l], [held[r] for r in some])
+                        for r, c in zip(some, common.tolist()):
+                            if 100 * c >= percent * (len(held[l]) + len(held[r]) - c) and root(comp[r]) != root(comp[l]):
+                                joined[root(comp[r])] = root(comp[l])
+                                a.append(min(ids[l], ids[r])), b.append(max(ids[l], ids[r]))
+            if a:
+                yield _out(np.array(a), np.array(b))
     return run
 
 
+def shingle_sets(docs: DataFrame, ids: DataFrame, width: int) -> DataFrame:
+    """(id, shingles): the full sets of the documents ``ids``, sorted 64-bit hashes."""
+    def sets(batches):
+        cache = _WordHashes()
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array([shingle_set(t, width, cache).tobytes() for t in batch.column(1).to_pylist()], pa.binary())],
+                ["id", "shingles"])
+
+    return docs.join(ids, docs["doc_id"] == ids["id"]).select("id", "text").mapInArrow(sets, "id long, shingles binary")
+
+
 _OUT = "a long, b long, key long, n int, at int"
 
 
@@ -357,6 +427,8 @@ def components(links: DataFrame, name: str = "components", rounds: int = 60) ->
         if now == before:
             break
         before = now
+    else:
+        raise RuntimeError(f"components did not settle in {rounds} rounds")
     # a star: every node but the centre has one edge, to the smallest node
     return (edges.select(F.col("u").alias("node"), F.col("v").alias("comp"))
             .unionByName(edges.select(F.col("v").alias("node"), F.col("v").alias("comp")))
@@ -394,11 +466,12 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                          .select(sides.alias("side"), "key", "id", "n", "at", F.coalesce("comp", "id").alias("comp"))
                          .select(F.xxhash64("key", "side.band").alias("key"), "side.own", "id", "n", "at", "comp"),
                          "near-members")
-        rest = (open_blocks(members).join(names.select("id", "keys", "fine"), "id")
-                .repartition(parts, "key").sortWithinPartitions("key", "n", "id")
-                .mapInArrow(_across(percent), _OUT).select("a", "b").dropDuplicates(["a", "b"])
-                .join(candidates, ["a", "b"], "left_anti"))
-        more = staged(confirmed(rest, own, width, percent), "near-more")
+        blocks = open_blocks(members, names.select("id", "keys", "fine"))
+        in_order = lambda df: df.repartition(parts, "key").sortWithinPartitions("key", "n", "id")
+        involved = staged(in_order(blocks).mapInArrow(_involved(percent), blocks.schema), "near-involved")
+        full = staged(shingle_sets(own, involved.select("id").distinct(), width), "near-shingles")
+        more = staged(in_order(involved.join(full, "id")).mapInArrow(_linked(percent), _OUT).select("a", "b")
+                      .dropDuplicates(["a", "b"]), "near-more")
         comps = components(links.unionByName(more))
     named = sets.select("doc_id", "tag", "n_shingles", "digest").join(
         names.select("digest", "id"), "digest", "left")
@@ -411,9 +484,10 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5,
              percent: int = 80) -> DataFrame:
     """Rows of ``docs`` packed in ``row``, without all but one document of each
-    group; of rows that agree in doc_id and text one stays."""
+    group; of rows that agree in doc_id and text one stays; every row without a doc_id stays."""
     goes = near_duplicates(docs, id_col, text_col, width, percent).filter(~F.col("kept")).select(
         F.col("doc_id").alias("id"), "tag").distinct()
     packed = docs.select(F.col(id_col).cast("long").alias("id"), F.xxhash64(text_col).alias("tag"),
-                         F.struct("*").alias("row"))
-    return packed.join(goes, ["id", "tag"], "left_anti").dropDuplicates(["id", "tag"]).select("row")
+                         F.md5(F.col(text_col)).alias("digest"), F.struct("*").alias("row"))
+    named = packed.filter("id is not null").join(goes, ["id", "tag"], "left_anti").dropDuplicates(["id", "digest"])
+    return named.select("row").unionByName(packed.filter("id is null").select("row"))

@@ -1,5 +1,6 @@
 import random
 
+import numpy as np
 import pytest
 
 from armlens.llm import near_dup
@@ -83,11 +84,11 @@ def test_edges(make_docs, edge_rows):
 
 def test_keep_one(make_docs):
     rows = [(3, "a b c d e f"), (1, "A b c d e f"), (2, "other words stay here now"), (2, "other words stay here now"),
-            (None, "a b c d e f"), (9, ""), (8, None)]
+            (None, "a b c d e f"), (None, "a b c d e f"), (9, ""), (8, None), (8, None)]
     docs = make_docs(rows)
     kept = near_dup.keep_one(docs).select("row.*")
     assert kept.columns == docs.columns
-    assert sorted(str(r["doc_id"]) for r in kept.collect()) == ["1", "2", "8", "9", "None"]
+    assert sorted(str(r["doc_id"]) for r in kept.collect()) == ["1", "2", "8", "9", "None", "None"]
 
 
 def test_components(spark):
@@ -141,3 +142,32 @@ def test_no_task_holds_a_hot_list(spark, monkeypatch):
     parts = near_dup.dealt(postings).groupBy("list", "key").count().collect()
     assert max(r["count"] for r in parts if r["list"] == 7) <= 90 and sum(r["count"] for r in parts) == 530
     assert [r["key"] for r in parts if r["list"] == 8] == [8]
+
+
+def test_a_group_of_near_misses_leaves_no_pairs(spark, make_docs, monkeypatch):
+    """Hundreds of documents near one another but mostly below the similarity: rows out of the blocks stay few."""
+    monkeypatch.setattr(near_dup, "LIKELY", 41)  # no pair is found by a leader: all is left to the blocks
+    rows = list(enumerate(near_copies(300, (4, 8), 11)))
+    held = {}
+    keep = near_dup.staged
+
+    def watch(df, name):
+        held[name] = keep(df, name)
+        return held[name]
+    monkeypatch.setattr(near_dup, "staged", watch)
+    assert result(near_dup.near_duplicates(make_docs(rows))) == brute(rows, 4, 80)
+    assert held["near-more"].count() < 2 * len(rows) and held["near-involved"].count() > 0
+
+
+def test_common_counts():
+    rnd = random.Random(4)
+    for _ in range(50):
+        one = np.unique(np.array(rnd.choices(range(60), k=rnd.randint(1, 40)), np.uint64))
+        sets = [np.unique(np.array(rnd.choices(range(70), k=rnd.randint(1, 40)), np.uint64)) for _ in range(rnd.randint(1, 9))]
+        assert near_dup._common(one, sets).tolist() == [len(np.intersect1d(one, s)) for s in sets]
+
+
+def test_components_that_do_not_settle_raise(spark):
+    links = spark.createDataFrame([(i, i + 1) for i in range(1, 40)], "a long, b long")
+    with pytest.raises(RuntimeError):
+        near_dup.components(links, rounds=1)
