@@ -44,9 +44,10 @@ NO_RANK = 2 ** 31 - 1
 ID_BITS = 17
 ID_MASK = (1 << ID_BITS) - 1
 LONG_PIECE = 200            # bytes
-CHUNK_CHARS = 32_000_000
-_OUT_ROWS = 100_000
-_CHUNK_ROW = "chunk long, number int, piece string, names array<long>, sizes array<int>, numbers binary"
+CHUNK_CHARS = 20_000_000
+_ROW_PIECES = 1000
+_BLOCK = 500_000
+_CHUNK_ROW = "chunk long, number int, pieces array<string>, names array<long>, sizes array<int>, symbols binary"
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -153,17 +154,31 @@ def _bytes(piece: Column, byte_ids: Column) -> Column:
     return F.when(n > 0, every).otherwise(F.array().cast("array<int>"))
 
 
-def _packed(numbers: list) -> bytes:
-    """Numbers as compressed byte planes: the high bytes are nearly all alike."""
-    planes = np.array(numbers, "<i4").view(np.uint8).reshape(-1, 4).T
-    return zstandard.compress(np.ascontiguousarray(planes).tobytes(), 3)
+def _planes(values: np.ndarray) -> bytes:
+    """Compressed byte planes of 32-bit numbers: the high bytes are nearly all alike."""
+    return zstandard.compress(np.ascontiguousarray(values.astype("<i4").view(np.uint8).reshape(-1, 4).T).tobytes(), 3)
 
 
-def _unpacked(held: bytes) -> np.ndarray:
+def _numbers(held: bytes) -> np.ndarray:
     planes = np.frombuffer(zstandard.decompress(held), np.uint8).reshape(4, -1)
     return np.ascontiguousarray(planes.T).view("<i4").ravel()
 
 
+def _packed(symbols: np.ndarray) -> bytes:
+    """Symbols (numbers from 0) as their ranks by frequency, after the symbols in that order."""
+    count = np.bincount(symbols) if len(symbols) else np.empty(0, np.int64)
+    order = np.argsort(-count, kind="stable")[:np.count_nonzero(count)]
+    rank = np.empty(len(count), np.int32)
+    rank[order] = np.arange(len(order))
+    table = _planes(np.diff(order, prepend=0))
+    return len(table).to_bytes(4, "little") + table + _planes(rank[symbols])
+
+
+def _unpacked(held: bytes) -> np.ndarray:
+    cut = 4 + int.from_bytes(held[:4], "little")
+    return np.cumsum(_numbers(held[4:cut]))[_numbers(held[cut:])]
+
+
 class _Numbers(dict):
     """Piece -> token id, or -1 - place in ``new`` for a piece that is no token."""
 
@@ -191,8 +206,9 @@ def piece_cutter(pattern: str):
 
 
 def _cut(pattern: str, chunk_chars: int, shipped):
-    """Rows of ``_CHUNK_ROW``: one for a chunk (names, tokens or references a document, all numbers), and one
-    for each of its distinct pieces that are no token."""
+    """Rows of ``_CHUNK_ROW``: one for a chunk (names, symbols a document, all symbols: a token id, or the
+    number of tokens plus a piece's number), and its distinct pieces that are no token, in order, numbered
+    from ``number``."""
     cut = piece_cutter(pattern)
 
     def run(batches):
@@ -207,17 +223,24 @@ def _cut(pattern: str, chunk_chars: int, shipped):
         names, sizes, numbers, known, held = [], [], [], _Numbers(direct), 0
 
         def rows():
-            for a in range(0, len(known.new), _OUT_ROWS):
-                some = known.new[a:a + _OUT_ROWS]
-                k = len(some)
+            order = sorted(range(len(known.new)), key=known.new.__getitem__)  # neighbours share their beginning
+            place = np.empty(len(order), np.int64)
+            place[order] = np.arange(len(order))
+            symbols = np.array(numbers, np.int64)
+            refers = symbols < 0
+            symbols[refers] = len(shipped.value) + place[-1 - symbols[refers]]
+            columns = ["chunk", "number", "pieces", "names", "sizes", "symbols"]
+            for a in range(0, len(order), 100 * _ROW_PIECES):
+                firsts = list(range(a, min(a + 100 * _ROW_PIECES, len(order)), _ROW_PIECES))
+                k = len(firsts)
+                lists = [[known.new[i] for i in order[f:f + _ROW_PIECES]] for f in firsts]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([chunk] * k, pa.int64()), pa.array(np.arange(a, a + k, dtype=np.int32)), pa.array(some, pa.string()),
-                     pa.nulls(k, pa.list_(pa.int64())), pa.nulls(k, pa.list_(pa.int32())), pa.nulls(k, pa.binary())],
-                    ["chunk", "number", "piece", "names", "sizes", "numbers"])
+                    [pa.array([chunk] * k, pa.int64()), pa.array(firsts, pa.int32()), pa.array(lists, pa.list_(pa.string())),
+                     pa.nulls(k, pa.list_(pa.int64())), pa.nulls(k, pa.list_(pa.int32())), pa.nulls(k, pa.binary())], columns)
             yield pa.RecordBatch.from_arrays(
-                [pa.array([chunk], pa.int64()), pa.nulls(1, pa.int32()), pa.nulls(1, pa.string()),
+                [pa.array([chunk], pa.int64()), pa.nulls(1, pa.int32()), pa.nulls(1, pa.list_(pa.string())),
                  pa.array([names], pa.list_(pa.int64())), pa.array([sizes], pa.list_(pa.int32())),
-                 pa.array([_packed(numbers)], pa.binary())], ["chunk", "number", "piece", "names", "sizes", "numbers"])
+                 pa.array([_packed(symbols)], pa.binary())], columns)
 
         for batch in batches:
             for name, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
@@ -237,50 +260,72 @@ def _cut(pattern: str, chunk_chars: int, shipped):
     return run
 
 
+def _in_words(ids: Column) -> list[Column]:
+    """Ids as two words of three 17-bit numbers each (id + 1, 0: none) and an array of the rest."""
+    def word(k):
+        part = lambda i: F.shiftleft(F.coalesce(F.get(ids, F.lit(k + i)) + 1, F.lit(0)).cast("long"), i * ID_BITS)
+        return part(0).bitwiseOR(part(1)).bitwiseOR(part(2))
+    rest = F.when(F.size(ids) > 6, F.slice(ids, F.lit(7), F.size(ids)))
+    return [word(0).alias("a"), word(3).alias("b"), rest.alias("rest")]
+
+
+def _from_words(pieces: pa.Table):
+    """(ids of all pieces one after the other, first place and number of ids by piece number)."""
+    k = pieces.num_rows
+    number = pieces.column("number").to_numpy()
+    words = [pieces.column(c).to_numpy() for c in ("a", "b")]
+    held = np.stack([(w >> (ID_BITS * i)) & ID_MASK for w in words for i in range(3)], axis=1).astype(np.int32) - 1
+    rest = pieces.column("rest").combine_chunks().fill_null([]) if k else None
+    more = rest.value_lengths().to_numpy().astype(np.int64) if k else np.empty(0, np.int64)
+    few = (held >= 0).sum(axis=1) if k else np.empty(0, np.int64)
+    start = np.cumsum(few + more) - few - more
+    flat = np.empty(int((few + more).sum()), np.int32)
+    for at, n, values in ((start, few, held[held >= 0]), (start + few, more, rest.flatten().to_numpy() if k else held[:0, 0])):
+        flat[np.repeat(at - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))] = values
+    first, size = np.zeros(k, np.int64), np.zeros(k, np.int64)
+    first[number], size[number] = start, few + more
+    return flat, first, size
+
+
 def _assembled(shipped, with_ids: bool):
     """Per document of a chunk: n_tokens, digests of the ids and of the decoded bytes (and the ids)."""
+    def ids_of(symbols, tokens, flat, first, size):
+        refers = symbols >= tokens
+        which = symbols[refers] - tokens
+        n = np.ones(len(symbols), np.int64)
+        n[refers] = size[which]
+        ends = np.cumsum(n)
+        ids = np.empty(int(ends[-1]) if len(ends) else 0, np.int32)
+        ids[(ends - n)[~refers]] = symbols[~refers]
+        m = n[refers]
+        inside = np.arange(int(m.sum())) - np.repeat(np.cumsum(m) - m, m)
+        ids[np.repeat((ends - n)[refers], m) + inside] = flat[np.repeat(first[which], m) + inside]
+        return ids, ends
+
     def run(chunk: pa.Table, pieces: pa.Table) -> pa.Table:
         tokens = shipped.value
         written = [b"%d," % i for i in range(len(tokens))]
-        encoded = pieces.column("ids").combine_chunks()
-        flat = encoded.flatten().to_numpy() if len(encoded) else np.empty(0, np.int32)
-        own = np.zeros(len(encoded), np.int64)  # ids of a reference
-        start = np.zeros(len(encoded), np.int64)
-        if len(encoded):
-            length = encoded.value_lengths().to_numpy().astype(np.int64)
-            number = pieces.column("number").to_numpy()
-            own[number], start[number] = length, np.cumsum(length) - length
+        encoded = _from_words(pieces)
         out = []
-        for names, sizes, held in zip(chunk.column("names").to_pylist(), chunk.column("sizes").to_pylist(),
-                                      chunk.column("numbers").to_pylist()):
-            numbers, at = _unpacked(held), 0
-            rows = {"doc_id": [], "n_tokens": [], "ids_sha256": [], "decoded_sha256": []}
-            kept = []
-            for name, size in zip(names, sizes):
-                some = numbers[at:at + size]
-                at += size
-                reference = np.maximum(-1 - some, 0)
-                n = np.where(some < 0, own[reference] if len(own) else 0, 1)
-                first = np.repeat(np.cumsum(n) - n, n)
-                inside = np.arange(len(first)) - first
-                which = np.repeat(np.arange(size), n)
-                ids = some[which]
-                borrowed = np.flatnonzero(ids < 0)
-                if len(borrowed):
-                    ids[borrowed] = flat[start[-1 - ids[borrowed]] + inside[borrowed]]
+        for names, sizes, held in zip(*(chunk.column(c).to_pylist() for c in ("names", "sizes", "symbols"))):
+            symbols, upto = _unpacked(held), np.cumsum([0, *sizes])
+            d = 0
+            while d < len(names):  # documents of about _BLOCK symbols at a time
+                e = max(d + 1, int(np.searchsorted(upto, upto[d] + _BLOCK, "right")) - 1)
+                ids, ends = ids_of(symbols[upto[d]:upto[e]], len(tokens), *encoded)
+                ends = np.concatenate(([0], ends))[upto[d:e + 1] - upto[d]]
                 listed = ids.tolist()
-                rows["doc_id"].append(name)
-                rows["n_tokens"].append(len(listed))
-                rows["ids_sha256"].append(hashlib.sha256(b"".join(map(written.__getitem__, listed))[:-1]).hexdigest())
-                rows["decoded_sha256"].append(hashlib.sha256(b"".join(map(tokens.__getitem__, listed))).hexdigest())
+                texts, decoded = [], []
+                for a, b in zip(ends[:-1].tolist(), ends[1:].tolist()):
+                    some = listed[a:b]
+                    texts.append(hashlib.sha256(b"".join(map(written.__getitem__, some))[:-1]).hexdigest())
+                    decoded.append(hashlib.sha256(b"".join(map(tokens.__getitem__, some))).hexdigest())
+                columns = [pa.array(names[d:e], pa.int64()), pa.array(np.diff(ends)), pa.array(texts), pa.array(decoded)]
                 if with_ids:
-                    kept.append(ids)
-            columns = [pa.array(v, pa.int64() if k in ("doc_id", "n_tokens") else pa.string()) for k, v in rows.items()]
-            if with_ids:
-                ends = np.cumsum([0, *map(len, kept)])
-                columns.append(pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(
-                    np.concatenate(kept) if kept else np.empty(0, np.int32), pa.int32())))
-            out += pa.Table.from_arrays(columns, [*rows, "ids"] if with_ids else list(rows)).to_batches(2000)
+                    columns.append(pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(ids)))
+                out += pa.Table.from_arrays(columns, ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256", "ids"][:len(columns)]
+                                            ).to_batches(2000)
+                d = e
         return pa.Table.from_batches(out)
 
     return run
@@ -302,17 +347,20 @@ def encode_documents(docs: DataFrame, ranks_path: str, pattern: str, id_col: str
     chunks = _bucketed(own.mapInArrow(_cut(pattern, chunk_chars, shipped), _CHUNK_ROW))
     # every distinct piece is folded once; as many partitions as a shuffle has, since little data is much work
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    pieces = chunks.filter("piece is not null").select("chunk", "number", "piece")
+    pieces = chunks.filter("pieces is not null").select("chunk", "number", F.posexplode("pieces").alias("k", "piece")).select(
+        "chunk", (F.col("number") + F.col("k")).alias("number"), "piece")
     # a piece occurs once a chunk; a group holds the chunks of at most 4,096 input partitions
-    grouped = (pieces.withColumn("part", F.shiftright("chunk", 44)).repartition(parts, "piece", "part").groupBy("piece", "part")
+    part = F.shiftright("chunk", 44)
+    grouped = (pieces.repartition(parts, F.col("piece"), part).groupBy("piece", part.alias("part"))
                .agg(F.collect_list(F.struct(F.col("chunk").alias("of"), "number")).alias("at")))
     folded = F.transform(F.array(F.struct(byte_ids.alias("b"), tables[0].alias("t"), tables[1].alias("u"))),
                          lambda c: merged_ids(F.col("piece"), c["b"], [c["t"], c["u"]], places))[0]
     small = F.octet_length("piece") <= LONG_PIECE
     back = grouped.filter(small).select("at", folded.alias("ids")).unionByName(
         grouped.filter(~small).select("at", "piece").mapInArrow(_long(shipped), "at array<struct<of:long,number:int>>, ids array<int>"))
-    back = back.select("ids", F.explode("at").alias("p")).select("p.of", "p.number", "ids")
-    texts = chunks.filter("numbers is not null").select("chunk", "names", "sizes", "numbers")
+    back = back.select("at", *_in_words(F.col("ids"))).select(F.explode("at").alias("p"), "a", "b", "rest").select(
+        "p.of", "p.number", "a", "b", "rest")
+    texts = chunks.filter("symbols is not null").select("chunk", "names", "sizes", "symbols")
     schema = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids array<int>" * with_ids
     return texts.groupBy("chunk").cogroup(back.groupBy("of")).applyInArrow(_assembled(shipped, with_ids), schema)
 

@@ -1,8 +1,10 @@
 import hashlib
 import random
 
+import numpy as np
 import public_tokenizers as tokenizers
 import tiktoken
+from pyspark.sql import functions as F
 
 from armlens.llm import byte_bpe as E
 
@@ -61,9 +63,17 @@ def test_long_pieces_are_merged_in_n_log_n(make_docs):
         assert E.merged_by_heap(piece.encode(), ranks) == enc._encode_single_piece(piece.encode())
 
 
-def test_packed_numbers():
-    for numbers in ([], [0], [5, -1, 2 ** 31 - 1, -2 ** 31], list(range(-500, 50_000, 7))):
-        assert E._unpacked(E._packed(numbers)).tolist() == numbers
+def test_packed_symbols():
+    for symbols in ([], [0], [5, 7, 2 ** 30, 5], list(range(0, 50_000, 7)) * 2, [3] * 1000):
+        assert E._unpacked(E._packed(np.array(symbols, np.int64))).tolist() == symbols
+
+
+def test_ids_in_words(spark):
+    rows = [(k, [(k * 7919 + j * 104_729) % (1 << 17 - 1) for j in range(n)]) for k, n in enumerate((0, 1, 2, 3, 4, 6, 7, 20, 5))]
+    df = spark.createDataFrame(rows, "number int, ids array<int>").select("number", *E._in_words(F.col("ids")))
+    flat, first, size = E._from_words(df.orderBy("a").toArrow())
+    assert [flat[a:a + n].tolist() for a, n in zip(first, size)] == [r[1] for r in rows]
+    assert len(E._from_words(df.limit(0).toArrow())[0]) == 0
 
 
 def test_plain_texts_are_cut_as_the_pattern_cuts():
