@@ -37,14 +37,14 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from armlens.llm.common import small_batches
+from armlens.llm.common import releasing, small_batches
 from armlens.session import ensure_checkpoint_dir
 
 NO_RANK = 2 ** 31 - 1
 ID_BITS = 17
 ID_MASK = (1 << ID_BITS) - 1
 LONG_PIECE = 200            # bytes
-CHUNK_CHARS = 20_000_000
+CHUNK_CHARS = 16_000_000
 _ROW_PIECES = 1000
 _BLOCK = 500_000
 _CHUNK_ROW = "chunk long, number int, pieces array<string>, names array<long>, sizes array<int>, symbols binary"
@@ -303,10 +303,13 @@ def _assembled(shipped, with_ids: bool):
         return ids, ends
 
     def run(chunk: pa.Table, pieces: pa.Table) -> pa.Table:
+        return pa.Table.from_batches(list(releasing(rows)((chunk, pieces))))
+
+    def rows(tables):
+        chunk, pieces = tables
         tokens = shipped.value
         written = [b"%d," % i for i in range(len(tokens))]
         encoded = _from_words(pieces)
-        out = []
         for names, sizes, held in zip(*(chunk.column(c).to_pylist() for c in ("names", "sizes", "symbols"))):
             symbols, upto = _unpacked(held), np.cumsum([0, *sizes])
             d = 0
@@ -323,10 +326,9 @@ def _assembled(shipped, with_ids: bool):
                 columns = [pa.array(names[d:e], pa.int64()), pa.array(np.diff(ends)), pa.array(texts), pa.array(decoded)]
                 if with_ids:
                     columns.append(pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(ids)))
-                out += pa.Table.from_arrays(columns, ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256", "ids"][:len(columns)]
-                                            ).to_batches(2000)
+                yield from pa.Table.from_arrays(columns, ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256", "ids"][:len(columns)]
+                                                ).to_batches(2000)
                 d = e
-        return pa.Table.from_batches(out)
 
     return run
 
@@ -344,7 +346,7 @@ def encode_documents(docs: DataFrame, ranks_path: str, pattern: str, id_col: str
     byte_ids = F.array(*[F.lit(ranks[bytes([b])]) for b in range(256)])
     tables, places = rank_literal(ranks)
     shipped = spark.sparkContext.broadcast(tokens)  # the vocabulary file: a fixed size
-    chunks = _bucketed(own.mapInArrow(_cut(pattern, chunk_chars, shipped), _CHUNK_ROW))
+    chunks = _bucketed(own.mapInArrow(releasing(_cut(pattern, chunk_chars, shipped)), _CHUNK_ROW))
     # every distinct piece is folded once; as many partitions as a shuffle has, since little data is much work
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     pieces = chunks.filter("pieces is not null").select("chunk", "number", F.posexplode("pieces").alias("k", "piece")).select(
@@ -357,7 +359,7 @@ def encode_documents(docs: DataFrame, ranks_path: str, pattern: str, id_col: str
                          lambda c: merged_ids(F.col("piece"), c["b"], [c["t"], c["u"]], places))[0]
     small = F.octet_length("piece") <= LONG_PIECE
     back = grouped.filter(small).select("at", folded.alias("ids")).unionByName(
-        grouped.filter(~small).select("at", "piece").mapInArrow(_long(shipped), "at array<struct<of:long,number:int>>, ids array<int>"))
+        grouped.filter(~small).select("at", "piece").mapInArrow(releasing(_long(shipped)), "at array<struct<of:long,number:int>>, ids array<int>"))
     back = back.select("at", *_in_words(F.col("ids"))).select(F.explode("at").alias("p"), "a", "b", "rest").select(
         "p.of", "p.number", "a", "b", "rest")
     texts = chunks.filter("symbols is not null").select("chunk", "names", "sizes", "symbols")

@@ -8,8 +8,11 @@ only, so Python stages use those two calls.
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import uuid
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -37,6 +40,20 @@ def small_batches(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(ARROW_BYTES))
 
 
+def releasing(work):
+    """``work`` (batches -> batches) that gives its freed memory back to the system at the end: Spark keeps a
+    Python worker for later tasks, beside the JVM that then needs the memory."""
+    def run(batches):
+        yield from work(batches)
+        gc.collect()
+        pa.default_memory_pool().release_unused()
+        try:
+            ctypes.CDLL("libc.so.6").malloc_trim(0)
+        except (OSError, AttributeError):
+            pass  # another C library
+    return run
+
+
 def staged(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as a parquet table in the shared checkpoint folder and read
     it back: a cut of the lineage that survives lost executors."""

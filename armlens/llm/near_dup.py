@@ -44,7 +44,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from armlens.llm.common import small_batches, staged
+from armlens.llm.common import releasing, small_batches, staged
 
 K, T = 40, 20
 PREFIX = K - T + 1
@@ -141,7 +141,7 @@ def document_sets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
     picked = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"),
                          F.xxhash64(text_col).alias("tag"))
-    return picked.mapInArrow(sets, "doc_id long, tag long, n_shingles long, digest binary, keys array<long>, "
+    return picked.mapInArrow(releasing(sets), "doc_id long, tag long, n_shingles long, digest binary, keys array<long>, "
                              "marks binary, fine binary")
 
 
@@ -368,7 +368,7 @@ def shingle_sets(docs: DataFrame, ids: DataFrame, width: int) -> DataFrame:
                 [batch.column(0), pa.array([shingle_set(t, width, cache).tobytes() for t in batch.column(1).to_pylist()], pa.binary())],
                 ["id", "shingles"])
 
-    return docs.join(ids, docs["doc_id"] == ids["id"]).select("id", "text").mapInArrow(sets, "id long, shingles binary")
+    return docs.join(ids, docs["doc_id"] == ids["id"]).select("id", "text").mapInArrow(releasing(sets), "id long, shingles binary")
 
 
 _OUT = "a long, b long, key long, n int, at int"
@@ -402,7 +402,7 @@ def confirmed(pairs: DataFrame, docs: DataFrame, width: int, percent: int) -> Da
             yield pa.RecordBatch.from_arrays([batch.column("a").filter(mask), batch.column("b").filter(mask)],
                                              ["a", "b"])
 
-    return both.select("a", "b", "left", "right").mapInArrow(confirm, "a long, b long").dropDuplicates(["a", "b"])
+    return both.select("a", "b", "left", "right").mapInArrow(releasing(confirm), "a long, b long").dropDuplicates(["a", "b"])
 
 
 def components(links: DataFrame, name: str = "components", rounds: int = 60) -> DataFrame:
@@ -451,7 +451,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     postings = names.select("id", "n", "marks", F.posexplode("keys").alias("at", "key"))
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     found = staged(dealt(postings.select("key", "id", "n", "at", "marks")).repartition(parts, "key")
-                   .sortWithinPartitions("key", "n", "id").mapInArrow(_short_and_first(percent), _OUT), "near-lists")
+                   .sortWithinPartitions("key", "n", "id").mapInArrow(releasing(_short_and_first(percent)), _OUT), "near-lists")
     candidates = staged(found.filter("key is null").select("a", "b").dropDuplicates(["a", "b"]), "near-pairs")
     links = staged(confirmed(candidates, own, width, percent), "near-links")
     comps = components(links)
@@ -468,9 +468,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                          "near-members")
         blocks = open_blocks(members, names.select("id", "keys", "fine"))
         in_order = lambda df: df.repartition(parts, "key").sortWithinPartitions("key", "n", "id")
-        involved = staged(in_order(blocks).mapInArrow(_involved(percent), blocks.schema), "near-involved")
+        involved = staged(in_order(blocks).mapInArrow(releasing(_involved(percent)), blocks.schema), "near-involved")
         full = staged(shingle_sets(own, involved.select("id").distinct(), width), "near-shingles")
-        more = staged(in_order(involved.join(full, "id")).mapInArrow(_linked(percent), _OUT).select("a", "b")
+        more = staged(in_order(involved.join(full, "id")).mapInArrow(releasing(_linked(percent)), _OUT).select("a", "b")
                       .dropDuplicates(["a", "b"]), "near-more")
         comps = components(links.unionByName(more))
     named = sets.select("doc_id", "tag", "n_shingles", "digest").join(

@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from armlens.llm.common import small_batches
+from armlens.llm.common import releasing, small_batches
 
 BITS = 18
 PUNCT = b".,;:!?\"'()[]{}"
@@ -174,7 +174,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
             yield pa.RecordBatch.from_pydict({"f": [at.tolist()], "v": [w[at].tolist()], "b": [float(b)]})
 
     model = rows.select("_id", "_text", "_y").repartition(1).mapInArrow(
-        fit, "f array<long>, v array<double>, b double").collect()
+        releasing(fit), "f array<long>, v array<double>, b double").collect()
     if not model:
         return ToxicityModel(np.empty(0, np.int64), np.empty(0), None)
     return ToxicityModel(np.asarray(model[0].f, np.int64), np.asarray(model[0].v), model[0].b)
@@ -222,4 +222,4 @@ def score_documents(docs: DataFrame, model: ToxicityModel, text_col: str = "text
                            T.StructField("offending", T.ArrayType(T.StructType([
                                T.StructField("first_word", T.IntegerType()), T.StructField("n_words", T.IntegerType()),
                                T.StructField("score", T.DoubleType())])))])
-    return packed.mapInArrow(score, schema)
+    return packed.mapInArrow(releasing(score), schema)

@@ -54,3 +54,22 @@ def test_each_stage_on_its_own_input(spark):
 def test_run_gives_the_last_stage(spark):
     out = P.run(spark, SF)
     assert out.columns == ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256", "ids"] and out.count() > 100
+
+
+def test_stages_on_edges_and_nothing(spark, make_docs, edge_rows):
+    """NULLs, empty and long texts, repeated rows, clashing extra columns, and no rows at all."""
+    for rows in (edge_rows, []):
+        docs = make_docs(rows)
+        for name, stage in P.STAGES:
+            out = stage(spark, docs, SF)
+            got = out.collect()
+            if name == "byte_bpe":
+                assert sorted(map(str, (r["doc_id"] for r in got))) == sorted(str(r[0]) for r in rows)
+                continue
+            assert out.columns == docs.columns, name
+            kept = {(r["doc_id"], r["text"]) for r in got}
+            assert kept <= {(r[0], r[1]) for r in rows}, name
+            if name in ("toxicity", "line_dedup"):
+                assert len(got) == len(rows), name
+            if name == "near_dup":  # the repeated row goes, everything else stays
+                assert sorted(map(str, kept)) == sorted(map(str, {(r[0], r[1]) for r in rows})) and len(got) == len(kept)
