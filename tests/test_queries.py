@@ -28,7 +28,10 @@ def duck():
 @pytest.mark.parametrize("name", ["target_groups", "zone_shapes", "orders_with_profit", "session_flags",
                                   "daily_kpis", "events_wilcoxon_statistics", "point_in_polygon", "point_wkt",
                                   "session_events", "sessions_with_flag", "comparison_grid", "events_pvalues",
-                                  "lineitem_pvalues", "lineitem_pvalues_ties_exact", "pvalue_matrix"])
+                                  "lineitem_pvalues", "lineitem_pvalues_ties_exact", "pvalue_matrix", "zone_containment",
+                                  "area_lookup", "skewed_vendor_join", "order_reach", "lineitem_reach",
+                                  "long_arm_statistics", "pvalues_paired_by_date", "orders_kept_exact",
+                                  "row_multiplication", "saved_daily_kpis", "incremental_daily_kpis"])
 def test_query_matches_oracle(spark, duck, name):
     from __spark_entry__ import oracle_sql, queries
     df = queries()[name](spark, SF)
