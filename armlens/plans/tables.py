@@ -15,12 +15,13 @@ view because the catalog switches a view at once and with any schema, while a
 table's location and columns change in separate steps.
 
 The log is the truth: the catalog of a session without a metastore starts empty,
-``attach`` names every current version again. One writer at a time; of two lines
-with the same number the later version id counts.
+``attach`` names every current version again. Lines are numbered by the clock, so
+the last publication of a name counts; one writer at a time.
 """
 
 from __future__ import annotations
 
+import time
 import uuid
 from dataclasses import dataclass
 
@@ -75,8 +76,9 @@ class TableStore:
         return f"{self.root}/{v.name}/{v.version}"
 
     def _publish(self, name: str, version: str, fingerprint: str | None, size: Size, columns: str) -> Version:
-        known = self.refresh()
-        v = Version(1 + max((x.seq for x in known.values()), default=0), name, version, fingerprint, size.rows, size.bytes, columns)
+        known = self.refresh() if self._current is None else self._current
+        seq = max(time.time_ns(), 1 + max((x.seq for x in known.values()), default=0))
+        v = Version(seq, name, version, fingerprint, size.rows, size.bytes, columns)
         self.spark.createDataFrame([(v.seq, name, version, fingerprint, size.rows, size.bytes, columns)], _LOG).coalesce(
             1).write.mode("append").json(f"{self.root}/_log")
         known[name] = v

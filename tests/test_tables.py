@@ -32,7 +32,11 @@ def test_replace_changes_rows_and_schema_at_once(spark, store):
     store.replace(spark.range(2).selectExpr("concat('v', id) as name", "id"), "t")
     assert values(spark, store) == ["v0", "v1"] and spark.table(store.prefix + "t").columns == ["name", "id"]
     assert sorted(r[0] for r in before.collect()) == [0, 1, 2]  # a reader of the old version goes on
-    assert [v.seq for v in [store.current("t")]] == [2] and len(store.superseded()) == 1
+    assert len(store.superseded()) == 1 and store.history().count() == 2
+    other = TableStore(spark, store.root, prefix=store.prefix)  # a second store, then the first one again
+    other.replace(spark.range(9), "t")
+    store.replace(spark.range(4), "t")
+    assert TableStore(spark, store.root, prefix=store.prefix + "x_").table("t").count() == 4
 
 
 def test_a_failed_replace_leaves_the_old_table(spark, store):
