@@ -20,9 +20,12 @@ segment number, first doc_id, image), so any Hadoop file system serves and a
 lost task leaves nothing behind. Starts are sums over partitions, then over
 segments, then inside a segment.
 
-Words repeat, so a worker remembers the ids of white-space separated words;
-every word is encoded by the library, and no token of this vocabulary spans
-white space. A document longer than a segment gets a segment of its own.
+Words repeat, so a worker remembers the ids of white-space separated words, from
+task to task; every word is encoded by the library, and no token of this vocabulary
+spans white space. New words go to the library many in one text, cut again at the
+offsets of its tokens. If the tokenizer lower-cases and splits by ``SPLIT``, words
+of ASCII characters are new only by the pieces of that split. A document longer
+than a segment gets a segment of its own.
 
 Defined cases: NULL and empty texts have the end id only; NULL doc_ids come
 first; rows that repeat a doc_id follow each other in the order of their text
@@ -31,9 +34,12 @@ hash; an empty table writes no segment and reads back empty.
 
 from __future__ import annotations
 
+import json
+import re
 import struct
 import uuid
 import zlib
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -49,6 +55,11 @@ BLOCK = 1024
 PERCENTILE = 95
 SEGMENT_IDS = 1 << 18
 CACHE = 300_000  # words a worker remembers
+PIECES = 500_000  # pieces, and whole words of other characters, that it remembers as the library encoded them
+JOINED = 500     # words in one call of the library
+# A split that is known here, and what it is on lower-case ASCII bytes.
+SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+ASCII_SPLIT = re.compile(rb"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^\x09-\x0D\x20a-z0-9]+")
 MAGIC = b"PFR1"
 
 
@@ -110,21 +121,62 @@ def segment_lengths(image: bytes) -> np.ndarray:
     return np.frombuffer(image, "<u4", docs, 16)
 
 
+def splits_ascii(tokenizer) -> bool:
+    """Whether the tokenizer's file says that it lower-cases, then encodes every match of ``SPLIT`` by itself."""
+    told = json.loads(tokenizer.to_str())
+    steps = lambda part, inner: part.get(inner, [part]) if part else []
+    normal = [n["type"] for n in steps(told.get("normalizer"), "normalizers")]
+    first = (steps(told.get("pre_tokenizer"), "pretokenizers") or [{}])[0]
+    return ("Lowercase" in normal and set(normal) <= {"NFC", "Replace", "Lowercase"}
+            and all(n["pattern"] == {"Regex": "\\s+"} and n["content"] == " "
+                    for n in steps(told.get("normalizer"), "normalizers") if n["type"] == "Replace")
+            and first.get("type") == "Split" and first["pattern"] == {"Regex": SPLIT}
+            and first["behavior"] == "Removed" and first["invert"])
+
+
+def encode_words(tokenizer, words: list[bytes]) -> list[bytes]:
+    """The ids (uint32) of each word: the library encodes ``JOINED`` words in one text."""
+    out = []
+    for at in range(0, len(words), JOINED):
+        part = [w.decode("utf-8", "replace") for w in words[at:at + JOINED]]
+        got = tokenizer.encode(" ".join(part), add_special_tokens=False)
+        size = np.fromiter(map(len, part), np.int64, len(part)) + 1
+        begin = np.fromiter((o[0] for o in got.offsets), np.int64, len(got.offsets))
+        # inside a word normalisation may turn characters about
+        first = np.searchsorted(np.maximum.accumulate(begin), np.cumsum(size) - size)
+        ids, cut = np.array(got.ids, np.uint32).tobytes(), (np.append(first, len(begin)) * 4).tolist()
+        out.extend(ids[a:z] for a, z in zip(cut, cut[1:]))
+    return out
+
+
 class _WordIds(dict):
-    """word bytes -> its ids (uint32 array); unknown words are encoded a batch at a time."""
+    """word bytes -> its ids (uint32 bytes); unknown words are encoded a batch at a time."""
 
     def __init__(self, tokenizer):
         super().__init__()
-        self.tokenizer = tokenizer
+        tokenizer.no_truncation()
+        self.tokenizer, self.pieces, self.split = tokenizer, {}, splits_ascii(tokenizer)
 
     def learn(self, texts: list) -> None:
         if len(self) > CACHE:
             self.clear()
-        new = list({w for ws in texts for w in ws if w not in self})
-        for at in range(0, len(new), 5000):
-            part = new[at:at + 5000]
-            got = self.tokenizer.encode_batch([w.decode("utf-8", "replace") for w in part], add_special_tokens=False)
-            self.update((w, np.array(e.ids, np.uint32).tobytes()) for w, e in zip(part, got))
+        if len(self.pieces) > PIECES:
+            self.pieces.clear()
+        words = [w for w in set().union(*texts) if w not in self]
+        cut = [ASCII_SPLIT.findall(w.lower()) if self.split and w.isascii() else (w,) for w in words]
+        new = [p for p in set().union(*cut) if p not in self.pieces]
+        self.pieces.update(zip(new, encode_words(self.tokenizer, new)))
+        of = self.pieces.__getitem__
+        self.update((w, of(c[0]) if len(c) == 1 else b"".join(map(of, c))) for w, c in zip(words, cut))
+
+
+@lru_cache(maxsize=1)
+def _word_ids(path: str) -> _WordIds:
+    """Kept by the worker for later tasks."""
+    from tokenizers import Tokenizer
+    tokenizer = Tokenizer.from_file(path)
+    tokenizer.encode_special_tokens = True  # a special token's string in a text is ordinary text
+    return _WordIds(tokenizer)
 
 
 def _segments(path: str, segment_ids: int):
@@ -132,10 +184,7 @@ def _segments(path: str, segment_ids: int):
         import os
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from pyspark import TaskContext
-        from tokenizers import Tokenizer
-        tokenizer = Tokenizer.from_file(path)
-        tokenizer.encode_special_tokens = True  # a special token's string in a text is ordinary text
-        known, part = _WordIds(tokenizer), TaskContext.get().partitionId()
+        known, part = _word_ids(path), TaskContext.get().partitionId()
         number, names, sizes, parts, held = 0, [], [], [], 0
         end = np.array([END], np.uint32).tobytes()
 

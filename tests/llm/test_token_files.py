@@ -63,3 +63,22 @@ def test_outliers_do_not_widen_the_block():
     plain = len(T.pack_block(ids))
     ids[::100] = 2**31
     assert len(T.pack_block(ids)) < plain + 11 * 6 + 1
+
+
+def test_new_words_in_one_text_and_by_pieces_as_alone():
+    """Words that meet in one call of the library, and ASCII words by their pieces, have the ids they have alone."""
+    tokenizer = Tokenizer.from_file(PATH)
+    tokenizer.encode_special_tokens = True
+    odd = ["it's", "IT'S", "'sx", "x''s", "!'s", "we'll've", "a1b22", "a_b", "__", "don't!", "<|endoftext|>", "\x00\x1b", "a\x1cb", "\x1d",
+           " ", "ẹ́x", "́a", "가", "각", "ΑΣ", "İx", "K", "ﬁ", "Ⅷ", "x y", "🙂🏽", "﻿",
+           "'", "''", "-'d", "Hello,World", "3.14", "\x7f", "É", "é", *[chr(c) for c in range(33, 127)], *[f"{chr(a)}'{chr(b)}" for a in range(33, 127) for b in (83, 115, 33, 49)]]
+    words = [w.encode() for w in odd] + [b"\xff\xfe", b"a\xc3"]
+    want = [np.array(tokenizer.encode(w.decode("utf-8", "replace"), add_special_tokens=False).ids, np.uint32).tobytes() for w in words]
+    assert T.splits_ascii(tokenizer)
+    assert T.encode_words(tokenizer, words) == want
+    known = T._WordIds(tokenizer)
+    known.learn([words, []])
+    assert [known[w] for w in words] == want
+    calls = len(known.pieces)
+    known.learn([[b"hello", b"world", b"HELLO"]])  # their pieces are known
+    assert len(known.pieces) == calls and known[b"HELLO"] == known[b"hello"]
