@@ -43,6 +43,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -54,12 +55,15 @@ END = 2
 BLOCK = 1024
 PERCENTILE = 95
 SEGMENT_IDS = 1 << 18
-CACHE = 300_000  # words a worker remembers
-PIECES = 500_000  # pieces, and whole words of other characters, that it remembers as the library encoded them
+PIECES = 500_000  # pieces, and whole words of other characters, that a worker remembers as the library encoded them
+TEXT_BYTES = 8_000_000  # texts whose distinct words are looked up together
 JOINED = 500     # words in one call of the library
-# A split that is known here, and what it is on lower-case ASCII bytes.
+# A split that is known here, and what it is on lower-case plain words, one a line.
 SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
-ASCII_SPLIT = re.compile(rb"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^\x09-\x0D\x20a-z0-9]+")
+PLAIN_SPLIT = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[^\W\d_]+|\d|(?:[^\s\w]|_)+|\n")
+# Letters and signs up to U+017E that no normalisation changes, whose lower case is one such character, and on
+# which \w, \d and \s of ``re`` agree with \p{L}, \p{N} and \s of the split.
+PLAIN = r"^[\x21-\x7e\xa1-\xa9\xab-\xb1\xb4\xb6-\xb8\xbb\xbf-\x{12f}\x{131}-\x{148}\x{14a}-\x{17e}]+\z"
 MAGIC = b"PFR1"
 
 
@@ -149,25 +153,114 @@ def encode_words(tokenizer, words: list[bytes]) -> list[bytes]:
     return out
 
 
+def piece_tokenizer(tokenizer):
+    """(the tokenizer for pieces that are lower-case and split already, whether an id ends a piece): the file's model
+    on what stands between spaces, after the file's mapping of bytes. None if the file does more to a piece than that,
+    or its ids do not tell where a piece ends."""
+    from tokenizers import Tokenizer, pre_tokenizers
+    told = json.loads(tokenizer.to_str())
+    rest = (told.get("pre_tokenizer") or {}).get("pretokenizers", [])[1:]
+    suffix = told["model"].get("end_of_word_suffix")
+    if not suffix or [(p["type"], p.get("add_prefix_space"), p.get("use_regex")) for p in rest] != [("ByteLevel", False, False)]:
+        return None
+    own = Tokenizer(tokenizer.model)
+    own.pre_tokenizer = pre_tokenizers.Sequence([
+        pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
+    vocabulary = own.get_vocab()
+    ends = np.zeros(max(vocabulary.values()) + 1, bool)
+    ends[[i for token, i in vocabulary.items() if token.endswith(suffix)]] = True
+    return own, ends
+
+
+def encode_pieces(by_piece, pieces: list[str]) -> list[bytes] | None:
+    """The ids (uint32) of each piece, by ``piece_tokenizer``; None if the ids do not fall into the pieces."""
+    tokenizer, ends = by_piece
+    texts = [" ".join(pieces[at:at + JOINED]) for at in range(0, len(pieces), JOINED)]
+    held = [np.array(e.ids, np.uint32) for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+    ids = np.concatenate(held) if held else np.empty(0, np.uint32)
+    cut = (np.flatnonzero(ends[ids]) + 1) * 4
+    if len(cut) != len(pieces):
+        return None
+    raw, cut = ids.tobytes(), cut.tolist()
+    return [raw[a:z] for a, z in zip([0, *cut], cut)]
+
+
+def gathered(flat: np.ndarray, size: np.ndarray, which: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The entries ``which`` of a list of lists (``flat``, ``size``) one after the other, and where each ends."""
+    first = np.cumsum(size) - size
+    n = size[which]
+    upto = np.cumsum(n)
+    return flat[np.repeat(first[which] - (upto - n), n) + np.arange(n.sum())], upto
+
+
 class _WordIds(dict):
-    """word bytes -> its ids (uint32 bytes); unknown words are encoded a batch at a time."""
+    """Ids of words. ``pieces``: piece -> its ids (uint32 bytes), for pieces of plain words (text) and whole words of
+    other characters (bytes); pieces not met before are encoded many in a call."""
 
     def __init__(self, tokenizer):
         super().__init__()
         tokenizer.no_truncation()
-        self.tokenizer, self.pieces, self.split = tokenizer, {}, splits_ascii(tokenizer)
+        self.tokenizer, self.pieces = tokenizer, {}
+        self.by_piece = piece_tokenizer(tokenizer) if splits_ascii(tokenizer) else None
 
     def learn(self, texts: list) -> None:
-        if len(self) > CACHE:
-            self.clear()
-        if len(self.pieces) > PIECES:
-            self.pieces.clear()
+        """Hold the ids (uint32 bytes) of the words (bytes) of ``texts`` by word."""
         words = [w for w in set().union(*texts) if w not in self]
-        cut = [ASCII_SPLIT.findall(w.lower()) if self.split and w.isascii() else (w,) for w in words]
-        new = [p for p in set().union(*cut) if p not in self.pieces]
-        self.pieces.update(zip(new, encode_words(self.tokenizer, new)))
-        of = self.pieces.__getitem__
-        self.update((w, of(c[0]) if len(c) == 1 else b"".join(map(of, c))) for w, c in zip(words, cut))
+        flat, size = self.of_words(pa.array([w.decode("utf-8", "replace") for w in words], pa.string()))
+        cut = np.cumsum(size).tolist()
+        self.update((w, flat[a:z].tobytes()) for w, a, z in zip(words, [0, *cut], cut))
+
+    def lists(self, pieces: list) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all pieces one after the other, and their numbers."""
+        known = self.pieces
+        if len(known) > PIECES:
+            known.clear()
+        new = [p for p in pieces if p not in known]
+        plain = [p for p in new if isinstance(p, str)]
+        known.update(zip(plain, encode_pieces(self.by_piece, plain) or () if plain else ()))
+        rest = [p for p in new if p not in known]
+        known.update(zip(rest, encode_words(self.tokenizer, [p.encode() if isinstance(p, str) else p for p in rest])))
+        held = list(map(known.__getitem__, pieces))
+        return np.frombuffer(b"".join(held), np.uint32), np.fromiter(map(len, held), np.int64, len(held)) // 4
+
+    def of_words(self, words: pa.StringArray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all (distinct) words one after the other, and their numbers."""
+        is_plain = (pc.match_substring_regex(words, PLAIN).to_numpy(zero_copy_only=False) if self.by_piece
+                    else np.zeros(len(words), bool))
+        plain = words.filter(pa.array(is_plain))
+        other = words.filter(pa.array(~is_plain)).cast(pa.binary()).to_pylist()
+        text = pc.binary_join(pa.ListArray.from_arrays([0, len(plain)], plain), "\n")[0].as_py()
+        found = pa.array(PLAIN_SPLIT.findall(text.lower()), pa.string()).dictionary_encode()
+        distinct, which = found.dictionary.to_pylist(), found.indices.to_numpy()
+        # the line break between two words has no ids
+        breaks = distinct.index("\n") if len(plain) > 1 else -1
+        ends = np.append(np.flatnonzero(which == breaks), len(which)) if len(plain) else np.empty(0, np.int64)
+        names = [p for p in distinct if p != "\n"] + other
+        flat, size = self.lists(names)
+        if breaks >= 0:
+            size = np.insert(size, breaks, 0)
+        total = len(distinct)
+        flat, upto = gathered(flat, size, np.concatenate([which, np.arange(total, total + len(other))]))
+        stops = np.append(0, upto)
+        sizes = np.empty(len(words), np.int64)
+        sizes[is_plain] = np.diff(stops[ends], prepend=0)
+        sizes[~is_plain] = size[total:]
+        # plain words stand first in ``flat``
+        order = np.empty(len(words), np.int64)
+        order[np.concatenate([np.flatnonzero(is_plain), np.flatnonzero(~is_plain)])] = np.arange(len(words))
+        by_place = np.concatenate([sizes[is_plain], sizes[~is_plain]])
+        return gathered(flat, by_place, order)[0], sizes
+
+    def encoded(self, texts: pa.StringArray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts, the end id after each, and the number of ids of each text."""
+        lists = pc.ascii_split_whitespace(texts.fill_null(""))
+        found = lists.flatten().dictionary_encode()  # a word may be empty, beside leading or trailing spaces
+        flat, size = self.of_words(found.dictionary)
+        flat, size = np.append(flat, np.uint32(END)), np.append(size, 1)
+        stops = lists.offsets.to_numpy().astype(np.int64)
+        stops -= stops[0]
+        ids, upto = gathered(flat, size, np.insert(found.indices.to_numpy(), stops[1:], len(size) - 1))
+        return ids, np.diff(upto[stops[1:] + np.arange(len(texts))], prepend=0)
 
 
 @lru_cache(maxsize=1)
@@ -179,6 +272,19 @@ def _word_ids(path: str) -> _WordIds:
     return _WordIds(tokenizer)
 
 
+def _together(batches):
+    """The rows of ``batches`` in the same order, about ``TEXT_BYTES`` at a time."""
+    held, size = [], 0
+    for batch in batches:
+        held.append(batch)
+        size += batch.nbytes
+        if size >= TEXT_BYTES:
+            yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+            held, size = [], 0
+    if size:
+        yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+
+
 def _segments(path: str, segment_ids: int):
     def run(batches):
         import os
@@ -186,25 +292,22 @@ def _segments(path: str, segment_ids: int):
         from pyspark import TaskContext
         known, part = _word_ids(path), TaskContext.get().partitionId()
         number, names, sizes, parts, held = 0, [], [], [], 0
-        end = np.array([END], np.uint32).tobytes()
 
         def row():
-            ids = np.frombuffer(b"".join(parts), np.uint32)
             return pa.RecordBatch.from_pydict(
-                {"part": [part], "segment": [number], "n_ids": [held],
-                 "names": pa.array([names], pa.list_(pa.int64())), "image": [write_segment(ids, np.array(sizes))]})
+                {"part": [part], "segment": [number], "n_ids": [held], "names": pa.array([names], pa.list_(pa.int64())),
+                 "image": [write_segment(np.concatenate(parts), np.array(sizes))]})
 
-        for batch in batches:
-            split = [t.encode("utf-8", "surrogatepass").split() if t else [] for t in batch.column(1).to_pylist()]
-            known.learn(split)
-            for name, ws in zip(batch.column(0).to_pylist(), split):
-                ids = b"".join(map(known.__getitem__, ws)) + end
-                n = len(ids) // 4
+        for some in _together(batches):
+            ids, lengths = known.encoded(some.column(1))
+            stop = 0
+            for name, n in zip(some.column(0).to_pylist(), lengths.tolist()):
                 if names and held + n > segment_ids:
                     yield row()
                     number, names, sizes, parts, held = number + 1, [], [], [], 0
-                names.append(name), sizes.append(n), parts.append(ids)
+                names.append(name), sizes.append(n), parts.append(ids[stop:stop + n])
                 held += n
+                stop += n
         if names:
             yield row()
 

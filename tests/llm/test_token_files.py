@@ -82,3 +82,33 @@ def test_new_words_in_one_text_and_by_pieces_as_alone():
     calls = len(known.pieces)
     known.learn([[b"hello", b"world", b"HELLO"]])  # their pieces are known
     assert len(known.pieces) == calls and known[b"HELLO"] == known[b"hello"]
+
+
+def test_plain_words_by_their_pieces():
+    """Words cut and lower-cased here, of every character below U+0250, have the library's ids, in texts that meet together."""
+    import pyarrow as pa
+    tokenizer = Tokenizer.from_file(PATH)
+    tokenizer.encode_special_tokens = True
+    chars = [chr(c) for c in range(1, 0x250)]
+    texts = [None, "", " ", *[f" {c} x{c}y {c}{c} a'{c}s 1{c}_ {c}\u0301 É{c}\n" for c in chars], "one", None]
+    want = [tokenizer.encode(t or "", add_special_tokens=False).ids + [T.END] for t in texts]
+    known = T._WordIds(tokenizer)
+    assert known.by_piece
+    for given in (pa.array(texts, pa.string()), pa.array(["skipped", *texts], pa.string()).slice(1)):
+        ids, lengths = known.encoded(given)
+        assert lengths.tolist() == list(map(len, want)) and ids.tolist() == [i for w in want for i in w]
+    # é, É, and plain signs take the model's short way, other characters the whole tokenizer
+    assert {p for p in ("é", "éé") if p in known.pieces} and any(isinstance(p, bytes) for p in known.pieces)
+    nothing = known.encoded(pa.array([], pa.string()))
+    assert len(nothing[0]) == len(nothing[1]) == 0
+
+
+def test_another_tokenizer_goes_whole():
+    """A tokenizer whose file says anything else than a known split is used whole on every word."""
+    from tokenizers import models, pre_tokenizers
+    import pyarrow as pa
+    own = Tokenizer(models.WordLevel({"a": 0, "B": 1, "?": 3}, unk_token="?"))
+    own.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
+    known = T._WordIds(own)
+    assert known.by_piece is None
+    assert known.encoded(pa.array(["a B", "b  a"]))[0].tolist() == [0, 1, T.END, 3, 0, T.END]
