@@ -30,8 +30,11 @@ scored alike; without training tokens N and V are 0 and the model is uniform.
 
 from __future__ import annotations
 
+from itertools import repeat
+
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -78,8 +81,24 @@ def token_counts(docs: DataFrame) -> DataFrame:
     return docs.select("text").mapInArrow(count, "token binary, c long").groupBy("token").agg(F.sum("c").alias("c"))
 
 
+def _tail(token: bytes) -> bytes:
+    return token.rstrip(b".,;:!?")[-2:]
+
+
+def _class_of(tail: bytes) -> int:
+    return ALONE + xxhash.xxh32_intdigest(tail, 5) % (CLASSES - ALONE)
+
+
 def _tail_class(token: bytes) -> int:
-    return ALONE + xxhash.xxh32_intdigest(token.rstrip(b".,;:!?")[-2:], 5) % (CLASSES - ALONE)
+    return _class_of(_tail(token))
+
+
+class _Classes(dict):
+    """last two bytes -> class"""
+
+    def __missing__(self, tail: bytes) -> int:
+        self[tail] = k = _class_of(tail)
+        return k
 
 
 class _Lexicon(dict):
@@ -87,19 +106,27 @@ class _Lexicon(dict):
 
     def __init__(self, common: dict, alone: dict):
         super().__init__()
-        self.common, self.alone = common, alone
-        self.tokens, self.hashes, self.classes, self.counts = [], [], [], []
-
-    def __missing__(self, token: bytes) -> int:
-        self.tokens.append(token)
-        self.hashes.append(xxhash.xxh3_64_intdigest(token))
-        self.classes.append(self.alone[token] if token in self.alone else _tail_class(token))
-        self.counts.append(self.common.get(token, -1))
-        self[token] = at = len(self.hashes) - 1
-        return at
+        self.common, self.alone, self.classes = common, alone, _Classes()
+        self.tokens, self.parts = [], [(np.empty(0, np.uint64), np.empty(0, np.int64), np.empty(0, np.int64))]
+
+    def rows(self, tokens: list) -> np.ndarray:
+        """The rows of distinct tokens; those not met before get new ones."""
+        new = [t for t in tokens if t not in self]
+        k, held = len(new), len(self)
+        if new:
+            self.update(zip(new, range(held, held + k)))
+            self.tokens += new
+            classes = np.fromiter(map(self.classes.__getitem__, map(_tail, new)), np.int64, k)
+            for token, own in self.alone.items():
+                if (at := self.get(token, -1) - held) >= 0:
+                    classes[at] = own
+            self.parts.append((np.fromiter(map(xxhash.xxh3_64_intdigest, new), np.uint64, k), classes,
+                               np.fromiter(map(self.common.get, new, repeat(-1)), np.int64, k)))
+        return np.fromiter(map(self.__getitem__, tokens), np.int64, len(tokens))
 
     def arrays(self):
-        return (np.array(self.hashes, np.uint64), np.array(self.classes, np.int64), np.array(self.counts, np.int64))
+        self.parts = [tuple(map(np.concatenate, zip(*self.parts)))]
+        return self.parts[0]
 
 
 _SALT = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93], np.uint64)
@@ -120,10 +147,49 @@ def _features(h: np.ndarray, start: np.ndarray, size: np.ndarray) -> np.ndarray:
 
 
 def _logits(w: np.ndarray, f: np.ndarray) -> np.ndarray:
-    z = w[f[:, 0]]
+    z = np.take(w, f[:, 0], axis=0)
+    more = np.empty_like(z)
     for k in range(1, f.shape[1]):
-        z = z + w[f[:, k]]
-    return z + w[-1]  # the bias row
+        z += np.take(w, f[:, k], axis=0, out=more, mode="clip")  # rows are in range: "clip" writes to ``out`` at once
+    z += w[-1]  # the bias row
+    return z
+
+
+def _summed(z: np.ndarray, of: np.ndarray, first: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """Sums of the rows ``of`` of ``z`` over the runs (first, size, longest first): what ``np.add.reduceat`` gives, to
+    the last bit, but over whole rows and many runs at a time. It adds the first row to the sum of the others, and
+    those one after the other (fewer than 8), in 8 interleaved sums (up to 128), or pairwise."""
+    rows = lambda places: np.take(z, of[places], axis=0)
+    more = size - 1
+    over = lambda n: int(np.searchsorted(-more, -n))  # runs with more than n others
+    out, eight = rows(first), np.arange(8)
+    long, middle, some = over(128), over(7), over(0)
+    for k in range(long):
+        out[k] += np.add.reduce(np.ascontiguousarray(rows(np.arange(first[k] + 1, first[k] + size[k])).T), axis=1)
+    if middle > long:
+        at, n = first[long:middle] + 1, more[long:middle]
+        whole, left = n - n % 8, n % 8
+        r = rows(at[:, None] + eight)
+        for i in range(8, 128, 8):
+            m = int(np.searchsorted(-whole, -i))
+            if not m:
+                break
+            r[:m] += rows(at[:m, None] + i + eight)
+        rest = ((r[:, 0] + r[:, 1]) + (r[:, 2] + r[:, 3])) + ((r[:, 4] + r[:, 5]) + (r[:, 6] + r[:, 7]))
+        for j in range(7):
+            i = np.flatnonzero(left > j)
+            rest[i] += rows(at[i] + whole[i] + j)
+        out[long:middle] += rest
+    if some > middle:
+        at = first[middle:some] + 1
+        rest = rows(at)
+        for j in range(1, 7):
+            m = over(j) - middle
+            if m <= 0:
+                break
+            rest[:m] += rows(at[:m] + j)
+        out[middle:some] += rest
+    return out
 
 
 def _train_step(w, g2, f, y):
@@ -133,19 +199,42 @@ def _train_step(w, g2, f, y):
     z /= z.sum(axis=1, keepdims=True)
     z[np.arange(len(y)), y] -= 1
     rows = np.concatenate([f.T.ravel(), np.full(len(y), len(w) - 1)])
+    if len(w) <= 1 << 16:
+        rows = rows.astype(np.uint16)  # sorted by radix
     order = np.argsort(rows, kind="stable")
     rows = rows[order]
     first = np.flatnonzero(np.concatenate([[True], rows[1:] != rows[:-1]]))
-    grad = np.add.reduceat(z[order % len(y)], first, axis=0)
-    at = rows[first]
-    g2[at] += grad * grad
-    w[at] -= RATE * grad / np.sqrt(g2[at] + 1e-3)
-
-
-def _flat(texts, lexicon):
-    rows = [np.fromiter(map(lexicon.__getitem__, t), np.int64, len(t)) for t in map(_tokens, texts)]
-    size = np.array([len(r) for r in rows], np.int64)
-    return (np.concatenate(rows) if rows else np.empty(0, np.int64)), np.cumsum(size) - size, size
+    size = np.diff(np.append(first, len(rows)))
+    longest = np.argsort(-size, kind="stable")
+    first, size = first[longest], size[longest]
+    grads = _summed(z, order % len(y), first, size)
+    rows = rows[first].astype(np.int64)
+    for a in range(0, len(rows), 256):  # blocks that stay in the processor's cache
+        at, grad = rows[a:a + 256], grads[a:a + 256]
+        square = np.take(g2, at, axis=0)
+        square += grad * grad
+        g2[at] = square
+        square += np.float32(1e-3)
+        np.sqrt(square, out=square)
+        grad *= np.float32(RATE)
+        grad /= square
+        w[at] -= grad
+
+
+def _flat(texts: pa.StringArray, lexicon):
+    """Lexicon rows of the tokens of all texts, and each text's first place and number of tokens."""
+    lists = pc.ascii_split_whitespace(pc.ascii_lower(texts.fill_null("")))
+    found = lists.flatten().dictionary_encode()
+    words = found.dictionary.cast(pa.binary()).to_numpy(zero_copy_only=False).tolist()
+    row = lexicon.rows([*words, b"\n"])
+    place = found.indices.to_numpy()
+    stops = lists.offsets.to_numpy().astype(np.int64)
+    stops -= stops[0]
+    if b"" in words:  # what stands beside leading and trailing spaces
+        kept = place != words.index(b"")
+        place, stops = place[kept], np.append(0, np.cumsum(kept))[stops]
+    size = np.diff(stops) + 1
+    return np.insert(row[place], stops[1:], row[-1]), np.cumsum(size) - size, size
 
 
 def train_rounds(docs: DataFrame, alone: dict) -> np.ndarray:
@@ -162,7 +251,7 @@ def train_rounds(docs: DataFrame, alone: dict) -> np.ndarray:
             for batch in batches:
                 if len(lexicon) > CACHE:
                     lexicon = _Lexicon({}, alone)
-                flat, start, size = _flat(batch.column(0).to_pylist(), lexicon)
+                flat, start, size = _flat(batch.column(0), lexicon)
                 if not len(flat):
                     continue
                 h, classes, _ = lexicon.arrays()
@@ -230,15 +319,16 @@ def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         for batch in batches:
             if len(lexicon) > CACHE:
                 lexicon = _Lexicon(common_, alone_)
-            ids, texts, tags = (batch.column(k).to_pylist() for k in range(3))
+            texts = batch.column(1)
             flat, start, size = _flat(texts, lexicon)
             h, classes, known = lexicon.arrays()
             f, y = _features(h[flat], start, size), classes[flat]
             log_class = np.empty(len(y))
-            for a in range(0, len(y), 16384):
-                z = _logits(w, f[a:a + 16384])
+            for a in range(0, len(y), 1024):
+                z = _logits(w, f[a:a + 1024])
                 z -= z.max(axis=1, keepdims=True)
-                log_class[a:a + 16384] = z[np.arange(len(z)), y[a:a + 16384]] - np.log(np.exp(z).sum(axis=1))
+                own = z[np.arange(len(z)), y[a:a + 1024]]
+                log_class[a:a + 1024] = own - np.log(np.exp(z, out=z).sum(axis=1))
             doc = np.repeat(np.arange(len(texts)), size)
             c = known[flat]
             here = c >= 0
@@ -253,7 +343,7 @@ def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
             rare = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.StructArray.from_arrays(
                 [pa.array(names, pa.binary()), pa.array(times, pa.int64())], ["token", "times"]))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(ids, pa.int64()), pa.array(tags, pa.int64()), pa.array(size, pa.int64()),
+                [batch.column(0), batch.column(2), pa.array(size, pa.int64()),
                  pa.array(found, pa.int64()), pa.array(base), pa.array(model), rare],
                 ["doc_id", "tag", "n_tokens", "n_known", "base", "model", "rare"])
 

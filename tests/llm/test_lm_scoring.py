@@ -77,3 +77,33 @@ def test_edges(make_docs, edge_rows):
     only = [(i, "x y") for i in range(40) if held(i)]
     got = M.score_documents(make_docs(only)).collect()
     assert all(r["held_out"] and r["train_tokens"] == 0 and math.isfinite(r["score"]) for r in got)
+
+
+def test_gradients_are_summed_as_by_reduceat():
+    """Runs of every length are added over whole rows, many runs at a time, and agree to the last bit."""
+    rng = np.random.default_rng(5)
+    z = rng.standard_normal((4096, 8)).astype(np.float32)
+    size = np.sort(np.concatenate([np.arange(1, 300), [1] * 50, [4096, 1025, 257]]))[::-1]
+    of = rng.integers(0, len(z), size.sum())
+    place = rng.permutation(len(size))
+    begin = np.cumsum(size[place]) - size[place]
+    first = np.empty(len(size), np.int64)
+    first[place] = begin
+    want = np.add.reduceat(z[of], begin, axis=0)
+    assert np.array_equal(M._summed(z, of, first, size)[place], want)
+
+
+def test_tokens_of_texts_met_together():
+    import pyarrow as pa
+    texts = [None, "", "  Ab \x0b\x1cab ", "É é.\nAB", " ", "the ab"]
+    lexicon = M._Lexicon({b"ab": 7}, {b"the": 3, b"\n": 0})
+    for given in (pa.array(texts), pa.array(["left out", *texts]).slice(1)):
+        flat, start, size = M._flat(given, lexicon)
+        tokens = [M._tokens(t) for t in texts]
+        assert [lexicon.tokens[k] for k in flat] == [t for ts in tokens for t in ts]
+        assert size.tolist() == list(map(len, tokens)) and start.tolist() == (np.cumsum(size) - size).tolist()
+        hashes, classes, counts = lexicon.arrays()
+        assert counts[lexicon[b"ab"]] == 7 and counts[lexicon[b"the"]] == -1
+        assert classes[lexicon[b"the"]] == 3 and classes[lexicon[b"\n"]] == 0 and classes[lexicon[b"ab"]] == M._tail_class(b"ab")
+        assert len(set(hashes.tolist())) == len(lexicon) == len(lexicon.tokens)
+    assert len(M._flat(pa.array([], pa.string()), lexicon)[0]) == 0
