@@ -185,13 +185,15 @@ def mix(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source", tex
         F.count(F.lit(1)).alias("blocks"), F.max("whole").alias("whole"),
         F.sum(F.col("more").cast("long")).alias("more"))
     quotas = counts.select("source_no", (F.col("blocks") * F.col("whole") + F.col("more")).alias("draws"), "blocks")
-    starts = shard_quotas(quotas, shards, seed).join(quotas.select("source_no", "blocks"), "source_no")
+    # one row a source, written: the tree's long expressions are planned once, not again with every join below
+    starts = staged(shard_quotas(staged(quotas, "mix-quotas"), shards, seed).join(
+        quotas.select("source_no", "blocks"), "source_no"), "mix-starts")
     rounds = F.transform(F.sequence(F.lit(0), F.lit(max_epochs)), lambda r: r.cast("long") * F.col("blocks") + F.col("at"))
     shard = F.transform(rounds, lambda d: F.size(F.filter("starts", lambda s: s["start"] <= d)) - 1)
-    drawn = blocks.join(starts, "source_no").select(
+    drawn = staged(blocks.join(starts, "source_no").select(
         "source_no", "block", "words", "whole", "more", (F.col("rest") - F.col("before")).alias("left"),
         # the shard whose run of draws holds the draw: the last one that starts at or before it and is not empty
-        F.transform(shard, lambda i: F.get("starts", i)["first"]).alias("shard_of"))
+        F.transform(shard, lambda i: F.get("starts", i)["first"]).alias("shard_of")), "mix-drawn")
     # the one block of a source that only partly fits its rest: its permuted documents, each taken if it still fits
     amount = F.col("size") * F.col("copies")
     key = F.struct(F.xxhash64(F.lit(seed + 2), "id", "size").alias("h"), "id", "size")
