@@ -43,6 +43,7 @@ from armlens.session import ensure_checkpoint_dir
 NO_RANK = 2 ** 31 - 1
 ID_BITS = 17
 ID_MASK = (1 << ID_BITS) - 1
+SPARE = 13                  # bits of a word beside three ids
 LONG_PIECE = 200            # bytes
 CHUNK_CHARS = 16_000_000
 _ROW_PIECES = 1000
@@ -121,20 +122,19 @@ def merged_ids(piece: Column, byte_ids: Column, tables: list[Column], sizes: lis
             F.shiftright(found[1], ID_BITS) == pair, found[1].bitwiseAND(ID_MASK).cast("int")).otherwise(NO_RANK)
 
     def step(s, _):
-        low = F.array_min(s["ranks"])
-
         def join(p):  # p: place of the pair, from 1; its rank is the id of the joined bytes
+            low = F.get(s["ranks"], p - 1)  # read by place: the minimum would be taken at every mention
             left = F.when(p > 1, F.array(rank(F.get(s["ids"], p - 2), low))).otherwise(F.array().cast("array<int>"))
             after = F.get(s["ids"], p + 1)
             right = F.when(after.isNull(), F.lit(NO_RANK)).otherwise(rank(low, after))
             size = F.size(s["ids"])
-            return F.struct(
+            return F.when(low == NO_RANK, s).otherwise(F.struct(
                 F.concat(F.slice(s["ids"], F.lit(1), p - 1), F.array(low), F.slice(s["ids"], p + 2, size)).alias("ids"),
                 F.concat(F.slice(s["ranks"], F.lit(1), F.greatest(p - 2, F.lit(0))), left, F.array(right),
-                         F.slice(s["ranks"], p + 2, size)).alias("ranks"))
+                         F.slice(s["ranks"], p + 2, size)).alias("ranks")))
 
-        at = F.array_position(s["ranks"], low).cast("int")
-        return F.when(low == NO_RANK, s).otherwise(F.transform(F.array(at), join)[0])
+        at = F.array_position(s["ranks"], F.array_min(s["ranks"])).cast("int")
+        return F.transform(F.array(at), join)[0]
 
     def fold(ids):
         n = F.size(ids)
@@ -148,10 +148,9 @@ def merged_ids(piece: Column, byte_ids: Column, tables: list[Column], sizes: lis
 def _bytes(piece: Column, byte_ids: Column) -> Column:
     """Ids of the bytes of a piece (ids of the 256 single-byte tokens in ``byte_ids``)."""
     raw = F.encode(piece, "UTF-8")
-    n = F.octet_length(raw)
-    every = F.transform(F.array(raw), lambda r: F.transform(F.sequence(F.lit(1), F.octet_length(r)), lambda i: F.get(
-        byte_ids, F.conv(F.hex(F.substring(r, i, F.lit(1))), 16, 10).cast("int"))))[0]
-    return F.when(n > 0, every).otherwise(F.array().cast("array<int>"))
+    # read as ISO-8859-1 every byte is one character, whose code is the byte
+    every = F.transform(F.split(F.decode(raw, "ISO-8859-1"), ""), lambda c: F.get(byte_ids, F.ascii(c)))
+    return F.when(F.octet_length(raw) > 0, every).otherwise(F.array().cast("array<int>"))
 
 
 def _planes(values: np.ndarray) -> bytes:
@@ -269,6 +268,22 @@ def _in_words(ids: Column) -> list[Column]:
     return [word(0).alias("a"), word(3).alias("b"), rest.alias("rest")]
 
 
+def _numbered(number: Column) -> list[Column]:
+    """The words with ``number`` in their spare low bits, the rest, and what is left of the number, nearly always 0:
+    shuffled rows shrink."""
+    bits = lambda k: F.shiftright(number, k).bitwiseAND((1 << SPARE) - 1).cast("long")
+    return [F.shiftleft("a", SPARE).bitwiseOR(bits(0)).alias("a"), F.shiftleft("b", SPARE).bitwiseOR(bits(SPARE)).alias("b"),
+            F.col("rest"), F.shiftright(number, 2 * SPARE).alias("more")]
+
+
+def _unnumbered(pieces: pa.Table) -> pa.Table:
+    a, b, more = (pieces.column(c).to_numpy().astype(np.int64) for c in ("a", "b", "more"))
+    low = (1 << SPARE) - 1
+    number = more << 2 * SPARE | (b & low) << SPARE | a & low
+    ids = ((1 << 3 * ID_BITS) - 1)
+    return pa.table({"number": number, "a": a >> SPARE & ids, "b": b >> SPARE & ids, "rest": pieces.column("rest")})
+
+
 def _from_words(pieces: pa.Table):
     """(ids of all pieces one after the other, first place and number of ids by piece number)."""
     k = pieces.num_rows
@@ -309,7 +324,7 @@ def _assembled(shipped, with_ids: bool):
         chunk, pieces = tables
         tokens = shipped.value
         written = [b"%d," % i for i in range(len(tokens))]
-        encoded = _from_words(pieces)
+        encoded = _from_words(_unnumbered(pieces))
         for names, sizes, held in zip(*(chunk.column(c).to_pylist() for c in ("names", "sizes", "symbols"))):
             symbols, upto = _unpacked(held), np.cumsum([0, *sizes])
             d = 0
@@ -349,19 +364,20 @@ def encode_documents(docs: DataFrame, ranks_path: str, pattern: str, id_col: str
     chunks = _bucketed(own.mapInArrow(releasing(_cut(pattern, chunk_chars, shipped)), _CHUNK_ROW))
     # every distinct piece is folded once; as many partitions as a shuffle has, since little data is much work
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    # the number in the high half of a word, next to the piece's bytes: shuffled rows compress better
     pieces = chunks.filter("pieces is not null").select("chunk", "number", F.posexplode("pieces").alias("k", "piece")).select(
-        "chunk", (F.col("number") + F.col("k")).alias("number"), "piece")
+        "chunk", "piece", F.shiftleft((F.col("number") + F.col("k")).cast("long"), 32).alias("number"))
     # a piece occurs once a chunk; a group holds the chunks of at most 4,096 input partitions
     part = F.shiftright("chunk", 44)
     grouped = (pieces.repartition(parts, F.col("piece"), part).groupBy("piece", part.alias("part"))
-               .agg(F.collect_list(F.struct(F.col("chunk").alias("of"), "number")).alias("at")))
+               .agg(F.collect_list(F.struct(F.col("chunk").alias("of"), F.shiftright("number", 32).cast("int").alias("number"))).alias("at")))
     folded = F.transform(F.array(F.struct(byte_ids.alias("b"), tables[0].alias("t"), tables[1].alias("u"))),
                          lambda c: merged_ids(F.col("piece"), c["b"], [c["t"], c["u"]], places))[0]
     small = F.octet_length("piece") <= LONG_PIECE
     back = grouped.filter(small).select("at", folded.alias("ids")).unionByName(
         grouped.filter(~small).select("at", "piece").mapInArrow(releasing(_long(shipped)), "at array<struct<of:long,number:int>>, ids array<int>"))
     back = back.select("at", *_in_words(F.col("ids"))).select(F.explode("at").alias("p"), "a", "b", "rest").select(
-        "p.of", "p.number", "a", "b", "rest")
+        "p.of", *_numbered(F.col("p.number")))
     texts = chunks.filter("symbols is not null").select("chunk", "names", "sizes", "symbols")
     schema = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids array<int>" * with_ids
     return texts.groupBy("chunk").cogroup(back.groupBy("of")).applyInArrow(_assembled(shipped, with_ids), schema)
@@ -385,7 +401,7 @@ def _bucketed(chunks: DataFrame) -> DataFrame:
     name = f"bpe_chunks_{uuid.uuid4().hex}"
     path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/llm/{name}"
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    chunks.write.format("parquet").option("path", path).bucketBy(parts, "chunk").saveAsTable(name)
+    chunks.write.format("parquet").option("compression", "zstd").option("path", path).bucketBy(parts, "chunk").saveAsTable(name)
     table = spark.table(name)
     spark.sql(f"DROP TABLE {name}")  # external: the name goes, the files stay
     return table

@@ -92,3 +92,21 @@ def test_chunks_stay_where_they_are(spark, make_docs, small_texts):
     df = E.encode_documents(make_docs([r[:2] for r in small_texts[:50]]), RANKS, tokenizers.PATTERN)
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange hashpartitioning") == 3  # two branches of pieces, and their ids
+
+
+def test_numbers_in_spare_bits(spark):
+    rows = [(n, [(1 << 17) - 2] * k) for k, n in enumerate((0, 1, 8191, 8192, (1 << 26) - 1, 1 << 26, (1 << 31) - 1))]
+    df = spark.createDataFrame(rows, "number int, ids array<int>").select("number", *E._in_words(F.col("ids")))
+    packed = df.select(*E._numbered(F.col("number"))).toArrow()
+    plain = E._unnumbered(packed)
+    for c in ("number", "a", "b", "rest"):
+        assert plain.column(c).to_pylist() == df.toArrow().column(c).to_pylist()
+
+
+def test_bytes_and_a_step_are_read_once(spark):
+    ids = F.array(*[F.lit(1000 + b) for b in range(256)])
+    texts = ["", "a", "é漢😀\x00\x7f\x80ÿ", "".join(map(chr, range(1, 600)))]
+    got = spark.createDataFrame(list(enumerate(texts)), "n int, t string").select("n", E._bytes(F.col("t"), ids).alias("b")).collect()
+    assert {r["n"]: r["b"] for r in got} == {n: [1000 + b for b in t.encode()] for n, t in enumerate(texts)}
+    column = E.merged_ids(F.col("t"), ids, [ids, ids], [255, 253])._jc.toString()
+    assert column.count("array_min") == 1 and "conv" not in column
